@@ -2,8 +2,8 @@
 
 A text is cut where no token can span: before a space that follows a non-space and precedes a
 non-space. Both tokenizer files split there before they merge, so the ids of the chunks, joined,
-are the ids of the text (tests compare them). A task keeps the ids of up to ``CACHE`` chunks as
-bytes; joining them costs one dictionary look-up per word. Texts that hold a special token's string
+are the ids of the text (tests compare them). A worker keeps the ids of up to ``CACHE`` chunks as bytes,
+and the generation before them; joining them costs one dictionary look-up per word. Texts that hold a special token's string
 or white space other than single spaces and line ends go through the library as a whole.
 """
 
@@ -13,7 +13,7 @@ import os
 
 import numpy as np
 
-CACHE = 400_000
+CACHE = 500_000
 #: Where one of these occurs, chunks might not be independent or a special token might hide.
 _ODD = ["  ", " \n", "\n ", "<|", *(c for c in map(chr, range(0x3001)) if c.isspace() and c not in " \n")]
 
@@ -32,14 +32,16 @@ class Encoder(dict):
 
         super().__init__()
         self._lib, self._keep, self._cache = Tokenizer.from_file(path), keep_space, cache
+        self._old: dict[str, bytes] = {}
 
     def whole(self, text: str) -> bytes:
         return np.array(self._lib.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
     def __missing__(self, chunk: str) -> bytes:
         if len(self) >= self._cache:
+            self._old = dict(self)
             self.clear()
-        ids = self[chunk] = self.whole(chunk)
+        ids = self[chunk] = self._old.get(chunk) or self.whole(chunk)
         return ids
 
     def encode(self, text: str | None) -> bytes:
