@@ -44,3 +44,12 @@ base AS (
 SELECT *, base_failed IS FALSE AND word_chars - kept_chars <= {MAX_LOST} * word_chars AS kept
 FROM (SELECT *, n_words < {MIN_WORDS} OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM base)
 """
+
+ORACLE["op5_warc"] = """
+WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS b FROM pages),
+d AS (SELECT page_id, octet_length(b) AS payload_bytes, sha1(b) AS payload_digest FROM p)
+SELECT page_id, payload_bytes, payload_digest,
+  CASE WHEN payload_bytes >= 1000 AND page_id < max(page_id) OVER w THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN payload_bytes >= 1000 AND page_id < max(page_id) OVER w THEN max(page_id) OVER w END AS refers_to
+FROM d WINDOW w AS (PARTITION BY payload_digest)
+"""

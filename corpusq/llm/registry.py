@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from corpusq.llm import exact_dedup, packing, pii, quality_rules, range_coder, simhash
+from corpusq.llm import exact_dedup, packing, pii, quality_rules, range_coder, simhash, warc
 from corpusq.llm.common import read_table
 
 
@@ -24,6 +24,10 @@ def op3_range_coder(spark: SparkSession, sf_dir: str) -> DataFrame:
     return range_coder.round_trip(read_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archived(read_table(spark, sf_dir, "pages"))
+
+
 def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -38,4 +42,4 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.spans(read_table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_exact_dedup, op2_quality_rules, op3_range_coder, op6_best_fit_packing, op8_simhash, op10_pii)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_exact_dedup, op2_quality_rules, op3_range_coder, op5_warc, op6_best_fit_packing, op8_simhash, op10_pii)}

@@ -8,6 +8,7 @@ speculative task never leaves a half file under the final name.
 from __future__ import annotations
 
 import contextlib
+import io
 import uuid
 from collections.abc import Iterator
 from typing import BinaryIO
@@ -35,8 +36,8 @@ def written(uri: str) -> Iterator[BinaryIO]:
 def opened(uri: str) -> Iterator[BinaryIO]:
     """A seekable file."""
     where, path = _at(uri)
-    with where.open_input_file(path) as f:
-        yield f
+    with where.open_input_file(path) as f, io.BufferedReader(f, 1 << 18) as g:
+        yield g
 
 
 def removed(uri: str) -> None:
