@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from corpusq.llm import exact_dedup, packing, pii, quality_rules, range_coder, simhash, warc
+from corpusq.llm import exact_dedup, html_text, packing, pii, quality_rules, range_coder, simhash, warc
 from corpusq.llm.common import read_table
 
 
@@ -34,6 +34,10 @@ def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op7_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(read_table(spark, sf_dir, "pages"))
+
+
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_groups(read_table(spark, sf_dir, "documents"))
 
@@ -42,4 +46,4 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.spans(read_table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_exact_dedup, op2_quality_rules, op3_range_coder, op5_warc, op6_best_fit_packing, op8_simhash, op10_pii)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_exact_dedup, op2_quality_rules, op3_range_coder, op5_warc, op6_best_fit_packing, op7_html_text, op8_simhash, op10_pii)}
