@@ -36,9 +36,9 @@ from pyspark.sql import functions as F
 
 from corpusq.llm import sharedfs
 from corpusq.llm.common import stored, work_path
-from corpusq.llm.tokens import encoder
+from corpusq.llm.tokens import encoder, steps
 
-BLOCK, LANES = 4096, 1024
+BLOCK, LANES = 4096, 512
 MAGIC = b"CXR1"
 SLOTS = 4096
 _SQUASH = np.array([min(4095, max(1, round(4096 / (1 + math.exp(-x / 256))))) for x in range(-2047, 2048)], np.int32)
@@ -266,8 +266,9 @@ def write_files(docs: DataFrame, tokenizer: str, end_id: int, folder: str, id_co
         path, n_docs, n_tokens, size, held, group = f"{folder}/part-{part:06d}.cxr", 0, 0, 0, 0, []
         with sharedfs.written(path) as f:
             for b in batches:
-                for d, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                    group.append((d, enc.encode(text) + end))
+                coded = (x for some in steps(b.column(1).to_pylist()) for x in enc.encode_many(some))
+                for d, x in zip(b.column(0).to_pylist(), coded):
+                    group.append((d, x + end))
                     held += len(group[-1][1]) // 4
                     n_docs, n_tokens = n_docs + 1, n_tokens + len(group[-1][1]) // 4
                     if held >= BLOCK * LANES:

@@ -1,19 +1,23 @@
 """Whole-text encoding with the public tokenizers, by cached chunks.
 
 A text is cut where no token can span: before a space that follows a non-space and precedes a
-non-space. Both tokenizer files split there before they merge, so the ids of the chunks, joined,
-are the ids of the text (tests compare them). A worker keeps the ids of up to ``CACHE`` chunks as bytes,
-and the generation before them; joining them costs one dictionary look-up per word. Texts that hold a special token's string
-or white space other than single spaces and line ends go through the library as a whole.
+non-space. Both tokenizer files split there before they
+merge, so the ids of the chunks, joined, are the ids of the text (tests compare them). A full stop
+or comma after a letter is a chunk of its own, too. A worker keeps the ids of up to ``CACHE`` chunks
+as bytes, and the generation before them; joining them costs one dictionary look-up per word.
+Missing chunks that start with a space are encoded in one call: with the byte-level file, the tokens
+that start with a space tell where each begins. Texts with a special token's string or any other
+white space go through the library as a whole.
 """
 
 from __future__ import annotations
 
 import os
+from itertools import chain
 
 import numpy as np
 
-CACHE = 500_000
+CACHE = 300_000
 #: Where one of these occurs, chunks might not be independent or a special token might hide.
 _ODD = ["  ", " \n", "\n ", "<|", *(c for c in map(chr, range(0x3001)) if c.isspace() and c not in " \n")]
 
@@ -24,7 +28,7 @@ def plain(text: str) -> bool:
 
 
 class Encoder(dict):
-    """Encodes texts to little-endian unsigned 32-bit ids. One per task; not for pickling."""
+    """Encodes texts to little-endian unsigned 32-bit ids. One per worker; not for pickling."""
 
     def __init__(self, path: str, keep_space: bool, cache: int = CACHE):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -33,6 +37,9 @@ class Encoder(dict):
         super().__init__()
         self._lib, self._keep, self._cache = Tokenizer.from_file(path), keep_space, cache
         self._old: dict[str, bytes] = {}
+        if keep_space:
+            self._starts = np.zeros(self._lib.get_vocab_size(), bool)
+            self._starts[[i for t, i in self._lib.get_vocab().items() if t.startswith("Ġ")]] = True
 
     def whole(self, text: str) -> bytes:
         return np.array(self._lib.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
@@ -41,18 +48,42 @@ class Encoder(dict):
         if len(self) >= self._cache:
             self._old = dict(self)
             self.clear()
-        ids = self[chunk] = self._old.get(chunk) or self.whole(chunk)
+        ids = self._old.get(chunk)
+        if ids is None:
+            if len(chunk) > 2 and chunk[-1] in ".," and chunk[-2].isalpha():
+                ids = self[chunk[:-1]] + self[chunk[-1]]
+            else:
+                ids = self.whole(chunk)
+        self[chunk] = ids
         return ids
 
-    def encode(self, text: str | None) -> bytes:
-        if not text:
-            return b""
-        if not plain(text):
-            return self.whole(text)
+    def _learn(self, lists: list[list[str]]) -> None:
+        """Encodes the missing chunks that start with a space, jointly."""
+        new = set(chain.from_iterable(lists)).difference(self, self._old)
+        new = {c[:-1] if len(c) > 2 and c[-1] in ".," and c[-2].isalpha() else c for c in new}
+        words = [c for c in new.difference(self, self._old) if c[0] == " " and len(c) > 1 and "\n" not in c]
+        if not words or len(self) + len(words) >= self._cache:
+            return
+        ids = np.array(self._lib.encode_batch_fast(["".join(words)], add_special_tokens=False)[0].ids, "<u4")
+        at = np.flatnonzero(self._starts[ids])
+        if len(at) == len(words) and at[0] == 0:
+            buf, cut = ids.tobytes(), [*(4 * at).tolist(), 4 * len(ids)]
+            self.update((c, buf[a:b]) for c, a, b in zip(words, cut, cut[1:]))
+
+    def _chunks(self, text: str) -> list[str]:
         chunks = text.split(" ")
         if self._keep:
             chunks[1:] = [" " + c for c in chunks[1:]]
-        return b"".join([self[c] for c in chunks])
+        return chunks
+
+    def encode_many(self, texts: list[str | None]) -> list[bytes]:
+        lists = [self._chunks(t) if t and plain(t) else None for t in texts]
+        if self._keep:
+            self._learn([x for x in lists if x])
+        return [b"".join([self[c] for c in x]) if x else self.whole(t) if t else b"" for x, t in zip(lists, texts)]
+
+    def encode(self, text: str | None) -> bytes:
+        return self.encode_many([text])[0]
 
 
 _ENCODERS: dict[tuple[str, bool], Encoder] = {}
@@ -63,3 +94,7 @@ def encoder(path: str, keep_space: bool) -> Encoder:
     if (path, keep_space) not in _ENCODERS:
         _ENCODERS[path, keep_space] = Encoder(path, keep_space)
     return _ENCODERS[path, keep_space]
+
+
+def steps(texts: list[str | None], size: int = 500) -> list[list[str | None]]:
+    return [texts[k : k + size] for k in range(0, len(texts), size)]

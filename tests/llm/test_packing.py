@@ -57,8 +57,10 @@ def test_encoder_is_the_library(name, keep):
     parts = ["a", "Bé", "'s", "don't", " ", "  ", "\n", "\t", "12", "!!", "ſ", "́", "😀", "x" * 30, "\x1c", "\xa0", "ß", "<|"]
     texts = TEXTS[1:] + ["".join(rng.choice(parts) + rng.choice(["", " "]) for _ in range(rng.randrange(30))) for _ in range(2000)]
     assert sum(map(plain, filter(None, texts))) > 40
-    for t in texts:
-        assert np.frombuffer(enc.encode(t), "<u4").tolist() == lib.encode(t, add_special_tokens=False).ids, repr(t)
+    texts += [" ".join(rng.choice(["w.", "éa,", "b\nc.", "1.", "d.,", "x\n.", "don't.", "ﬁ."]) for _ in range(9)) for _ in range(300)]
+    for t, got in zip(texts, enc.encode_many(texts), strict=True):
+        assert got == enc.encode(t)
+        assert np.frombuffer(got, "<u4").tolist() == lib.encode(t, add_special_tokens=False).ids, repr(t)
 
 
 def test_pack(spark):
