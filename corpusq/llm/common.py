@@ -9,6 +9,8 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from corpusq.session import ship_package
+
 #: White space of the contracts: space and the ASCII controls 9 to 13.
 SPACE = r"[\x20\x09-\x0D]+"
 #: Rows of one key are spread over at most so many sub-keys. Small groups pay nothing for it:
@@ -17,6 +19,7 @@ SALTS = 4096
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship_package(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -33,6 +36,7 @@ def work_path(spark: SparkSession, tag: str) -> str:
 
 def stored(df: DataFrame, tag: str, **options: str) -> DataFrame:
     """``df`` written to the shared folder and read again: its lineage ends there."""
+    ship_package(df.sparkSession)
     path = work_path(df.sparkSession, tag)
     df.write.options(**{k.replace("__", "."): v for k, v in options.items()}).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

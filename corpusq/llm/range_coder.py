@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpusq.llm import sharedfs
-from corpusq.llm.common import stored, work_path
+from corpusq.llm.common import work_path
 from corpusq.llm.tokens import encoder, steps
 
 BLOCK, LANES = 4096, 512
@@ -280,7 +280,8 @@ def write_files(docs: DataFrame, tokenizer: str, end_id: int, folder: str, id_co
 
     rows = docs.select(F.col(id_col).cast("long").alias("_id"), F.col(text_col).alias("_t"))
     rows = rows.repartitionByRange("_id").sortWithinPartitions("_id", "_t")
-    return stored(rows.mapInArrow(run, "part long, path string, docs long, tokens long, bytes long"), "tokens-manifest")
+    made = rows.mapInArrow(run, "part long, path string, docs long, tokens long, bytes long").collect()
+    return docs.sparkSession.createDataFrame(made, "part long, path string, docs long, tokens long, bytes long")
 
 
 def read_files(manifest: DataFrame, id_col: str = "doc_id") -> DataFrame:

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpusq.llm import sharedfs
-from corpusq.llm.common import salt, salted_groups, stored, work_path
+from corpusq.llm.common import salt, salted_groups, work_path
 
 REVISIT_BYTES = 1000
 LEVEL = 1
@@ -96,7 +96,7 @@ def write_archives(pages: DataFrame, folder: str, id_col: str = "page_id", url_c
                     n += 1
         yield pa.RecordBatch.from_pydict({"path": [path], "records": pa.array([n], pa.int64())})
 
-    return stored(roles(pages, id_col, url_col, html_col).mapInArrow(run, "path string, records long"), "warc-manifest")
+    return _files(roles(pages, id_col, url_col, html_col).mapInArrow(run, "path string, records long"))
 
 
 def rewrite(stream: BinaryIO, out: BinaryIO, index: BinaryIO) -> int:
@@ -140,13 +140,13 @@ def normalise(manifest: DataFrame) -> DataFrame:
                     raise ValueError(f"{path}: {n} records, {records} written")
                 yield pa.RecordBatch.from_pydict({"path": [f"{stem}.members.warc.gz"], "records": pa.array([n], pa.int64())})
 
-    return stored(_dealt(manifest).mapInArrow(run, "path string, records long"), "warc-members")
+    return _files(manifest.mapInArrow(run, "path string, records long"))
 
 
-def _dealt(manifest: DataFrame) -> DataFrame:
-    """An archive per task."""
-    rows = [(r.path, r.records) for r in manifest.collect()]
-    return manifest.sparkSession.createDataFrame(rows, "path string, records long").repartition(max(1, len(rows)))
+def _files(made: DataFrame) -> DataFrame:
+    """Runs the job that writes files; its list of them (a row per partition), dealt out one per task."""
+    rows = [(r.path, r.records) for r in made.collect()]
+    return made.sparkSession.createDataFrame(rows, "path string, records long").repartition(max(1, len(rows)))
 
 
 def read_member(data: bytes) -> tuple[int | None, int, str, str, int | None]:
@@ -188,7 +188,7 @@ def read_archives(members: DataFrame, id_col: str = "page_id") -> DataFrame:
         return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types)], names)
 
     ddl = "_id long, payload_bytes long, payload_digest string, record_type string, refers_to long"
-    return _dealt(members).mapInArrow(run, ddl).withColumnRenamed("_id", id_col)
+    return members.mapInArrow(run, ddl).withColumnRenamed("_id", id_col)
 
 
 def archived(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
