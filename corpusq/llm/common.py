@@ -28,6 +28,7 @@ def work_path(spark: SparkSession, tag: str) -> str:
 
     Only where the setting is missing (local tests) a temporary folder takes its place.
     """
+    ship_package(spark)
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
         base = "file://" + os.path.join(tempfile.gettempdir(), "corpusq-work")
@@ -36,7 +37,6 @@ def work_path(spark: SparkSession, tag: str) -> str:
 
 def stored(df: DataFrame, tag: str, **options: str) -> DataFrame:
     """``df`` written to the shared folder and read again: its lineage ends there."""
-    ship_package(df.sparkSession)
     path = work_path(df.sparkSession, tag)
     df.write.options(**{k.replace("__", "."): v for k, v in options.items()}).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from corpusq.llm import exact_dedup, html_text, packing, pii, quality_rules, range_coder, simhash, warc
+from corpusq.llm import exact_dedup, html_text, packing, pii, quality_classifier, quality_rules, range_coder, simhash, warc
 from corpusq.llm.common import read_table
 
 
@@ -42,8 +42,12 @@ def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_groups(read_table(spark, sf_dir, "documents"))
 
 
+def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_classifier.classify(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
 def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.spans(read_table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_exact_dedup, op2_quality_rules, op3_range_coder, op5_warc, op6_best_fit_packing, op7_html_text, op8_simhash, op10_pii)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_exact_dedup, op2_quality_rules, op3_range_coder, op5_warc, op6_best_fit_packing, op7_html_text, op8_simhash, op9_quality_classifier, op10_pii)}
