@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from corpusq.llm import exact_dedup, html_text, packing, pii, quality_classifier, quality_rules, range_coder, simhash, warc
+from corpusq.llm import exact_dedup, html_text, packing, piece_scan, pii, quality_classifier, quality_rules, range_coder, simhash, warc
 from corpusq.llm.common import read_table
 
 
@@ -24,6 +24,12 @@ def op3_range_coder(spark: SparkSession, sf_dir: str) -> DataFrame:
     return range_coder.round_trip(read_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op4_piece_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return piece_scan.encode(read_table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
 def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archived(read_table(spark, sf_dir, "pages"))
 
@@ -50,4 +56,4 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.spans(read_table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_exact_dedup, op2_quality_rules, op3_range_coder, op5_warc, op6_best_fit_packing, op7_html_text, op8_simhash, op9_quality_classifier, op10_pii)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_exact_dedup, op2_quality_rules, op3_range_coder, op4_piece_scan, op5_warc, op6_best_fit_packing, op7_html_text, op8_simhash, op9_quality_classifier, op10_pii)}
