@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpusq.llm.common import stored
-from corpusq.llm.tokens import encoder, steps
+from corpusq.llm.tokens import encoder
 
 SIZE = 1024
 #: (first rank, pieces per sequence, first sequence, offset in the sequence)
@@ -51,8 +51,7 @@ def pieces(docs: DataFrame, path: str, end_id: int, size: int = SIZE, id_col: st
         enc, end = encoder(path, True), np.array([end_id], "<u4").tobytes()
         for b in batches:
             found: list[tuple] = []
-            coded = (x for part in steps(b.column(1).to_pylist()) for x in enc.encode_many(part))
-            for i, x in zip(b.column(0).to_pylist(), coded):
+            for i, x in zip(b.column(0).to_pylist(), enc.encode_many(b.column(1).to_pylist())):
                 ids = memoryview(x + end)
                 found += [(i, k, at, n, zlib.crc32(ids[4 * at : 4 * (at + n)])) for k, (at, n) in enumerate(cuts(len(ids) // 4, size))]
             cols = list(zip(*found)) or [()] * 5

@@ -35,6 +35,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from corpusq.llm import ragged
+
 SPACE = "▁"
 CHUNK, CACHE = 32_768, 250_000
 _WORDS = re.compile(f"{SPACE}*[^{SPACE}]*")
@@ -58,7 +60,10 @@ class Pieces:
         self.bytes_at = next(i for i in range(n) if lib.is_byte(i))
         self.width = max(map(len, self.ids))
         self.unigram = unigram
+        byte = [bytes([i - self.bytes_at]) if 0 <= i - self.bytes_at < 256 else t.replace(SPACE, " ").encode() for i, t in enumerate(self.text)]
+        self.table = ragged.runs(byte, "u1")
         self.words: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
         self.pairs: dict[tuple[str, str], bool] = {}
 
     def merged(self, text: str) -> list[str]:
@@ -143,19 +148,55 @@ class Pieces:
         """Ids of a word (spaces, then other characters), by the scan; words are remembered."""
         found = self.words.get(text)
         if found is None:
-            if len(self.words) >= CACHE:
-                self.words.clear()
-            best = self.paths(text, 0, None, len(text))
-            end = max(best[-1], key=lambda x: best[-1][x][0])
-            found = self.coded(self.back(best, end))
+            found = self.old.get(text)
+            if found is None:
+                if self.unigram:
+                    best = self.paths(text, 0, None, len(text))
+                    found = self.coded(self.back(best, max(best[-1], key=lambda x: best[-1][x][0])))
+                else:
+                    found = self.coded(self.only_path(text))
             if len(text) <= 64:
+                if len(self.words) >= CACHE:
+                    self.old, self.words = self.words, {}
                 self.words[text] = found
         return found
 
+    def only_path(self, text: str) -> list[str]:
+        """:meth:`paths` of a merge model from a text's start: at most one piece ends each place."""
+        ids, width, pairs = self.ids, self.width, self.pairs
+        last: list[str | None] = [None] * (len(text) + 1)
+        for p in range(1, len(text) + 1):
+            for q in range(max(0, p - width), p):
+                before = last[q]
+                if before is None and q:
+                    continue
+                piece = text[q:p]
+                if piece not in ids and p - q > 1:
+                    continue
+                ok = pairs.get((before, piece)) if q else self.self_made(piece)
+                if ok or (ok is None and self.follows(before, piece)):
+                    last[p] = piece
+                    break
+        found, p = [], len(text)
+        while p:
+            found.append(last[p])
+            p -= len(last[p])
+        return found[::-1]
+
     def encode(self, text: str) -> bytes:
         """A text that is one chunk."""
         return b"".join(map(self.word, self.split(SPACE + text.replace(" ", SPACE)))) if text else b""
 
+    def encode_many(self, texts: list[str]) -> list[bytes]:
+        """Texts that are one chunk each; the distinct words of a step are scanned once."""
+        found: list[bytes] = []
+        for step in ragged.steps(texts):
+            plain = [bool(t) and t[0] != " " and t[-1] != " " and "  " not in t and SPACE not in t for t in step]
+            solve = lambda words: [self.word(SPACE + w) for w in words]
+            ids = iter(ragged.by_words([t for t, p in zip(step, plain) if p], solve, solve))
+            found += [next(ids) if p else self.encode(t) for t, p in zip(step, plain)]
+        return found
+
     @staticmethod
     def split(text: str) -> list[str]:
         """Words: each starts at a space behind a non-space."""
@@ -164,11 +205,11 @@ class Pieces:
         return [w for w in _WORDS.findall(text) if w]
 
     def decode(self, ids: bytes) -> str:
-        parts: list[bytes] = []
-        for i in np.frombuffer(ids, "<u4").tolist():
-            k = i - self.bytes_at
-            parts.append(bytes([k]) if 0 <= k < 256 else self.text[i].replace(SPACE, " ").encode())
-        return b"".join(parts).decode("utf-8", "replace").removeprefix(" ")
+        return self.decoded(ids).decode("utf-8", "replace").removeprefix(" ")
+
+    def decoded(self, ids: bytes) -> bytes:
+        """The pieces' bytes end to end, with the dummy space."""
+        return ragged.take(*self.table, np.frombuffer(ids, "<u4"))[0].tobytes()
 
     # One chunk of a longer text: ``text`` is the stretch from ``at``, with ``width`` characters before and behind.
 
@@ -275,10 +316,10 @@ def encode(docs: DataFrame, path: str, chunk: int = CHUNK, id_col: str = "doc_id
     def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = model(path)
         for b in batches:
-            found = []
-            for d, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                ids = m.encode(text)
-                found.append((d, len(ids) // 4, zlib.crc32(ids), 1, m.decode(ids) == text))
+            texts, found = b.column(1).to_pylist(), []
+            for d, text, ids in zip(b.column(0).to_pylist(), texts, m.encode_many(texts)):
+                back = m.decoded(ids) == (" " + text).encode() if text else not ids
+                found.append((d, len(ids) // 4, zlib.crc32(ids), 1, back))
             cols = list(zip(*found)) or [()] * 5
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types)], names)
 

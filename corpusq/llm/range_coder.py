@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 
 from corpusq.llm import sharedfs
 from corpusq.llm.common import work_path
-from corpusq.llm.tokens import encoder, steps
+from corpusq.llm.tokens import encoder
 
 BLOCK, LANES = 4096, 512
 MAGIC = b"CXR1"
@@ -266,8 +266,7 @@ def write_files(docs: DataFrame, tokenizer: str, end_id: int, folder: str, id_co
         path, n_docs, n_tokens, size, held, group = f"{folder}/part-{part:06d}.cxr", 0, 0, 0, 0, []
         with sharedfs.written(path) as f:
             for b in batches:
-                coded = (x for some in steps(b.column(1).to_pylist()) for x in enc.encode_many(some))
-                for d, x in zip(b.column(0).to_pylist(), coded):
+                for d, x in zip(b.column(0).to_pylist(), enc.encode_many(b.column(1).to_pylist())):
                     group.append((d, x + end))
                     held += len(group[-1][1]) // 4
                     n_docs, n_tokens = n_docs + 1, n_tokens + len(group[-1][1]) // 4

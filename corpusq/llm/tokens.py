@@ -1,24 +1,24 @@
-"""Whole-text encoding with the public tokenizers, by cached chunks.
+"""Whole-text encoding with the public tokenizers, by distinct words.
 
 A text is cut where no token can span: before a space that follows a non-space and precedes a
-non-space. Both tokenizer files split there before they
-merge, so the ids of the chunks, joined, are the ids of the text (tests compare them). A full stop
-or comma after a letter is a chunk of its own, too. A worker keeps the ids of up to ``CACHE`` chunks
-as bytes, and the generation before them; joining them costs one dictionary look-up per word.
-Missing chunks that start with a space are encoded in one call: with the byte-level file, the tokens
-that start with a space tell where each begins. Texts with a special token's string or any other
-white space go through the library as a whole.
+non-space. Both tokenizer files split there before they merge, so the ids of the words, joined,
+are the ids of the text (tests compare them). The distinct words of a step are looked up in the ids
+a worker remembers (``CACHE`` words and the generation before them); the others are encoded by the
+library, with a full stop or comma behind a letter as a word of its own. Words that start with a space
+go in one call: with the byte-level file, the tokens that start with a space tell where each begins.
+Texts with a special token's string or any other white space are encoded as a whole.
 """
 
 from __future__ import annotations
 
 import os
-from itertools import chain
 
 import numpy as np
 
-CACHE = 300_000
-#: Where one of these occurs, chunks might not be independent or a special token might hide.
+from corpusq.llm import ragged
+
+CACHE = 400_000
+#: Where one of these occurs, words might not be independent or a special token might hide.
 _ODD = ["  ", " \n", "\n ", "<|", *(c for c in map(chr, range(0x3001)) if c.isspace() and c not in " \n")]
 
 
@@ -27,15 +27,20 @@ def plain(text: str) -> bool:
     return text[0] != " " and text[-1] != " " and not any(x in text for x in _ODD)
 
 
-class Encoder(dict):
+def _stopped(word: str) -> bool:
+    return len(word) > 2 and word[-1] in ".," and word[-2].isalpha()
+
+
+class Encoder:
     """Encodes texts to little-endian unsigned 32-bit ids. One per worker; not for pickling."""
 
     def __init__(self, path: str, keep_space: bool, cache: int = CACHE):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        super().__init__()
-        self._lib, self._keep, self._cache = Tokenizer.from_file(path), keep_space, cache
+        self._lib, self._cache = Tokenizer.from_file(path), cache
+        self._space = " " if keep_space else ""
+        self._new: dict[str, bytes] = {}
         self._old: dict[str, bytes] = {}
         if keep_space:
             self._starts = np.zeros(self._lib.get_vocab_size(), bool)
@@ -44,43 +49,47 @@ class Encoder(dict):
     def whole(self, text: str) -> bytes:
         return np.array(self._lib.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
-    def __missing__(self, chunk: str) -> bytes:
-        if len(self) >= self._cache:
-            self._old = dict(self)
-            self.clear()
-        ids = self._old.get(chunk)
-        if ids is None:
-            if len(chunk) > 2 and chunk[-1] in ".," and chunk[-2].isalpha():
-                ids = self[chunk[:-1]] + self[chunk[-1]]
-            else:
-                ids = self.whole(chunk)
-        self[chunk] = ids
-        return ids
-
-    def _learn(self, lists: list[list[str]]) -> None:
-        """Encodes the missing chunks that start with a space, jointly."""
-        new = set(chain.from_iterable(lists)).difference(self, self._old)
-        new = {c[:-1] if len(c) > 2 and c[-1] in ".," and c[-2].isalpha() else c for c in new}
-        words = [c for c in new.difference(self, self._old) if c[0] == " " and len(c) > 1 and "\n" not in c]
-        if not words or len(self) + len(words) >= self._cache:
-            return
-        ids = np.array(self._lib.encode_batch_fast(["".join(words)], add_special_tokens=False)[0].ids, "<u4")
-        at = np.flatnonzero(self._starts[ids])
-        if len(at) == len(words) and at[0] == 0:
-            buf, cut = ids.tobytes(), [*(4 * at).tolist(), 4 * len(ids)]
-            self.update((c, buf[a:b]) for c, a, b in zip(words, cut, cut[1:]))
-
-    def _chunks(self, text: str) -> list[str]:
-        chunks = text.split(" ")
-        if self._keep:
-            chunks[1:] = [" " + c for c in chunks[1:]]
-        return chunks
+    def _together(self, words: list[str]) -> list[bytes]:
+        """Ids of words, each of which gets a space in front if the file keeps spaces."""
+        if self._space and words:
+            ids = np.array(self._lib.encode_batch_fast([" " + " ".join(words)], add_special_tokens=False)[0].ids, "<u4")
+            at = np.flatnonzero(self._starts[ids])
+            if len(at) == len(words) and at[0] == 0:
+                buf, cut = ids.tobytes(), [*(4 * at).tolist(), 4 * len(ids)]
+                return [buf[a:b] for a, b in zip(cut, cut[1:])]
+        return [self.whole(self._space + w) for w in words]
+
+    def _words(self, words: list[str]) -> list[bytes]:
+        new, old = self._new, self._old
+        found = [new[w] if w in new else old.get(w) for w in words]
+        missing = [w for w, x in zip(words, found) if x is None]
+        if not missing:
+            return found
+        stems = list({w[:-1] if _stopped(w) else w for w in missing})
+        stems = [w for w in stems if w not in new and w not in old]
+        made = dict(zip(stems, self._together(stems)))
+        ends = {c: self.whole(c) for c in ".,"}
+        for w in missing:
+            if _stopped(w):
+                stem = w[:-1]
+                made[w] = (made if stem in made else new if stem in new else old)[stem] + ends[w[-1]]
+        found = [made[w] if x is None else x for w, x in zip(words, found)]
+        if len(new) + len(made) > self._cache:
+            self._old, self._new = new, made
+        else:
+            new.update(made)
+        return found
+
+    def _heads(self, words: list[str]) -> list[bytes]:
+        return [self.whole(w) for w in words] if self._space else self._words(words)
 
     def encode_many(self, texts: list[str | None]) -> list[bytes]:
-        lists = [self._chunks(t) if t and plain(t) else None for t in texts]
-        if self._keep:
-            self._learn([x for x in lists if x])
-        return [b"".join([self[c] for c in x]) if x else self.whole(t) if t else b"" for x, t in zip(lists, texts)]
+        found: list[bytes] = []
+        for step in ragged.steps(texts):
+            is_plain = [bool(t) and plain(t) for t in step]
+            ids = iter(ragged.by_words([t for t, p in zip(step, is_plain) if p], self._words, self._heads))
+            found += [next(ids) if p else self.whole(t) if t else b"" for t, p in zip(step, is_plain)]
+        return found
 
     def encode(self, text: str | None) -> bytes:
         return self.encode_many([text])[0]
@@ -90,11 +99,7 @@ _ENCODERS: dict[tuple[str, bool], Encoder] = {}
 
 
 def encoder(path: str, keep_space: bool) -> Encoder:
-    """The worker's encoder for a file; a reused Python worker keeps its chunks."""
+    """The worker's encoder for a file; a reused Python worker keeps its words."""
     if (path, keep_space) not in _ENCODERS:
         _ENCODERS[path, keep_space] = Encoder(path, keep_space)
     return _ENCODERS[path, keep_space]
-
-
-def steps(texts: list[str | None], size: int = 500) -> list[list[str | None]]:
-    return [texts[k : k + size] for k in range(0, len(texts), size)]

@@ -25,7 +25,8 @@ def texts():
 
 def test_encode_is_the_library(lib):
     m = S.Pieces(PATH)
-    for t in texts():
+    for t, ids in zip(texts(), m.encode_many(texts()), strict=True):
+        assert ids == m.encode(t)
         assert np.frombuffer(m.encode(t), "<u4").tolist() == lib.encode(t), repr(t)
         assert m.decode(m.encode(t)) == lib.decode(lib.encode(t)), repr(t)
 
