@@ -1,10 +1,6 @@
 """Every analytics query by name, with its SQL where one is given."""
 
-from __future__ import annotations
+from corpusq.plans import text  # noqa: F401
+from corpusq.plans.base import ORACLE, QUERIES
 
-from collections.abc import Callable
-
-from pyspark.sql import DataFrame, SparkSession
-
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLE: dict[str, str] = {}
+__all__ = ["ORACLE", "QUERIES"]
