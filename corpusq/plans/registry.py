@@ -1,6 +1,6 @@
 """Every analytics query by name, with its SQL where one is given."""
 
-from corpusq.plans import text  # noqa: F401
+from corpusq.plans import corpus, positions, text  # noqa: F401
 from corpusq.plans.base import ORACLE, QUERIES
 
 __all__ = ["ORACLE", "QUERIES"]
