@@ -115,7 +115,10 @@ def clean_documents(docs: DataFrame, text_col: str = "text", chars_col: str | No
 
     Where ``chars_col`` is a column, it is set to the code points of the cleaned text.
     """
-    kept = _analysed(docs.select(F.struct("*").alias("_row"), F.coalesce(F.col(text_col), F.lit("")).alias("_t"))).where("kept")
+    rows = _analysed(docs.select(F.struct("*").alias("_row"), F.coalesce(F.col(text_col), F.lit("")).alias("_t")))
+    # The always-true partition number keeps the filter above the projections: pushed below them, it would
+    # split the text anew for every word it looks at.
+    kept = rows.withColumn("_part", F.spark_partition_id()).where("kept AND _part >= 0")
     text = F.array_join("_kept_lines", "\n")
     new = {text_col: text} | ({chars_col: F.length(text).cast(docs.schema[chars_col].dataType)} if chars_col in docs.columns else {})
     return kept.select(*[new.get(c, F.col(f"_row.`{c}`")).alias(c) for c in docs.columns])
