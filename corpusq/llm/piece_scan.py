@@ -36,9 +36,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpusq.llm import ragged
+from corpusq.llm.common import stored
 
 SPACE = "▁"
-CHUNK, CACHE = 32_768, 250_000
+CHUNK, CACHE = 65_536, 250_000
+_START = re.compile(f"[^{SPACE}](?={SPACE})")
 _WORDS = re.compile(f"{SPACE}*[^{SPACE}]*")
 #: A state: (start, end, piece) of an edge, counted from the document's start.
 State = tuple[int, int, int]
@@ -222,61 +224,75 @@ class Pieces:
                     found.append((s + at, e + at, self.ids.get(text[s:e], -1)))
         return found
 
-    def _edge(self, text: str, first: int, last: int) -> int | None:
-        """The first word start in [first, last], or None."""
-        for m in re.compile(f"(?<=[^{SPACE}]){SPACE}").finditer(text, max(first, 1), last):
-            return m.start()
-        return None
-
-    def between(self, text: str, at: int, enter: State | None, leave: State) -> list[str] | None:
-        """The pieces behind ``enter`` up to and with ``leave`` on the best path, or None; for one chunk."""
-        first = (enter[1] if enter else 0) - at
-        left = text[enter[0] - at : first] if enter else None
-        s, e = leave[0] - at, leave[1] - at
-        if (enter and enter[:2] == leave[:2]) or s < first:
-            return [] if enter and enter[:2] == leave[:2] else None
-        edge, found = self._edge(text, first, s), []
-        if edge is not None:
-            best = self.paths(text, first, left, edge)
-            if not best[-1]:
-                return None
-            found = self.back(best, max(best[-1], key=lambda x: best[-1][x][0])) if edge > first else []
-            start = edge
-            # Whole words up to the last word start at or before the leaving piece.
-            last = next((k for k in range(s, edge - 1, -1) if k == edge or (text[k] == SPACE and text[k - 1] != SPACE)), edge)
-            if last > start:
-                for w in self.split(text[start:last]):
-                    b = self.paths(w, 0, None, len(w))
-                    found += self.back(b, max(b[-1], key=lambda x: b[-1][x][0]))
-            first, left = last, None
-        best = self.paths(text, first, left, s)
-        piece, options = text[s:e], []
-        for before, (w, _) in best[-1].items():
-            v = w + self.weight(before or None, piece)
-            if v > LOW:
-                options.append((v, before))
-        if not options:
-            return None
-        before = max(options)[1]
-        return found + (self.back(best, before) if s > first else []) + [piece]
+    def _middle(self, text: str, low: int, high: int) -> tuple[int, int] | None:
+        """The first and last word start in [low, high], places that every path passes."""
+        found = [m.start() for m in _START.finditer(text, max(low - 1, 0), high + 1)]
+        found = [x + 1 for x in found if low <= x + 1 <= high]
+        return (found[0], found[-1]) if found else None
 
-    def total(self, pieces: list[str]) -> float:
-        return sum(-1e6 if x not in self.ids else self.score[self.ids[x]] for x in pieces) if self.unigram else 0.0
+    def _best(self, best: dict[str, tuple[float, str | None]]) -> tuple[float, str] | None:
+        return max(((v[0], k) for k, v in best.items()), default=None)
+
+    def _leaving(self, best: list[dict], first: int, s: int, piece: str) -> tuple[float, str] | None:
+        """Weight and piece before it of the best path from ``first`` on whose last piece starts at s."""
+        if s < first:
+            return None
+        found = [(v, before) for before, (w, _) in best[s - first].items() if (v := w + self.weight(before or None, piece)) > LOW]
+        return max(found, default=None)
 
     def transfer(self, text: str, at: int, start: int, end: int, n: int) -> list[tuple[State | None, State, float]]:
-        """The finite entries of the matrix of the chunk [start, end) of a text of n characters."""
+        """The finite entries of the matrix of the chunk [start, end) of a text of n characters.
+
+        Where the chunk has word starts clear of both boundaries, it is a column times a row: only
+        the stretches before the first and behind the last of them depend on the states. Else (one
+        long word) each entering state gets a path run of its own.
+        """
         enters: list[State | None] = self.states(text, at, start) if start else [None]
-        leaves = self.states(text, at, end)
-        if end == n:
-            leaves = [x for x in leaves if x[1] == n]
+        leaves = [x for x in self.states(text, at, end) if end < n or x[1] == n]
+        stops = [(j, j[0] - at, text[j[0] - at : j[1] - at]) for j in leaves]
+        last = max(s for _, s, _ in stops)
+        cut = self._middle(text, start - at + self.width, end - at - self.width)
         found = []
+        if cut:
+            inner = sum(self.best_weight(w) for w in self.split(text[cut[0] : cut[1]])) if self.unigram and cut[0] < cut[1] else 0.0
+            tail = self.paths(text, cut[1], None, last)
+            row = [(j, x[0]) for j, s, piece in stops if (x := self._leaving(tail, cut[1], s, piece))]
+            for i in enters:
+                first = i[1] - at if i else 0
+                head = self._best(self.paths(text, first, text[i[0] - at : first] if i else None, cut[0])[-1])
+                if head:
+                    found += [(i, j, head[0] + inner + w) for j, w in row]
+            return found
         for i in enters:
-            for j in leaves:
-                path = self.between(text, at, i, j)
-                if path is not None:
-                    found.append((i, j, self.total(path)))
+            first = i[1] - at if i else 0
+            best = self.paths(text, first, text[i[0] - at : first] if i else None, max(first, last))
+            for j, s, piece in stops:
+                if i and i == j:
+                    found.append((i, j, 0.0))
+                elif x := self._leaving(best, first, s, piece):
+                    found.append((i, j, x[0]))
         return found
 
+    def best_weight(self, word: str) -> float:
+        return self._best(self.paths(word, 0, None, len(word))[-1])[0]
+
+    def trace(self, text: str, at: int, start: int, end: int, enter: State | None, leave: State) -> bytes:
+        """Ids of the pieces behind ``enter`` up to and with ``leave`` on the best path of the chunk."""
+        if enter == leave:
+            return b""
+        first, (s, e) = enter[1] - at if enter else 0, (leave[0] - at, leave[1] - at)
+        left, piece = text[enter[0] - at : first] if enter else None, text[s:e]
+        cut, done = self._middle(text, start - at + self.width, end - at - self.width), b""
+        if cut:
+            head = self.paths(text, first, left, cut[0])
+            done = self.coded(self.back(head, self._best(head[-1])[1])) if cut[0] > first else b""
+            if cut[0] < cut[1]:
+                done += b"".join(map(self.word, self.split(text[cut[0] : cut[1]])))
+            first, left = cut[1], None
+        best = self.paths(text, first, left, s)
+        before = self._leaving(best, first, s, piece)[1]
+        return done + self.coded((self.back(best, before) if s > first else []) + [piece])
+
 
 _MODELS: dict[str, Pieces] = {}
 
@@ -356,7 +372,7 @@ def encode(docs: DataFrame, path: str, chunk: int = CHUNK, id_col: str = "doc_id
         return pd.DataFrame({"_id": g["_id"].array, "_sha": g["_sha"].array, "_k": g["_k"].array, "s": flat})
 
     matrices = parts.select("_id", "_sha", "_k", "_n", "_at", "_part").mapInArrow(transfers, "_id long, _sha string, _k int, m array<double>")
-    states = matrices.groupBy("_sha", "_id").applyInPandas(chosen, "_id long, _sha string, _k int, s array<long>")
+    states = stored(matrices.groupBy("_sha", "_id").applyInPandas(chosen, "_id long, _sha string, _k int, s array<long>"), "scan-states")
 
     def traced(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = model(path)
@@ -364,7 +380,8 @@ def encode(docs: DataFrame, path: str, chunk: int = CHUNK, id_col: str = "doc_id
             found = []
             for r in b.to_pylist():
                 s = r["s"]
-                ids = m.coded(m.between(r["_part"], r["_at"], None if s[0] < 0 else tuple(s[:3]), tuple(s[3:])))
+                start, end = r["_k"] * chunk, min(r["_n"], (r["_k"] + 1) * chunk)
+                ids = m.trace(r["_part"], r["_at"], start, end, None if s[0] < 0 else tuple(s[:3]), tuple(s[3:]))
                 found.append((r["_id"], r["_sha"], r["_copies"], r["_k"], ids))
             cols = list(zip(*found)) or [()] * 5
             kinds = (pa.int64(), pa.string(), pa.int64(), pa.int32(), pa.binary())
