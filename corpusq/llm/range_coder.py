@@ -38,61 +38,67 @@ from corpusq.llm import sharedfs
 from corpusq.llm.common import work_path
 from corpusq.llm.tokens import encoder
 
-BLOCK, LANES = 4096, 512
+BLOCK, LANES = 4096, 2048
 MAGIC = b"CXR1"
-SLOTS = 4096
+SLOTS = 2048
 _SQUASH = np.array([min(4095, max(1, round(4096 / (1 + math.exp(-x / 256))))) for x in range(-2047, 2048)], np.int32)
 _STRETCH = np.array([max(-2047, min(2047, round(256 * math.log((x + 0.5) / (4095.5 - x))))) for x in range(4096)], np.int32)
-_DECISIONS = 7
+
+
+_TOP, _BOTTOM, _ALL = 1 << 48, 1 << 40, (1 << 56) - 1
 
 
 class _Coder:
-    """Carryless binary arithmetic coder over lanes: 32-bit interval, 12-bit probabilities of a one."""
+    """Carryless range coder over lanes: 56-bit interval, 12-bit probabilities of a one.
+
+    After :meth:`settle` a lane's range is at least 2**40, enough for three decisions.
+    """
 
     def __init__(self, lanes: int, coded: list[bytes] | None = None):
-        self.low, self.high = np.zeros(lanes, np.int64), np.full(lanes, 0xFFFFFFFF, np.int64)
+        self.low, self.range = np.zeros(lanes, np.int64), np.full(lanes, _ALL, np.int64)
         self.at = np.zeros(lanes, np.int64)
         self.decoding = coded is not None
         if coded is None:
             self.buf = np.zeros((lanes, 1 << 10), np.uint8)
         else:
-            self.buf = np.zeros((lanes, max(map(len, coded), default=0) + 8), np.uint8)
+            self.buf = np.zeros((lanes, max(map(len, coded), default=0) + 16), np.uint8)
             for i, c in enumerate(coded):
                 self.buf[i, : len(c)] = np.frombuffer(c, np.uint8)
-            self.code = self.buf[:, :4].astype(np.int64) @ np.array([1 << 24, 1 << 16, 1 << 8, 1])
-            self.at += 4
-
-    def step(self, lane: np.ndarray, p: np.ndarray, bit: np.ndarray | None) -> np.ndarray:
-        """Codes one bit in each of the lanes (decodes it if ``bit`` is None)."""
-        low, high = self.low[lane], self.high[lane]
-        mid = low + ((high - low) >> 12) * p
-        if bit is None:
-            bit = (self.code[lane] <= mid).astype(np.int32)
-        one = bit == 1
-        high = np.where(one, mid, high)
-        low = np.where(one, low, mid + 1)
-        self.low[lane], self.high[lane] = low, high
-        same = (low ^ high) < 1 << 24
-        while same.any():
-            sub, lo, hi = lane[same], low[same], high[same]
-            at = self.at[sub]
+            self.code = np.zeros(lanes, np.int64)
+            for k in range(7):
+                self.code = self.code << 8 | self.buf[:, k]
+            self.at += 7
+
+    def settle(self, lane: np.ndarray) -> None:
+        """Moves out the bytes that no longer change."""
+        low, rng = self.low[lane], self.range[lane]
+        while True:
+            same = (low ^ (low + rng)) < _TOP
+            short = ~same & (rng < _BOTTOM)
+            if short.any():
+                rng[short] = -low[short] & (_BOTTOM - 1)
+                same |= short
+            if not same.any():
+                break
+            if not same.all():
+                self.low[lane], self.range[lane] = low, rng
+                lane, low, rng = lane[same], low[same], rng[same]
+            at = self.at[lane]
             if self.decoding:
-                self.code[sub] = (self.code[sub] << 8 & 0xFFFFFFFF) | self.buf[sub, np.minimum(at, self.buf.shape[1] - 1)]
+                self.code[lane] = (self.code[lane] << 8 & _ALL) | self.buf[lane, np.minimum(at, self.buf.shape[1] - 1)]
             else:
-                if at.max() + 8 > self.buf.shape[1]:
+                if at.max() + 16 > self.buf.shape[1]:
                     self.buf = np.concatenate([self.buf, np.zeros_like(self.buf)], axis=1)
-                self.buf[sub, at] = hi >> 24
-            self.at[sub] = at + 1
-            low, high, lane = lo << 8 & 0xFFFFFFFF, (hi << 8 & 0xFFFFFFFF) | 255, sub
-            self.low[lane], self.high[lane] = low, high
-            same = (low ^ high) < 1 << 24
-        return bit
+                self.buf[lane, at] = low >> 48
+            self.at[lane] = at + 1
+            low, rng = low << 8 & _ALL, rng << 8
+            self.low[lane], self.range[lane] = low, rng
 
     def finish(self) -> list[bytes]:
-        for k in range(4):
-            if self.at.max() >= self.buf.shape[1]:
-                self.buf = np.concatenate([self.buf, np.zeros_like(self.buf)], axis=1)
-            self.buf[np.arange(len(self.at)), self.at] = self.low >> (24 - 8 * k) & 255
+        if len(self.at) and self.at.max() + 16 > self.buf.shape[1]:
+            self.buf = np.concatenate([self.buf, np.zeros((len(self.at), 16), np.uint8)], axis=1)
+        for k in range(7):
+            self.buf[np.arange(len(self.at)), self.at] = self.low >> (48 - 8 * k) & 255
             self.at += 1
         return [self.buf[i, :n].tobytes() for i, n in enumerate(self.at)]
 
@@ -100,22 +106,42 @@ class _Coder:
 class _Mixer:
     """Three adaptive estimates per lane and decision, mixed with learned weights."""
 
-    def __init__(self, lanes: int, contexts: tuple[int, int, int]):
-        self.p = [np.full((lanes, n), 1 << 15, np.uint16) for n in contexts]
-        self.w = [np.full((lanes, _DECISIONS), 22000, np.int32) for _ in contexts]
-
-    def code(self, coder: _Coder, lane: np.ndarray, which: int, ctx: list, bit: np.ndarray | None) -> np.ndarray:
-        est = [t[lane, c].astype(np.int32) for t, c in zip(self.p, ctx)]
-        st = [_STRETCH[e >> 4] for e in est]
-        w = [x[lane, which] for x in self.w]
-        dot = (w[0] * st[0] + w[1] * st[1] + w[2] * st[2]) >> 16
-        p = _SQUASH[np.clip(dot, -2047, 2047) + 2047]
-        bit = coder.step(lane, p, bit)
+    def __init__(self, lanes: int, contexts: tuple[int, int, int], decisions: int):
+        self.size = contexts
+        self.p = [np.full(lanes * n, 1 << 15, np.uint16) for n in contexts]
+        self.w = [[np.full(lanes, 22000, np.int32) for _ in contexts] for _ in range(decisions)]
+
+    def code(self, coder: _Coder, lane: np.ndarray, which: int, at: list[np.ndarray], bit: np.ndarray | None) -> np.ndarray:
+        """Codes ``bit`` in each lane, or decodes it; ``at``: places of the estimates in their tables."""
+        w = self.w[which]
+        est = [t.take(i).astype(np.int32) for t, i in zip(self.p, at)]
+        st = [_STRETCH.take(e >> 4) for e in est]
+        mine = [x.take(lane) for x in w]
+        dot = mine[0] * st[0]
+        dot += mine[1] * st[1]
+        dot += mine[2] * st[2]
+        dot >>= 16
+        dot += 2047
+        p = _SQUASH.take(dot, mode="clip")
+        low, rng = coder.low.take(lane), coder.range.take(lane)
+        split = (rng >> 12) * p
+        if bit is None:
+            bit = (coder.code.take(lane) - low < split).astype(np.int32)
+        one = bit.astype(bool)
+        coder.low[lane] = np.where(one, low, low + split)
+        coder.range[lane] = np.where(one, split, rng - split)
         err = ((bit << 12) - p) * 6
         goal = bit * 65535
         for k in range(3):
-            self.w[k][lane, which] = np.clip(w[k] + ((st[k] * err + 0x2000) >> 14), -200000, 200000)
-            self.p[k][lane, ctx[k]] = est[k] + ((goal - est[k]) >> 4)
+            new = st[k] * err
+            new += 0x2000
+            new >>= 14
+            new += mine[k]
+            w[k][lane] = np.minimum(np.maximum(new, -170000), 170000)
+            goal_k = goal - est[k]
+            goal_k >>= 4
+            goal_k += est[k]
+            self.p[k][at[k]] = goal_k
         return bit
 
 
@@ -133,57 +159,63 @@ class _Lanes:
         n = len(sizes)
         self.sizes = np.array(sizes, np.int64)
         self.coder = _Coder(n, coded)
-        self.hit, self.tree = _Mixer(n, (64, 8, 2)), _Mixer(n, (64, 64 * 64, 256 * 64))
-        self.next1, self.next2 = np.zeros((n, SLOTS), np.int32), np.zeros((n, SLOTS), np.int32)
-        self.sure1, self.sure2 = np.zeros((n, SLOTS), np.uint8), np.zeros((n, SLOTS), np.uint8)
+        self.hit, self.tree = _Mixer(n, (64, 8, 2), 1), _Mixer(n, (64, 64 * 64, 256 * 64), 6)
+        self.next = [np.zeros(n * SLOTS, np.int32) for _ in range(2)]
+        self.sure = [np.zeros(n * SLOTS, np.uint8) for _ in range(2)]
 
     def run(self, ids: np.ndarray | None, raw: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
-        """Codes ids (lanes by steps), or decodes them with the low bits ``raw`` in order of the misses.
+        """Codes ids (steps by lanes), or decodes them with the packed low bits ``raw`` (lanes by bytes).
 
         Returns the ids and, for each, whether it missed.
         """
         n, steps = len(self.sizes), int(self.sizes.max(initial=0))
-        out, missed = np.zeros((n, steps), np.int64), np.zeros((n, steps), bool)
+        out, missed = np.zeros((steps, n), np.int32), np.zeros((steps, n), bool)
         raw_at = np.zeros(n, np.int64)
-        a = b = np.zeros(n, np.int64)
-        ca = cb = np.zeros(n, np.int64)
+        a, b, ca, cb = (np.zeros(n, np.int64) for _ in range(4))
+        lanes = np.arange(n)
         for t in range(steps):
             live = int(np.searchsorted(-self.sizes, -t, side="left"))
-            a, b, ca, cb = a[:live], b[:live], ca[:live], cb[:live]
-            lane = np.arange(live)
-            s1 = (a * 40503 >> 3) % SLOTS
-            s2 = ((a * 40503 + b * 30011) >> 2) % SLOTS
-            n1, n2 = self.next1[lane, s1], self.next2[lane, s2]
-            c1, c2 = self.sure1[lane, s1].astype(np.int32), self.sure2[lane, s2].astype(np.int32)
-            guess = np.where(c2 > 0, n2, n1)
-            want = None if ids is None else (ids[:live, t] == guess).astype(np.int32)
-            bit = self.hit.code(self.coder, lane, 0, [c2 * 8 + c1, c1, (c2 > 0).astype(np.int32)], want)
-            new = guess.astype(np.int64) if ids is None else ids[:live, t]
+            a, b, ca, cb, lane = a[:live], b[:live], ca[:live], cb[:live], lanes[:live]
+            base = lane * SLOTS
+            slots = [base + (a * 40503 >> 3) % SLOTS, base + ((a * 40503 + b * 30011) >> 2) % SLOTS]
+            (n1, n2), (c1, c2) = ([x.take(s) for x, s in zip(xs, slots)] for xs in (self.next, self.sure))
+            second = c2 > 0
+            guess = np.where(second, n2, n1)
+            want = None if ids is None else (ids[t, :live] == guess).astype(np.int32)
+            bit = self.hit.code(self.coder, lane, 0, [lane * 64 + c2 * 8 + c1, lane * 8 + c1, lane * 2 + second], want)
+            self.coder.settle(lane)
+            new = guess.copy() if ids is None else ids[t, :live]
             miss = np.flatnonzero(bit == 0)
-            missed[miss, t] = True
+            missed[t, miss] = True
             if len(miss):
-                node, context = np.ones(len(miss), np.int64), [np.int64(0), ca[miss] * 64, ((ca[miss] * 37 + cb[miss]) & 255) * 64]
+                node = np.ones(len(miss), np.int64)
+                context = [miss * 64, (miss * 64 + ca[miss]) * 64, (miss * 256 + ((ca[miss] * 37 + cb[miss]) & 255)) * 64]
                 cls = None if ids is None else _classes(new[miss])[0]
                 for k in range(6):
                     want = None if cls is None else (cls >> (5 - k) & 1).astype(np.int32)
-                    got = self.tree.code(self.coder, miss, k + 1, [c + node for c in context], want)
-                    node = node * 2 + got
+                    node = node * 2 + self.tree.code(self.coder, miss, k, [c + node for c in context], want)
+                    if k % 3 == 2:
+                        self.coder.settle(miss)
                 if ids is None:
                     cls = node - 64
                     low = cls >> 2
                     # Low bits lie in the raw field, most significant first, in the order of the misses.
-                    span = raw_at[miss][:, None] + np.arange(17)
-                    bits = raw[miss[:, None], np.minimum(span, raw.shape[1] - 1)]
-                    value = (bits.astype(np.int64) << np.maximum(low[:, None] - 1 - np.arange(17), 0) * (np.arange(17) < low[:, None])) * (np.arange(17) < low[:, None])
-                    new[miss] = (((4 | (cls & 3)) << low) | value.sum(1)) - 4
+                    first = raw_at[miss]
+                    byte = first >> 3
+                    window = np.zeros(len(miss), np.int64)
+                    for k in range(4):
+                        window = window << 8 | raw[miss, byte + k]
+                    value = window >> (32 - (first & 7) - low) & ((1 << low) - 1)
+                    new[miss] = (((4 | (cls & 3)) << low) | value) - 4
                     raw_at[miss] += low
-            out[:live, t] = new
-            for table, sure, slot, old, conf in ((self.next1, self.sure1, s1, n1, c1), (self.next2, self.sure2, s2, n2, c2)):
+            out[t, :live] = new
+            for table, sure, slot, old, conf in zip(self.next, self.sure, slots, (n1, n2), (c1, c2)):
                 right = old == new
-                table[lane, slot] = np.where(right | (conf > 1), old, new)
-                sure[lane, slot] = np.where(right, np.minimum(conf + 1, 7), np.where(conf > 1, conf >> 1, 1))
-            a, b, cb = new, a, ca
-            ca = _classes(new)[0]
+                firm = conf > 1
+                table[slot] = np.where(right | firm, old, new)
+                sure[slot] = np.where(right, np.minimum(conf + 1, 7), np.where(firm, conf >> 1, 1))
+            a, b, cb = new.astype(np.int64), a, ca
+            ca = _classes(a)[0]
         return out, missed
 
 
@@ -197,13 +229,13 @@ def encode_blocks(ids: np.ndarray) -> list[tuple[int, bytes, bytes, int]]:
     if not blocks:
         return []
     lanes = _Lanes([len(b) for b in blocks])
-    grid = np.zeros((len(blocks), len(blocks[0])), np.int64)
+    grid = np.zeros((len(blocks[0]), len(blocks)), np.int32)
     for i, b in enumerate(blocks):
-        grid[i, : len(b)] = b
+        grid[: len(b), i] = b
     _, missed = lanes.run(grid)
     coded, found = lanes.coder.finish(), []
     for i, b in enumerate(blocks):
-        left = b[missed[i, : len(b)]].astype(np.int64)
+        left = b[missed[: len(b), i]].astype(np.int64)
         _, low = _classes(left)
         k = np.arange(17)
         bits = ((left + 4)[:, None] >> np.maximum(low[:, None] - 1 - k, 0) & 1).astype(np.uint8)[k < low[:, None]]
@@ -216,11 +248,12 @@ def decode_blocks(blocks: list[tuple[int, bytes, bytes, int]]) -> np.ndarray:
     if not blocks:
         return np.zeros(0, np.int64)
     lanes = _Lanes([b[0] for b in blocks], [b[1] for b in blocks])
-    raw = np.zeros((len(blocks), max(len(b[2]) for b in blocks) * 8 + 17), np.uint8)
+    # Damaged streams may ask for more low bits than there are: two bytes for every id are enough.
+    raw = np.zeros((len(blocks), max(max(len(b[2]) for b in blocks), 2 * blocks[0][0]) + 8), np.uint8)
     for i, b in enumerate(blocks):
-        raw[i, : 8 * len(b[2])] = np.unpackbits(np.frombuffer(b[2], np.uint8))
+        raw[i, : len(b[2])] = np.frombuffer(b[2], np.uint8)
     out, _ = lanes.run(None, raw)
-    parts = [out[i, : b[0]] for i, b in enumerate(blocks)]
+    parts = [out[: b[0], i] for i, b in enumerate(blocks)]
     for i, (p, b) in enumerate(zip(parts, blocks)):
         if zlib.crc32(p.astype("<u4").tobytes()) != b[3]:
             raise ValueError(f"block {i}: checksum differs")
