@@ -218,3 +218,19 @@ def test_stream_is_the_batch(spark, tmp_path):
     q.stop()
     want = ordered.latest(events, ["user_id"], "event_type", ["ts", "event_id"])
     assert sorted(map(tuple, spark.table("latest").collect())) == sorted(map(tuple, want.collect()))
+
+
+def test_greedy_match(spark):
+    from corpusq.operators.pages import greedy_match
+
+    rows = [(1, "ref", 7, 10, 1), (1, "ref", 7, 12, 1), (1, "ref", 7, 900, 1), (1, "cand", 7, 11, 2), (1, "cand", 7, 60, 1), (1, "cand", 7, 13, 2), (1, "cand", 8, 10, 1)]
+    got = greedy_match(spark.createDataFrame(rows, "doc long, kind string, gid long, at long, tier long")).collect()
+    assert sorted((r.at, r.matched, r.tier) for r in got) == [(10, 60, 1), (12, 11, 2)]
+
+
+def test_balanced():
+    from corpusq.operators.pages import balanced
+
+    for s in ("</div>a<div>b", "<div><div>x</div>", "a", "", "<div n='1'></div></div></div>"):
+        t = balanced(s)
+        assert t.count("<div") == t.count("</div>") and balanced(t) == t
