@@ -42,6 +42,11 @@ def stored(df: DataFrame, tag: str, **options: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def sized(df: DataFrame, rows: int, each: int = 50_000) -> DataFrame:
+    """``df``, known to have about ``rows`` rows, in one partition per ``each`` of them: no swarm of tiny files."""
+    return df.coalesce(max(1, -(-rows // each)))
+
+
 def salt(*cols: str | Column) -> Column:
     return F.pmod(F.xxhash64(*cols), F.lit(SALTS)).cast("int")
 

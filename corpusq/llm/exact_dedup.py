@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from corpusq.llm.common import SPACE, salt, salted_groups, stored
+from corpusq.llm.common import SPACE, salt, salted_groups, sized, stored
 
 
 def normalised(text: Column) -> Column:
@@ -43,7 +43,7 @@ def flush_runs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 def compact(runs: DataFrame) -> DataFrame:
     """Level 1: (digest, salt) to the smallest id and the number of rows of the digest."""
     return stored(
-        salted_groups(runs, ["_digest"], "_id").sortWithinPartitions("_digest"),
+        sized(salted_groups(runs, ["_digest"], "_id"), runs.count()).sortWithinPartitions("_digest"),
         "lsm-level",
         **{"parquet__bloom__filter__enabled#_digest": "true", "parquet__bloom__filter__expected__ndv#_digest": "200000"},
     )

@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corpusq.llm.common import salt, stored
+from corpusq.llm.common import salt, sized, stored
 
 SEED, MAX_BITS, WIDTH, HOT = 42, 3, 3, 256
 _LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
@@ -158,16 +158,18 @@ def components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
 
     ``nodes``: fp, rep (the least id with it); ``edges``: a, b.
     """
-    both = stored(edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))), "simhash-edges")
+    n = nodes.count()
+    both = stored(sized(edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))), n), "simhash-edges")
     own = F.struct(F.col("rep").isNull().alias("none"), F.col("rep").alias("rep"), F.col("fp").alias("fp"))
-    labels = stored(nodes.join(both.select(F.col("a").alias("fp")).distinct(), "fp").select("fp", own.alias("lab")), "simhash-labels")
+    labels = nodes.join(both.select(F.col("a").alias("fp")).distinct(), "fp").select("fp", own.alias("lab"))
+    labels = stored(sized(labels, n), "simhash-labels")
     while not labels.isEmpty():
         heard = both.join(labels.withColumnRenamed("fp", "a"), "a").groupBy(F.col("b").alias("fp")).agg(F.min("lab").alias("heard"))
         sunk = labels.join(heard, "fp").select("fp", F.col("lab").alias("old"), F.least("lab", "heard").alias("lab"))
-        sunk = stored(sunk, "simhash-sunk")
+        sunk = stored(sized(sunk, n), "simhash-sunk")
         jump = sunk.select(F.col("fp").alias("to"), F.col("lab").alias("far"))
         new = sunk.join(jump, F.col("lab.fp") == F.col("to")).select("fp", "old", F.least("lab", "far").alias("lab"))
-        new = stored(new, "simhash-labels")
+        new = stored(sized(new, n), "simhash-labels")
         done = new.where(~F.col("old").eqNullSafe(F.col("lab"))).isEmpty()
         labels = new.select("fp", "lab")
         if done:
@@ -179,7 +181,7 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """One row per document: id, fingerprint (16 hex digits), component_id."""
     rows = stored(fingerprints(docs, id_col, text_col, width), "simhash-fp")
     parts = rows.groupBy("_fp", "_salt").agg(F.min("_id").alias("least"))
-    nodes = stored(parts.groupBy(F.col("_fp").alias("fp")).agg(F.min("least").alias("rep")), "simhash-nodes")
+    nodes = stored(sized(parts.groupBy(F.col("_fp").alias("fp")).agg(F.min("least").alias("rep")), rows.count()), "simhash-nodes")
     labels = components(nodes, links(nodes.select("fp"), hot))
     whole = nodes.join(labels, "fp", "left").select(F.col("fp").alias("_fp"), F.when(F.col("lab").isNull(), F.col("rep")).otherwise(F.col("lab.rep")).alias("component_id"))
     known = parts.select("_fp", "_salt").join(whole, "_fp")

@@ -17,7 +17,7 @@ import numpy as np
 
 from corpusq.llm import ragged
 
-CACHE = 400_000
+CACHE = 250_000
 #: Where one of these occurs, words might not be independent or a special token might hide.
 _ODD = ["  ", " \n", "\n ", "<|", *(c for c in map(chr, range(0x3001)) if c.isspace() and c not in " \n")]
 
