@@ -39,7 +39,7 @@ from corpusq.llm import ragged
 from corpusq.llm.common import stored
 
 SPACE = "▁"
-CHUNK, CACHE = 65_536, 250_000
+CHUNK, CACHE = 65_536, 500_000
 _START = re.compile(f"[^{SPACE}](?={SPACE})")
 _WORDS = re.compile(f"{SPACE}*[^{SPACE}]*")
 #: A state: (start, end, piece) of an edge, counted from the document's start.
@@ -62,11 +62,14 @@ class Pieces:
         self.bytes_at = next(i for i in range(n) if lib.is_byte(i))
         self.width = max(map(len, self.ids))
         self.unigram = unigram
+        # Two neighbours that no piece holds are an edge of every path: full stops behind most letters.
+        self.joins = {t[k : k + 2] for t in self.ids for k in range(len(t) - 1)}
         byte = [bytes([i - self.bytes_at]) if 0 <= i - self.bytes_at < 256 else t.replace(SPACE, " ").encode() for i, t in enumerate(self.text)]
         self.table = ragged.runs(byte, "u1")
         self.words: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
         self.pairs: dict[tuple[str, str], bool] = {}
+        self.known: dict[int, bool] = {}
 
     def merged(self, text: str) -> list[str]:
         """Merges of a short text: the best-scored joinable pair first, the leftmost of equals."""
@@ -87,7 +90,7 @@ class Pieces:
             return len(right) == 1 or self.self_made(right)
         found = self.pairs.get((left, right))
         if found is None:
-            if len(self.pairs) >= CACHE:
+            if len(self.pairs) >= CACHE // 8:
                 self.pairs.clear()
             found = self.pairs[left, right] = self.merged(left + right) == [left, right]
         return found
@@ -152,7 +155,9 @@ class Pieces:
         if found is None:
             found = self.old.get(text)
             if found is None:
-                if self.unigram:
+                if len(text) > 1 and text[-2:] not in self.joins:
+                    found = self.word(text[:-1]) + self.word(text[-1])
+                elif self.unigram:
                     best = self.paths(text, 0, None, len(text))
                     found = self.coded(self.back(best, max(best[-1], key=lambda x: best[-1][x][0])))
                 else:
@@ -165,24 +170,32 @@ class Pieces:
 
     def only_path(self, text: str) -> list[str]:
         """:meth:`paths` of a merge model from a text's start: at most one piece ends each place."""
-        ids, width, pairs = self.ids, self.width, self.pairs
-        last: list[str | None] = [None] * (len(text) + 1)
-        for p in range(1, len(text) + 1):
-            for q in range(max(0, p - width), p):
+        ids, width, known = self.ids, self.width, self.known
+        n = len(text)
+        last, start = [-1] * (n + 1), [0] * (n + 1)
+        for p in range(1, n + 1):
+            for q in range(p - width if p > width else 0, p):
                 before = last[q]
-                if before is None and q:
+                if before < 0 and q:
                     continue
-                piece = text[q:p]
-                if piece not in ids and p - q > 1:
-                    continue
-                ok = pairs.get((before, piece)) if q else self.self_made(piece)
-                if ok or (ok is None and self.follows(before, piece)):
-                    last[p] = piece
+                i = ids.get(text[q:p])
+                if i is None:
+                    if p - q > 1:
+                        continue
+                    i = (1 << 21) + ord(text[q])  # a character without a piece
+                key = before << 22 | i if q else i
+                ok = known.get(key)
+                if ok is None:
+                    if len(known) >= CACHE:
+                        known.clear()
+                    ok = known[key] = self.follows(text[start[q] : q], text[q:p]) if q else self.self_made(text[q:p])
+                if ok:
+                    last[p], start[p] = i, q
                     break
-        found, p = [], len(text)
+        found, p = [], n
         while p:
-            found.append(last[p])
-            p -= len(last[p])
+            found.append(text[start[p] : p])
+            p = start[p]
         return found[::-1]
 
     def encode(self, text: str) -> bytes:
