@@ -52,9 +52,9 @@ def detect(lines: DataFrame, doc: str = "doc") -> DataFrame:
     hits = hits.withColumn("_follows", F.coalesce(behind & before.isNotNull() & (before != F.col("form")), F.lit(False))).where("kind is not null")
     per_page = Window.partitionBy(doc, "form", "page")
     hits = hits.withColumn("_n", F.count(F.lit(1)).over(per_page)).withColumn("_page_follows", F.max("_follows").over(per_page))
-    whole = Window.partitionBy(doc, "form")
-    count = lambda c: F.size(F.collect_set(F.when(c, F.col("page"))).over(whole))
-    hits = hits.withColumn("_solo", count(F.col("_n") == 1)).withColumn("_followed", count(F.col("_page_follows")))
+    pages = hits.groupBy(doc, "form", "page").agg(F.count(F.lit(1)).alias("n"), F.max("_follows").alias("f"))
+    counts = pages.groupBy(doc, "form").agg(F.count_if(F.col("n") == 1).alias("_solo"), F.count_if("f").alias("_followed"))
+    hits = hits.join(counts, [doc, "form"])
     reason = (
         F.when(F.col("_n") > 1, "repeated-on-page")
         .when(F.col("_page_follows") & (F.col("_followed") * 2 < F.col("_solo")), "off-slot")

@@ -53,9 +53,9 @@ def page_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return n.groupBy(X.page_bucket(F.col("n")).alias("bucket")).agg(F.count(F.lit(1)).alias("docs"), F.sum("n").alias("pages"))
 
 
-@query("SELECT doc_id, lang, source FROM documents WHERE lang = 'fr' AND source IN ('src1', 'src2', 'src3') AND contains(lower(replace(translate(left(text, 200), 'éóèñçüêäöíÉÈÑÓÇÄÊÜÖÍ', 'eoencueaoiEENOCAEUOI'), 'ß', 'ss')), 'ea') ORDER BY doc_id")
+@query("SELECT doc_id, lang, source FROM documents WHERE lang = 'fr' AND source IN ('src1', 'src2', 'src3') AND contains(lower(replace(translate(text, 'éóèñçüêäöíÉÈÑÓÇÄÊÜÖÍ', 'eoencueaoiEENOCAEUOI'), 'ß', 'ss')), 'ea') ORDER BY doc_id")
 def catalog_filter_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
-    head = X.fold(F.substring("text", 1, 200))
+    head = X.fold(F.col("text"))
     d = table(spark, sf_dir, "documents").where((F.col("lang") == "fr") & F.col("source").isin("src1", "src2", "src3") & F.contains(head, F.lit("ea")))
     return d.select("doc_id", "lang", "source").orderBy("doc_id")
 

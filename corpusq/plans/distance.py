@@ -14,29 +14,36 @@ from corpusq.functions.values import FOLD_FROM, FOLD_TO
 from corpusq.plans.base import query
 from corpusq.sources.tables import table
 
-_PAIRS = f"""d AS (SELECT doc_id, lang, left(text, 80) AS head, replace(translate(left(text, 4000), '{FOLD_FROM}', '{FOLD_TO}'), 'ß', 'ss') AS t FROM documents WHERE n_chars >= 80),
+_PAIRS = f"""d AS (SELECT doc_id, lang, left(text, 80) AS head, replace(translate(text, '{FOLD_FROM}', '{FOLD_TO}'), 'ß', 'ss') AS t FROM documents WHERE n_chars >= 80),
 r AS (SELECT *, first_value(doc_id) OVER w AS ref_id, first_value(t) OVER w AS ref FROM d WINDOW w AS (PARTITION BY lang, head ORDER BY doc_id)),
-p AS (SELECT lang, ref_id, doc_id, ref, t AS hyp FROM r WHERE doc_id > ref_id AND t <> ref) """
-
-#: A page is compared, not a whole book: texts are cut to a page's 4,000 characters here.
-PAGE = 4000
+q AS (SELECT lang, ref_id, doc_id, ref, t AS hyp FROM r WHERE doc_id > ref_id AND t <> ref),
+a AS (SELECT lang, ref_id, doc_id, generate_subscripts(string_split(ref, chr(10)), 1) AS page, unnest(string_split(ref, chr(10))) AS ref FROM q),
+b AS (SELECT lang, ref_id, doc_id, generate_subscripts(string_split(hyp, chr(10)), 1) AS page, unnest(string_split(hyp, chr(10))) AS hyp FROM q),
+p AS (SELECT lang, ref_id, doc_id, page, coalesce(ref, '') AS ref, coalesce(hyp, '') AS hyp FROM a FULL JOIN b USING (lang, ref_id, doc_id, page)) """
 
 
 def _pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    t = F.replace(F.translate(F.substring("text", 1, PAGE), FOLD_FROM, FOLD_TO), F.lit("ß"), F.lit("ss"))
+    """Pairs page by page (a text's lines are its pages); a page that one side lacks is empty there."""
+    t = F.replace(F.translate("text", FOLD_FROM, FOLD_TO), F.lit("ß"), F.lit("ss"))
     d = table(spark, sf_dir, "documents").where("n_chars >= 80").select("doc_id", "lang", F.substring("text", 1, 80).alias("head"), t.alias("hyp"))
     first = d.groupBy("lang", "head").agg(F.min(F.struct("doc_id", "hyp")).alias("r"))
     met = d.join(first, ["lang", "head"]).where((F.col("doc_id") > F.col("r.doc_id")) & (F.col("hyp") != F.col("r.hyp")))
-    return met.select("lang", F.col("r.doc_id").alias("ref_id"), "doc_id", F.col("r.hyp").alias("ref"), "hyp")
+    pages = F.arrays_zip(F.split("r.hyp", "\n", -1).alias("ref"), F.split("hyp", "\n", -1).alias("hyp"))
+    rows = met.select("lang", F.col("r.doc_id").alias("ref_id"), "doc_id", F.posexplode(pages).alias("k", "x"))
+    return rows.select("lang", "ref_id", "doc_id", (F.col("k") + 1).alias("page"), F.coalesce("x.ref", F.lit("")).alias("ref"), F.coalesce("x.hyp", F.lit("")).alias("hyp"))
+
+
+def _sql_cer(ref: str = "ref", hyp: str = "hyp") -> str:
+    return f"(CASE WHEN length({ref}) = 0 THEN CASE WHEN length({hyp}) = 0 THEN 0.0 ELSE 1.0 END ELSE levenshtein({hyp}, {ref})::DOUBLE / length({ref}) END)"
 
 
-_CER = "levenshtein(hyp, ref) / length(ref)"
+_CER = _sql_cer()
 
 
-@query("WITH " + _PAIRS + f"SELECT ref_id, doc_id, levenshtein(hyp, ref) AS distance, round({_CER}, 9) AS cer FROM p")
+@query("WITH " + _PAIRS + f"SELECT ref_id, doc_id, page, levenshtein(hyp, ref) AS distance, round({_CER}, 9) AS cer FROM p")
 def cer_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     ref, hyp = F.col("ref"), F.col("hyp")
-    return _pairs(spark, sf_dir).select("ref_id", "doc_id", F.levenshtein(hyp, ref).alias("distance"), F.round(X.cer(ref, hyp), 9).alias("cer"))
+    return _pairs(spark, sf_dir).select("ref_id", "doc_id", "page", F.levenshtein(hyp, ref).alias("distance"), F.round(X.cer(ref, hyp), 9).alias("cer"))
 
 
 @query("WITH " + _PAIRS + f"SELECT lang, count(*) AS pairs, round(sum(({_CER}) * length(ref)) / sum(length(ref)), 9) AS weighted, round(avg({_CER}), 9) AS mean FROM p GROUP BY lang")
@@ -45,14 +52,14 @@ def weighted_cer(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _pairs(spark, sf_dir).groupBy("lang").agg(F.count(F.lit(1)).alias("pairs"), F.round(F.sum(c * n) / F.sum(n), 9).alias("weighted"), F.round(F.avg(c), 9).alias("mean"))
 
 
-@query("WITH " + _PAIRS + f"SELECT ref_id, doc_id, round({_CER}, 9) AS cer FROM p WHERE {_CER} > 0.1 ORDER BY cer DESC, ref_id, doc_id")
+@query("WITH " + _PAIRS + f"SELECT ref_id, doc_id, page, round({_CER}, 9) AS cer FROM p WHERE {_CER} > 0.1 ORDER BY cer DESC, ref_id, doc_id, page")
 def outlier_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = X.cer(F.col("ref"), F.col("hyp"))
-    return _pairs(spark, sf_dir).where(c > 0.1).select("ref_id", "doc_id", F.round(c, 9).alias("cer")).orderBy(F.col("cer").desc(), "ref_id", "doc_id")
+    return _pairs(spark, sf_dir).where(c > 0.1).select("ref_id", "doc_id", "page", F.round(c, 9).alias("cer")).orderBy(F.col("cer").desc(), "ref_id", "doc_id", "page")
 
 
 @query("WITH " + _PAIRS + """, k AS (SELECT doc_id, unnest([{'regime': 'raw', 'r': ref, 'h': hyp}, {'regime': 'hyphen', 'r': replace(ref, '-', ''), 'h': replace(hyp, '-', '')}, {'regime': 'case', 'r': lower(ref), 'h': lower(hyp)}]) AS x FROM p)
-SELECT x.regime AS regime, count(*) AS n, round(avg(levenshtein(x.h, x.r) / length(x.r)), 9) AS mean, round(quantile_cont(levenshtein(x.h, x.r) / length(x.r), 0.5), 9) AS median FROM k GROUP BY 1""")
+SELECT x.regime AS regime, count(*) AS n, round(avg(""" + _sql_cer("x.r", "x.h") + "), 9) AS mean, round(quantile_cont(" + _sql_cer("x.r", "x.h") + ", 0.5), 9) AS median FROM k GROUP BY 1")
 def multi_norm_block(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Error rate under three regimes of normalisation."""
     cut = lambda c: F.replace(c, F.lit("-"), F.lit(""))
@@ -65,38 +72,38 @@ def multi_norm_block(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _coded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         pairs = [edits.words_as_chars(r, h) for r, h in zip(b.column("ref").to_pylist(), b.column("hyp").to_pylist())]
-        yield pa.RecordBatch.from_arrays([b.column("ref_id"), b.column("doc_id"), pa.array([p[0] for p in pairs], pa.string()), pa.array([p[1] for p in pairs], pa.string())], ["ref_id", "doc_id", "ref", "hyp"])
+        yield pa.RecordBatch.from_arrays([b.column("ref_id"), b.column("doc_id"), b.column("page"), pa.array([p[0] for p in pairs], pa.string()), pa.array([p[1] for p in pairs], pa.string())], ["ref_id", "doc_id", "page", "ref", "hyp"])
 
 
 @query()
 def wer_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Word error rate: words become single characters, then the JVM's Levenshtein counts."""
-    coded = _pairs(spark, sf_dir).select("ref_id", "doc_id", "ref", "hyp").mapInArrow(_coded, "ref_id long, doc_id long, ref string, hyp string")
-    return coded.select("ref_id", "doc_id", X.cer(F.col("ref"), F.col("hyp")).alias("wer"))
+    coded = _pairs(spark, sf_dir).select("ref_id", "doc_id", "page", "ref", "hyp").mapInArrow(_coded, "ref_id long, doc_id long, page int, ref string, hyp string")
+    return coded.select("ref_id", "doc_id", "page", X.cer(F.col("ref"), F.col("hyp")).alias("wer"))
 
 
 def _differences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         rows = []
-        for i, d, r, h in zip(*(b.column(c).to_pylist() for c in ("ref_id", "doc_id", "ref", "hyp"))):
-            rows += [(i, d, t, a, e, r[a:e], h[x:y], edits.category(r[a:e], h[x:y]), r[max(0, a - 20) : e + 20]) for t, a, e, x, y in edits.opcodes(r, h) if t != "equal"]
-        cols = list(zip(*rows)) or [()] * 9
-        kinds = [pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.string()]
-        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)], ["ref_id", "doc_id", "tag", "start", "end", "ref", "hyp", "category", "context"])
+        for i, d, n, r, h in zip(*(b.column(c).to_pylist() for c in ("ref_id", "doc_id", "page", "ref", "hyp"))):
+            rows += [(i, d, n, t, a, e, r[a:e], h[x:y], edits.category(r[a:e], h[x:y]), r[max(0, a - 20) : e + 20]) for t, a, e, x, y in edits.opcodes(r, h) if t != "equal"]
+        cols = list(zip(*rows)) or [()] * 10
+        kinds = [pa.int64(), pa.int64(), pa.int32(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.string()]
+        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)], ["ref_id", "doc_id", "page", "tag", "start", "end", "ref", "hyp", "category", "context"])
 
 
 def _diff_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    p = _pairs(spark, sf_dir).select("ref_id", "doc_id", "ref", "hyp")
-    return p.mapInArrow(_differences, "ref_id long, doc_id long, tag string, start long, end long, ref string, hyp string, category string, context string")
+    p = _pairs(spark, sf_dir).select("ref_id", "doc_id", "page", "ref", "hyp")
+    return p.mapInArrow(_differences, "ref_id long, doc_id long, page int, tag string, start long, end long, ref string, hyp string, category string, context string")
 
 
-@query("WITH " + _PAIRS + "SELECT ref_id, doc_id, levenshtein(hyp, ref) AS distance, true AS additive FROM p")
+@query("WITH " + _PAIRS + "SELECT ref_id, doc_id, page, levenshtein(hyp, ref) AS distance, true AS additive FROM p WHERE ref <> hyp")
 def edit_decomposition(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The sum of fidelity and scope over the edit script, and that no category is lost."""
     n = F.greatest(F.length("ref"), F.length("hyp"))
     scope = (F.col("tag") == "insert") & (F.length("hyp") >= edits.SCOPE_RUN)
-    d = _diff_rows(spark, sf_dir).groupBy("ref_id", "doc_id").agg(F.sum(F.when(scope, 0).otherwise(n)).alias("fidelity"), F.sum(F.when(scope, n).otherwise(0)).alias("scope"), F.sum(n).alias("distance"))
-    return d.select("ref_id", "doc_id", "distance", (F.col("fidelity") + F.col("scope") == F.col("distance")).alias("additive"))
+    d = _diff_rows(spark, sf_dir).groupBy("ref_id", "doc_id", "page").agg(F.sum(F.when(scope, 0).otherwise(n)).alias("fidelity"), F.sum(F.when(scope, n).otherwise(0)).alias("scope"), F.sum(n).alias("distance"))
+    return d.select("ref_id", "doc_id", "page", "distance", (F.col("fidelity") + F.col("scope") == F.col("distance")).alias("additive"))
 
 
 @query()
@@ -104,7 +111,7 @@ def error_categories(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Count, characters and up to three examples per category."""
     n = F.greatest(F.length("ref"), F.length("hyp"))
     d = _diff_rows(spark, sf_dir).withColumn("chars", n)
-    place = F.row_number().over(Window.partitionBy("category").orderBy("ref_id", "doc_id", "start"))
+    place = F.row_number().over(Window.partitionBy("category").orderBy("ref_id", "doc_id", "page", "start"))
     d = d.withColumn("place", place)
     return d.groupBy("category").agg(F.count(F.lit(1)).alias("n"), F.sum("chars").alias("chars"), F.array_sort(F.collect_list(F.when(F.col("place") <= 3, F.concat_ws("→", "ref", "hyp")))).alias("examples"))
 
@@ -118,10 +125,10 @@ def confusion_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return d.groupBy("ref", "hyp").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("WITH " + _PAIRS + f", o AS (SELECT doc_id, {_CER} AS a FROM p), n AS (SELECT doc_id, levenshtein(lower(hyp), lower(ref)) / length(ref) AS b FROM p) SELECT count(*) AS n, count(*) FILTER (b < a - 1e-6) AS better, count(*) FILTER (b > a + 1e-6) AS worse, count(*) FILTER (abs(b - a) <= 1e-6) AS unchanged, round(avg(b - a), 9) AS mean_change FROM o JOIN n USING (doc_id)")
+@query("WITH " + _PAIRS + f", o AS (SELECT ref_id, doc_id, page, {_CER} AS a FROM p), n AS (SELECT ref_id, doc_id, page, {_sql_cer('lower(ref)', 'lower(hyp)')} AS b FROM p) SELECT count(*) AS n, count(*) FILTER (b < a - 1e-6) AS better, count(*) FILTER (b > a + 1e-6) AS worse, count(*) FILTER (abs(b - a) <= 1e-6) AS unchanged, round(avg(b - a), 9) AS mean_change FROM o JOIN n USING (ref_id, doc_id, page)")
 def paired_test(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two runs over the same documents: better, worse, unchanged."""
-    a, b = X.cer(F.col("ref"), F.col("hyp")), F.levenshtein(F.lower("hyp"), F.lower("ref")) / F.length("ref")
+    a, b = X.cer(F.col("ref"), F.col("hyp")), X.cer(F.lower("ref"), F.lower("hyp"))
     d = _pairs(spark, sf_dir).select((b - a).alias("c"))
     return d.agg(
         F.count(F.lit(1)).alias("n"), F.count_if(F.col("c") < -1e-6).alias("better"), F.count_if(F.col("c") > 1e-6).alias("worse"),

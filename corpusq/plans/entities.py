@@ -51,8 +51,8 @@ def lexicon_derived_forms(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _lexicon(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, list[tuple[str, str, str, int]]]:
-    """A curated list: pairs of neighbouring words of the benchmark passages, 200 at most; and their first words."""
-    b = table(spark, sf_dir, "benchmark").select("item_id", F.split("text", " ").alias("w")).orderBy("item_id").limit(100)
+    """A curated list: a pair of neighbouring words of each benchmark passage, and the first of them."""
+    b = table(spark, sf_dir, "benchmark").select("item_id", F.split("text", " ").alias("w"))
     e = b.select(F.concat(F.lit("g"), "item_id").alias("gid"), F.concat_ws(" ", F.element_at("w", 2), F.element_at("w", 3)).alias("label"), F.element_at("w", 2).alias("short"))
     forms = [(r.label, r.gid, "exact", 1) for r in e.collect()] + [(r.short, r.gid, "bare-surname", 2) for r in e.collect()]
     return e.select("gid"), forms
