@@ -9,7 +9,7 @@ from corpusq.operators.ordered import pick
 
 #: Competing page texts, best first.
 TEXT_SOURCES = ["curated", "gemini-b", "gemini-a", "llm-c", "mistral"]
-LAYOUT = "doc_id string, page int, image_width int, image_height int, num_regions int, regions array<struct<label:string,zbz_tag:string,text:string,bbox:struct<x_pct:double,y_pct:double,w_pct:double,h_pct:double>>>"
+LAYOUT = "doc_id string, page int, image_width int, image_height int, num_regions int, regions array<struct<label:string,{tag}:string,text:string,bbox:struct<x_pct:double,y_pct:double,w_pct:double,h_pct:double>>>"
 MASTERFILE = "ID string, PublForm string, Jahr string, `Anzahl Seiten` string, Sprache string, digitalisiert string"
 
 
@@ -39,17 +39,17 @@ def skip_cover(pages: DataFrame, meta: DataFrame) -> DataFrame:
     return pages.join(flagged, ["doc", "page"], "left_anti")
 
 
-def layouts(spark: SparkSession, folder: str, strict: bool = False) -> DataFrame:
-    """Layout files; damaged ones fail a strict read and are left out of a tolerant one."""
+def layouts(spark: SparkSession, folder: str, strict: bool = False, tag: str = "tag") -> DataFrame:
+    """Layout files; damaged ones fail a strict read and are left out of a tolerant one. ``tag``: the field with the edition's own tag."""
     mode = "FAILFAST" if strict else "DROPMALFORMED"
-    return spark.read.schema(LAYOUT).option("multiLine", True).option("mode", mode).option("recursiveFileLookup", True).json(folder)
+    return spark.read.schema(LAYOUT.format(tag=tag)).option("multiLine", True).option("mode", mode).option("recursiveFileLookup", True).json(folder)
 
 
 def regions(pages: DataFrame) -> DataFrame:
     """One row per region, boxes clipped to the page."""
     r = pages.select("doc_id", "page", F.posexplode("regions").alias("idx", "r"))
     clip = lambda c: F.greatest(F.lit(0.0), F.least(F.lit(100.0), F.col(f"r.bbox.{c}")))
-    return r.select("doc_id", "page", "idx", "r.label", "r.zbz_tag", "r.text", *[clip(c).alias(c[0]) for c in ("x_pct", "y_pct", "w_pct", "h_pct")])
+    return r.select("doc_id", "page", "idx", "r.label", "r.text", *[clip(c).alias(c[0]) for c in ("x_pct", "y_pct", "w_pct", "h_pct")])
 
 
 def fill_sizes(best: DataFrame, fallback: DataFrame) -> DataFrame:
