@@ -42,10 +42,10 @@ CLOSES_ITSELF = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"t
 REGIONS = {"article", "main"}
 #: Parts of class names, ids and roles that mark boilerplate.
 MARKS = set(
-    "ad ads adv advert advertisement adverts advertising banner breadcrumb breadcrumbs byline comment comments commentlist complementary consent contentinfo"
+    "ad ads adv advert advertisement adverts advertising banner breadcrumb breadcrumbs comment comments commentlist complementary consent contentinfo"
     " cookie cookies discussion disqus footer masthead menu menubar modal nav navbar navigation newsletter notice notification pager pagination popup promo"
     " promoted promotion recommended related respond responses share sharing sidebar signup skip social sponsor sponsored sponsors subscribe subscription"
-    " tags toolbar widget".split()
+    " toolbar widget".split()
 )
 REPLIES = set("comment comments commentlist discussion disqus respond responses".split())
 #: Boilerplate names outside an article only.
@@ -186,8 +186,11 @@ def main_text(html: str | None) -> str:
             if parser.names[e] in REGIONS:
                 marked[e] = marked.get(e, 0) + len(lines[i][0])
     if marked:
-        # Most votes (an article of short lines only may have none), then most text; of nested ones the inner.
+        # Most votes (an article of short lines only may have none), then most text; of nested ones the inner,
+        # as long as it holds most of the votes.
         region = max(marked, key=lambda e: (votes.get(e, 0), marked[e], e))
+        while inner := [e for e in {e for i in free for e in lines[i][2] if region in lines[i][2]} if e > region and e in marked and votes.get(e, 0) >= SHARE * votes.get(region, 0) > 0]:
+            region = max(inner, key=lambda e: (votes[e], e))
         chosen = [i for i in free if region in lines[i][2]]
     else:
         total = sum(len(lines[i][0]) for i in cluster)

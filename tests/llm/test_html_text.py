@@ -24,6 +24,8 @@ def clean(s):
         ("<article><ul><li>a<li>b</ul><table><tr><td>c<td>d<tr><td>e</table></article>", "a\nb\nc\nd\ne"),
         ("<article><p>one<aside><p>side</p></aside>two</p><div class='lead header'>three</div><div hidden>no</div></article>", "one\ntwo\nthree"),
         ("<article>a &lt;b&gt; &#x41;&unknown; <!-- c --> d<![CDATA[e]]></article>", "a <b> A&unknown; d"),
+        (f"<main><div>Other things on this site that nobody asked for.</div><article><p class=byline>By A</p><p>{LONG}</p></article></main>", "By A\n" + LONG.strip()),
+        (f"<article><p>{LONG}</p></article><article><p>{LONG}{LONG}</p></article>", (LONG + LONG).strip()),
         ("<article>" + "<div>" * 3000 + "deep" + "</article>", "deep"),
     ],
 )
