@@ -54,13 +54,20 @@ _PART = re.compile("[A-Za-z]+")
 
 
 class _Lines(HTMLParser):
-    """Collects (text, tags, path, dropped, heading) per line; path: the open elements' numbers."""
+    """Collects (text, tags, element, dropped, heading) per line; element: the number of the innermost open one, -1 if none.
+
+    Elements are numbered in page order, so a parent's number is smaller than its children's.
+    """
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
         self.open: list[tuple[str, int, int]] = []  # name, number, dropped: 0 no, 1 yes, 2 replies
         self.names: list[str] = []
-        self.lines: list[tuple[str, int, tuple[int, ...], bool, bool]] = []
+        self.parents: list[int] = []
+        self.lines: list[tuple[str, int, int, bool, bool]] = []
+        self.regions = self.headings = 0  # open ones
+        self.count: dict[str, int] = {}  # open elements by name
+        self.blocks: list[int] = []  # places of the open block elements
         self.text: list[str] = []
         self.tags = 0
         self.off = 0
@@ -69,19 +76,24 @@ class _Lines(HTMLParser):
         if self.text:
             line = " ".join("".join(self.text).split())
             if line:
-                self.lines.append((line, self.tags, tuple(x[1] for x in self.open), self.off > 0, any(x[0] in HEADINGS for x in self.open)))
+                self.lines.append((line, self.tags, self.open[-1][1] if self.open else -1, self.off > 0, self.headings > 0))
             self.text = []
         self.tags = 0
 
     def pop(self, at: int) -> None:
         for x in self.open[at:]:
             self.off -= x[2] > 0
+            self.regions -= x[0] in REGIONS
+            self.headings -= x[0] in HEADINGS
+            self.count[x[0]] -= 1
         del self.open[at:]
+        while self.blocks and self.blocks[-1] >= at:
+            self.blocks.pop()
 
     def marked(self, tag: str, attrs: list[tuple[str, str | None]]) -> int:
         if tag in DROPPED:
             return 1
-        inside = any(x[0] in REGIONS for x in self.open)
+        inside = self.regions > 0
         if tag == "header" and not inside:
             return 1
         if tag in ("html", "body", "main"):
@@ -101,14 +113,14 @@ class _Lines(HTMLParser):
         if tag in BLOCKS:
             self.flush()
             shut = CLOSES_ITSELF.get(tag, set()) | {"p"} | (HEADINGS if tag in HEADINGS else set())
-            for i in range(len(self.open) - 1, -1, -1):
+            for i in reversed(self.blocks):
                 name = self.open[i][0]
                 if name in shut:
                     self.pop(i)
                     break
-                if name in BLOCKS and name != "p" and not (tag in ("tr", "td", "th") and name in ("td", "th", "tr")):
+                if name != "p" and not (tag in ("tr", "td", "th") and name in ("td", "th", "tr")):
                     break
-            if tag in REGIONS:  # an unclosed menu or advert before the content
+            if tag in REGIONS and self.off:  # an unclosed menu or advert before the content
                 for i, x in enumerate(self.open):
                     if x[2] == 1 and x[0] not in REGIONS:
                         self.pop(i)
@@ -120,6 +132,12 @@ class _Lines(HTMLParser):
             return
         dropped = self.marked(tag, attrs)
         self.off += dropped > 0
+        self.regions += tag in REGIONS
+        self.headings += tag in HEADINGS
+        self.parents.append(self.open[-1][1] if self.open else -1)
+        self.count[tag] = self.count.get(tag, 0) + 1
+        if tag in BLOCKS:
+            self.blocks.append(len(self.open))
         self.open.append((tag, len(self.names), dropped))
         self.names.append(tag)
 
@@ -133,7 +151,9 @@ class _Lines(HTMLParser):
             self.flush()
         else:
             self.tags += 1
-        for i in range(len(self.open) - 1, -1, -1):
+        if not self.count.get(tag):
+            return
+        for i in reversed(self.blocks) if tag in BLOCKS else range(len(self.open) - 1, -1, -1):
             name = self.open[i][0]
             if name == tag:
                 self.pop(i)
@@ -176,30 +196,41 @@ def main_text(html: str | None) -> str:
     cluster = [i for i in free if ratio[i] >= cut] or free
     if not cluster:
         return ""
-    votes: dict[int, int] = {}
-    marked: dict[int, int] = {}
-    for i in cluster:
-        for e in lines[i][2]:
-            votes[e] = votes.get(e, 0) + len(lines[i][0])
-    for i in free:
-        for e in lines[i][2]:
-            if parser.names[e] in REGIONS:
-                marked[e] = marked.get(e, 0) + len(lines[i][0])
+    names, parents = parser.names, parser.parents
+
+    def held(which: list[int]) -> list[int]:
+        """Characters of the lines within each element."""
+        found = [0] * (len(names) + 1)  # the last stands for the page
+        for i in which:
+            found[lines[i][2]] += len(lines[i][0])
+        for e in range(len(names) - 1, -1, -1):
+            found[parents[e]] += found[e]
+        return found
+
+    def within(region: int) -> list[bool]:
+        found = [False] * (len(names) + 1)
+        for e in range(len(names)):
+            found[e] = e == region or found[parents[e]]
+        return found
+
+    votes, text = held(cluster), held(free)
+    marked = [e for e in range(len(names)) if names[e] in REGIONS and text[e]]
     if marked:
         # Most votes (an article of short lines only may have none), then most text; of nested ones the inner,
         # as long as it holds most of the votes.
-        region = max(marked, key=lambda e: (votes.get(e, 0), marked[e], e))
-        while inner := [e for e in {e for i in free for e in lines[i][2] if region in lines[i][2]} if e > region and e in marked and votes.get(e, 0) >= SHARE * votes.get(region, 0) > 0]:
-            region = max(inner, key=lambda e: (votes[e], e))
-        chosen = [i for i in free if region in lines[i][2]]
-    else:
-        total = sum(len(lines[i][0]) for i in cluster)
-        deep = [e for e, v in votes.items() if v >= SHARE * total and parser.names[e] not in ("p", *HEADINGS)]
-        region = max(deep, default=None)
-        first, last = cluster[0], cluster[-1]
-        while first and lines[first - 1][4] and not lines[first - 1][3]:
-            first -= 1
-        chosen = [i for i in free if first <= i <= last and (region is None or region in lines[i][2])]
+        region = max(marked, key=lambda e: (votes[e], text[e], e))
+        inside = within(region)
+        for e in marked:
+            if e > region and inside[e] and votes[e] >= SHARE * votes[region] > 0:
+                region, inside = e, within(e)
+        return "\n".join(lines[i][0] for i in free if inside[lines[i][2]])
+    total = sum(len(lines[i][0]) for i in cluster)
+    region = max((e for e in range(len(names)) if votes[e] >= SHARE * total and names[e] not in ("p", *HEADINGS)), default=None)
+    inside = within(region) if region is not None else [True] * (len(names) + 1)
+    first, last = cluster[0], cluster[-1]
+    while first and lines[first - 1][4] and not lines[first - 1][3]:
+        first -= 1
+    chosen = [i for i in free if first <= i <= last and inside[lines[i][2]]]
     return "\n".join(lines[i][0] for i in chosen)
 
 

@@ -36,6 +36,8 @@ def test_cases(html, want):
 def test_long():
     html = "<article>" + "<p>w&eacute; <b>x</b></p>" * 20000 + "</article>"
     assert main_text(html) == "\n".join(["wé x"] * 20000)
+    html = "<article>" + "<font><div>a</div>" * 20000
+    assert main_text(html) == "\n".join(["a"] * 20000)
 
 
 def test_smoothing():
