@@ -1,6 +1,6 @@
 """Token ids on disk by an adaptive context-mixing range coder.
 
-Ids are cut into blocks of ``BLOCK``; each block starts from a fresh model and coder state and
+Ids are cut into blocks of at most ``BLOCK``; each block starts from a fresh model and coder state and
 carries a CRC-32, so blocks are decoded independently and damage is found. The blocks of a group
 are coded side by side, one lane each: step t codes the t-th id of every lane with array
 operations. All arithmetic is in integers, so files decode on any machine.
@@ -38,7 +38,7 @@ from corpusq.llm import sharedfs
 from corpusq.llm.common import work_path
 from corpusq.llm.tokens import encoder
 
-BLOCK, LANES = 4096, 2048
+BLOCK, LEAST, LANES = 4096, 512, 2048
 MAGIC = b"CXR1"
 SLOTS = 2048
 _SQUASH = np.array([min(4095, max(1, round(4096 / (1 + math.exp(-x / 256))))) for x in range(-2047, 2048)], np.int32)
@@ -219,13 +219,13 @@ class _Lanes:
         return out, missed
 
 
-def _split(ids: np.ndarray) -> list[np.ndarray]:
-    return [ids[k : k + BLOCK] for k in range(0, len(ids), BLOCK)]
+def encode_blocks(ids: np.ndarray, block: int | None = None) -> list[tuple[int, bytes, bytes, int]]:
+    """(tokens, coded, raw, crc32) of each block of the ids (below 2**17).
 
-
-def encode_blocks(ids: np.ndarray) -> list[tuple[int, bytes, bytes, int]]:
-    """(tokens, coded, raw, crc32) of each block of the ids (below 2**17)."""
-    blocks = _split(ids)
+    Unless given, the block's size fills the lanes: between ``LEAST`` and ``BLOCK``.
+    """
+    size = block or min(BLOCK, max(LEAST, -(-len(ids) // LANES)))
+    blocks = [ids[k : k + size] for k in range(0, len(ids), size)]
     if not blocks:
         return []
     lanes = _Lanes([len(b) for b in blocks])
