@@ -9,7 +9,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Texts are handled in steps of so many characters at most (or one text), so memory stays bounded.
-STEP_CHARS = 6_000_000
+STEP_CHARS = 8_000_000
 
 
 def take(table: np.ndarray, starts: np.ndarray, sizes: np.ndarray, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

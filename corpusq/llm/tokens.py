@@ -21,10 +21,12 @@ CACHE = 250_000
 #: Where one of these occurs, words might not be independent or a special token might hide.
 _ODD = ["  ", " \n", "\n ", "<|", *(c for c in map(chr, range(0x3001)) if c.isspace() and c not in " \n")]
 
+_ODD_ASCII = [x for x in _ODD if x.isascii()]
+
 
 def plain(text: str) -> bool:
     """The text has no white space but line ends and single spaces between words."""
-    return text[0] != " " and text[-1] != " " and not any(x in text for x in _ODD)
+    return text[0] != " " and text[-1] != " " and not any(x in text for x in (_ODD_ASCII if text.isascii() else _ODD))
 
 
 def _stopped(word: str) -> bool:
@@ -61,7 +63,8 @@ class Encoder:
 
     def _words(self, words: list[str]) -> list[bytes]:
         new, old = self._new, self._old
-        found = [new[w] if w in new else old.get(w) for w in words]
+        get, get_old = new.get, old.get
+        found = [x if (x := get(w)) is not None else get_old(w) for w in words]
         missing = [w for w, x in zip(words, found) if x is None]
         if not missing:
             return found
