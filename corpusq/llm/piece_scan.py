@@ -155,8 +155,9 @@ class Pieces:
         if found is None:
             found = self.old.get(text)
             if found is None:
-                if len(text) > 1 and text[-2:] not in self.joins:
-                    found = self.word(text[:-1]) + self.word(text[-1])
+                parts = self.apart(text)
+                if len(parts) > 1:
+                    found = b"".join(map(self.word, parts))
                 elif self.unigram:
                     best = self.paths(text, 0, None, len(text))
                     found = self.coded(self.back(best, max(best[-1], key=lambda x: best[-1][x][0])))
@@ -168,6 +169,12 @@ class Pieces:
                 self.words[text] = found
         return found
 
+    def apart(self, text: str) -> list[str]:
+        """The text cut between all neighbours that no piece holds; no part can be cut again."""
+        joins, cuts = self.joins, [0]
+        cuts += [k for k in range(1, len(text)) if text[k - 1 : k + 1] not in joins]
+        return [text[a:b] for a, b in zip(cuts, [*cuts[1:], len(text)])]
+
     def only_path(self, text: str) -> list[str]:
         """:meth:`paths` of a merge model from a text's start: at most one piece ends each place."""
         ids, width, known = self.ids, self.width, self.known

@@ -31,6 +31,20 @@ def test_encode_is_the_library(lib):
         assert m.decode(m.encode(t)) == lib.decode(lib.encode(t)), repr(t)
 
 
+def test_long_runs_that_no_piece_joins(lib):
+    m = S.Pieces(PATH)
+    for t in ["7" * 5000, "\n" * 5000, "0123456789" * 500, "漢字かな" * 1250, "я中\n4" * 1250, "a1" * 2500 + "the", "word " + "9" * 5000 + " word", "x" * 5000]:
+        assert np.frombuffer(m.encode(t), "<u4").tolist() == lib.encode(t), repr(t[:20])
+        assert m.decode(m.encode(t)) == lib.decode(lib.encode(t)), repr(t[:20])
+
+
+def test_long_runs_within_a_chunk(spark, lib):
+    texts = ["5" * 5000, "\n" * 5000, "head " + "8" * 3000 + " middle " + "\n" * 3000 + " tail " * 50]
+    rows = S.encode(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), PATH).collect()
+    want = [(i, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())) for i, ids in enumerate(map(lib.encode, texts))]
+    assert sorted(tuple(r)[:3] for r in rows) == want
+
+
 def test_chunks_anywhere(lib):
     m, rng = S.Pieces(PATH), random.Random(8)
     for t in [*texts()[:80], "thequickbrownfox" * 30, "a" * 300, " ".join(["word"] * 60)]:
