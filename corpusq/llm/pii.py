@@ -8,6 +8,10 @@ added ones iban (mod-97) and ssn (needs a context word). An added span must scor
 its kind's start score, plus ``CONTEXT_BONUS`` if one of its kind's words stands within
 ``CONTEXT_CHARS`` before it. Base spans carry a score too, and stay whatever it is.
 
+An IBAN is tried at every place it may start, at the length its country has: whatever follows it or
+fails before it takes nothing from it. Codes outside the table take as many groups as follow. Of
+confirmed ones that overlap the first stays.
+
 Null text counts as empty: no spans. Spans of different kinds may overlap; :func:`redact` masks
 overlapping spans as one, by the kind of the first. Repeated rows give repeated results.
 """
@@ -20,6 +24,22 @@ from pyspark.sql import functions as F
 KINDS = ["email", "ip", "card", "phone", "iban", "ssn"]
 BASE = KINDS[:4]
 MIN_SCORE, CONTEXT_BONUS, CONTEXT_CHARS = 0.6, 0.4, 40
+#: Length of an IBAN: the countries of the registry that have it.
+IBAN = {
+    15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV", 22: "BG BH CR DE GB GE IE ME RS VA",
+    23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "LY PT ST", 26: "IS TR", 27: "BI DJ FR GR IT MC MR SM",
+    28: "AL AZ BY CY DO GT HN HU LB NI PL PS SV", 29: "BR EG QA UA", 30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU",
+}
+
+
+def _iban() -> str:
+    """Takes the two letters only, so that other starts are tried too; the whole code is group 1."""
+    codes = {n: c.replace(" ", "|") for n, c in IBAN.items()}
+    known = [rf"(?:{c})[0-9]{{2}}(?:\x20?[A-Z0-9]{{4}}){{{(n - 4) // 4}}}" + (rf"\x20?[A-Z0-9]{{{n % 4}}}" if n % 4 else "") for n, c in codes.items()]
+    other = rf"(?!{'|'.join(codes.values())})[A-Z]{{2}}[0-9]{{2}}(?:\x20?[A-Z0-9]{{4}}){{2,7}}(?:\x20?[A-Z0-9]{{1,3}})?"
+    return rf"(?<![A-Za-z0-9])(?=((?:{'|'.join([*known, other])})(?![A-Za-z0-9])))[A-Z]{{2}}"
+
+
 #: The contract's patterns, with possessive parts and a look-behind so that no text takes more than
 #: linear time; they match the same spans.
 PATTERNS = {
@@ -27,7 +47,7 @@ PATTERNS = {
     "ip": r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++",
     "card": r"[0-9](?:[\x20-]?[0-9])++",
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
-    "iban": r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){2,7}(?:\x20?[A-Z0-9]{1,3})?(?![A-Za-z0-9])",
+    "iban": _iban(),
     "ssn": r"(?<![0-9-])(?!000|666|9)[0-9]{3}-(?!00)[0-9]{2}-(?!0000)[0-9]{4}(?![0-9-])",
 }
 #: A text without this cannot hold a span of the kind.
@@ -74,17 +94,20 @@ def _spans(kind: str) -> str:
     pattern, need = _sql(PATTERNS[kind]), NEEDS[kind]
     found = f"_t rlike {_sql(need)}" if len(need) > 1 else f"instr(_t, {_sql(need)}) > 0"
     none = "cast(array() as array<struct<start:int,place:int,kind:string,end:int,score:double>>)"
-    hits = f"regexp_extract_all(_t, {pattern}, 0)"
+    group, step = (1, "2") if kind == "iban" else (0, "x.n")
+    hits = f"regexp_extract_all(_t, {pattern}, {group})"
     placed = (
         f"aggregate(zip_with({hits}, split(_t, {pattern}, -1), (h, p) -> struct(h, length(p) as gap, length(h) as n)),"
         f" struct(0 as at, cast(array() as array<struct<start:int,end:int,hit:string>>) as out),"
-        f" (a, x) -> struct(a.at + x.gap + coalesce(x.n, 0) as at, if(x.h is null, a.out, array_append(a.out, struct(a.at + x.gap as start, a.at + x.gap + x.n as end, x.h as hit))) as out),"
+        f" (a, x) -> struct(a.at + x.gap + if(x.h is null, 0, {step}) as at, if(x.h is null, a.out, array_append(a.out, struct(a.at + x.gap as start, a.at + x.gap + x.n as end, x.h as hit))) as out),"
         f" a -> a.out)"
     )
     before = f"lower(substr(_t, greatest(1, m.start + 1 - {CONTEXT_CHARS}), least(m.start, {CONTEXT_CHARS})))"
     words = r"(?<![a-z])(?:" + "|".join(CONTEXT[kind]) + ")"
     score = f"least(1.0D, {START_SCORE[kind]}D + if({before} rlike {_sql(words)}, {CONTEXT_BONUS}D, 0D))"
     good = f"filter({placed}, m -> {CONFIRM[kind]})"
+    if kind == "iban":
+        good = f"aggregate({good}, cast(array() as array<struct<start:int,end:int,hit:string>>), (a, m) -> if(size(a) > 0 and m.start < try_element_at(a, -1).end, a, array_append(a, m)))"
     scored = f"transform({good}, m -> struct(m.start as start, {KINDS.index(kind)} as place, {_sql(kind)} as kind, m.end as end, {score} as score))"
     if kind not in BASE:
         scored = f"filter({scored}, s -> s.score >= {MIN_SCORE})"

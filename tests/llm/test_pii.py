@@ -58,6 +58,36 @@ def test_cases(spark):
     assert rows[0].spans == ""
 
 
+def iban(code, spaced):
+    full = code[:2] + f"{98 - int(''.join(str(int(c, 36)) for c in code[4:] + code[:2] + '00')) % 97:02d}" + code[4:]
+    return " ".join(full[k : k + 4] for k in range(0, len(full), 4)) if spaced else full
+
+
+BE, ES = "BE68539007547034", "ES91 2100 0418 4502 0005 1332"
+
+
+def test_iban_ends_before_other_text(spark):
+    texts = [f"{BE} 2024", f"{ES} PAID", f"{ES} {ES}", f"{BE} {BE} {ES} X", f"AB12 CDEF GHIJ {BE}", f"ES12 3456 7890 {ES}", f"😀 {BE} {ES}", f"{BE}A", f"BE69539007547034 {BE[:-1]}"]
+    rows = check(spark, texts)
+    for i, t in enumerate(texts):
+        want = [] if i >= 7 else [m.span() for m in re.finditer(f"{BE}|{ES}", t)]
+        assert rows[i].spans == ",".join(f"iban:{a}:{b}" for a, b in want), t
+    found = pii.redact(spark.createDataFrame([(t,) for t in texts[:3]], "text string")).collect()
+    assert [r.text for r in found] == ["<IBAN> 2024", "<IBAN> PAID", "<IBAN> <IBAN>"]
+
+
+def test_iban_of_every_country(spark):
+    texts, want = [], []
+    for n, codes in pii.IBAN.items():
+        for c in codes.split():
+            for spaced in (False, True):
+                x = iban(f"{c}00" + "1234567890ABCDEFGH7654321098765"[: n - 4], spaced)
+                texts.append(f"to {x} {x} TEXT 12")
+                want.append(f"iban:3:{3 + len(x)},iban:{4 + len(x)}:{4 + 2 * len(x)}")
+    rows = check(spark, texts)
+    assert [rows[i].spans for i in range(len(texts))] == want
+
+
 def test_random(spark):
     texts = []
 
