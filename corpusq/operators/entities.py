@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -78,21 +79,22 @@ def scan_mentions(docs: DataFrame, lexicon: list[tuple[str, str, str, int]], doc
 
     ``lexicon`` is the curated list (form, gid, rule, tier): a few thousand rows kept by hand, checked
     here before it is broadcast. A form several entities bear gives the least gid and the others as
-    alternatives, rule ``:ambiguous`` and tier 2.
+    alternatives, rule ``:ambiguous`` and tier 2. Forms are looked up by their first run of word
+    characters, whatever stands in or before it; a form without any never matches.
     """
     if len(lexicon) > 200_000:
         raise ValueError("a curated list is expected; join larger lexicons on the first word instead")
     forms: dict[str, dict[str, tuple[str, int]]] = {}
     for form, gid, rule, tier in sorted(lexicon):
         forms.setdefault(form, {}).setdefault(gid, (rule, tier))
-    index: dict[str, list[str]] = {}
+    index: dict[str, list[tuple[str, int]]] = {}
     for form in sorted(forms, key=lambda f: (-len(f), f)):
-        index.setdefault(form.split(" ")[0], []).append(form)
+        first = re.search(r"\w+", form)
+        if first:
+            index.setdefault(first[0], []).append((form, first.start()))
     known = docs.sparkSession.sparkContext.broadcast((forms, index))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import re
-
         forms, index = known.value
         word = re.compile(r"\w+")
         for b in batches:
@@ -102,14 +104,15 @@ def scan_mentions(docs: DataFrame, lexicon: list[tuple[str, str, str, int]], doc
                 for m in word.finditer(t or ""):
                     if m.start() < at:
                         continue
-                    for form in index.get(m[0], ()):
-                        end = m.start() + len(form)
-                        if t.startswith(form, m.start()) and not (end < len(t) and (t[end].isalnum() or t[end] == "_")):
+                    for form, lead in index.get(m[0], ()):
+                        start = m.start() - lead
+                        end = start + len(form)
+                        if start >= at and t.startswith(form, start) and not (end < len(t) and (t[end].isalnum() or t[end] == "_")):
                             gids = sorted(forms[form])
                             rule, tier = forms[form][gids[0]]
                             if len(gids) > 1:
                                 rule, tier = rule + ":ambiguous", 2
-                            rows.append((d, gids[0], form, m.start(), end, rule, tier, gids[1:]))
+                            rows.append((d, gids[0], form, start, end, rule, tier, gids[1:]))
                             at = end
                             break
             cols = list(zip(*rows)) or [()] * 8

@@ -159,6 +159,15 @@ def test_allocation_and_sample(spark):
     assert one == two and len(one) == 12
 
 
+def test_mentions_with_punctuation(spark):
+    forms = ["Jean-Paul Sartre", "J. Smith", "O'Neil", "Weber, Max", "'t Hooft", "Hooft", "Jean", "St.Gallen", "..."]
+    text = "Jean-Paul Sartre, J. Smith; O'Neil and O'Neill; (Weber, Max) 't Hooft ... Jean Hooft St.Gallen xJ. Smith"
+    docs = spark.createDataFrame([(1, text), (2, "J. Smith")], "doc_id long, text string")
+    rows = entities.scan_mentions(docs, [(f, f"g{k}", "headword", 1) for k, f in enumerate(forms)]).orderBy("doc_id", "start").collect()
+    assert [r.surface for r in rows] == ["Jean-Paul Sartre", "J. Smith", "O'Neil", "Weber, Max", "'t Hooft", "Jean", "Hooft", "St.Gallen", "J. Smith"]
+    assert all((text if r.doc_id == 1 else "J. Smith")[r.start : r.end] == r.surface for r in rows)
+
+
 def test_mentions(spark):
     lexicon = [("Anna Keller", "g1", "exact", 1), ("Keller", "g1", "bare-surname", 2), ("Keller", "g2", "bare-surname", 2)]
     text = "Kellermann met Anna Keller, then Keller's friend and Anna."
