@@ -1,29 +1,37 @@
 """Token ids on disk by an adaptive context-mixing range coder.
 
-Ids are cut into blocks of at most ``BLOCK``; each block starts from a fresh model and coder state and
-carries a CRC-32, so blocks are decoded independently and damage is found. The blocks of a group
-are coded side by side, one lane each: step t codes the t-th id of every lane with array
-operations. All arithmetic is in integers, so files decode on any machine.
+Ids are cut into blocks of ``BLOCK`` (only the last of a group is shorter). Each block starts from the
+same model state and a fresh coder and carries a CRC-32, so blocks are decoded independently and
+damage is found. The blocks of a group are coded side by side, one lane each: step t codes the
+t-th id of every lane with array operations. All arithmetic is in integers, so files decode on any machine.
 
-An id is coded as binary decisions:
+Every id is coded whole, by three predictions:
 
-* hit: is it the id that followed this context before? The order-2 context proposes if it has
-  been right, else order-1. The probability mixes three adaptive estimates (by the confidences of
-  both orders, by order-1's alone, order 0), weighted by weights that learn per lane.
-* on a miss, the id's class (its exponent and two more bits) along a binary tree of six decisions,
-  each mixing an order-0, an order-1 and an order-2 estimate (contexts: the classes of the last
-  one and two ids). The id's remaining low bits are stored as they are, in a bit field of the block.
+* order 2: the id that followed the last two ids before in this block, with a confidence;
+* order 1: the counted followers of the last id;
+* order 0: the counted ids.
 
-File: groups one after another. Group: magic, sizes, document table (id, has id, tokens), block table
-(tokens, coded bytes, raw bytes, CRC-32), coded streams, raw fields.
+The share of the range each order gets is learned as the block is coded: for order 2, and for order 1
+against order 0, two adaptive estimates in different contexts (confidence; confidence with what
+order 1 knows of the last id; that alone; that with the orders that were right before) are mixed
+with a weight that follows its gradient. The id then takes the part of the share that its count has in
+the highest order that predicts it. No bits are stored beside the range coder's.
+
+The counts of orders 0 and 1 are those of the group (at most ``BLOCK * LANES`` ids); its header holds them,
+compressed, and every block starts from them. A follower is listed where it saves more bits than
+its entry takes, which every group decides from its own counts.
+
+File: groups one after another. Group: magic, sizes, header, document table (id, has id, tokens), block
+table (tokens, coded bytes, CRC-32), coded streams.
 
 Null text counts as empty; it has the end id only. Null ids come first; rows that repeat an id come in
-order of their text.
+order of their text. An empty table gives no rows. Texts of any length are coded whole, across
+blocks. Extra columns are ignored, whatever their names. Ids are unsigned 32-bit; a group may hold
+at most 2**17 different ones.
 """
 
 from __future__ import annotations
 
-import math
 import struct
 import zlib
 from collections.abc import Iterator
@@ -38,250 +46,401 @@ from corpusq.llm import sharedfs
 from corpusq.llm.common import work_path
 from corpusq.llm.tokens import encoder
 
-BLOCK, LEAST, LANES = 4096, 512, 2048
-MAGIC = b"CXR1"
-SLOTS = 2048
-_SQUASH = np.array([min(4095, max(1, round(4096 / (1 + math.exp(-x / 256))))) for x in range(-2047, 2048)], np.int32)
-_STRETCH = np.array([max(-2047, min(2047, round(256 * math.log((x + 0.5) / (4095.5 - x))))) for x in range(4096)], np.int32)
+BLOCK, LANES, _SLICE = 4096, 2048, 256
+MAGIC = b"CXM2"
+#: Slots of a lane's order-2 table, and the classes of what order 1 knows of an id.
+SLOTS, KNOWN = 4096, 16
+#: Bits, at least, that counts are scaled to; the bits a listed follower has to save.
+BITS, ENTRY = 14, 22
+_ALL, _TOP, _BOTTOM = (1 << 60) - 1, 1 << 44, 1 << 36
+
+
+def _scaled(n: np.ndarray, group: np.ndarray, groups: int, bits: int) -> np.ndarray:
+    """Counts scaled so that each group's sum is 2**bits, every count at least 1."""
+    total = np.bincount(group, n, groups)
+    size = np.bincount(group, minlength=groups)
+    room = (1 << bits) - size  # one for each entry, the rest by count
+    share = n * room[group] // np.maximum(total[group].astype(np.int64), 1)
+    left = room - np.bincount(group, share, groups).astype(np.int64)
+    # What rounding leaves goes to the first of the largest counts.
+    order = np.lexsort((np.arange(len(n)), -n, group))
+    first = np.flatnonzero(np.r_[True, group[order][1:] != group[order][:-1]]) if len(n) else order
+    share[order[first]] += left[group[order[first]]]
+    return share + 1
+
+
+def _packed(*parts: np.ndarray) -> bytes:
+    """Arrays of small unsigned integers, low and high bytes apart, deflated."""
+    planes = [p.astype("<u4").view(np.uint8).reshape(-1, 4)[:, k].tobytes() for p in parts for k in range(4)]
+    return struct.pack(f"<{len(parts)}I", *map(len, parts)) + zlib.compress(b"".join(planes), 6)
+
+
+def _unpacked(data: bytes, n: int) -> list[np.ndarray]:
+    sizes, body, at, found = struct.unpack_from(f"<{n}I", data), np.frombuffer(zlib.decompress(data[4 * n :]), np.uint8), 0, []
+    for size in sizes:
+        planes = body[at : at + 4 * size].reshape(4, size)
+        found.append(np.ascontiguousarray(planes.T).reshape(-1).view("<u4").astype(np.int64) if size else np.zeros(0, np.int64))
+        at += 4 * size
+    return found
 
 
-_TOP, _BOTTOM, _ALL = 1 << 48, 1 << 40, (1 << 56) - 1
+class Counts:
+    """Counts of orders 0 and 1 of a group. Symbols are the places of the group's ids in ascending order, plus one.
 
+    ``pairs``: last symbol << 17 | symbol of the listed followers, ascending. Symbol 0 stands before
+    a block's start and has no followers.
+    """
 
-class _Coder:
-    """Carryless range coder over lanes: 56-bit interval, 12-bit probabilities of a one.
+    def __init__(self, ids: np.ndarray, n0: np.ndarray, pairs: np.ndarray, n1: np.ndarray, known: np.ndarray):
+        self.ids, self.pairs, self.known = ids, pairs, known
+        self.bits = max(BITS, len(ids).bit_length() + 2)
+        self.kept = (n0, n1)
+        freq0 = np.r_[0, _scaled(n0, np.zeros(len(ids), np.int64), 1, self.bits)]
+        last = pairs >> 17
+        freq1 = _scaled(n1, last, len(ids) + 1, self.bits)
+        run = np.cumsum(freq1) - freq1
+        cum1 = run - run[np.searchsorted(last, last)] if len(run) else run
+        self.places = (last << self.bits) + cum1
+        self.slots = np.repeat(np.arange(len(freq0), dtype=np.int32), freq0)
+        # One table of parts: the listed followers, then the symbols of order 0, then the whole share.
+        self.freq = np.r_[freq1, freq0, 1 << self.bits]
+        self.cum = np.r_[cum1, np.cumsum(freq0) - freq0, 0]
+        self.followers = pairs & 0x1FFFF
+        self.order0, self.order2 = len(pairs), len(self.freq) - 1
+
+    @classmethod
+    def of(cls, ids: np.ndarray, n0: np.ndarray, grid: np.ndarray) -> tuple[Counts, np.ndarray]:
+        """The counts of a grid of symbols (steps by lanes, 0 where a lane has ended), and the part of each place."""
+        before = np.zeros_like(grid)
+        before[1:] = grid[:-1]
+        # Sorted slice by slice, so that temporary arrays stay small.
+        slices = []
+        for lane in range(0, grid.shape[1], _SLICE):
+            some = grid[:, lane : lane + _SLICE]
+            at = np.flatnonzero(some)
+            packed = np.zeros(some.shape, np.int64)
+            packed[1:] = some[:-1]
+            packed <<= 17
+            packed |= some
+            packed = packed.reshape(-1)[at] << 27
+            packed |= at
+            packed.sort()
+            key = packed >> 27
+            first = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
+            slices.append((key[first], np.diff(np.r_[first, len(key)]), (packed & ((1 << 27) - 1)).astype(np.int32)))
+        pair, which = np.unique(np.concatenate([x[0] for x in slices]), return_inverse=True)
+        n = np.bincount(which, np.concatenate([x[1] for x in slices])).astype(np.int64)
+        last, sym = pair >> 17, (pair & 0x1FFFF) - 1
+        n_last = np.bincount(last, n, len(ids) + 1)
+        gain = n * np.log2(n * float(n0.sum()) / np.maximum(n_last[last] * n0[sym], 1))
+        listed = (gain > ENTRY) & (last > 0)
+        # No list may be longer than its scale has room for.
+        rank = np.lexsort((-n, last))
+        place = np.empty(len(rank), np.int64)
+        run = last[rank]
+        place[rank] = np.arange(len(rank)) - np.searchsorted(run, run)
+        listed &= place < 1 << (BITS - 1)
+        part = np.where(listed, np.cumsum(listed) - 1, int(listed.sum()) + 1 + sym)
+        parts, seen = np.zeros(grid.shape, np.int32), 0
+        for lane, (key, each, at) in zip(range(0, grid.shape[1], _SLICE), slices):
+            some = np.zeros(parts[:, lane : lane + _SLICE].size, np.int32)
+            some[at] = np.repeat(part[which[seen : seen + len(key)]], each)
+            parts[:, lane : lane + _SLICE] = some.reshape(len(grid), -1)
+            seen += len(key)
+        share = np.bincount(last, n * listed, len(ids) + 1) / np.maximum(n_last, 1)
+        known = np.minimum((share * KNOWN).astype(np.int64), KNOWN - 1)
+        return cls(ids, n0, pair[listed], n[listed], known), parts
+
+    def dump(self) -> bytes:
+        n0, n1 = self.kept
+        last = self.pairs >> 17
+        per = np.bincount(last, minlength=len(self.ids) + 1)
+        sym = self.pairs & 0x1FFFF
+        step = np.diff(np.r_[0, sym])
+        new = np.r_[True, last[1:] != last[:-1]] if len(last) else np.zeros(0, bool)
+        step[new] = sym[new]
+        return _packed(np.diff(np.r_[0, self.ids]), n0, per, step, n1, self.known)
+
+    @classmethod
+    def load(cls, data: bytes) -> Counts:
+        gap, n0, per, step, n1, known = _unpacked(data, 6)
+        last = np.repeat(np.arange(len(per)), per)
+        run = np.cumsum(step)
+        first = np.cumsum(per) - per
+        base = np.r_[0, run][first]
+        return cls(np.cumsum(gap), n0, last << 17 | (run - base[last] if len(run) else run), n1, known)
 
-    After :meth:`settle` a lane's range is at least 2**40, enough for three decisions.
-    """
+
+class _Coder:
+    """Carryless range coder over lanes: 60-bit interval, output in 16-bit words."""
 
     def __init__(self, lanes: int, coded: list[bytes] | None = None):
         self.low, self.range = np.zeros(lanes, np.int64), np.full(lanes, _ALL, np.int64)
         self.at = np.zeros(lanes, np.int64)
         self.decoding = coded is not None
         if coded is None:
-            self.buf = np.zeros((lanes, 1 << 10), np.uint8)
+            self.buf = np.zeros((lanes, 1 << 9), np.uint16)
         else:
-            self.buf = np.zeros((lanes, max(map(len, coded), default=0) + 16), np.uint8)
+            self.buf = np.zeros((lanes, max((len(c) // 2 for c in coded), default=0) + 8), np.uint16)
             for i, c in enumerate(coded):
-                self.buf[i, : len(c)] = np.frombuffer(c, np.uint8)
+                self.buf[i, : len(c) // 2] = np.frombuffer(c, "<u2")
             self.code = np.zeros(lanes, np.int64)
-            for k in range(7):
-                self.code = self.code << 8 | self.buf[:, k]
-            self.at += 7
-
-    def settle(self, lane: np.ndarray) -> None:
-        """Moves out the bytes that no longer change."""
-        low, rng = self.low[lane], self.range[lane]
-        while True:
-            same = (low ^ (low + rng)) < _TOP
-            short = ~same & (rng < _BOTTOM)
-            if short.any():
-                rng[short] = -low[short] & (_BOTTOM - 1)
-                same |= short
-            if not same.any():
-                break
-            if not same.all():
-                self.low[lane], self.range[lane] = low, rng
-                lane, low, rng = lane[same], low[same], rng[same]
-            at = self.at[lane]
+            self.code = (self.buf[:, 0].astype(np.int64) << 44) | (self.buf[:, 1].astype(np.int64) << 28) | (self.buf[:, 2].astype(np.int64) << 12) | (self.buf[:, 3] >> 4)
+            self.at += 3
+        self.limit = self.buf.shape[1]
+
+    def settle(self, live: int) -> None:
+        """Moves out the words that no longer change in the first ``live`` lanes; ranges are 2**36 at least after it."""
+        low, rng = self.low[:live], self.range[:live]
+        lane = np.flatnonzero(((low ^ (low + rng)) < _TOP) | (rng < _BOTTOM))
+        while len(lane):
+            lo, r, at = self.low.take(lane), self.range.take(lane), self.at.take(lane)
+            apart = (lo ^ (lo + r)) >= _TOP
+            if apart.any():
+                r[apart] = -lo[apart] & (_BOTTOM - 1)
             if self.decoding:
-                self.code[lane] = (self.code[lane] << 8 & _ALL) | self.buf[lane, np.minimum(at, self.buf.shape[1] - 1)]
+                # The code holds 60 bits: the low 4 of a word come in now, its high 12 with the next.
+                word = self.buf[lane, np.minimum(at, self.limit - 2)].astype(np.int64) & 15
+                more = self.buf[lane, np.minimum(at + 1, self.limit - 1)].astype(np.int64) >> 4
+                self.code[lane] = ((self.code.take(lane) << 16) & _ALL) | word << 12 | more
             else:
-                if at.max() + 16 > self.buf.shape[1]:
+                if at.max() + 8 > self.limit:
                     self.buf = np.concatenate([self.buf, np.zeros_like(self.buf)], axis=1)
-                self.buf[lane, at] = low >> 48
+                    self.limit = self.buf.shape[1]
+                self.buf[lane, at] = lo >> 44
             self.at[lane] = at + 1
-            low, rng = low << 8 & _ALL, rng << 8
-            self.low[lane], self.range[lane] = low, rng
+            lo, r = (lo << 16) & _ALL, np.minimum(r << 16, _ALL)
+            self.low[lane], self.range[lane] = lo, r
+            more = ((lo ^ (lo + r)) < _TOP) | (r < _BOTTOM)
+            lane = lane[more]
 
     def finish(self) -> list[bytes]:
-        if len(self.at) and self.at.max() + 16 > self.buf.shape[1]:
-            self.buf = np.concatenate([self.buf, np.zeros((len(self.at), 16), np.uint8)], axis=1)
-        for k in range(7):
-            self.buf[np.arange(len(self.at)), self.at] = self.low >> (48 - 8 * k) & 255
+        if len(self.at) and self.at.max() + 8 > self.limit:
+            self.buf = np.concatenate([self.buf, np.zeros((len(self.at), 8), np.uint16)], axis=1)
+        lanes = np.arange(len(self.at))
+        for shift in (44, 28, 12):
+            self.buf[lanes, self.at] = self.low >> shift & 0xFFFF
             self.at += 1
-        return [self.buf[i, :n].tobytes() for i, n in enumerate(self.at)]
-
-
-class _Mixer:
-    """Three adaptive estimates per lane and decision, mixed with learned weights."""
-
-    def __init__(self, lanes: int, contexts: tuple[int, int, int], decisions: int):
-        self.size = contexts
-        self.p = [np.full(lanes * n, 1 << 15, np.uint16) for n in contexts]
-        self.w = [[np.full(lanes, 22000, np.int32) for _ in contexts] for _ in range(decisions)]
-
-    def code(self, coder: _Coder, lane: np.ndarray, which: int, at: list[np.ndarray], bit: np.ndarray | None) -> np.ndarray:
-        """Codes ``bit`` in each lane, or decodes it; ``at``: places of the estimates in their tables."""
-        w = self.w[which]
-        est = [t.take(i).astype(np.int32) for t, i in zip(self.p, at)]
-        st = [_STRETCH.take(e >> 4) for e in est]
-        mine = [x.take(lane) for x in w]
-        dot = mine[0] * st[0]
-        dot += mine[1] * st[1]
-        dot += mine[2] * st[2]
-        dot >>= 16
-        dot += 2047
-        p = _SQUASH.take(dot, mode="clip")
-        low, rng = coder.low.take(lane), coder.range.take(lane)
-        split = (rng >> 12) * p
-        if bit is None:
-            bit = (coder.code.take(lane) - low < split).astype(np.int32)
-        one = bit.astype(bool)
-        coder.low[lane] = np.where(one, low, low + split)
-        coder.range[lane] = np.where(one, split, rng - split)
-        err = ((bit << 12) - p) * 6
-        goal = bit * 65535
-        for k in range(3):
-            new = st[k] * err
-            new += 0x2000
-            new >>= 14
-            new += mine[k]
-            w[k][lane] = np.minimum(np.maximum(new, -170000), 170000)
-            goal_k = goal - est[k]
-            goal_k >>= 4
-            goal_k += est[k]
-            self.p[k][at[k]] = goal_k
-        return bit
-
-
-def _classes(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Class (6 bits) and number of low bits of ids below 2**17: 4 * exponent + the two bits below the top one."""
-    v = ids.astype(np.int64) + 4
-    low = np.maximum(np.frexp(v.astype(np.float64))[1] - 3, 0).astype(np.int64)
-    return ((low << 2) | ((v >> low) & 3)).astype(np.int64), low
+        self.buf[lanes, self.at] = (self.low & 0xFFF) << 4
+        return [self.buf[i, : n + 1].astype("<u2").tobytes() for i, n in enumerate(self.at)]
+
+
+#: What an order-2 entry's confidence becomes after a miss and after a hit, as differences, and whether the entry stays.
+_STEP = np.array([*((k >> 1) - k for k in range(8)), 1, 1, 1, 1, 1, 1, 1, 0], np.int64)
+_STAYS = np.array([*(k > 1 for k in range(8)), *[True] * 8])
+#: The bounds of an estimate, and the estimates every block starts with: order 2 by confidence, order 1 by the share it knows.
+_LEAST, _MOST, _HISTORY = 64, 64512, 9
+_START2 = np.array([512, 12000, 28000, 40000, 48000, 52000, 56000, 60000], np.int64)
+_START1 = np.array([(2 * k + 1) * 65536 // (2 * KNOWN) for k in range(KNOWN)], np.int64)
+
+
+class _Mix:
+    """Two adaptive 16-bit estimates per lane, mixed by a weight that learns which of them is nearer."""
+
+    def __init__(self, small: np.ndarray, large: np.ndarray, lanes: int):
+        self.tables = np.tile(small, lanes), np.tile(large, lanes)
+        self.weight = np.full(lanes, 1 << 14, np.int64)
+
+    def estimate(self, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+        self.at = i, j
+        self.a, self.b = self.tables[0].take(i), self.tables[1].take(j)
+        self.apart = self.b - self.a
+        p = self.apart * self.weight[: len(i)]
+        p >>= 15
+        p += self.a
+        return p
+
+    def learn(self, one: np.ndarray, held: np.ndarray | None = None) -> None:
+        """``one``: the outcome; where ``held`` is 0 rather than -1 nothing is learned."""
+        goal = one * (_MOST - _LEAST)
+        goal += _LEAST
+        nearer = (self.apart > 0) == one
+        weight = self.weight[: len(one)]
+        step = (nearer.astype(np.int64) << 15) - weight
+        step >>= 7
+        for table, at, old in zip(self.tables, self.at, (self.a, self.b)):
+            new = goal - old
+            new >>= 5
+            if held is not None:
+                new &= held
+            new += old
+            table[at] = new
+        if held is not None:
+            step &= held
+        weight += step
 
 
 class _Lanes:
-    """Coder, mixers and contexts of a group of blocks; ``sizes`` must not grow from lane to lane."""
+    """Coder and model of a group of blocks; ``sizes`` must not grow from lane to lane."""
 
-    def __init__(self, sizes: list[int], coded: list[bytes] | None = None):
+    def __init__(self, sizes: list[int], counts: Counts, coded: list[bytes] | None = None):
         n = len(sizes)
-        self.sizes = np.array(sizes, np.int64)
-        self.coder = _Coder(n, coded)
-        self.hit, self.tree = _Mixer(n, (64, 8, 2), 1), _Mixer(n, (64, 64 * 64, 256 * 64), 6)
-        self.next = [np.zeros(n * SLOTS, np.int32) for _ in range(2)]
-        self.sure = [np.zeros(n * SLOTS, np.uint8) for _ in range(2)]
-
-    def run(self, ids: np.ndarray | None, raw: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
-        """Codes ids (steps by lanes), or decodes them with the packed low bits ``raw`` (lanes by bytes).
-
-        Returns the ids and, for each, whether it missed.
-        """
-        n, steps = len(self.sizes), int(self.sizes.max(initial=0))
-        out, missed = np.zeros((steps, n), np.int32), np.zeros((steps, n), bool)
-        raw_at = np.zeros(n, np.int64)
-        a, b, ca, cb = (np.zeros(n, np.int64) for _ in range(4))
-        lanes = np.arange(n)
+        self.sizes, self.counts, self.coder = np.array(sizes, np.int64), counts, _Coder(n, coded)
+        self.table = np.zeros(n * SLOTS, np.int32)
+        self.second = _Mix(_START2, np.tile(_START2, KNOWN), n)
+        self.first = _Mix(_START1, np.repeat(_START1, _HISTORY), n)
+
+    def run(self, grid: np.ndarray | None, parts: np.ndarray | None) -> np.ndarray:
+        """Codes the symbols (steps by lanes) with their parts of orders 0 and 1, or decodes them."""
+        c, coder, table = self.counts, self.coder, self.table
+        n, steps, bits = len(self.sizes), int(self.sizes.max(initial=0)), c.bits
+        out = np.zeros((steps, n), np.int32)
+        known8, known9, freq, cum, top = c.known * 8, c.known * _HISTORY, c.freq, c.cum, (1 << bits) - 1
+        bounds = np.zeros((4, n), np.int64)  # order 1, order 0, order 2
+        bounds[3] = 65536
+        flat = bounds.reshape(-1)
+        lanes = np.arange(n, dtype=np.int64)
+        bases = [lanes * k for k in (SLOTS, 8, 8 * KNOWN, KNOWN, KNOWN * _HISTORY)]
+        a, past, kind, mark = (np.zeros(n, np.int64) for _ in range(4))
+        live = n
         for t in range(steps):
-            live = int(np.searchsorted(-self.sizes, -t, side="left"))
-            a, b, ca, cb, lane = a[:live], b[:live], ca[:live], cb[:live], lanes[:live]
-            base = lane * SLOTS
-            slots = [base + (a * 40503 >> 3) % SLOTS, base + ((a * 40503 + b * 30011) >> 2) % SLOTS]
-            (n1, n2), (c1, c2) = ([x.take(s) for x, s in zip(xs, slots)] for xs in (self.next, self.sure))
-            second = c2 > 0
-            guess = np.where(second, n2, n1)
-            want = None if ids is None else (ids[t, :live] == guess).astype(np.int32)
-            bit = self.hit.code(self.coder, lane, 0, [lane * 64 + c2 * 8 + c1, lane * 8 + c1, lane * 2 + second], want)
-            self.coder.settle(lane)
-            new = guess.copy() if ids is None else ids[t, :live]
-            miss = np.flatnonzero(bit == 0)
-            missed[t, miss] = True
-            if len(miss):
-                node = np.ones(len(miss), np.int64)
-                context = [miss * 64, (miss * 64 + ca[miss]) * 64, (miss * 256 + ((ca[miss] * 37 + cb[miss]) & 255)) * 64]
-                cls = None if ids is None else _classes(new[miss])[0]
-                for k in range(6):
-                    want = None if cls is None else (cls >> (5 - k) & 1).astype(np.int32)
-                    node = node * 2 + self.tree.code(self.coder, miss, k, [c + node for c in context], want)
-                    if k % 3 == 2:
-                        self.coder.settle(miss)
-                if ids is None:
-                    cls = node - 64
-                    low = cls >> 2
-                    # Low bits lie in the raw field, most significant first, in the order of the misses.
-                    first = raw_at[miss]
-                    byte = first >> 3
-                    window = np.zeros(len(miss), np.int64)
-                    for k in range(4):
-                        window = window << 8 | raw[miss, byte + k]
-                    value = window >> (32 - (first & 7) - low) & ((1 << low) - 1)
-                    new[miss] = (((4 | (cls & 3)) << low) | value) - 4
-                    raw_at[miss] += low
-            out[t, :live] = new
-            for table, sure, slot, old, conf in zip(self.next, self.sure, slots, (n1, n2), (c1, c2)):
-                right = old == new
-                firm = conf > 1
-                table[slot] = np.where(right | firm, old, new)
-                sure[slot] = np.where(right, np.minimum(conf + 1, 7), np.where(firm, conf >> 1, 1))
-            a, b, cb = new.astype(np.int64), a, ca
-            ca = _classes(a)[0]
-        return out, missed
-
-
-def encode_blocks(ids: np.ndarray, block: int | None = None) -> list[tuple[int, bytes, bytes, int]]:
-    """(tokens, coded, raw, crc32) of each block of the ids (below 2**17).
-
-    Unless given, the block's size fills the lanes: between ``LEAST`` and ``BLOCK``.
-    """
-    size = block or min(BLOCK, max(LEAST, -(-len(ids) // LANES)))
-    blocks = [ids[k : k + size] for k in range(0, len(ids), size)]
-    if not blocks:
-        return []
-    lanes = _Lanes([len(b) for b in blocks])
-    grid = np.zeros((len(blocks[0]), len(blocks)), np.int32)
-    for i, b in enumerate(blocks):
-        grid[: len(b), i] = b
-    _, missed = lanes.run(grid)
-    coded, found = lanes.coder.finish(), []
-    for i, b in enumerate(blocks):
-        left = b[missed[: len(b), i]].astype(np.int64)
-        _, low = _classes(left)
-        k = np.arange(17)
-        bits = ((left + 4)[:, None] >> np.maximum(low[:, None] - 1 - k, 0) & 1).astype(np.uint8)[k < low[:, None]]
-        found.append((len(b), coded[i], np.packbits(bits).tobytes(), zlib.crc32(b.astype("<u4").tobytes())))
-    return found
-
-
-def decode_blocks(blocks: list[tuple[int, bytes, bytes, int]]) -> np.ndarray:
-    """The ids; a block whose CRC differs raises ValueError."""
+            if self.sizes[live - 1] <= t:
+                live = int(np.searchsorted(-self.sizes, -t, side="left"))
+                lanes, a, past, kind, mark, *bases = (x[:live] for x in (lanes, a, past, kind, mark, *bases))
+            at = a * 5003
+            at += mark
+            at &= SLOTS - 1
+            at += bases[0]
+            entry = table.take(at).astype(np.int64)
+            guess, sure = entry >> 3, entry & 7
+            # The share of order 2, then what is left between orders 1 and 0.
+            know = known9.take(a)
+            wide = bases[2] + known8.take(a)
+            wide += sure
+            p = self.second.estimate(bases[1] + sure, wide)
+            wide = bases[4] + know
+            wide += past
+            know //= _HISTORY
+            know += bases[3]
+            q = self.first.estimate(know, wide)
+            rest = 65536 - p
+            q *= rest
+            q >>= 16
+            bounds[1, :live], bounds[2, :live] = q, rest
+            r = coder.range[:live] >> 16
+            low = coder.low[:live]
+            past = kind * 3
+            if grid is None:
+                code = coder.code[:live]
+                v = code - low
+                v //= r
+                hit = v >= rest
+                kind = (v >= q).astype(np.int64)
+                kind += hit
+            else:
+                sym, part = grid[t, :live].astype(np.int64), parts[t, :live]
+                hit = guess == sym
+                kind = np.where(hit, 2, part >= c.order0)
+            past += kind
+            place = kind * n
+            place += lanes
+            start = flat.take(place)
+            place += n
+            width = flat.take(place)
+            width -= start
+            start *= r
+            low += start
+            r *= width
+            r >>= bits
+            if grid is None:
+                v = code - low
+                v //= r
+                np.minimum(v, top, out=v)
+                np.maximum(v, 0, out=v)
+                sym = c.slots.take(v).astype(np.int64)
+                part = sym + c.order0
+                which = np.flatnonzero(kind == 0)
+                if len(which) and c.order0:
+                    key = a.take(which) << bits
+                    key += v.take(which)
+                    row = np.searchsorted(c.places, key, side="right") - 1
+                    np.maximum(row, 0, out=row)
+                    part[which], sym[which] = row, c.followers.take(row)
+                sym = np.where(hit, guess, sym)
+            part = np.where(hit, c.order2, part)
+            off = cum.take(part)
+            off *= r
+            low += off
+            r *= freq.take(part)
+            coder.range[:live] = r
+            coder.settle(live)
+            out[t, :live] = sym
+            # Learning; order 1 learns where order 2 missed.
+            self.second.learn(hit)
+            self.first.learn(kind == 0, hit.astype(np.int64) - 1)
+            state = hit.astype(np.int64)
+            state <<= 3
+            state += sure
+            entry += _STEP.take(state)
+            fresh = sym << 3
+            fresh += 1
+            table[at] = np.where(_STAYS.take(state), entry, fresh)
+            a, mark = sym, a * 1031
+        return out
+
+
+def encode_blocks(ids: np.ndarray, block: int = BLOCK) -> tuple[bytes, list[tuple[int, bytes, int]]]:
+    """The header of a group and (tokens, coded, crc32) of each of its blocks."""
+    if not len(ids):
+        return b"", []
+    if int(ids.max()) < 1 << 20:
+        count = np.bincount(ids)
+        distinct = np.flatnonzero(count)
+        n0, place = count[distinct], np.cumsum(count > 0)
+        sym = place[ids]
+    else:
+        distinct, sym, n0 = np.unique(ids, return_inverse=True, return_counts=True)
+        sym = sym + 1
+    if len(distinct) >= 1 << 17:
+        raise ValueError(f"a group has {len(distinct)} different ids, at most {(1 << 17) - 1} are possible")
+    n = -(-len(ids) // block)
+    grid = np.zeros(n * block, np.int32)
+    grid[: len(ids)] = sym
+    grid = np.ascontiguousarray(grid.reshape(n, block)[:, : min(block, len(ids))].T)
+    sizes = [min(block, len(ids) - k) for k in range(0, len(ids), block)]
+    counts, parts = Counts.of(distinct.astype(np.int64), n0, grid)
+    lanes = _Lanes(sizes, counts)
+    lanes.run(grid, parts)
+    raw = ids.astype("<u4").tobytes()
+    crcs = [zlib.crc32(raw[4 * k : 4 * (k + block)]) for k in range(0, len(ids), block)]
+    return counts.dump(), list(zip(sizes, lanes.coder.finish(), crcs))
+
+
+def decode_blocks(header: bytes, blocks: list[tuple[int, bytes, int]]) -> np.ndarray:
+    """The ids of some blocks of a group, largest first; a block whose CRC differs raises ValueError."""
     if not blocks:
         return np.zeros(0, np.int64)
-    lanes = _Lanes([b[0] for b in blocks], [b[1] for b in blocks])
-    # Damaged streams may ask for more low bits than there are: two bytes for every id are enough.
-    raw = np.zeros((len(blocks), max(max(len(b[2]) for b in blocks), 2 * blocks[0][0]) + 8), np.uint8)
-    for i, b in enumerate(blocks):
-        raw[i, : len(b[2])] = np.frombuffer(b[2], np.uint8)
-    out, _ = lanes.run(None, raw)
-    parts = [out[: b[0], i] for i, b in enumerate(blocks)]
+    counts = Counts.load(header)
+    out = _Lanes([b[0] for b in blocks], counts, [b[1] for b in blocks]).run(None, None)
+    found = np.r_[0, counts.ids].take(out, mode="clip")
+    parts = [found[: b[0], i].astype("<u4") for i, b in enumerate(blocks)]
     for i, (p, b) in enumerate(zip(parts, blocks)):
-        if zlib.crc32(p.astype("<u4").tobytes()) != b[3]:
+        if zlib.crc32(p.tobytes()) != b[2]:
             raise ValueError(f"block {i}: checksum differs")
-    return np.concatenate(parts)
+    return np.concatenate(parts).astype(np.int64)
 
 
 def write_group(f: BinaryIO, docs: list[tuple[int | None, bytes]]) -> int:
     """Appends a group of (doc id, ids as little-endian 32-bit); returns its bytes."""
-    ids = np.frombuffer(b"".join(x for _, x in docs), "<u4")
-    blocks = encode_blocks(ids)
+    header, blocks = encode_blocks(np.frombuffer(b"".join(x for _, x in docs), "<u4"))
     table = np.array([(d or 0, d is not None, len(x) // 4) for d, x in docs], "<i8").tobytes()
-    index = np.array([(n, len(c), len(r), crc) for n, c, r, crc in blocks], "<u4").tobytes()
-    head = MAGIC + struct.pack("<QQ", len(docs), len(blocks))
-    whole = b"".join([head, table, index, *(b[1] for b in blocks), *(b[2] for b in blocks)])
+    index = np.array([(n, len(c), crc) for n, c, crc in blocks], "<u4").tobytes()
+    head = MAGIC + struct.pack("<QQQ", len(docs), len(blocks), len(header))
+    whole = b"".join([head, header, table, index, *(b[1] for b in blocks)])
     f.write(whole)
     return len(whole)
 
 
 def read_groups(f: BinaryIO) -> Iterator[tuple[int | None, np.ndarray]]:
     """(doc id, ids) of every document of a file, group by group."""
-    while head := f.read(20):
+    while head := f.read(28):
         if head[:4] != MAGIC:
             raise ValueError("not a token file")
-        n_docs, n_blocks = struct.unpack("<QQ", head[4:])
+        n_docs, n_blocks, n_header = struct.unpack("<QQQ", head[4:])
+        header = f.read(n_header)
         table = np.frombuffer(f.read(24 * n_docs), "<i8").reshape(-1, 3)
-        index = np.frombuffer(f.read(16 * n_blocks), "<u4").reshape(-1, 4).tolist()
-        coded = [f.read(x[1]) for x in index]
-        ids = decode_blocks([(x[0], c, f.read(x[2]), x[3]) for x, c in zip(index, coded)])
+        index = np.frombuffer(f.read(12 * n_blocks), "<u4").reshape(-1, 3).tolist()
+        ids = decode_blocks(header, [(n, f.read(size), crc) for n, size, crc in index])
         at = 0
         for d, there, n in table.tolist():
             yield (d if there else None), ids[at : at + n]

@@ -4,6 +4,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow.parquet as pq
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -14,27 +15,72 @@ from corpusq.llm import range_coder as R
 PATH = public_tokenizers.path("word_bpe_49k.json")
 
 
-@given(st.lists(st.one_of(st.integers(0, 5), st.integers(0, 2**17 - 5)), max_size=300), st.integers(1, 40))
+def decoded(ids, block=R.BLOCK):
+    return R.decode_blocks(*R.encode_blocks(np.asarray(ids, np.int64), block))
+
+
+@given(st.lists(st.one_of(st.integers(0, 5), st.integers(0, 2**17), st.integers(2**32 - 9, 2**32 - 1)), max_size=300), st.integers(1, 40), st.sampled_from([7, 64, R.BLOCK]))
 @settings(max_examples=25, deadline=None, database=None, derandomize=True)
-def test_round_trip(ids, copies):
+def test_round_trip(ids, copies, block):
     ids = np.array(ids * copies, np.int64)
-    assert (R.decode_blocks(R.encode_blocks(ids)) == ids).all()
+    assert (decoded(ids, block) == ids).all()
+
+
+def test_one_id_and_equal_ids():
+    for ids in ([5], [0] * 9000, [1, 2] * 5000):
+        assert decoded(ids).tolist() == ids
 
 
 def test_repeats_shrink():
     ids = np.tile(np.arange(40000, 40040), 400)
-    blocks = R.encode_blocks(ids, 4096)
+    header, blocks = R.encode_blocks(ids)
     assert [b[0] for b in blocks] == [4096, 4096, 4096, 3712]
-    assert sum(len(b[1]) + len(b[2]) for b in blocks) < len(ids) // 8
+    assert sum(len(b[1]) for b in blocks) + len(header) < len(ids) // 8
+
+
+def test_fewer_bits_than_order_0():
+    """Header included, below the entropy of the ids on their own, and below half of it where the last id tells much."""
+    rng = np.random.default_rng(3)
+    likely = rng.zipf(1.3, 200_000) % 3000
+    after = rng.integers(0, 3000, (3000, 4))
+    follow, pick = rng.random(len(likely)) < 0.8, rng.integers(0, 4, len(likely))
+    for k in range(1, len(likely)):
+        if follow[k]:
+            likely[k] = after[likely[k - 1], pick[k]]
+    p = np.bincount(likely) / len(likely)
+    entropy = -(p[p > 0] * np.log2(p[p > 0])).sum()
+    header, blocks = R.encode_blocks(likely)
+    bits = 8 * (len(header) + sum(len(b[1]) for b in blocks)) / len(likely)
+    assert bits < 0.75 * entropy
+
+
+def test_tables_text_beats_order_0_and_deflate():
+    texts = pq.read_table("/root/testdata/sf0.001/documents.parquet").column("text").to_pylist()
+    lib = Tokenizer.from_file(PATH)
+    ids = np.concatenate([np.array(lib.encode(t or "", add_special_tokens=False).ids + [1]) for t in texts])
+    p = np.bincount(ids) / len(ids)
+    header, blocks = R.encode_blocks(ids)
+    size = len(header) + sum(len(b[1]) for b in blocks)
+    assert 8 * size / len(ids) < -(p[p > 0] * np.log2(p[p > 0])).sum()
+    assert size < len(zlib.compress(ids.astype("<u2").tobytes(), 9))
 
 
 def test_blocks_stand_alone_and_are_checked():
     ids = np.random.default_rng(2).integers(0, 49408, 9000)
-    blocks = R.encode_blocks(ids)
-    assert (R.decode_blocks(blocks[1:2]) == ids[512:1024]).all()
-    n, coded, raw, crc = blocks[0]
+    header, blocks = R.encode_blocks(ids)
+    assert (R.decode_blocks(header, blocks[1:2]) == ids[4096:8192]).all()
+    n, coded, crc = blocks[0]
     with pytest.raises(ValueError):
-        R.decode_blocks([(n, coded[:50] + bytes([coded[50] ^ 1]) + coded[51:], raw, crc)])
+        R.decode_blocks(header, [(n, coded[:50] + bytes([coded[50] ^ 1]) + coded[51:], crc)])
+
+
+def test_a_very_long_text(spark):
+    """One document over many blocks."""
+    text = " ".join(f"w{k % 977} x{k % 13}" for k in range(60_000))
+    row = R.round_trip(spark.createDataFrame([(1, text)], "doc_id long, text string"), PATH).collect()
+    ids = Tokenizer.from_file(PATH).encode(text, add_special_tokens=False).ids + [1]
+    assert len(ids) > 20 * R.BLOCK
+    assert [tuple(r) for r in row] == [(1, 0, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes()))]
 
 
 def test_groups():
