@@ -1,41 +1,48 @@
 """Best-fit packing of token pieces into sequences, bulk-synchronously.
 
-1. One pass encodes the documents and cuts those over ``size`` tokens; the first piece is the
-   shorter one. Only lengths go on, the ids are not moved.
-2. Pieces are range-sorted by length (ties by id and piece) and numbered within their length: a
-   running number per partition, plus the counts of the partitions before.
-3. Rounds match pieces to gaps. Pieces of a length are interchangeable, and so are gaps of a size:
-   both sorted sides are kept run-length encoded, at most ``size`` classes whatever the corpus
-   holds. A round takes the longest class not yet placed; its successor sweep goes up the gap
-   classes from the first that fits. Where more pieces than gaps meet in a class, ranks decide:
-   the lower ranks go to the lower-numbered gaps, the rest on to the next class, and at the end to
-   new sequences. Gaps are updated, the next round begins. This yields best-fit decreasing.
-4. Each piece finds its sequence from its rank in the plan, in parallel.
-
-The plan's size depends on ``size`` alone. The counts sent to the driver number at most the
-partitions plus ``size``.
+One pass encodes the documents and cuts those over ``size`` tokens; the first piece is the shorter one.
+Only lengths go on, the ids are not moved. Pieces of ``size`` tokens are sequences of their own. The
+others and the gaps are rows of tables, and rounds match them:
+
+1. Gaps at least twice as long as the longest piece left are offered in that many parts. Gaps and
+   pieces are range-sorted together, longest first, gaps before pieces of the same length.
+2. The successor sweep takes them in that order: every piece wants the smallest gap above it that is
+   still free. Each partition knows how many gaps and pieces it holds of each length; a running
+   count over these runs (at most partitions plus two for each length) tells how many gaps are free
+   before each run.
+3. Conflicts are resolved by rank: the gaps of a length take the levels above the free ones, the pieces
+   of a length the free levels from the top, in the order of their ranks. On each level gaps and
+   pieces take turns, so a piece gets the last gap before it there; pieces for which no level is
+   left wait. Levels are spread over the cluster; one holds two rows a length at most.
+4. Matched gaps shrink and used up ones go; the round's table is stored, and the next one reads what is
+   left in it. Where pieces are longer than any gap, new sequences are opened first: as many as those
+   pieces need at least.
+
+At the end the pieces of each sequence follow one another, longest first. Tests hold the number
+of sequences against best-fit decreasing, one piece at a time. There are a few rounds, whatever the
+number of rows; for each the driver sees how many pieces and gaps there are of each length, at most
+``2 * size`` numbers.
 
 Null text counts as empty: one piece, the end id. Null and repeated ids are kept, each row with its
-own pieces. Extra columns are ignored.
+own pieces. Extra columns are ignored, whatever their names. An empty table gives no rows.
 """
 
 from __future__ import annotations
 
 import zlib
-from bisect import bisect_right
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from corpusq.llm.common import stored
+from corpusq.llm.common import discard, stored
 from corpusq.llm.tokens import encoder
 
 SIZE = 1024
-#: (first rank, pieces per sequence, first sequence, offset in the sequence)
-Run = tuple[int, int, int, int]
+#: Rows a task sorts in a round.
+EACH = 200_000
 
 
 def cuts(n: int, size: int = SIZE) -> list[tuple[int, int]]:
@@ -61,109 +68,83 @@ def pieces(docs: DataFrame, path: str, end_id: int, size: int = SIZE, id_col: st
     return rows.mapInArrow(run, "_id long, piece int, start long, length long, ids_crc32 long")
 
 
-def ranked(rows: DataFrame) -> DataFrame:
-    """Range-sorted by length; part and number count a row within its partition and length."""
-    order = [F.col("length").desc(), F.col("_id"), F.col("piece"), F.col("ids_crc32")]
+def offered(gaps: DataFrame, longest: int) -> DataFrame:
+    """The gaps (id, size) as rows to match: size, kind 0, id, whole; long ones in equal parts."""
+    parts = F.greatest(F.lit(1), F.floor(F.col("size") / longest)).cast("int")
+    each = gaps.select("id", F.col("size").alias("whole"), parts.alias("k"), F.explode(F.sequence(F.lit(1), parts)))
+    return each.select(F.floor(F.col("whole") / F.col("k")).cast("int").alias("size"), F.lit(0).alias("kind"), "id", "whole")
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen = np.zeros(0, np.int64)
-        for b in batches:
-            length = b.column("length").to_numpy()
-            if not len(length):
-                continue
-            if length.max() >= len(seen):
-                seen = np.concatenate([seen, np.zeros(length.max() + 1 - len(seen), np.int64)])
-            new = np.r_[True, length[1:] != length[:-1]]
-            first = np.flatnonzero(new)
-            number = np.arange(len(length)) - np.repeat(first, np.diff(np.r_[first, len(length)])) + seen[length]
-            np.add.at(seen, length, 1)
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(number, pa.int64())], [*b.schema.names, "number"])
-
-    sorted_rows = rows.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("part", F.spark_partition_id())
-    return sorted_rows.mapInArrow(run, "_id long, piece int, start long, length long, ids_crc32 long, part int, number long")
-
-
-def sweep(length: int, count: int, gaps: dict[int, list[tuple[int, int]]], free: int, size: int) -> tuple[list[Run], int]:
-    """One round: ``count`` pieces of ``length`` into ``gaps`` (size to runs of (first sequence, number)).
-
-    Returns the placements and the first unused sequence number. A sequence is filled while the
-    piece fits: its smaller gap stays the best fit.
+
+def sweep(gaps: DataFrame, pieces: DataFrame, parts: int) -> DataFrame:
+    """One round over gaps (size, kind 0, id, whole) and pieces (size, kind 1, id).
+
+    The same rows with their partner (by_id, by_size), null where they have none.
     """
-    placed: list[Run] = []
-    moved: list[tuple[int, tuple[int, int]]] = []
-    rank = 0
-
-    def put(first: int, bins: int, each: int, gap: int) -> None:
-        nonlocal rank
-        placed.append((rank, each, first, size - gap))
-        rank += bins * each
-        moved.append((gap - each * length, (first, bins)))
-
-    for gap in sorted(g for g in gaps if g >= length):
-        runs = gaps.pop(gap)
-        while runs and rank < count:
-            first, bins = runs.pop(0)
-            each, left = gap // length, count - rank
-            whole = min(bins, left // each)
-            if whole:
-                put(first, whole, each, gap)
-            if whole < bins:
-                if rest := count - rank:
-                    put(first + whole, 1, rest, gap)
-                    whole += 1
-                if whole < bins:
-                    runs.insert(0, (first + whole, bins - whole))
-        if runs:
-            gaps[gap] = runs
-        if rank >= count:
+    rows = gaps.unionByName(pieces.withColumn("whole", F.lit(None).cast("int")))
+    order = [F.col("size").desc(), F.col("kind"), F.col("id")]
+    rows = rows.repartitionByRange(parts, *order).sortWithinPartitions(*order)
+    rows = stored(rows.withColumn("at", F.monotonically_increasing_id()).withColumn("part", F.spark_partition_id()), "pack-sorted")
+    runs = rows.groupBy("part", "size", "kind").agg(F.min("at").alias("first"), F.count(F.lit(1)).alias("n"))
+    # Bounded: a row for each partition and for each length and kind.
+    before = Window.orderBy(F.col("size").desc(), "kind", "part").rowsBetween(Window.unboundedPreceding, -1)
+    more = F.when(F.col("kind") == 0, F.col("n")).otherwise(-F.col("n"))
+    runs = runs.withColumn("sum", F.coalesce(F.sum(more).over(before), F.lit(0)))
+    runs = runs.withColumn("free", F.col("sum") - F.least(F.lit(0), F.coalesce(F.min("sum").over(before), F.lit(0)), F.col("sum")))
+    number = F.col("at") - F.col("first")
+    level = F.when(F.col("kind") == 0, F.col("free") + number + 1).otherwise(F.col("free") - number)
+    placed = rows.join(F.broadcast(runs.select("part", "size", "kind", "first", "free")), ["part", "size", "kind"])
+    placed = placed.select("size", "kind", "id", "whole", level.alias("level"))
+    turn = Window.partitionBy("level").orderBy(F.col("size").desc(), "kind")
+    gap = F.col("kind") == 0
+    met = placed.where("level > 0").repartition(parts, "level").withColumn("next", F.lead("kind").over(turn))
+    by = {c: F.when(gap & (F.col("next") == 1), F.lead(c).over(turn)).when(~gap, F.lag(c).over(turn)) for c in ("id", "size")}
+    met = met.select("size", "kind", "id", "whole", by["id"].alias("by_id"), by["size"].alias("by_size"))
+    none = placed.where("level <= 0").select("size", "kind", "id", "whole", F.lit(None).cast("long").alias("by_id"), F.lit(None).cast("int").alias("by_size"))
+    found = stored(met.unionByName(none), "pack-met")
+    discard(rows)
+    return found
+
+
+def matched(pieces: DataFrame, size: int = SIZE) -> DataFrame:
+    """(id, seq) of every piece (id, size below ``size``); sequences are numbered from -1 downwards."""
+    spark = pieces.sparkSession
+    left, gaps = pieces.select("size", F.lit(1).alias("kind"), "id"), spark.createDataFrame([], "id long, size int")
+    opened, rounds = 0, []
+    while True:
+        both = left.select("kind", "size").unionByName(gaps.select(F.lit(0).alias("kind"), "size"))
+        count = {(r.kind, r["size"]): r["count"] for r in both.groupBy("kind", "size").count().collect()}
+        wants, has = {n: c for (k, n), c in count.items() if k}, {n: c for (k, n), c in count.items() if not k}
+        if not wants:
             break
-    if left := count - rank:
-        each = size // length
-        if whole := left // each:
-            put(free, whole, each, size)
-            free += whole
-        if rest := left % each:
-            put(free, 1, rest, size)
-            free += 1
-    for gap, run in moved:
-        if gap:
-            gaps.setdefault(gap, []).append(run)
-    return placed, free
-
-
-def plan(counts: dict[int, int], size: int = SIZE) -> tuple[dict[int, list[Run]], int]:
-    """All rounds, longest class first: placements per length, and the number of sequences."""
-    gaps: dict[int, list[tuple[int, int]]] = {}
-    found, free = {}, 0
-    for length in sorted(counts, reverse=True):
-        found[length], free = sweep(length, counts[length], gaps, free, size)
-    return found, free
+        widest, longest, n_gaps = max(has, default=0), max(wants), sum(has.values())
+        hopeless = {n: c for n, c in wants.items() if n > widest}
+        if hopeless:
+            new = max(-(-sum(n * c for n, c in hopeless.items()) // size), -(-sum(hopeless.values()) // (size // min(hopeless))))
+            gaps = gaps.unionByName(spark.range(opened + 1, opened + new + 1).select((-F.col("id")).alias("id"), F.lit(size).alias("size")))
+            opened, n_gaps, widest = opened + new, n_gaps + new, size
+        met = sweep(offered(gaps, longest), left, -(-(sum(wants.values()) + n_gaps) // EACH))
+        rounds.append(met)
+        left = met.where("kind = 1 AND by_id IS NULL").select("size", "kind", "id")
+        rest = met.where("kind = 0").select("id", F.col("whole").alias("size"), F.coalesce("by_size", F.lit(0)).alias("used"))
+        if widest >= 2 * longest:  # some were offered in parts
+            rest = rest.groupBy("id").agg(F.max("size").alias("size"), F.sum("used").alias("used"))
+        gaps = rest.select("id", (F.col("size") - F.col("used")).cast("int").alias("size")).where("size > 0")
+    found = spark.createDataFrame([], "id long, seq long")
+    for met in rounds:
+        found = found.unionByName(met.where("kind = 1 AND by_id IS NOT NULL").select("id", F.col("by_id").alias("seq")))
+    found = stored(found, "pack-placed")
+    for met in rounds:
+        discard(met)
+    return found
 
 
 def pack(docs: DataFrame, path: str, end_id: int = 2, size: int = SIZE, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per piece: id, piece, start, length, ids_crc32, sequence_id, offset."""
-    spark = docs.sparkSession
-    rows = stored(ranked(stored(pieces(docs, path, end_id, size, id_col, text_col), "pack-pieces")), "pack-ranked")
-    counts = rows.groupBy("part", "length").agg(F.count(F.lit(1)).alias("n")).collect()
-    total: dict[int, int] = {}
-    base: dict[tuple[int, int], int] = {}
-    for r in sorted(counts, key=lambda r: (r.length, r.part)):
-        base[r.part, r.length] = total.get(r.length, 0)
-        total[r.length] = total.get(r.length, 0) + r.n
-    runs, _ = plan(total, size)
-    known = spark.sparkContext.broadcast((base, {n: ([r[0] for r in v], v) for n, v in runs.items()}))
-
-    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        base, runs = known.value
-        for b in batches:
-            seq, off = [], []
-            for part, n, k in zip(*(b.column(c).to_pylist() for c in ("part", "length", "number"))):
-                rank = base[part, n] + k
-                first, each, start, at = runs[n][1][bisect_right(runs[n][0], rank) - 1]
-                seq.append(start + (rank - first) // each)
-                off.append(at + (rank - first) % each * n)
-            keep = [b.column(c) for c in ("_id", "piece", "start", "length", "ids_crc32")]
-            yield pa.RecordBatch.from_arrays([*keep, pa.array(seq, pa.int64()), pa.array(off, pa.int64())], ["_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"])
-
-    placed = rows.mapInArrow(place, "_id long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long")
-    return placed.withColumnRenamed("_id", id_col)
+    rows = pieces(docs, path, end_id, size, id_col, text_col).withColumn("id", F.monotonically_increasing_id())
+    rows = stored(rows, "pack-pieces")
+    placed = matched(rows.where(F.col("length") < size).select("id", F.col("length").cast("int").alias("size")), size)
+    within = Window.partitionBy("seq").orderBy(F.col("length").desc(), "id").rowsBetween(Window.unboundedPreceding, -1)
+    short = rows.join(placed, "id").withColumn("offset", F.coalesce(F.sum("length").over(within), F.lit(0)))
+    whole = rows.where(F.col("length") == size).select("*", F.col("id").alias("seq"), F.lit(0).cast("long").alias("offset"))
+    result = short.unionByName(whole.select(short.columns))
+    return result.select(F.col("_id").alias(id_col), "piece", "start", "length", "ids_crc32", F.col("seq").alias("sequence_id"), "offset")
