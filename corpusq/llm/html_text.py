@@ -1,18 +1,28 @@
 """Main text of a web page from the standard library's streaming parser.
 
 Parser events become lines: the text between block-level tags, with its number of tags. Each line
-gets its text-to-tag ratio; the ratios are smoothed with a Gaussian; lines at or above the mean
-smoothed ratio form the content cluster. The cluster's lines vote, by their length, for the elements
-around them; the content region is the ``article`` or ``main`` with most votes, or else the deepest
-element that holds most of them. Of a marked region every line is returned; of an unmarked one those
-from the first to the last line of the cluster, with the headings just before. Left out everywhere are
-navigation, page headers, footers, asides, forms, scripts, styles, and elements whose class, id or
-role names an advert, notice, menu, comment section and the like.
+gets its text-to-tag ratio, that of characters outside links; the ratios are smoothed with a Gaussian;
+lines at or above the mean smoothed ratio form the content cluster. The cluster chooses in three
+steps, whatever the elements are called:
+
+* its lines vote, by their length, for the elements around them: the content region is the deepest
+  element that holds most of the votes;
+* where that element lies in an ``article`` or ``main``, the region grows to it, so that headlines and
+  short last lines stay; where several of these lie in the region, it shrinks to the one with most
+  votes; where none does, one elsewhere with ``PART`` of the votes takes its place. Without such an element the region runs from the first to the last line of the cluster,
+  with the headings just before;
+* within the region, runs of at least ``RUN`` lines outside the cluster go if their text is mostly links:
+  menus and lists of links that no name marks.
+
+Names help with what ratios cannot tell: left out everywhere are navigation, page headers, footers,
+asides, forms, scripts, styles, and elements whose class, id or role names an advert, notice, menu,
+comment section and the like.
 
 Character references are decoded; white space within a line becomes one space; lines are joined by
 ``\\n`` in page order; nothing is capped. Null or empty html, and pages without text, give "". Unclosed
 tags are closed by what follows, as browsers do. Repeated rows and null ids are kept, extra columns
-ignored.
+ignored, whatever their names; an empty table gives no rows; pages of any length and nesting are
+read whole, in linear time.
 """
 
 from __future__ import annotations
@@ -26,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-SIGMA, RADIUS, SHARE = 1.0, 2, 0.6
+SIGMA, RADIUS, SHARE, PART, RUN, LINKS = 1.0, 2, 0.6, 0.25, 3, 0.8
 #: HTML element names by their role here.
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 HEADINGS = set("h1 h2 h3 h4 h5 h6".split())
@@ -54,7 +64,7 @@ _PART = re.compile("[A-Za-z]+")
 
 
 class _Lines(HTMLParser):
-    """Collects (text, tags, element, dropped, heading) per line; element: the number of the innermost open one, -1 if none.
+    """Collects (text, tags, element, dropped, heading, characters in links) per line; element: the number of the innermost open one, -1 if none.
 
     Elements are numbered in page order, so a parent's number is smaller than its children's.
     """
@@ -64,21 +74,21 @@ class _Lines(HTMLParser):
         self.open: list[tuple[str, int, int]] = []  # name, number, dropped: 0 no, 1 yes, 2 replies
         self.names: list[str] = []
         self.parents: list[int] = []
-        self.lines: list[tuple[str, int, int, bool, bool]] = []
+        self.lines: list[tuple[str, int, int, bool, bool, int]] = []
         self.regions = self.headings = 0  # open ones
         self.count: dict[str, int] = {}  # open elements by name
         self.blocks: list[int] = []  # places of the open block elements
         self.text: list[str] = []
-        self.tags = 0
+        self.tags = self.linked = 0
         self.off = 0
 
     def flush(self) -> None:
         if self.text:
             line = " ".join("".join(self.text).split())
             if line:
-                self.lines.append((line, self.tags, self.open[-1][1] if self.open else -1, self.off > 0, self.headings > 0))
+                self.lines.append((line, self.tags, self.open[-1][1] if self.open else -1, self.off > 0, self.headings > 0, min(self.linked, len(line))))
             self.text = []
-        self.tags = 0
+        self.tags = self.linked = 0
 
     def pop(self, at: int) -> None:
         for x in self.open[at:]:
@@ -162,10 +172,11 @@ class _Lines(HTMLParser):
                 return
 
     def handle_data(self, data: str) -> None:
-        if not self.off:
-            self.text.append(data)
-        elif self.open[-1][0] not in ("script", "style") and not data.isspace():
-            self.text.append(data)
+        if self.off and (self.open[-1][0] in ("script", "style") or data.isspace()):
+            return
+        self.text.append(data)
+        if self.count.get("a"):
+            self.linked += len(" ".join(data.split()))
 
 
 _KERNEL = [math.exp(-(k * k) / (2 * SIGMA * SIGMA)) for k in range(-RADIUS, RADIUS + 1)]
@@ -190,7 +201,7 @@ def main_text(html: str | None) -> str:
     lines = parser.lines
     if not lines:
         return ""
-    ratio = smoothed([len(t) / max(1, tags) for t, tags, *_ in lines])
+    ratio = smoothed([(len(x[0]) - x[5]) / max(1, x[1]) for x in lines])
     cut = sum(ratio) / len(ratio)
     free = [i for i, x in enumerate(lines) if not x[3]]
     cluster = [i for i in free if ratio[i] >= cut] or free
@@ -213,25 +224,50 @@ def main_text(html: str | None) -> str:
             found[e] = e == region or found[parents[e]]
         return found
 
-    votes, text = held(cluster), held(free)
-    marked = [e for e in range(len(names)) if names[e] in REGIONS and text[e]]
-    if marked:
-        # Most votes (an article of short lines only may have none), then most text; of nested ones the inner,
-        # as long as it holds most of the votes.
-        region = max(marked, key=lambda e: (votes[e], text[e], e))
+    votes = held(cluster)
+    total = votes[-1]
+    region = max((e for e in range(len(names)) if votes[e] >= SHARE * total and names[e] not in ("p", *HEADINGS)), default=-1)
+    around = region
+    while around >= 0 and names[around] not in REGIONS:
+        around = parents[around]
+    inside = within(region) if region >= 0 else [True] * (len(names) + 1)
+    named = [e for e in range(len(names)) if names[e] in REGIONS and votes[e]]
+    marked = [e for e in named if inside[e]] or [e for e in named if votes[e] >= PART * total]
+    if around >= 0:
+        region, inside = around, within(around)
+    elif marked:
+        # Of nested ones the inner, as long as it holds most of the votes.
+        region = max(marked, key=lambda e: (votes[e], -e))
         inside = within(region)
         for e in marked:
-            if e > region and inside[e] and votes[e] >= SHARE * votes[region] > 0:
+            if e > region and inside[e] and votes[e] >= SHARE * votes[region]:
                 region, inside = e, within(e)
-        return "\n".join(lines[i][0] for i in free if inside[lines[i][2]])
-    total = sum(len(lines[i][0]) for i in cluster)
-    region = max((e for e in range(len(names)) if votes[e] >= SHARE * total and names[e] not in ("p", *HEADINGS)), default=None)
-    inside = within(region) if region is not None else [True] * (len(names) + 1)
-    first, last = cluster[0], cluster[-1]
-    while first and lines[first - 1][4] and not lines[first - 1][3]:
-        first -= 1
-    chosen = [i for i in free if first <= i <= last and inside[lines[i][2]]]
-    return "\n".join(lines[i][0] for i in chosen)
+    chosen = [i for i in free if inside[lines[i][2]]]
+    if around < 0 and not marked:
+        first, last = cluster[0], cluster[-1]
+        while first and lines[first - 1][4] and not lines[first - 1][3]:
+            first -= 1
+        chosen = [i for i in chosen if first <= i <= last]
+    return "\n".join(lines[i][0] for i in unlinked(lines, chosen, set(cluster)))
+
+
+def unlinked(lines: list[tuple], chosen: list[int], cluster: set[int]) -> list[int]:
+    """The chosen lines without their runs outside the cluster that are mostly links.
+
+    Smoothing lifts the first and last line of such a run into the cluster; they count as links all the same.
+    """
+    kept, run = [], []
+    for i in [*chosen, None]:
+        if i is not None and not lines[i][4] and (i not in cluster or lines[i][5] >= LINKS * len(lines[i][0])):
+            run.append(i)
+            continue
+        low = any(k not in cluster for k in run)
+        if len(run) < RUN or not low or sum(lines[k][5] for k in run) < LINKS * sum(len(lines[k][0]) for k in run):
+            kept += run
+        run = []
+        if i is not None:
+            kept.append(i)
+    return kept
 
 
 def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
