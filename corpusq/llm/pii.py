@@ -1,7 +1,9 @@
 """Personal data: patterns propose spans, checksums confirm them, context words adjust the score.
 
 DataFrame operations only. A pattern's matches and the pieces between them give the code point
-offsets: ``split`` and ``regexp_extract_all`` walk the same matches, so the lengths add up.
+offsets: ``split`` and ``regexp_extract_all`` walk the same matches, and a running sum by doubling
+steps adds their lengths up. What stands at an offset is read from blocks of the text, so the time
+grows with the text, times the logarithm of the number of matches, however many there are.
 
 Kinds in their fixed order: email, ip, card, phone (the base: every confirmed match counts) and the
 added ones iban (mod-97) and ssn (needs a context word). An added span must score ``MIN_SCORE``:
@@ -13,7 +15,9 @@ fails before it takes nothing from it. Codes outside the table take as many grou
 confirmed ones that overlap the first stays.
 
 Null text counts as empty: no spans. Spans of different kinds may overlap; :func:`redact` masks
-overlapping spans as one, by the kind of the first. Repeated rows give repeated results.
+overlapping spans as one, by the kind of the first. Repeated rows give repeated results, null ids
+stay, texts of any length are searched whole. :func:`spans` ignores extra columns, whatever their
+names, :func:`redact` carries them along. An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -41,11 +45,11 @@ def _iban() -> str:
 
 
 #: The contract's patterns, with possessive parts and a look-behind so that no text takes more than
-#: linear time; they match the same spans.
+#: linear time; they match the same spans (of cards, those with as many digits as a card has).
 PATTERNS = {
     "email": r"(?:\G|(?<![A-Za-z0-9._%+-]))[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++",
     "ip": r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++",
-    "card": r"[0-9](?:[\x20-]?[0-9])++",
+    "card": r"(?<![0-9])(?<![0-9][\x20-])[0-9](?:[\x20-]?[0-9]){13,18}+(?![\x20-]?[0-9])",
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
     "iban": _iban(),
     "ssn": r"(?<![0-9-])(?!000|666|9)[0-9]{3}-(?!00)[0-9]{2}-(?!0000)[0-9]{4}(?![0-9-])",
@@ -82,36 +86,58 @@ _CODE = "replace(m.hit, ' ', '')"
 CONFIRM = {
     "email": "true",
     "ip": f"m.hit rlike {_sql('^' + _OCTET + ('[.]' + _OCTET) * 3 + '$')}",
-    "card": f"if(length({_DIGITS}) between 14 and 19, {_luhn(_DIGITS)}, false)",
+    "card": _luhn(_DIGITS),
     "phone": f"length({_DIGITS}) between 10 and 15",
     "iban": f"if(length({_CODE}) between 15 and 34, {_mod97(_CODE)}, false)",
     "ssn": "true",
 }
 
 
+#: Code points in a block of the text.
+SHIFT = 8
+BLOCK = 1 << SHIFT
+_BLOCKS = f"regexp_extract_all(_t, '(?s).{{1,{BLOCK}}}', 0)"
+
+
+def _let(value: str, name: str, body: str) -> str:
+    """SQL: ``body`` with ``name`` bound to ``value``, evaluated once."""
+    return f"transform(array({value}), {name} -> {body})[0]"
+
+
+def _running(values: str, both: str) -> str:
+    """SQL: the running combination of an array, in doubling steps; ``both`` combines x and y."""
+    return (
+        f"aggregate(sequence(0, length(bin(size({values})))), {values},"
+        f" (s, k) -> transform(s, (x, i) -> if(i < shiftleft(1, k), x, {both.replace('y', 's[i - shiftleft(1, k)]')})))"
+    )
+
+
+def _cut(blocks: str, start: str, end: str) -> str:
+    """SQL: the text from ``start`` to before ``end``, from its blocks."""
+    first, last = f"shiftright({start}, {SHIFT})", f"shiftright(greatest({end} - 1, {start}), {SHIFT})"
+    return f"substr(array_join(slice({blocks}, {first} + 1, {last} - {first} + 1), ''), ({start} & {BLOCK - 1}) + 1, {end} - {start})"
+
+
 def _spans(kind: str) -> str:
     """SQL of the confirmed spans of one kind in _t: array of (start, place, kind, end, score)."""
     pattern, need = _sql(PATTERNS[kind]), NEEDS[kind]
     found = f"_t rlike {_sql(need)}" if len(need) > 1 else f"instr(_t, {_sql(need)}) > 0"
     none = "cast(array() as array<struct<start:int,place:int,kind:string,end:int,score:double>>)"
-    group, step = (1, "2") if kind == "iban" else (0, "x.n")
-    hits = f"regexp_extract_all(_t, {pattern}, {group})"
-    placed = (
-        f"aggregate(zip_with({hits}, split(_t, {pattern}, -1), (h, p) -> struct(h, length(p) as gap, length(h) as n)),"
-        f" struct(0 as at, cast(array() as array<struct<start:int,end:int,hit:string>>) as out),"
-        f" (a, x) -> struct(a.at + x.gap + if(x.h is null, 0, {step}) as at, if(x.h is null, a.out, array_append(a.out, struct(a.at + x.gap as start, a.at + x.gap + x.n as end, x.h as hit))) as out),"
-        f" a -> a.out)"
-    )
-    before = f"lower(substr(_t, greatest(1, m.start + 1 - {CONTEXT_CHARS}), least(m.start, {CONTEXT_CHARS})))"
+    group, taken = (1, "2") if kind == "iban" else (0, "length({})")
+    steps = f"transform(v.h, (h, k) -> length(v.p[k]) + {taken.format('h')})"
+    ends = _let(steps, "n", _running("n", "x + y"))
+    placed = f"zip_with(v.h, {ends}, (h, e) -> struct(e - {taken.format('h')} as start, e - {taken.format('h')} + length(h) as end, h as hit))"
+    good = _let(f"struct(regexp_extract_all(_t, {pattern}, {group}) as h, split(_t, {pattern}, -1) as p)", "v", f"filter({placed}, m -> {CONFIRM[kind]})")
+    if kind == "iban":  # of overlapping ones the first stays
+        flags = "split(aggregate(g, struct(0 as last, '' as f), (a, m) -> if(m.start < a.last, struct(a.last as last, concat(a.f, '0') as f), struct(m.end as last, concat(a.f, '1') as f)), a -> a.f), '')"
+        good = _let(good, "g", _let(flags, "f", "filter(g, (m, i) -> f[i] = '1')"))
     words = r"(?<![a-z])(?:" + "|".join(CONTEXT[kind]) + ")"
+    before = f"lower({_cut('b', f'greatest(0, m.start - {CONTEXT_CHARS})', 'm.start')})"
     score = f"least(1.0D, {START_SCORE[kind]}D + if({before} rlike {_sql(words)}, {CONTEXT_BONUS}D, 0D))"
-    good = f"filter({placed}, m -> {CONFIRM[kind]})"
-    if kind == "iban":
-        good = f"aggregate({good}, cast(array() as array<struct<start:int,end:int,hit:string>>), (a, m) -> if(size(a) > 0 and m.start < try_element_at(a, -1).end, a, array_append(a, m)))"
-    scored = f"transform({good}, m -> struct(m.start as start, {KINDS.index(kind)} as place, {_sql(kind)} as kind, m.end as end, {score} as score))"
+    scored = f"transform(g, m -> struct(m.start as start, {KINDS.index(kind)} as place, {_sql(kind)} as kind, m.end as end, {score} as score))"
     if kind not in BASE:
         scored = f"filter({scored}, s -> s.score >= {MIN_SCORE})"
-    return f"if({found}, {scored}, {none})"
+    return f"if({found}, {_let(good, 'g', f'if(size(g) = 0, {none}, {_let(_BLOCKS, chr(98), scored)})')}, {none})"
 
 
 def _found(rows: DataFrame) -> DataFrame:
@@ -136,11 +162,12 @@ def spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
 def redact(docs: DataFrame, text_col: str = "text", chars_col: str | None = "n_chars") -> DataFrame:
     """The documents with every span replaced by ``<KIND>``; ``chars_col`` follows the new text. Null texts stay."""
     rows = _found(docs.select(F.struct("*").alias("_row"), F.coalesce(F.col(text_col), F.lit("")).alias("_t")))
-    text = F.expr(
-        "if(size(_all) = 0, _t, aggregate(_all, struct(0 as at, cast(array() as array<string>) as out),"
-        " (a, s) -> struct(greatest(a.at, s.end) as at, if(s.start < a.at, a.out, array_append(a.out, concat(substr(_t, a.at + 1, s.start - a.at), '<', upper(s.kind), '>'))) as out),"
-        " a -> concat(array_join(a.out, ''), substr(_t, a.at + 1))))"
-    )
+    # What stands before each span that no earlier one overlaps, then its kind; at last what follows the last end.
+    past = _running("e", "greatest(x, y)")
+    shown = f"zip_with(_all, m, (s, x) -> struct(s, x)), (z, i) -> if(i > 0 and z.s.start < m[i - 1], '', concat({_cut('b', 'if(i > 0, m[i - 1], 0)', 'z.s.start')}, '<', upper(z.s.kind), '>'))"
+    whole = f"concat(array_join(transform({shown}), ''), {_cut('b', 'm[size(m) - 1]', 'length(_t)')})"
+    masked = _let("transform(_all, s -> s.end)", "e", _let(past, "m", _let(_BLOCKS, "b", whole)))
+    text = F.expr(f"if(size(_all) = 0, _t, {masked})")
     done = rows.select("_row", text.alias("_new"))
     there = F.col(f"_row.`{text_col}`").isNotNull()
     new = {text_col: F.when(there, F.col("_new"))}
