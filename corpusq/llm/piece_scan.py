@@ -10,8 +10,9 @@ piece as state.
   A boundary's state is the piece that starts before it and ends at or behind it. Each chunk
   yields, on its own, the transfer matrix from the states of its left boundary to those of its right
   one.
-* The matrices of a document are combined in order (the product is associative), which fixes the
-  best state at every boundary.
+* The matrices of a document are combined in a tree: the product is associative, so each level
+  multiplies up to ``FAN`` neighbours in a task, halves first, until one matrix is left. Its best
+  entry fixes the first and last state; on the way down each node's states fix those of its parts.
 * Each chunk is then backtraced on its own between its two states.
 
 Within a chunk the paths run word by word: no piece holds a space behind another character, so every
@@ -20,7 +21,7 @@ single edges and become byte pieces. Decoding joins the pieces and takes the dum
 
 The scan equals the library's ``encode`` (tests compare them). Null text counts as empty: no pieces.
 ``▁`` in a text encodes as a space, so ``round_trip`` is false there. Repeated rows each get their
-row; null ids are kept; extra columns are ignored.
+row; null ids are kept; extra columns are ignored, whatever their names; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -39,7 +40,7 @@ from corpusq.llm import ragged
 from corpusq.llm.common import stored
 
 SPACE = "▁"
-CHUNK, CACHE = 65_536, 500_000
+CHUNK, CACHE, FAN = 65_536, 500_000, 32
 _START = re.compile(f"[^{SPACE}](?={SPACE})")
 _WORDS = re.compile(f"{SPACE}*[^{SPACE}]*")
 #: A state: (start, end, piece) of an edge, counted from the document's start.
@@ -260,7 +261,7 @@ class Pieces:
         found = [(v, before) for before, (w, _) in best[s - first].items() if (v := w + self.weight(before or None, piece)) > LOW]
         return max(found, default=None)
 
-    def transfer(self, text: str, at: int, start: int, end: int, n: int) -> list[tuple[State | None, State, float]]:
+    def transfer(self, text: str, at: int, start: int, end: int, n: int) -> Matrix:
         """The finite entries of the matrix of the chunk [start, end) of a text of n characters.
 
         Where the chunk has word starts clear of both boundaries, it is a column times a row: only
@@ -323,23 +324,99 @@ def model(path: str) -> Pieces:
     return _MODELS[path]
 
 
-def combine(matrices: list[list[tuple[State | None, State, float]]]) -> list[tuple[State | None, State]]:
-    """The best (entering, leaving) state of every chunk, from the product of the matrices in order."""
-    reach: list[dict[State | None, float]] = [{None: 0.0}]
-    for m in matrices:
-        new: dict[State | None, float] = {}
-        for i, j, w in m:
-            if i in reach[-1]:
-                new[j] = max(new.get(j, LOW), reach[-1][i] + w)
-        reach.append(new)
-    state = max(reach[-1], key=lambda s: reach[-1][s])
-    found = []
-    for k in range(len(matrices) - 1, -1, -1):
-        _, enter = max((reach[k][i] + w, i or (-1, -1, -1)) for i, j, w in matrices[k] if j == state and i in reach[k])
-        enter = None if enter[0] < 0 else enter
-        found.append((enter, state))
-        state = enter
-    return found[::-1]
+#: The finite entries of a transfer matrix.
+Matrix = list[tuple[State | None, State, float]]
+
+
+def product(a: Matrix, b: Matrix) -> Matrix:
+    """The max-plus product: the best way through both, by the first's entering and the second's leaving state."""
+    rows: dict[State | None, list[tuple[State, float]]] = {}
+    for j, k, w in b:
+        rows.setdefault(j, []).append((k, w))
+    best: dict[tuple[State | None, State], float] = {}
+    for i, j, w in a:
+        for k, v in rows.get(j, ()):
+            if w + v > best.get((i, k), LOW):
+                best[i, k] = w + v
+    return [(i, k, w) for (i, k), w in best.items()]
+
+
+def whole(matrices: list[Matrix]) -> Matrix:
+    """The product of matrices in order, halves first."""
+    if len(matrices) == 1:
+        return matrices[0]
+    half = len(matrices) // 2
+    return product(whole(matrices[:half]), whole(matrices[half:]))
+
+
+def ends(m: Matrix) -> tuple[State | None, State]:
+    """The states of a document's best path, from the matrix of all of it."""
+    _, leave = max((w, j) for i, j, w in m if i is None)
+    return None, leave
+
+
+def within(matrices: list[Matrix], enter: State | None, leave: State) -> list[tuple[State | None, State]]:
+    """The (entering, leaving) state of each of the matrices on the best path between two states."""
+    if len(matrices) == 1:
+        return [(enter, leave)]
+    half = len(matrices) // 2
+    first, second = matrices[:half], matrices[half:]
+    to = {j: w for i, j, w in whole(first) if i == enter}
+    _, mid = max((to[j] + w, j) for j, k, w in whole(second) if k == leave and j in to)
+    return within(first, enter, mid) + within(second, mid, leave)
+
+
+def combine(matrices: list[Matrix]) -> list[tuple[State | None, State]]:
+    """The best (entering, leaving) state of every chunk of a document."""
+    return within(matrices, *ends(whole(matrices)))
+
+
+def _flat(m: Matrix) -> list[float]:
+    return [x for i, j, w in m for x in (*(i or (-1, -1, -1)), *j, w)]
+
+
+def _matrix(flat: object) -> Matrix:
+    rows = np.asarray(flat, np.float64).reshape(-1, 7).tolist()
+    return [(None if r[0] < 0 else (int(r[0]), int(r[1]), int(r[2])), (int(r[3]), int(r[4]), int(r[5])), r[6]) for r in rows]
+
+
+_NODE = "_id long, _sha string, _k int, m array<double>"
+
+
+def scanned(chunks: DataFrame) -> DataFrame:
+    """_id, _sha, _k and the states s of every chunk, from the chunks' matrices m (columns _NODE)."""
+
+    def up(g: pd.DataFrame) -> pd.DataFrame:
+        g = g.sort_values("_k")
+        one = _flat(whole([_matrix(m) for m in g["m"]]))
+        return pd.DataFrame({"_id": g["_id"].array[:1], "_sha": g["_sha"].array[:1], "_k": g["_k"].array[:1] // FAN, "m": [one]})
+
+    def down(g: pd.DataFrame) -> pd.DataFrame:
+        g = g.sort_values("_k")
+        s = [int(x) for x in g["s"].iloc[0]]
+        found = within([_matrix(m) for m in g["m"]], None if s[0] < 0 else tuple(s[:3]), tuple(s[3:]))
+        flat = [[*(i or (-1, -1, -1)), *j] for i, j in found]
+        return pd.DataFrame({"_id": g["_id"].array, "_sha": g["_sha"].array, "_k": g["_k"].array, "s": flat})
+
+    def root(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for g in batches:
+            flat = [[-1, -1, -1, *ends(_matrix(m))[1]] for m in g["m"]]
+            yield pd.DataFrame({"_id": g["_id"].array, "_sha": g["_sha"].array, "_k": g["_k"].array, "s": flat})
+
+    levels = [chunks]
+    while (levels[-1].agg(F.max("_k")).first()[0] or 0) > 0:
+        node = F.floor(F.col("_k") / FAN).cast("int").alias("_up")
+        levels.append(stored(levels[-1].groupBy("_sha", "_id", node).applyInPandas(up, _NODE), "scan-level"))
+    kind = "_id long, _sha string, _k int, s array<long>"
+    states = levels.pop().mapInPandas(root, kind)
+    for level in reversed(levels):
+        above = states.select(F.col("_sha").alias("_s"), F.col("_id").alias("_i"), F.col("_k").alias("_up"), "s")
+        part = level.withColumn("_up", F.floor(F.col("_k") / FAN).cast("int")).alias("c").join(
+            above.alias("a"), (F.col("c._sha") == F.col("a._s")) & F.col("c._id").eqNullSafe(F.col("a._i")) & (F.col("c._up") == F.col("a._up"))
+        )
+        part = part.select("_id", "_sha", "_k", "m", F.col("c._up").alias("_up"), "s")
+        states = part.groupBy("_sha", "_id", "_up").applyInPandas(down, kind)
+    return states
 
 
 def encode(docs: DataFrame, path: str, chunk: int = CHUNK, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -367,32 +444,20 @@ def encode(docs: DataFrame, path: str, chunk: int = CHUNK, id_col: str = "doc_id
     long = long.select("_id", "_copies", F.sha2("_t", 256).alias("_sha"), text.alias("_t"), F.length(text).alias("_n"))
     long = long.select("*", F.explode(F.sequence(F.lit(0), F.ceil((F.col("_n") / chunk)).cast("int") - 1)).alias("_k"))
     at = F.greatest(F.lit(0), F.col("_k") * chunk - width)
-    parts = long.select("_id", "_sha", "_copies", "_n", "_k", at.alias("_at"), F.substring("_t", at + 1, F.least((F.col("_k") + 1) * chunk + width, F.col("_n")) - at).alias("_part")).repartition("_sha", "_k")
-    kind = "array<struct<a:long,b:long,c:long>>"
-
+    parts = long.select("_id", "_sha", "_copies", "_n", "_k", at.alias("_at"), F.substring("_t", at + 1, F.least((F.col("_k") + 1) * chunk + width, F.col("_n")) - at).alias("_part"))
+    parts = stored(parts.repartition("_sha", "_k"), "scan-chunks")
     def transfers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = model(path)
         for b in batches:
             found = []
             for r in b.to_pylist():
                 t = m.transfer(r["_part"], r["_at"], r["_k"] * chunk, min(r["_n"], (r["_k"] + 1) * chunk), r["_n"])
-                flat = [x for i, j, w in t for x in (*(i or (-1, -1, -1)), *j, w)]
-                found.append((r["_id"], r["_sha"], r["_k"], flat))
+                found.append((r["_id"], r["_sha"], r["_k"], _flat(t)))
             cols = list(zip(*found)) or [()] * 4
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.string(), pa.int32(), pa.list_(pa.float64())))], ["_id", "_sha", "_k", "m"])
 
-    def chosen(g: pd.DataFrame) -> pd.DataFrame:
-        g = g.sort_values("_k")
-        ms = []
-        for flat in g["m"]:
-            x = np.asarray(flat, np.float64).reshape(-1, 7)
-            ms.append([(None if r[0] < 0 else tuple(map(int, r[:3])), tuple(map(int, r[3:6])), float(r[6])) for r in x])
-        states = combine(ms)
-        flat = [[*(i or (-1, -1, -1)), *j] for i, j in states]
-        return pd.DataFrame({"_id": g["_id"].array, "_sha": g["_sha"].array, "_k": g["_k"].array, "s": flat})
-
-    matrices = parts.select("_id", "_sha", "_k", "_n", "_at", "_part").mapInArrow(transfers, "_id long, _sha string, _k int, m array<double>")
-    states = stored(matrices.groupBy("_sha", "_id").applyInPandas(chosen, "_id long, _sha string, _k int, s array<long>"), "scan-states")
+    matrices = parts.select("_id", "_sha", "_k", "_n", "_at", "_part").mapInArrow(transfers, _NODE)
+    states = stored(scanned(stored(matrices, "scan-matrices")), "scan-states")
 
     def traced(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = model(path)

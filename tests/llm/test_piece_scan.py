@@ -59,6 +59,40 @@ def test_chunks_anywhere(lib):
         assert np.frombuffer(got, "<u4").tolist() == lib.encode(t), repr(t)
 
 
+def test_product_is_associative(lib):
+    m = S.Pieces(PATH)
+    t = S.SPACE + "thequickbrownfox12jumps" * 20
+    bounds = [(k, min(len(t), k + 40)) for k in range(0, len(t), 40)]
+    ms = [m.transfer(t[max(0, a - 64) : b + 64], max(0, a - 64), a, b, len(t)) for a, b in bounds]
+    left = ms[0]
+    for x in ms[1:]:
+        left = S.product(left, x)
+    right = ms[-1]
+    for x in ms[-2::-1]:
+        right = S.product(x, right)
+    assert sorted(left, key=str) == sorted(right, key=str) == sorted(S.whole(ms), key=str)
+    a, b, c = ms[1:4]
+    assert sorted(S.product(S.product(a, b), c)) == sorted(S.product(a, S.product(b, c)))
+
+
+def test_documents_in_small_chunks(spark, lib, monkeypatch):
+    """The query's table with nearly every document scanned, over trees of several levels."""
+    monkeypatch.setattr(S, "FAN", 3)
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").where("n_chars < 8000")
+    rows = {r.doc_id: r for r in S.encode(docs, PATH, chunk=150).collect()}
+    assert len(rows) == docs.count() and sum(r.n_chunks > 9 for r in rows.values()) > 30
+    for d in docs.collect():
+        ids = lib.encode(d.text or "")
+        assert (rows[d.doc_id].n_pieces, rows[d.doc_id].ids_crc32) == (len(ids), zlib.crc32(np.array(ids, "<u4").tobytes()))
+
+
+def test_a_very_long_text(spark, lib):
+    text = "some words 12 " * 20_000 + "龘靐齉" * 10_000 + "12345" * 10_000 + "😀🎉" * 10_000
+    (r,) = S.encode(spark.createDataFrame([(1, text)], "doc_id long, text string"), PATH).collect()
+    ids = lib.encode(text)
+    assert (r.n_pieces, r.ids_crc32, r.n_chunks) == (len(ids), zlib.crc32(np.array(ids, "<u4").tobytes()), 6)
+
+
 def test_table(spark, lib):
     docs = [(i, t, 1) for i, t in enumerate(texts()[:60])] + [(None, None, 1), (5, "dup text " * 40, 1), (5, "dup text " * 40, 1), (6, "x" * 777, 1), (None, "lone " * 90, 1)]
     rows = S.encode(spark.createDataFrame(docs, "doc_id long, text string, n_pieces int"), PATH, chunk=100).collect()
