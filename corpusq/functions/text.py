@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import unicodedata
+
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from corpusq.functions.values import (
     BLANK_MARKERS, EXPECTED_EXTRA, FOLD_FROM, FOLD_TO, LANG_2TO3, LANG_B2T, SUSPICIOUS, TEI_FROM, TEI_TO,
@@ -16,13 +20,10 @@ def normalize_text(c: Column) -> Column:
 
 
 def normalize_for_comparison(c: Column, casefold: bool = False) -> Column:
-    """Both sides of a comparison: quotes and dashes to ASCII, soft hyphens and spaces before ``; : ? !`` removed.
-
-    Canonical composition is not part of it: no built-in expression composes.
-    """
+    """Both sides of a comparison: quotes and dashes to ASCII, soft hyphens and spaces before ``; : ? !`` removed, composed last."""
     plain = F.translate(c, "«»„‹›`´‐‑–—‒­", "\"\"\"''''-----")
     plain = F.regexp_replace(plain, " +([;:?!])", "$1")
-    return normalize_text(F.lower(F.replace(plain, F.lit("ß"), F.lit("ss"))) if casefold else plain)
+    return nfc(normalize_text(F.lower(F.replace(plain, F.lit("ß"), F.lit("ss"))) if casefold else plain))
 
 
 def normalize_for_tei(c: Column) -> Column:
@@ -50,6 +51,38 @@ def tokens(c: Column) -> Column:
     return F.filter(F.regexp_extract_all(c, F.lit("([a-zA-ZÀ-ɏ]+)"), F.lit(1)), lambda w: F.length(w) >= 2)
 
 
+def rated_words(c: Column, lang: Column) -> Column:
+    """The words that a word list is asked for, in lower case.
+
+    French and mixed texts lose capitalised words that are not all capitals (names), as long as half
+    of the words remain.
+    """
+    words = tokens(c)
+    plain = F.filter(words, lambda w: ~w.rlike(r"^\p{Lu}") | (w == F.upper(w)))
+    chosen = F.when(lang.isin("fr", "multi") & (F.size(plain) >= 0.5 * F.size(words)), plain).otherwise(words)
+    return F.transform(chosen, F.lower)
+
+
+@F.pandas_udf(T.StringType())
+def _composed(c: pd.Series) -> pd.Series:
+    return c.map(lambda s: None if s is None else unicodedata.normalize("NFC", s))
+
+
+def nfc(c: Column) -> Column:
+    """Canonical composition; no built-in composes. Texts of ASCII stay in the JVM."""
+    return F.when(c.rlike(r"^\p{ASCII}*$"), c).otherwise(_composed(c))
+
+
+def regime(c: Column, name: str) -> Column:
+    """The regimes of comparison, each on top of the one before: raw, nfc, nfc_hyphen, nfc_hyphen_case."""
+    if name == "raw":
+        return c
+    out = nfc(c)
+    if name in ("nfc_hyphen", "nfc_hyphen_case"):
+        out = F.translate(F.replace(out, F.lit("\u00ad"), F.lit("")), "‐‑‒–—", "-----")
+    return F.lower(F.replace(out, F.lit("ß"), F.lit("ss"))) if name == "nfc_hyphen_case" else out
+
+
 def char_count(c: Column, pattern: str) -> Column:
     """Characters that match a one-character pattern."""
     return F.length(c) - F.length(F.regexp_replace(c, f"(?:{pattern})+", ""))

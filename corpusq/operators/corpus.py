@@ -7,9 +7,15 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from corpusq.operators.ordered import medians
+
 
 def describe(value: str | Column, digits: int = 6) -> list[Column]:
-    """n, mean, median, sample deviation (0 for one row), least and greatest."""
+    """n, mean, median, sample deviation (0 for one row), least and greatest.
+
+    The median gathers a stratum's distinct values: for scores of a fixed grid (a thousand values at
+    most), merged before the shuffle. :func:`summary` takes any values.
+    """
     v = F.col(value) if isinstance(value, str) else value
     return [
         F.count(v).alias("n"), F.round(F.avg(v), digits).alias("mean"), F.round(F.percentile(v, 0.5), digits).alias("median"),
@@ -17,6 +23,12 @@ def describe(value: str | Column, digits: int = 6) -> list[Column]:
     ]
 
 
+def summary(df: DataFrame, keys: list[str], value: str, *more: Column, digits: int = 6) -> DataFrame:
+    """:func:`describe` for values without a grid: the median comes from ranks along a range sort."""
+    plain = [c for c, name in zip(describe(value, digits), ("n", "mean", "median", "std", "lo", "hi")) if name != "median"]
+    return df.groupBy(*keys).agg(*plain, *more).join(medians(df, keys, value).withColumn("median", F.round("median", digits)), keys, "left")
+
+
 def stratify(df: DataFrame, dimensions: list[str], value: str) -> DataFrame:
     """One pass of grouping sets: each dimension's strata by itself; null strata are 'unknown'."""
     known = df.select(value, *[F.coalesce(F.col(d).cast("string"), F.lit("unknown")).alias(d) for d in dimensions])

@@ -6,9 +6,11 @@ import re
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from corpusq.operators.ordered import ranked
+
 #: Weights of the risk features, and of an anomaly.
 WEIGHTS = {"variant_form_source": 2, "case_tolerant_rule": 2, "single_token_surface": 2, "short_surface": 1, "category_work": 1, "shared_surname_gid": 1}
 ANOMALY, HIGH, MEDIUM = 99, 4, 2
@@ -47,16 +49,8 @@ def risk_ranked(marks: DataFrame, features: dict[str, Column], anomalies: dict[s
 
 
 def numbered(df: DataFrame, order: list[str | Column], prefix: str, name: str = "case_id") -> DataFrame:
-    """Case ids along a total order, without gathering the rows in one task.
-
-    Rows are range-sorted; each partition numbers its own behind the counts of those before it (one
-    row per partition goes through the window).
-    """
-    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # a given number: both uses see the same partitions
-    parts = df.repartitionByRange(n, *order).sortWithinPartitions(*order).withColumn("_part", F.spark_partition_id()).withColumn("_at", F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)))
-    counts = parts.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
-    before = counts.select("_part", F.coalesce(F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_base"))
-    return parts.join(before, "_part").withColumn(name, F.format_string(prefix + "%04d", F.col("_base") + F.col("_at") + 1)).drop("_part", "_at", "_n", "_base")
+    """Case ids along a total order, from the ranks of one stored range sort."""
+    return ranked(df, [], order, "_rank").withColumn(name, F.format_string(prefix + "%04d", F.col("_rank"))).drop("_rank")
 
 
 def derived_forms(entities: DataFrame, label: str = "label", gid: str = "gid") -> DataFrame:

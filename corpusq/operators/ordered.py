@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from corpusq.storage import stored
+
 
 def top_per_group(df: DataFrame, keys: list[str], order: list[Column], k: int, place: str = "place") -> DataFrame:
     """The first k rows of each group; Spark keeps only k per group before the shuffle."""
@@ -109,3 +111,28 @@ def occurrence_index(df: DataFrame, keys: list[str], start: str, name: str = "oc
 def latest(df: DataFrame, keys: list[str], value: str, at: list[str]) -> DataFrame:
     """Last event wins; the struct of order columns settles ties."""
     return df.groupBy(*keys).agg(F.max_by(value, F.struct(*at)).alias(value), F.count(F.lit(1)).alias("events"))
+
+
+def ranked(df: DataFrame, keys: list[str], order: list[str | Column], name: str = "rank") -> DataFrame:
+    """Numbers the rows of each group from 1 along a total order, without a group in one task.
+
+    Rows are range-sorted and stored once, so that both passes see the same partitions: one counts
+    each partition's rows of each group, the other numbers rows behind those counts. The window goes
+    over the counts: a row for each partition and group in it.
+    """
+    rows = df.repartitionByRange(*keys, *order).sortWithinPartitions(*keys, *order)
+    rows = stored(rows.withColumn("_at", F.monotonically_increasing_id()).withColumn("_part", F.spark_partition_id()), "ranked")
+    runs = rows.groupBy("_part", *keys).agg(F.min("_at").alias("_first"), F.count(F.lit(1)).alias("_n"))
+    before = Window.partitionBy(*keys).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    runs = runs.withColumn("_base", F.coalesce(F.sum("_n").over(before), F.lit(0))).drop("_n")
+    same = [F.col("a._part") == F.col("b._part"), *[F.col(f"a.{k}").eqNullSafe(F.col(f"b.{k}")) for k in keys]]
+    met = rows.alias("a").join(runs.alias("b"), same)
+    return met.select("a.*", (F.col("b._base") + F.col("a._at") - F.col("b._first") + 1).alias(name)).drop("_at", "_part")
+
+
+def medians(df: DataFrame, keys: list[str], value: str) -> DataFrame:
+    """The exact median of each group, from ranks along a range sort."""
+    n = df.where(F.col(value).isNotNull()).groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    at = ranked(df.where(F.col(value).isNotNull()).select(*keys, value), keys, [value], "_rank").join(n, keys)
+    middle = at.where((F.col("_rank") == F.floor((F.col("_n") + 1) / 2)) | (F.col("_rank") == F.floor(F.col("_n") / 2) + 1))
+    return middle.groupBy(*keys).agg(F.avg(value).alias("median"))

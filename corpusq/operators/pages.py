@@ -106,27 +106,52 @@ def facsimile_audit(df: DataFrame, doc: str) -> DataFrame:
     return g.select(doc, F.array_join(F.array_compact(F.array(*[F.when(F.col(k), F.lit(k)) for k in kinds])), ",").alias("kinds"))
 
 
-def _phrase_score(ref: str, hyp: str) -> int:
-    return sum(w in hyp for w in [w for w in ref.split() if len(w) > 5][:8])
+def pair_pages(ref: DataFrame, hyp: DataFrame, doc: str, page: str) -> DataFrame:
+    """Pages of two sides by document and page; documents without a common page number pair theirs in order."""
+    same = ref.join(hyp, [doc, page])
+    met = same.select(doc).distinct()
+    place = F.row_number().over(Window.partitionBy(doc).orderBy(page))
+    a, b = (x.join(met, doc, "left_anti").withColumn("_k", place) for x in (ref, hyp))
+    return same.unionByName(a.join(b.drop(page), [doc, "_k"]).drop("_k"))
+
+
+#: A reference page needs so many characters to be matched; so many words longer than the limit are looked for.
+PAGE_CHARS, PHRASE_WORDS, WORD_CHARS, SURE = 50, 8, 5, 2
+
+
+def shared_words(ref: str, hyp: str) -> int:
+    """How many of the first long words of a page stand in another, case aside."""
+    words = [w.lower() for w in ref.split() if len(w) > WORD_CHARS][:PHRASE_WORDS]
+    return sum(w in hyp for w in words)
 
 
 def match_drifting(pages: DataFrame, doc: str = "doc") -> DataFrame:
     """Reference pages to text pages by content, in order, with a drifting offset.
 
-    ``pages``: doc, kind ('ref' or 'hyp'), page, text. Until a match of two or more words is found the
-    whole document is searched; from then on a window around the expected page. The state is carried
-    from page to page, so a document is one group (a document's pages are few and bounded by its own size).
+    ``pages``: doc, kind ('ref' or 'hyp'), page, text. The first page that shares two or more words
+    with any page of the text sets the offset; until then the offset is 0. Every later page looks from
+    two before to three behind where the offset puts it, and moves the offset when it finds one;
+    where it finds none it takes the page the offset names, if there is one (score below two). Pages
+    under 50 characters are left out. The state is carried from page to page, so a document is one group.
     """
 
     def run(g: pd.DataFrame) -> pd.DataFrame:
         ref, hyp = (g[g["kind"] == k].sort_values("page") for k in ("ref", "hyp"))
-        texts, rows, offset = dict(zip(hyp["page"], hyp["text"])), [], None
-        for page, text in zip(ref["page"], ref["text"]):
-            near = [p for p in texts if offset is None or page + offset - 2 <= p <= page + offset + 3]
-            best = max(((_phrase_score(text, texts[p]), -p) for p in near), default=(0, 0))
-            if best[0] >= 2:
-                offset = -best[1] - page
-                rows.append((g[doc].iloc[0], page, -best[1], best[0]))
+        texts = {int(p): (t or "").lower() for p, t in zip(hyp["page"], hyp["text"])}
+        rows, offset, found = [], 0, False
+        for page, text in zip(ref["page"].astype(int), ref["text"]):
+            if len(text or "") < PAGE_CHARS:
+                continue
+            wide = [] if found else sorted(texts)
+            for near in (wide, [page + offset + k for k in range(-2, 4)]):
+                best = max(((shared_words(text, texts[p]), -p) for p in near if p in texts), default=(0, 0))
+                if best[0] >= SURE:
+                    offset, found = -best[1] - page, True
+                    rows.append((g[doc].iloc[0], page, -best[1], best[0]))
+                    break
+            else:
+                if page + offset in texts:
+                    rows.append((g[doc].iloc[0], page, page + offset, shared_words(text, texts[page + offset])))
         return pd.DataFrame(rows, columns=[doc, "page", "match", "score"])
 
     return pages.groupBy(doc).applyInPandas(run, f"{doc} long, page long, match long, score long")

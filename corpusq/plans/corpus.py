@@ -6,15 +6,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusq.functions import text as X
-from corpusq.functions.values import EXPECTED_EXTRA, STATUS_MIGRATION, SUSPICIOUS
+from corpusq.functions.values import STATUS_MIGRATION
 from corpusq.operators import corpus as C
 from corpusq.operators.ordered import latest, pick
 from corpusq.plans.base import query
+from corpusq.plans.expected import SUSPECT_CLASS
 from corpusq.sources.tables import table
 
 _DESC = "count({0}) AS n, round(avg({0}), 6) AS mean, round(quantile_cont({0}, 0.5), 6) AS median, round(coalesce(stddev_samp({0}), 0), 6) AS std, round(min({0}), 6) AS lo, round(max({0}), 6) AS hi"
 _LABELLED = rf"""WITH s AS (SELECT d.doc_id, lang, source, n_chars, quality, round((0.8 * coalesce(quality, 0) + 0.2 * (1 - CASE WHEN length(text) > 0
-  THEN (length(text) - length(regexp_replace(text, '[{SUSPICIOUS}]|[^\x00-\x7F{EXPECTED_EXTRA}\p{{Z}}]', '', 'g'))) / length(text) ELSE 0 END)) * 100, 1) AS score
+  THEN (length(text) - length(regexp_replace(text, '{SUSPECT_CLASS}', '', 'g'))) / length(text) ELSE 0 END)) * 100, 1) AS score
   FROM documents d LEFT JOIN labels l USING (doc_id)) """
 
 
@@ -105,13 +106,10 @@ def snapshot_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(f"SELECT 'part' AS source, {_DESC.format('p_retailprice')}, round(sum(p_retailprice), 4) AS total FROM part UNION ALL SELECT 'orders', {_DESC.format('o_totalprice')}, round(sum(o_totalprice), 4) FROM orders")
 def numeric_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     one = lambda t, c: table(spark, sf_dir, t).select(F.lit(t).alias("source"), F.col(c).alias("v"))
-    return one("part", "p_retailprice").unionByName(one("orders", "o_totalprice")).groupBy("source").agg(*C.describe("v"), F.round(F.sum("v"), 4).alias("total"))
+    return C.summary(one("part", "p_retailprice").unionByName(one("orders", "o_totalprice")), ["source"], "v", F.round(F.sum("v"), 4).alias("total"))
 
 
-_CASES = " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in STATUS_MIGRATION.items())
-
-
-@query(f"SELECT user_id, CASE event_type {_CASES} ELSE event_type END AS status, events FROM (SELECT user_id, arg_max(event_type, (ts, event_id)) AS event_type, count(*) AS events FROM events GROUP BY user_id)")
+@query("SELECT user_id, CASE event_type WHEN 'view' THEN 'open' WHEN 'click' THEN 'in_progress' WHEN 'purchase' THEN 'done' ELSE event_type END AS status, events FROM (SELECT user_id, arg_max(event_type, (ts, event_id)) AS event_type, count(*) AS events FROM events GROUP BY user_id)")
 def latest_status(spark: SparkSession, sf_dir: str) -> DataFrame:
     last = latest(table(spark, sf_dir, "events"), ["user_id"], "event_type", ["ts", "event_id"])
     return last.select("user_id", C.migrate(F.col("event_type"), STATUS_MIGRATION).alias("status"), "events")

@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from corpusq.functions import text as X
 from corpusq.operators import heads, ordered, spans
 from corpusq.plans.base import query
+from corpusq.plans.expected import folded
 from corpusq.sources.tables import table
 
 _LINES = """l AS (SELECT doc_id, generate_subscripts(string_split(text, chr(10)), 1) AS page, unnest(string_split(text, chr(10))) AS line FROM documents),
@@ -151,40 +153,65 @@ def reading_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ordered.reading_order(_boxes(spark, sf_dir), ["page"]).select("page", "idx", "place")
 
 
-@query()
+_VARIANTS = [(a, b) for a in (55, 60, 65) for b in (10, 12, 14)]
+
+
+@query("WITH " + _BOXES + ", v AS (SELECT * FROM (VALUES " + ", ".join(f"({a}, {b})" for a, b in _VARIANTS) + """) t(wide_at, gap_at)), k AS (SELECT b.*, wide_at, gap_at, x + w / 2 AS mid, w >= wide_at AS wide FROM b, v),
+n AS (SELECT *, CASE WHEN wide THEN row_number() OVER (PARTITION BY page, wide_at, gap_at, wide ORDER BY y, idx) - 1 ELSE coalesce(sum(wide::INT) OVER (PARTITION BY page, wide_at, gap_at ORDER BY y RANGE UNBOUNDED PRECEDING), 0) END AS band FROM k),
+c AS (SELECT *, CASE WHEN mid - lag(mid) OVER (PARTITION BY page, wide_at, gap_at, band, wide ORDER BY mid, idx) > gap_at THEN 1 ELSE 0 END AS jump FROM n), d AS (SELECT *, sum(jump) OVER (PARTITION BY page, wide_at, gap_at, band, wide ORDER BY mid, idx) AS col FROM c),
+e AS (SELECT page, wide_at, gap_at, idx, row_number() OVER (PARTITION BY page, wide_at, gap_at ORDER BY band, wide, col, y, idx) AS place FROM d), o AS (SELECT page, wide_at, gap_at, list(idx ORDER BY place) AS o FROM e GROUP BY ALL)
+SELECT page, CASE WHEN NOT bool_or(o <> list_sort(o)) THEN 'none' WHEN count(DISTINCT o) = 1 THEN 'robust' ELSE 'fragile' END AS class FROM o GROUP BY page""")
 def reading_order_stability(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pages whose order is not the input's: robust if nine threshold variants agree, else fragile."""
-    variants = spark.createDataFrame([(a, b) for a in (55.0, 60.0, 65.0) for b in (10.0, 12.0, 14.0)], "wide double, gap double")
     boxes, found = _boxes(spark, sf_dir), None
-    for v in variants.collect():
-        order = ordered.reading_order(boxes, ["page"], wide=v.wide, gap=v.gap).groupBy("page").agg(F.transform(F.array_sort(F.collect_list(F.struct("place", "idx"))), lambda x: x["idx"]).alias("o"))
+    for wide, gap in [(a, b) for a in (55.0, 60.0, 65.0) for b in (10.0, 12.0, 14.0)]:
+        order = ordered.reading_order(boxes, ["page"], wide=wide, gap=gap).groupBy("page").agg(F.transform(F.array_sort(F.collect_list(F.struct("place", "idx"))), lambda x: x["idx"]).alias("o"))
         found = order if found is None else found.unionByName(order)
     same = found.groupBy("page").agg(F.count_distinct("o").alias("n"), F.max(F.col("o") != F.array_sort("o")).alias("moved"))
     return same.select("page", F.when(~F.col("moved"), "none").when(F.col("n") == 1, "robust").otherwise("fragile").alias("class"))
 
 
-def _head_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Sources as documents, their texts as pages, the first four short lines as candidates."""
-    d = table(spark, sf_dir, "documents").withColumn("page", F.row_number().over(Window.partitionBy("source").orderBy("doc_id")))
-    lines = d.select(F.col("source").alias("doc"), "page", F.posexplode(F.slice(F.split("text", "\n", -1), 1, 4)).alias("idx", "form"))
-    return lines.where(F.length("form").between(4, 60)).withColumn("form", F.lower("form"))
+def _segments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sources as documents, their texts as pages in the order of ids, every line that has a letter; a first line without a full stop is a title."""
+    d = table(spark, sf_dir, "documents")
+    page = ordered.ranked(d.select("source", "doc_id"), ["source"], ["doc_id"], "page").select("doc_id", F.col("source").alias("doc"), "page")
+    lines = d.select("doc_id", F.posexplode(F.split("text", "\n", -1)).alias("k", "line"))
+    lines = lines.select("doc_id", "k", heads.head_form(X.fold(F.col("line"))).alias("form"), ((F.col("k") == 0) & ~F.endswith("line", F.lit("."))).alias("in_head")).where("form <> ''")
+    idx = F.row_number().over(Window.partitionBy("doc_id").orderBy("k")) - 1
+    return lines.withColumn("idx", idx).join(page, "doc_id").select("doc", "page", "idx", "form", "in_head")
+
 
+_SEGMENTS = f"""g AS (SELECT source AS doc, doc_id, row_number() OVER (PARTITION BY source ORDER BY doc_id) AS page, string_split(text, chr(10)) AS ls FROM documents),
+f AS (SELECT doc, page, generate_subscripts(ls, 1) AS k, unnest(ls) AS line FROM g), h AS (SELECT *, regexp_replace(regexp_replace(lower({folded('line')}), '^[^\\p{{L}}]+|[^\\p{{L}}]+$', '', 'g'), '\\s+', ' ', 'g') AS form FROM f),
+s AS (SELECT doc, page, row_number() OVER (PARTITION BY doc, page ORDER BY k) - 1 AS idx, form, k = 1 AND NOT ends_with(line, '.') AS in_head FROM h WHERE form <> ''),
+n AS (SELECT doc, count(DISTINCT page) AS pages FROM s GROUP BY 1), k AS (SELECT * FROM s WHERE length(form) BETWEEN 2 AND 80),
+o AS (SELECT doc, form, page FROM k GROUP BY ALL HAVING count(*) = 1), c AS (SELECT doc, form, pages, count(*) AS n, min(page % 2) AS lo, max(page % 2) AS hi FROM o JOIN n USING (doc) GROUP BY ALL),
+p1 AS (SELECT doc, form, 'primary' AS kind, n FROM c WHERE n >= greatest(3, ceil(pages * 0.05))) """
 
-@query("""WITH l AS (SELECT source AS doc, row_number() OVER (PARTITION BY source ORDER BY doc_id) AS page, string_split(text, chr(10))[1:4] AS ls FROM documents),
-c AS (SELECT doc, page, generate_subscripts(ls, 1) - 1 AS idx, lower(unnest(ls)) AS form FROM l), k AS (SELECT * FROM c WHERE length(form) BETWEEN 4 AND 60),
-p AS (SELECT doc, count(DISTINCT page) AS pages FROM k GROUP BY 1), s AS (SELECT doc, form, page FROM k GROUP BY ALL HAVING count(*) = 1), f AS (SELECT doc, form, count(*) AS n FROM s GROUP BY ALL)
-SELECT doc, form, n FROM f JOIN p USING (doc) WHERE n >= greatest(3, ceil(pages * 0.05))""")
+
+@query("WITH " + _SEGMENTS + "SELECT doc, form, n FROM p1")
 def running_head_forms(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The primary forms and the pages that carry them once."""
-    lines = _head_lines(spark, sf_dir)
+    segments = _segments(spark, sf_dir)
+    lines = segments.where(heads.is_short(F.col("form")))
     solo = lines.groupBy("doc", "form", "page").agg(F.count(F.lit(1)).alias("k")).where("k = 1").groupBy("doc", "form").agg(F.count(F.lit(1)).alias("n"))
-    return heads.accepted_forms(lines).where("kind = 'primary'").join(solo, ["doc", "form"]).select("doc", "form", "n")
-
-
-@query()
+    pages = segments.groupBy("doc").agg(F.countDistinct("page").alias("pages"))
+    return heads.accepted_forms(lines, pages).where("kind = 'primary'").join(solo, ["doc", "form"]).select("doc", "form", "n")
+
+
+@query("WITH " + _SEGMENTS + r""", a AS (SELECT DISTINCT v.doc, v.form, 'alternating' AS kind FROM c v JOIN c w ON v.doc = w.doc AND v.lo = v.hi AND w.lo = w.hi AND v.lo <> w.lo AND v.n >= 2 AND w.n >= 2 AND v.n + w.n >= v.pages * 0.5 WHERE v.doc NOT IN (SELECT doc FROM p1)),
+b AS (SELECT doc, form, kind FROM p1 UNION ALL SELECT * FROM a), r AS (SELECT DISTINCT doc, form FROM k WHERE (doc, form) NOT IN (SELECT (doc, form) FROM b)),
+v AS (SELECT DISTINCT r.doc, r.form, 'contains' AS kind FROM r JOIN b ON r.doc = b.doc AND length(r.form) <= 2 * length(b.form) AND contains(' ' || regexp_replace(r.form, '[^\p{L}\p{N}_]', ' ', 'g') || ' ', ' ' || regexp_replace(b.form, '[^\p{L}\p{N}_]', ' ', 'g') || ' ') AND contains(r.form, b.form)),
+u AS (SELECT * FROM b UNION ALL SELECT * FROM v),
+h1 AS (SELECT k.doc, page, idx, k.form, kind, coalesce(lag(idx) OVER w = idx - 1 AND lag(CASE WHEN kind IS NOT NULL THEN k.form END) OVER w <> k.form, false) AS follows FROM k LEFT JOIN u ON k.doc = u.doc AND k.form = u.form WINDOW w AS (PARTITION BY k.doc, page ORDER BY idx)),
+h2 AS (SELECT *, count(*) OVER q AS n, bool_or(follows) OVER q AS pf FROM h1 WHERE kind IS NOT NULL WINDOW q AS (PARTITION BY doc, form, page)),
+z AS (SELECT doc, form, count(DISTINCT CASE WHEN n = 1 THEN page END) AS solo, count(DISTINCT CASE WHEN pf THEN page END) AS followed FROM h2 GROUP BY ALL),
+e AS (SELECT doc, page, coalesce(min(idx) FILTER (length(form) NOT BETWEEN 2 AND 80), count(*)) AS en, min(idx) FILTER (in_head) AS ti FROM s WHERE idx < 4 GROUP BY ALL)
+SELECT h2.doc, h2.page, idx, h2.form, kind, CASE WHEN n > 1 THEN 'repeated-on-page' WHEN ti < en AND idx < en THEN 'title-block' WHEN pf AND followed * 2 < solo THEN 'off-slot' WHEN kind = 'contains' AND idx >= 3 THEN 'inner-variant' END AS reason
+FROM h2 JOIN z ON h2.doc = z.doc AND h2.form = z.form LEFT JOIN e ON h2.doc = e.doc AND h2.page = e.page""")
 def running_heads(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Zones and exemptions of every accepted form (tests compare with a brute-force version)."""
-    return heads.detect(_head_lines(spark, sf_dir))
+    """Zones and exemptions of every accepted form."""
+    return heads.detect(_segments(spark, sf_dir))
 
 
 @query("""WITH e AS (SELECT conv_id, turn, role, text, lag(ends_with(trim(text), '?')) OVER (PARTITION BY conv_id ORDER BY turn) AS asked FROM (SELECT conv_id, turn, role, CASE WHEN role = 'user' AND turn % 4 = 0 THEN text || '?' ELSE text END AS text FROM conversations))

@@ -7,9 +7,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from corpusq.functions import text as X
-from corpusq.functions.values import DIACRITICS, EXPECTED_EXTRA, FOLD_FROM, FOLD_TO, LANG_2TO3, LANG_B2T, SUSPICIOUS
+from corpusq.functions.values import DIACRITICS
+from corpusq.plans import expected
 from corpusq.plans.base import query
-from corpusq.sources.tables import table
+from corpusq.plans.expected import FOLD_FROM, FOLD_TO, LANG_CODES, SUSPECT_CLASS
+from corpusq.sources.tables import small, table
 
 #: The documents hold no typographic characters; both sides put some in by these rules.
 _VARIED = "translate(replace(replace(text, ', ', ' ; '), '. ', ' — '), 'xqz', '«’­')"
@@ -48,7 +50,12 @@ def char_lint_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents").select("doc_id", *[c.alias(k) for k, c in counts.items()])
 
 
-@query()
+@query(r"""WITH d AS (SELECT doc_id, lang = 'fr' AS fr, text, regexp_extract_all(regexp_replace(text, '(\p{L})', '\1\1', 'g'), '\p{L}''\p{L}') AS a, string_split(text, ' ') AS w FROM documents),
+k AS (SELECT doc_id, len(a) AS straight_apostrophe, length(text) - length(regexp_replace(text, '[«»]', '', 'g')) AS guillemets, length(text) - length(replace(text, '¬', '')) AS hyphenation_residue,
+  len(regexp_extract_all(text, '[ \x{A0}\x{202F}]+[.,]')) + CASE WHEN fr THEN 0 ELSE len(regexp_extract_all(text, '[ \x{A0}\x{202F}]+[;:?!]')) END AS space_before_punct,
+  CASE WHEN fr THEN len(regexp_extract_all(text, '(?:^|[^ \x{A0}\x{202F}])[ ]+[;:?!»]')) ELSE 0 END AS space_type FROM d),
+u AS (UNPIVOT k ON straight_apostrophe, guillemets, hyphenation_residue, space_before_punct, space_type INTO NAME category VALUE n)
+SELECT category, sum(n)::BIGINT AS total, count(*) FILTER (n > 0) AS docs FROM u GROUP BY category""")
 def char_lint_corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Count and documents per class, apostrophes included (they need look-around)."""
     docs = table(spark, sf_dir, "documents").select("doc_id", *[c.alias(k) for k, c in X.french_lint(F.col("text"), F.col("lang") == "fr").items()])
@@ -56,8 +63,8 @@ def char_lint_corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs.unpivot("doc_id", kinds, "category", "n").groupBy("category").agg(F.sum("n").alias("total"), F.count_if(F.col("n") > 0).alias("docs"))
 
 
-@query(rf"""SELECT doc_id, length(text) - length(regexp_replace(text, '[{SUSPICIOUS}]|[^\x00-\x7F{EXPECTED_EXTRA}\p{{Z}}]', '', 'g')) AS suspicious,
-  round(CASE WHEN length(text) > 0 THEN (length(text) - length(regexp_replace(text, '[{SUSPICIOUS}]|[^\x00-\x7F{EXPECTED_EXTRA}\p{{Z}}]', '', 'g'))) / length(text) ELSE 0 END, 9) AS ratio FROM documents""")
+@query(rf"""SELECT doc_id, length(text) - length(regexp_replace(text, '{SUSPECT_CLASS}', '', 'g')) AS suspicious,
+  round(CASE WHEN length(text) > 0 THEN (length(text) - length(regexp_replace(text, '{SUSPECT_CLASS}', '', 'g'))) / length(text) ELSE 0 END, 9) AS ratio FROM documents""")
 def suspicious_char_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = F.col("text")
     return table(spark, sf_dir, "documents").select("doc_id", X.suspicious_count(c).alias("suspicious"), F.round(X.suspicious_ratio(c), 9).alias("ratio"))
@@ -73,29 +80,33 @@ def tokenize_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _hits(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Word, document and whether the word list of the benchmark passages has it."""
-    words = table(spark, sf_dir, "documents").select("doc_id", "lang", F.explode(X.tokens(F.lower("text"))).alias("word"))
-    counted = words.groupBy("doc_id", "lang", "word").agg(F.count(F.lit(1)).alias("n"))
+    """Every word of every document that counts, and whether the word list of the benchmark passages has it.
+
+    The list is curated: its size is checked before it is broadcast, beyond that words are shuffled to it.
+    """
+    words = table(spark, sf_dir, "documents").select("doc_id", "lang", F.explode(X.rated_words(F.col("text"), F.col("lang"))).alias("word"))
     known = table(spark, sf_dir, "benchmark").select(F.explode(X.tokens(F.lower("text"))).alias("word")).distinct().withColumn("known", F.lit(True))
-    return counted.join(known, "word", "left").withColumn("known", F.coalesce("known", F.lit(False)))
+    return words.join(small(known), "word", "left").withColumn("known", F.coalesce("known", F.lit(False)))
 
 
-_HITS = """WITH w AS (SELECT doc_id, lang, unnest(list_filter(regexp_extract_all(lower(text), '[a-zA-ZÀ-ɏ]+'), lambda w : length(w) >= 2)) AS word FROM documents),
-k AS (SELECT DISTINCT unnest(list_filter(regexp_extract_all(lower(text), '[a-zA-ZÀ-ɏ]+'), lambda w : length(w) >= 2)) AS word FROM benchmark),
+_TOKEN_LIST = "list_filter(regexp_extract_all({0}, '[a-zA-ZÀ-ɏ]+'), lambda w : length(w) >= 2)"
+_HITS = f"""WITH a AS (SELECT doc_id, lang, {_TOKEN_LIST.format('text')} AS w FROM documents), c AS (SELECT *, list_filter(w, lambda x : NOT regexp_matches(x, '^\\p{{Lu}}') OR x = upper(x)) AS f FROM a),
+w AS (SELECT doc_id, lang, lower(unnest(CASE WHEN lang = 'fr' AND len(f) >= 0.5 * len(w) THEN f ELSE w END)) AS word FROM c),
+k AS (SELECT DISTINCT unnest({_TOKEN_LIST.format('lower(text)')}) AS word FROM benchmark),
 h AS (SELECT doc_id, lang, w.word, count(*) AS n, k.word IS NOT NULL AS known FROM w LEFT JOIN k ON w.word = k.word GROUP BY ALL) """
 
 
 @query(_HITS + "SELECT doc_id, sum(n)::BIGINT AS words, coalesce(sum(n) FILTER (known), 0)::BIGINT AS hits, round(coalesce(sum(n) FILTER (known), 0) / sum(n), 9) AS hit_rate FROM h GROUP BY doc_id")
 def dictionary_hit_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    hits = F.coalesce(F.sum(F.when(F.col("known"), F.col("n"))), F.lit(0))
-    return _hits(spark, sf_dir).groupBy("doc_id").agg(F.sum("n").alias("words"), hits.alias("hits"), F.round(hits / F.sum("n"), 9).alias("hit_rate"))
+    n, hits = F.count(F.lit(1)), F.count_if("known")
+    return _hits(spark, sf_dir).groupBy("doc_id").agg(n.alias("words"), hits.alias("hits"), F.round(hits / n, 9).alias("hit_rate"))
 
 
 @query(_HITS + rf""", r AS (SELECT doc_id, lang, coalesce(sum(n) FILTER (known), 0) / sum(n) AS hit FROM h GROUP BY doc_id, lang),
-s AS (SELECT r.lang, round((0.8 * hit + 0.2 * (1 - (length(text) - length(regexp_replace(text, '[{SUSPICIOUS}]|[^\x00-\x7F{EXPECTED_EXTRA}\p{{Z}}]', '', 'g'))) / length(text))) * 100, 1) AS score FROM r JOIN documents USING (doc_id))
+s AS (SELECT r.lang, round((0.8 * hit + 0.2 * (1 - (length(text) - length(regexp_replace(text, '{SUSPECT_CLASS}', '', 'g'))) / length(text))) * 100, 1) AS score FROM r JOIN documents USING (doc_id))
 SELECT lang, count(*) AS n, round(avg(score), 6) AS mean, round(quantile_cont(score, 0.5), 6) AS median, round(coalesce(stddev_samp(score), 0), 6) AS std, min(score) AS lo, max(score) AS hi FROM s GROUP BY lang""")
 def quality_score_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rate = _hits(spark, sf_dir).groupBy("doc_id").agg((F.coalesce(F.sum(F.when(F.col("known"), F.col("n"))), F.lit(0)) / F.sum("n")).alias("hit"))
+    rate = _hits(spark, sf_dir).groupBy("doc_id").agg((F.count_if("known") / F.count(F.lit(1))).alias("hit"))
     docs = table(spark, sf_dir, "documents").select("doc_id", "lang", X.suspicious_ratio(F.col("text")).alias("suspicious")).join(rate, "doc_id")
     s = docs.select("lang", X.quality_score(F.col("hit"), F.col("suspicious")).alias("score"))
     return s.groupBy("lang").agg(
@@ -108,7 +119,7 @@ def quality_score_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 def top_unknown_words(spark: SparkSession, sf_dir: str) -> DataFrame:
     from corpusq.operators.ordered import top_per_group
 
-    unknown = _hits(spark, sf_dir).where(~F.col("known")).groupBy("lang", "word").agg(F.sum("n").alias("n"))
+    unknown = _hits(spark, sf_dir).where(~F.col("known")).groupBy("lang", "word").agg(F.count(F.lit(1)).alias("n"))
     return top_per_group(unknown, ["lang"], [F.col("n").desc(), F.col("word")], 20)
 
 
@@ -121,7 +132,7 @@ def paragraph_split(spark: SparkSession, sf_dir: str) -> DataFrame:
 _CODES = {"[fr]": "fra", " EN-us ": "eng", "ger": "deu", "xx": "xx", "[ITA]": "ita", "": "", "gsw": "gsw", "Q12": "q12"}
 
 
-@query("SELECT * FROM (VALUES " + ", ".join(f"('{k}', '{v}')" for k, v in _CODES.items()) + ") t(raw, code) UNION ALL SELECT DISTINCT lang, CASE lang " + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in (LANG_2TO3 | LANG_B2T).items()) + " ELSE lang END FROM documents")
+@query("SELECT * FROM (VALUES " + ", ".join(f"('{k}', '{v}')" for k, v in _CODES.items()) + ") t(raw, code) UNION ALL SELECT DISTINCT lang, CASE lang " + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in LANG_CODES.items()) + " ELSE lang END FROM documents")
 def lang_code_normalize(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = spark.createDataFrame([(k,) for k in _CODES], T.StructType([T.StructField("raw", T.StringType())]))
     raw = raw.unionByName(table(spark, sf_dir, "documents").select(F.col("lang").alias("raw")).distinct())
@@ -133,7 +144,7 @@ def _damaged(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _sql_rate(lang: str) -> str:
-    n = lambda c: f"(length({c}) - length(regexp_replace({c}, '[{DIACRITICS[lang]}]', '', 'g')))"
+    n = lambda c: f"(length({c}) - length(regexp_replace({c}, '[{expected.DIACRITICS[lang]}]', '', 'g')))"
     return f"WHEN lang = '{lang}' THEN CASE WHEN {n('text')} = 0 THEN CASE WHEN {n('hyp')} = 0 THEN 1.0 ELSE 0.0 END ELSE least({n('text')}, {n('hyp')}) / {n('text')} END"
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from corpusq.session import ship_package
 
@@ -10,3 +11,8 @@ from corpusq.session import ship_package
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     ship_package(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def small(df: DataFrame, most: int = 100_000) -> DataFrame:
+    """``df`` marked for broadcast if it has at most ``most`` rows, else as it is: joins then shuffle."""
+    return F.broadcast(df) if df.limit(most + 1).count() <= most else df

@@ -1,6 +1,8 @@
 """Operators on small cases worked out by hand or by a plain version."""
 
+import math
 import random
+import re
 import struct
 
 import numpy as np
@@ -73,17 +75,57 @@ def test_words_as_chars():
 
 
 def test_bootstrap():
-    v = np.array([0.0, 1.0, 2.0, 3.0, 10.0])
+    v, one = np.array([0.0, 1.0, 2.0, 3.0, 10.0]), np.ones(5, np.int64)
     assert S.percentile_ci(v, S.mean, 500, 1) == S.percentile_ci(v, S.mean, 500, 1)
     for f in (S.percentile_ci, S.bca_ci):
         lo, hi = f(v, S.mean, 2000, 1)
         assert v.min() <= lo < v.mean() < hi <= v.max()
         assert f(v[:1], S.mean, 10, 1) == (0.0, 0.0)
     assert S.norm_ppf(0.975) == pytest.approx(1.96, abs=0.01) and S.chi2_sf(3.84, 1) == pytest.approx(0.05, abs=0.005)
-    assert S.paired(np.array([1.0, 1.0, 1.0]), 100, 1) == (1.0, 1.0, 1.0, 0.0)
-    x = np.random.default_rng(1).normal(size=(40, 2))
-    c, r2, loo = S.ols_loocv(x, x @ [2.0, -1.0] + 3)
-    assert r2 == pytest.approx(1) and loo == pytest.approx(1) and c[0] == pytest.approx((x @ [2.0, -1.0] + 3).mean())
+    assert S.paired(np.array([1.0]), 100, 1, np.array([3])) == (1.0, 1.0, 1.0, 0.0)
+    rng = np.random.default_rng(4)
+    for _ in range(50):
+        values = np.unique(rng.integers(0, 30, rng.integers(1, 9))).astype(float)
+        counts = rng.integers(1, 6, len(values))
+        whole = np.repeat(values, counts)
+        assert S.mean(values, counts) == pytest.approx(whole.mean()) and S.median(values, counts) == np.median(whole)
+    # Counted values give the distribution of resampled rows.
+    rows = rng.choice(v, (20_000, 40))
+    lo, hi = S.percentile_ci(v, S.mean, 20_000, 3, counts=8 * one)
+    assert (lo, hi) == (pytest.approx(np.quantile(rows.mean(1), 0.025), abs=0.15), pytest.approx(np.quantile(rows.mean(1), 0.975), abs=0.15))
+
+
+def test_block_and_share_intervals():
+    rates, weights = np.array([0.1, 0.2, 0.05]), np.array([10.0, 20.0, 70.0])
+    lo, hi = S.block_ci(rates, weights, 4000, 1)
+    assert 0.05 <= lo < np.average(rates, weights=weights) < hi <= 0.2
+    assert S.block_ci(np.array([0.4]), np.array([3.0]), 10, 1) == (pytest.approx(0.4), pytest.approx(0.4))
+    assert S.block_ci(np.array([0.4, 0.1]), np.array([1.0, 3.0]), 10, 1) == (pytest.approx(0.175), pytest.approx(0.175))
+    lo, hi = S.bernoulli_ci(80, 100, 10_000, 1)
+    assert (lo, hi) == (pytest.approx(0.72, abs=0.02), pytest.approx(0.87, abs=0.02)) and S.bernoulli_ci(5, 5, 100, 1) == (1.0, 1.0)
+
+
+def test_p_values():
+    assert S.pearson_p(0.5, 20) == pytest.approx(0.02477, abs=1e-5) and S.pearson_p(0.0, 9) == pytest.approx(1) and S.pearson_p(1.0, 9) == 0
+    assert S.incomplete_beta(2, 3, 0.4) == pytest.approx(0.5248) and S.ks_p(0.5, 10, 12) == pytest.approx(0.09, abs=0.03) and S.ks_p(0.01, 50, 50) == 1
+
+
+def test_leave_one_out():
+    rng = np.random.default_rng(1)
+    x, y = rng.normal(size=30), rng.normal(size=30)
+    out = []
+    for k in range(30):
+        a, b = np.delete(x, k), np.delete(y, k)
+        slope = np.cov(a, b)[0, 1] / a.var()
+        out.append(b.mean() + slope * (x[k] - a.mean()))
+    assert S.single_loocv(x, y) == pytest.approx(1 - ((y - out) ** 2).sum() / ((y - y.mean()) ** 2).sum())
+    z = rng.normal(size=(40, 2))
+    t = z @ [2.0, -1.0] + 3 + rng.normal(size=40)
+    c, inverse = S.solved(40, z.sum(0), z.T @ z, t.sum(), z.T @ t)
+    full = np.column_stack([np.ones(40), z])
+    e, h = t - full @ c, np.einsum("ij,jk,ik->i", full, inverse, full)
+    refits = [t[k] - full[k] @ np.linalg.lstsq(np.delete(full, k, 0), np.delete(t, k), rcond=None)[0] for k in range(40)]
+    assert e / (1 - h) == pytest.approx(np.array(refits))
 
 
 def plain_order(boxes, wide=60, gap=12):
@@ -140,14 +182,67 @@ def test_spans(spark):
     assert sorted((r.start, r.end) for r in merged.collect()) == [(0, 9), (11, 12)]
 
 
-def test_running_heads(spark):
-    lines = [("d", p, 0, "my head") for p in range(1, 9)] + [("d", p, 1, f"text {p}") for p in range(1, 9)] + [("d", 9, 0, "my head now"), ("d", 9, 3, "my head now"), ("d", 3, 2, "my head")]
-    lines += [("e", p, 0, "verso" if p % 2 else "recto") for p in range(1, 11)]
-    df = spark.createDataFrame(lines, "doc string, page int, idx int, form string")
-    kinds = {(r.doc, r.form): r.kind for r in heads.accepted_forms(df).collect()}
-    assert kinds == {("d", "my head"): "primary", ("d", "my head now"): "contains", ("e", "recto"): "primary", ("e", "verso"): "primary"}
-    reasons = {(r.page, r.idx, r.form): r.reason for r in heads.detect(df).where("doc = 'd'").collect()}
-    assert reasons[3, 0, "my head"] == reasons[3, 2, "my head"] == "repeated-on-page" and reasons[1, 0, "my head"] is None
+def plain_heads(segments, n_pages):
+    """Page by page: {(page, idx): (form, kind, reason)} of one document's segments [(page, idx, form, in_head)]."""
+    short = [x for x in segments if 2 <= len(x[2]) <= 80]
+    on = {}
+    for page, _, form, _ in short:
+        on.setdefault(form, []).append(page)
+    solo = {f: {p for p in ps if ps.count(p) == 1} for f, ps in on.items()}
+    kinds = {f: "primary" for f, ps in solo.items() if len(ps) >= max(3, math.ceil(n_pages * 0.05))}
+    if not kinds:
+        sides = [f for f, ps in solo.items() if len(ps) >= 2 and len({p % 2 for p in ps}) == 1]
+        for f in sides:
+            for g in sides:
+                if min(solo[f]) % 2 != min(solo[g]) % 2 and len(solo[f] | solo[g]) >= n_pages * 0.5:
+                    kinds[f] = "alternating"
+    base = list(kinds)
+    for f in on:
+        if f not in kinds and any(len(f) <= 2 * len(b) and re.search(rf"(?:^|\W){re.escape(b)}(?:\W|$)", f) for b in base):
+            kinds[f] = "contains"
+    place = {(p, i): f for p, i, f, _ in short}
+    follows = {}
+    for (p, i), f in place.items():
+        if f in kinds and place.get((p, i - 1)) in kinds and place[p, i - 1] != f:
+            follows.setdefault(f, set()).add(p)
+    found = {}
+    for p, i, f, _ in short:
+        if f not in kinds:
+            continue
+        lead = [x for x in segments if x[0] == p]
+        block = 0
+        while block < min(4, len(lead)) and 2 <= len(lead[block][2]) <= 80:
+            block += 1
+        block = block if any(x[3] for x in lead[:block]) else 0
+        reason = None
+        if p not in solo[f]:
+            reason = "repeated-on-page"
+        elif i < block:
+            reason = "title-block"
+        elif p in follows.get(f, ()) and len(follows[f]) * 2 < len(solo[f]):
+            reason = "off-slot"
+        elif kinds[f] == "contains" and i >= 3:
+            reason = "inner-variant"
+        found[p, i] = (f, kinds[f], reason)
+    return found
+
+
+def test_running_heads_against_a_plain_version(spark):
+    rng = random.Random(5)
+    rows, want = [], {}
+    for d in range(40):
+        n_pages, forms = rng.randrange(1, 14), ["my head", "verso", "recto", "my head now", "a my head", "chapter two", "x" * 90, "of it", "head"]
+        segments = []
+        for p in range(1, n_pages + 1):
+            lines = [rng.choice(forms[:4] if d % 2 else forms) if rng.random() < 0.6 else f"line {p} {k} of text" for k in range(rng.randrange(1, 7))]
+            if d % 4 == 3:
+                lines = ["verso" if p % 2 else "recto", *(f"t {p} {k}" for k in range(3))]
+            segments += [(p, i, f, i == 0 and rng.random() < 0.3) for i, f in enumerate(lines)]
+        rows += [(d, *x) for x in segments]
+        want |= {(d, *k): v for k, v in plain_heads(segments, n_pages).items()}
+    got = heads.detect(spark.createDataFrame(rows, "doc int, page int, idx int, form string, in_head boolean")).collect()
+    assert {(r.doc, r.page, r.idx): (r.form, r.kind, r.reason) for r in got} == want and len(got) == len(want)
+    assert {v[2] for v in want.values()} >= {None, "repeated-on-page", "title-block", "off-slot", "inner-variant"}
 
 
 def test_allocation_and_sample(spark):
@@ -175,10 +270,65 @@ def test_mentions(spark):
     assert [(text[r.start : r.end], r.gid, r.tier, r.rule, r.alternatives) for r in rows] == [("Anna Keller", "g1", 1, "exact", []), ("Keller", "g1", 2, "bare-surname:ambiguous", ["g2"])]
 
 
-def test_case_numbers(spark):
-    df = spark.createDataFrame([(i, i * 7 % 101) for i in range(100)], "doc int, score int")
-    got = entities.numbered(df, [F.col("score").desc(), "doc"], "f").orderBy("case_id").collect()
-    assert [r.case_id for r in got] == [f"f{k:04d}" for k in range(1, 101)] and [r.score for r in got] == sorted((r.score for r in got), reverse=True)
+@pytest.mark.parametrize("partitions", [1, 3, 4, 64])
+def test_case_numbers(spark, partitions):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", str(partitions))
+    try:
+        df = spark.createDataFrame([(i, i * 7 % 1013) for i in range(3000)], "doc int, score int")
+        got = entities.numbered(df, [F.col("score").desc(), "doc"], "f").collect()
+        assert {r.case_id: (r.score, r.doc) for r in got} == {f"f{k + 1:04d}": (-a, b) for k, (a, b) in enumerate(sorted((-(i * 7 % 1013), i) for i in range(3000)))}
+        ranks = ordered.ranked(df.withColumn("score", F.col("score") % 3), ["score"], ["doc"]).collect()
+        for k in range(3):
+            mine = sorted((r["rank"], r.doc) for r in ranks if r.score == k)
+            assert [a for a, _ in mine] == list(range(1, len(mine) + 1)) and [b for _, b in mine] == sorted(b for _, b in mine)
+        m = {r.score: r["median"] for r in ordered.medians(df.withColumn("score", F.col("score") % 3), ["score"], "doc").collect()}
+        assert m == {k: float(np.median([i for i in range(3000) if i * 7 % 1013 % 3 == k])) for k in range(3)}
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+def test_drifting_pages_against_a_plain_version(spark):
+    from corpusq.operators.pages import match_drifting
+
+    rng, rows, want = random.Random(11), [], {}
+    words = ["Alphabet", "notebook", "Seventeen", "mountain", "yellowish", "Kerosene", "windowsill", "paperback", "short", "of"]
+    for d in range(30):
+        ref = {p: " ".join(rng.choice(words) + rng.choice(["", "x", "yz"]) for _ in range(rng.randrange(1, 14))) for p in range(1, rng.randrange(2, 9))}
+        hyp, shift = {}, rng.randrange(0, 4)
+        for p, t in ref.items():
+            shift += rng.random() < 0.2
+            if rng.random() < 0.85:
+                hyp[p + shift] = t.upper() if rng.random() < 0.5 else "nothing here " * 5
+        rows += [(d, "ref", p, t) for p, t in ref.items()] + [(d, "hyp", p, t) for p, t in hyp.items()]
+
+        def score(a, b):
+            return sum(w.lower() in b.lower() for w in [w for w in a.split() if len(w) > 5][:8])
+
+        offset, found = 0, False
+        for p in sorted(ref):
+            if len(ref[p]) < 50:
+                continue
+            for pages in ([] if found else sorted(hyp)), [q for q in range(p + offset - 2, p + offset + 4) if q in hyp]:
+                scored = [(score(ref[p], hyp[q]), q) for q in pages]
+                top = max((s for s, _ in scored), default=0)
+                if top >= 2:
+                    q = next(q for s, q in scored if s == top)
+                    offset, found, want[d, p] = q - p, True, q
+                    break
+            else:
+                if p + offset in hyp:
+                    want[d, p] = p + offset
+    got = match_drifting(spark.createDataFrame(rows, "doc long, kind string, page long, text string")).collect()
+    assert {(r.doc, r.page): r.match for r in got} == want and len(want) > 40
+
+
+def test_pages_pair_by_place_without_common_numbers(spark):
+    from corpusq.operators.pages import pair_pages
+
+    ref = spark.createDataFrame([(1, 1, "a"), (1, 2, "b"), (2, 1, "c"), (2, 2, "d"), (3, 1, "e")], "doc int, page int, ref string")
+    hyp = spark.createDataFrame([(1, 2, "B"), (1, 9, "x"), (2, 30, "C"), (2, 40, "D"), (2, 50, "E")], "doc int, page int, hyp string")
+    assert sorted(tuple(r) for r in pair_pages(ref, hyp, "doc", "page").select("doc", "page", "ref", "hyp").collect()) == [(1, 2, "b", "B"), (2, 1, "c", "C"), (2, 2, "d", "D")]
 
 
 def test_markup():
