@@ -2,23 +2,19 @@
 
 from __future__ import annotations
 
-import atexit
-import os
-import shutil
-import tempfile
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusq.session import ship_package
+from corpusq.storage import discard, stored, work_path
+
+__all__ = ["SPACE", "discard", "read_table", "salt", "salted_groups", "sized", "spread", "stored", "work_path"]
 
 #: White space of the contracts: space and the ASCII controls 9 to 13.
 SPACE = r"[\x20\x09-\x0D]+"
 #: Rows of one key are spread over at most so many sub-keys. Small groups pay nothing for it:
 #: a sub-key exists only where a row has it.
 SALTS = 4096
-_TEMPORARY: set[str] = set()
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -26,39 +22,6 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def work_path(spark: SparkSession, tag: str) -> str:
-    """A new path under ``spark.checkpoint.dir``, the folder that driver and executors share.
-
-    Where the setting is missing a temporary folder takes its place in a local session, whose
-    threads share it; elsewhere executors could not see it, so that is an error.
-    """
-    ship_package(spark)
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
-        base = "file://" + os.path.join(tempfile.gettempdir(), f"corpusq-work-{os.getpid()}")
-        if base not in _TEMPORARY:
-            _TEMPORARY.add(base)
-            atexit.register(shutil.rmtree, base.removeprefix("file://"), ignore_errors=True)
-    return f"{base.rstrip('/')}/corpusq/{tag}-{uuid.uuid4().hex}"
-
-
-def discard(df: DataFrame) -> None:
-    """Deletes the files of a table that :func:`stored` wrote, once nothing reads it any more."""
-    spark = df.sparkSession
-    for file in df.inputFiles()[:1]:
-        folder = spark._jvm.org.apache.hadoop.fs.Path(file.rpartition("/")[0])
-        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
-
-
-def stored(df: DataFrame, tag: str, **options: str) -> DataFrame:
-    """``df`` written to the shared folder and read again: its lineage ends there."""
-    path = work_path(df.sparkSession, tag)
-    df.write.options(**{k.replace("__", "."): v for k, v in options.items()}).parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def sized(df: DataFrame, rows: int, each: int = 50_000) -> DataFrame:
     """``df``, known to have about ``rows`` rows, in one partition per ``each`` of them: no swarm of tiny files."""
     return df.coalesce(max(1, -(-rows // each)))
@@ -77,3 +40,12 @@ def salted_groups(rows: DataFrame, keys: list[str], id_col: str) -> DataFrame:
     parts = rows.groupBy(*keys, "_salt").agg(F.min(id_col).alias("_least"), F.count(F.lit(1)).alias("_n"))
     whole = parts.groupBy(*keys).agg(F.min("_least").alias("keep_id"), F.sum("_n").alias("group_size"))
     return parts.select(*keys, "_salt").join(whole, keys)
+
+
+def spread(rows: DataFrame, other: DataFrame, on: list[str]) -> DataFrame:
+    """``rows`` (with ``_salt``) joined with ``other``, which has each key once.
+
+    A key that many rows share is dealt out: ``other`` meets its salts, one row each, then the rows meet those.
+    """
+    there = rows.select(*on, "_salt").distinct().join(other, on)
+    return rows.join(there, [*on, "_salt"])

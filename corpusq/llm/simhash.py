@@ -19,7 +19,8 @@ linear in the number of fingerprints, and no link is lost.
 Components: labels sink along links with pointer jumping, each round written to the shared folder.
 
 Null text counts as empty. All documents without words are linked. Null ids lose against others as
-component ids; repeated rows each get their row.
+component ids; repeated rows each get their row. Texts of any length count whole. Extra columns are
+ignored, whatever their names; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -32,29 +33,38 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corpusq.llm.common import salt, sized, stored
+from corpusq.llm.common import salt, sized, spread, stored
 
 SEED, MAX_BITS, WIDTH, HOT = 42, 3, 3, 256
 _LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
 _STEP = 1 << 16
 
 
-def fingerprint(text: str | None, width: int = WIDTH) -> int:
-    """The unsigned fingerprint of one text; the hashes are counted in steps, so memory stays bounded."""
+def shingles(text: str | None, width: int) -> np.ndarray:
+    """The hashes (uint64) of a text's shingles, repeats included; fewer words: one of the whole sequence; none: none."""
     words = (text or "").encode().translate(_LOWER).split()
     if not words:
-        return 0
+        return np.zeros(0, np.uint64)
     line, hash64 = b" ".join(words), xxhash.xxh64_intdigest
     if len(words) <= width:
-        return hash64(line, SEED)
+        return np.array([hash64(line, SEED)], np.uint64)
     size = np.fromiter(map(len, words), np.int64, len(words))
     end = np.cumsum(size + 1) - 1
     starts, ends = (end - size)[: len(words) - width + 1].tolist(), end[width - 1 :].tolist()
+    return np.fromiter((hash64(line[a:b], SEED) for a, b in zip(starts, ends)), np.uint64, len(starts))
+
+
+def majority(hashes: np.ndarray) -> int:
+    """The bits set in over half of the hashes; they are counted in steps, so memory stays bounded."""
     ones = np.zeros(64, np.int64)
-    for k in range(0, len(starts), _STEP):
-        hashes = np.array([hash64(line[a:b], SEED) for a, b in zip(starts[k : k + _STEP], ends[k : k + _STEP])], ">u8")
-        ones += np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1).sum(0, dtype=np.int64)
-    return int.from_bytes(np.packbits(2 * ones > len(starts)).tobytes(), "big")
+    for k in range(0, len(hashes), _STEP):
+        ones += np.unpackbits(hashes[k : k + _STEP].astype(">u8").view(np.uint8).reshape(-1, 8), axis=1).sum(0, dtype=np.int64)
+    return int.from_bytes(np.packbits(2 * ones > len(hashes)).tobytes(), "big")
+
+
+def fingerprint(text: str | None, width: int = WIDTH) -> int:
+    """The unsigned fingerprint of one text."""
+    return majority(shingles(text, width))
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH) -> DataFrame:
@@ -159,16 +169,19 @@ def components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     ``nodes``: fp, rep (the least id with it); ``edges``: a, b.
     """
     n = nodes.count()
-    both = stored(sized(edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))), n), "simhash-edges")
+    both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).withColumn("_salt", salt("b"))
+    both = stored(sized(both, n), "simhash-edges")
     own = F.struct(F.col("rep").isNull().alias("none"), F.col("rep").alias("rep"), F.col("fp").alias("fp"))
     labels = nodes.join(both.select(F.col("a").alias("fp")).distinct(), "fp").select("fp", own.alias("lab"))
     labels = stored(sized(labels, n), "simhash-labels")
     while not labels.isEmpty():
-        heard = both.join(labels.withColumnRenamed("fp", "a"), "a").groupBy(F.col("b").alias("fp")).agg(F.min("lab").alias("heard"))
+        heard = spread(both, labels.withColumnRenamed("fp", "a"), ["a"]).groupBy(F.col("b").alias("fp")).agg(F.min("lab").alias("heard"))
         sunk = labels.join(heard, "fp").select("fp", F.col("lab").alias("old"), F.least("lab", "heard").alias("lab"))
         sunk = stored(sized(sunk, n), "simhash-sunk")
         jump = sunk.select(F.col("fp").alias("to"), F.col("lab").alias("far"))
-        new = sunk.join(jump, F.col("lab.fp") == F.col("to")).select("fp", "old", F.least("lab", "far").alias("lab"))
+        # All of a component point to a few nodes: such a key is dealt out by salt.
+        rows = sunk.select("fp", "old", "lab", F.col("lab.fp").alias("to"), salt("fp").alias("_salt"))
+        new = spread(rows, jump, ["to"]).select("fp", "old", F.least("lab", "far").alias("lab"))
         new = stored(sized(new, n), "simhash-labels")
         done = new.where(~F.col("old").eqNullSafe(F.col("lab"))).isEmpty()
         labels = new.select("fp", "lab")
@@ -181,16 +194,9 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """One row per document: id, fingerprint (16 hex digits), component_id."""
     rows = stored(fingerprints(docs, id_col, text_col, width), "simhash-fp")
     parts = rows.groupBy("_fp", "_salt").agg(F.min("_id").alias("least"))
-    nodes = stored(sized(parts.groupBy(F.col("_fp").alias("fp")).agg(F.min("least").alias("rep")), rows.count()), "simhash-nodes")
+    # Tasks of few rows: each becomes 66 index rows.
+    nodes = stored(sized(parts.groupBy(F.col("_fp").alias("fp")).agg(F.min("least").alias("rep")), rows.count(), 10_000), "simhash-nodes")
     labels = components(nodes, links(nodes.select("fp"), hot))
     whole = nodes.join(labels, "fp", "left").select(F.col("fp").alias("_fp"), F.when(F.col("lab").isNull(), F.col("rep")).otherwise(F.col("lab.rep")).alias("component_id"))
     known = parts.select("_fp", "_salt").join(whole, "_fp")
     return rows.join(known, ["_fp", "_salt"]).select(F.col("_id").alias(id_col), F.lpad(F.lower(F.hex("_fp")), 16, "0").alias("fingerprint"), "component_id")
-
-
-def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH) -> DataFrame:
-    """``docs``, all columns, with the smallest id of each component; null ids stay only where all of its ids are null."""
-    found = near_groups(docs, id_col, text_col, width)
-    keep = found.where(F.col(id_col).eqNullSafe(F.col("component_id"))).select(F.col(id_col).alias("_keep")).distinct()
-    rows = docs.select(F.col(id_col).alias("_id"), F.struct("*").alias("_row"))
-    return rows.join(keep, rows["_id"].eqNullSafe(keep["_keep"]), "left_semi").select("_row.*")
