@@ -1,6 +1,4 @@
-"""SQL (DuckDB) for the queries of :mod:`corpusq.llm.registry`, written apart from the operators."""
-
-from corpusq.llm.quality_rules import BOILERPLATE, BOILERPLATE_CHARS, MAX_LOST, MAX_MARKS, MIN_WORDS
+"""SQL (DuckDB) for the queries of :mod:`corpusq.llm.registry`, written apart from the operators, constants included."""
 
 ORACLE: dict[str, str] = {}
 
@@ -10,6 +8,16 @@ SELECT doc_id, min(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size, doc
 FROM n WINDOW w AS (PARTITION BY text_sha256)
 """
 
+#: Notices and page furniture.
+_NOTICES = "|".join([
+    "all rights reserved", "licensed under", "released under the", "general public license", "creative commons", "terms of (?:use|service)", "privacy policy",
+    "cookie policy", "cookie settings", "cookie notice", "(?:use|uses|accept|accepting) (?:all cookies|cookies)", "enable javascript", "subscribe to (?:our|the|this)", "sign up for",
+    "log in", "click here", "read more", "share this", "back to top", "skip to content", "powered by", r"copyright ©", r"copyright \(c\)", "copyright [0-9]{4}", "© ?[0-9]{4}",
+    "alle rechte vorbehalten", "datenschutzerklärung", "nutzungsbedingungen", "cookies akzeptieren", "hier klicken", "mehr lesen", "nach oben",
+    "tous droits réservés", "politique de confidentialité", "conditions d''utilisation", "accepter les cookies", "cliquez ici", "lire la suite", "haut de page",
+    "todos los derechos reservados", "política de privacidad", "condiciones de uso", "aceptar cookies", "aceptar las cookies", "haga clic", "leer más", "volver arriba",
+])
+
 ORACLE["op2_quality_rules"] = rf"""
 WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
 w AS (SELECT doc_id, t, list_filter(string_split_regex(t, '[\x20\x09-\x0D]+'), lambda x : x <> '') AS ws, string_split(t, chr(10)) AS ls FROM d),
@@ -27,10 +35,11 @@ judged AS (
   FROM line),
 failed AS (
   SELECT doc_id, dense, dense > 0 AS worded, l,
-    length(l) - length(regexp_replace(l, '[#*$%&|<>~^=_]', '', 'g')) > {MAX_MARKS} * dense
+    length(l) - length(regexp_replace(l, '[#*$%&|<>~^=_]', '', 'g')) > 0.1 * dense
     OR length(l) - length(regexp_replace(l, '[|•»›]', '', 'g')) >= 2
     OR (shouts >= 4 AND 2 * shouts > n)
-    OR (length(l) <= {BOILERPLATE_CHARS} AND regexp_matches(lower(l), '{"|".join(BOILERPLATE)}')) AS bad
+    OR regexp_matches(l, '(\.\.\.|…)[\x20\x09-\x0D]*$')
+    OR (l <> '' AND 200 * len(regexp_extract_all(lower(l), '{_NOTICES}')) >= length(l)) AS bad
   FROM judged),
 lines AS (
   SELECT doc_id, coalesce(sum(dense) FILTER (NOT bad), 0) AS kept_chars, count(*) FILTER (bad) AS n_removed_lines,
@@ -41,8 +50,8 @@ base AS (
     length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) AS n_symbols, n_dup_lines, coalesce(r, 0) AS n_repeat_words,
     n_removed_lines, kept_chars::BIGINT AS kept_chars
   FROM w JOIN lines USING (doc_id) LEFT JOIN reps USING (doc_id))
-SELECT *, base_failed IS FALSE AND word_chars - kept_chars <= {MAX_LOST} * word_chars AS kept
-FROM (SELECT *, n_words < {MIN_WORDS} OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM base)
+SELECT *, base_failed IS FALSE AND word_chars - kept_chars <= 0.3 * word_chars AS kept
+FROM (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM base)
 """
 
 ORACLE["op5_warc"] = """

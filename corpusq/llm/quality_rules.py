@@ -4,15 +4,19 @@ Each ``\\n``-split line is judged by three rules; lines that fail are removed, a
 loses more than ``MAX_LOST`` of its word characters is rejected:
 
 * punctuation: over ``MAX_MARKS`` of the line's characters outside words' letters and digits are
-  decoration (``#*$%&|<>~^=_``), or over half of its words (of at least four) end in ``!!``;
+  decoration (``#*$%&|<>~^=_``), or over half of its words (of at least four) end in ``!!``, or the
+  line breaks off in an ellipsis: a teaser;
 * navigation: three or more entries separated by bars, bullets or angle quotes;
-* boilerplate: a short line that holds a phrase of licences, consent banners or page furniture.
+* boilerplate: phrases of licences, consent banners or page furniture, in four languages, at least one
+  for every ``BOILERPLATE_CHARS`` characters, however long the line. Words that ordinary sentences
+  use (cookie, copyright) count in the phrases of such notices only.
 
 Before that a document fails the base rules if it has under 50 words or more than half of them
 lie in three-word windows that occur twice or more in it.
 
-Null text has no words: it fails. Empty text the same. Repeated rows give repeated results, extra
-columns are ignored by :func:`quality` and carried along by :func:`clean_documents`.
+Null text has no words: it fails. Empty text the same. Repeated rows give repeated results, null ids
+stay, texts of any length are judged whole; extra columns, whatever their names, are ignored by
+:func:`quality` and carried along by :func:`clean_documents`. An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -23,13 +27,17 @@ from pyspark.sql import functions as F
 MIN_WORDS = 50
 MAX_LOST = 0.3
 MAX_MARKS = 0.1
-#: A line of at most so many characters that holds one of these is boilerplate.
+#: Phrases of notices and page furniture, in lower case, as patterns.
 BOILERPLATE_CHARS = 200
 BOILERPLATE = [
-    "all rights reserved", "licensed under", "is licensed", "released under the", "general public license", "creative commons",
-    "terms of use", "terms of service", "privacy policy", "cookie", "javascript", "subscribe to", "sign up for", "log in", "click here",
-    "read more", "share this", "back to top", "skip to content", "powered by", "copyright",
+    "all rights reserved", "licensed under", "released under the", "general public license", "creative commons", "terms of use", "terms of service",
+    "privacy policy", "cookie (?:policy|settings|notice)", "(?:uses|use|accept|accepting) (?:all )?cookies", "enable javascript", "subscribe to (?:our|the|this)",
+    "sign up for", "log in", "click here", "read more", "share this", "back to top", "skip to content", "powered by", "copyright (?:©|\\(c\\)|[0-9]{4})", "© ?[0-9]{4}",
+    "alle rechte vorbehalten", "datenschutzerklärung", "nutzungsbedingungen", "cookies akzeptieren", "hier klicken", "mehr lesen", "nach oben",
+    "tous droits réservés", "politique de confidentialité", "conditions d'utilisation", "accepter les cookies", "cliquez ici", "lire la suite", "haut de page",
+    "todos los derechos reservados", "política de privacidad", "condiciones de uso", "aceptar (?:las )?cookies", "haga clic", "leer más", "volver arriba",
 ]
+TEASER = r"(?:\.\.\.|…)[\x20\x09-\x0D]*$"
 MARKS = "[#*$%&|<>~^=_]"
 NAVIGATION = "[|•»›]"
 SHOUT = r"!!(?:[\x20\x09-\x0D]|$)"
@@ -58,7 +66,8 @@ def line_fails(line: str) -> str:
         f"({_chars(line, MARKS)} > {MAX_MARKS} * {dense}"
         f" OR size(split({line}, {_sql(NAVIGATION)}, -1)) >= 3"
         f" OR ({shouts} >= 4 AND 2 * {shouts} > size({_words(line)}))"
-        f" OR (length({line}) <= {BOILERPLATE_CHARS} AND lower({line}) rlike {_sql('|'.join(BOILERPLATE))}))"
+        f" OR {line} rlike {_sql(TEASER)}"
+        f" OR ({line} <> '' AND {BOILERPLATE_CHARS} * regexp_count(lower({line}), {_sql('|'.join(BOILERPLATE))}) >= length({line})))"
     )
 
 

@@ -455,7 +455,7 @@ def write_files(docs: DataFrame, tokenizer: str, end_id: int, folder: str, id_co
 
         part = TaskContext.get().partitionId()
         enc, end = encoder(tokenizer, False), np.array([end_id], "<u4").tobytes()
-        path, n_docs, n_tokens, size, held, group = f"{folder}/part-{part:06d}.cxr", 0, 0, 0, 0, []
+        path, n_docs, n_tokens, size, held, group = sharedfs.own_name(folder, f"part-{part:06d}", ".cxr"), 0, 0, 0, 0, []
         with sharedfs.written(path) as f:
             for b in batches:
                 for d, x in zip(b.column(0).to_pylist(), enc.encode_many(b.column(1).to_pylist())):

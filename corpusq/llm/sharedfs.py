@@ -1,8 +1,8 @@
 """Files in the shared folder, written by Python workers.
 
-``file:`` paths are opened directly; other schemes through pyarrow's file systems. A file is
-written under a name of its own per attempt and moved into place when whole, so that a repeated or
-speculative task never leaves a half file under the final name.
+``file:`` paths are opened directly; other schemes through pyarrow's file systems. Every attempt of a
+task writes files of its own name (:func:`own_name`) and reports them when they are whole, so a
+repeated or speculative task never meets another's file, and no file has to be renamed.
 """
 
 from __future__ import annotations
@@ -22,14 +22,17 @@ def _at(uri: str) -> tuple[fs.FileSystem, str]:
     return fs.FileSystem.from_uri(uri)
 
 
+def own_name(folder: str, stem: str, suffix: str) -> str:
+    """A path that no other attempt uses."""
+    return f"{folder}/{stem}-{uuid.uuid4().hex}{suffix}"
+
+
 @contextlib.contextmanager
 def written(uri: str) -> Iterator[BinaryIO]:
     where, path = _at(uri)
-    own = f"{path}.{uuid.uuid4().hex}"
     where.create_dir(path.rpartition("/")[0], recursive=True)
-    with where.open_output_stream(own) as f:
+    with where.open_output_stream(path, compression=None) as f:
         yield f
-    where.move(own, path)
 
 
 @contextlib.contextmanager

@@ -10,7 +10,8 @@
 Of payloads of at least ``REVISIT_BYTES`` that are equal, the record with the largest page id is the
 response; the others revisit it. Smaller ones are all responses. Null html is an empty payload,
 null urls are written as ``about:blank``, null ids lose against others; of rows that repeat id and
-payload one is the response. Extra columns are ignored.
+payload one is the response. Extra columns are ignored, whatever their names; an empty table gives no
+rows; payloads of any length are written whole.
 """
 
 from __future__ import annotations
@@ -87,7 +88,7 @@ def write_archives(pages: DataFrame, folder: str, id_col: str = "page_id", url_c
         from pyspark import TaskContext
 
         part, n = TaskContext.get().partitionId(), 0
-        path = f"{folder}/part-{part:06d}.warc.gz"
+        path = sharedfs.own_name(folder, f"part-{part:06d}", ".warc.gz")
         with sharedfs.written(path) as f, gzip.GzipFile(fileobj=f, mode="wb", compresslevel=LEVEL, mtime=0) as g:
             for b in batches:
                 for page, url, payload, revisit, refers, target in zip(*(c.to_pylist() for c in b.columns)):
@@ -128,19 +129,23 @@ def rewrite(stream: BinaryIO, out: BinaryIO, index: BinaryIO) -> int:
 
 
 def normalise(manifest: DataFrame) -> DataFrame:
-    """One task per archive: ``x.warc.gz`` to ``x.members.warc.gz`` and ``x.index``; the monolith goes."""
+    """One task per archive: ``x.warc.gz`` to ``x-….members.warc.gz`` and ``x-….index``; once all are there the monoliths go."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for path, records in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                stem = path.removesuffix(".warc.gz")
+                stem = sharedfs.own_name(*path.removesuffix(".warc.gz").rsplit("/", 1), "")
                 with sharedfs.opened(path) as f, gzip.GzipFile(fileobj=f) as g, sharedfs.written(f"{stem}.members.warc.gz") as out, sharedfs.written(f"{stem}.index") as index:
                     n = rewrite(g, out, index)
                 if n != records:
                     raise ValueError(f"{path}: {n} records, {records} written")
                 yield pa.RecordBatch.from_pydict({"path": [f"{stem}.members.warc.gz"], "records": pa.array([n], pa.int64())})
 
-    return _files(manifest.mapInArrow(run, "path string, records long"))
+    old = [r.path for r in manifest.select("path").collect()]  # a row per partition
+    made = _files(manifest.mapInArrow(run, "path string, records long"))
+    for path in old:
+        sharedfs.removed(path)
+    return made
 
 
 def _files(made: DataFrame) -> DataFrame:
