@@ -204,3 +204,69 @@ def class_preservation(ref: Column, hyp: Column, classes: list[str]) -> Column:
 def cer(ref: Column, hyp: Column) -> Column:
     """Character error rate; an empty reference gives 0 for an empty text and 1 for any other."""
     return F.when(F.length(ref) == 0, F.when(F.length(hyp) == 0, 0.0).otherwise(1.0)).otherwise(F.levenshtein(hyp, ref) / F.length(ref))
+
+
+def has_emphasis(c: Column) -> Column:
+    """Words between stars, or between underscores that stand outside words, without spaces at the edges."""
+    return c.rlike(r"\*+(?!\s)[^*\n]+?(?<!\s)\*+") | c.rlike(r"(?U)(?<!\w)_+(?!\s)[^_\n]+?(?<!\s)_+(?!\w)")
+
+
+def unbracketed(c: Column) -> Column:
+    return F.regexp_replace(c, r"^\[(.*)\]$", "$1")
+
+
+def bracketed(c: Column) -> Column:
+    return F.when(c.startswith("["), c).otherwise(F.concat(F.lit("["), c, F.lit("]")))
+
+
+def first_language(c: Column) -> Column:
+    """The first of several languages, in lower case; 'unknown' for none or ``?``."""
+    low = F.trim(F.lower(c))
+    first = F.trim(F.element_at(F.split(low, "[/,]"), 1))
+    return F.when(c.isNull() | c.isin("", "?") | (first == ""), "unknown").otherwise(first)
+
+
+#: Two-letter codes a header knows, and codes a name scan knows.
+IDENTS = {"fr": "fra", "de": "deu", "en": "eng", "it": "ita"}
+KNOWN_LANGUAGES, GERMAN = ["fr", "fra", "fre", "en", "eng", "it", "ita", "es", "spa", "de", "deu", "ger"], ["de", "deu", "ger"]
+
+
+def language_idents(c: Column) -> Column:
+    """The three-letter codes of a language field, comma-joined, each once; unknown parts and none are 'und'."""
+    parts = F.filter(F.split(F.lower(F.trim(c)), r"[/,;\s]+"), lambda p: p != "")
+    known = F.create_map(*[F.lit(x) for kv in IDENTS.items() for x in kv])
+    codes = F.array_distinct(F.transform(parts, lambda p: F.when(p.rlike("^[a-z]{3}$"), p).otherwise(F.coalesce(F.try_element_at(known, p), F.lit("und")))))
+    return F.when(c.isNull() | (F.size(codes) == 0), "und").otherwise(F.array_join(codes, ","))
+
+
+def single_words_allowed(c: Column) -> Column:
+    """A capitalised word alone tells a name: in a known language without a German share."""
+    parts = F.split(F.lower(c), r"[/,;\s]+")
+    has = lambda codes: F.arrays_overlap(parts, F.array(*map(F.lit, codes)))
+    return F.coalesce(has(KNOWN_LANGUAGES) & ~has(GERMAN), F.lit(False))
+
+
+def xml_escape(c: Column) -> Column:
+    for char, ref in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;"), ('"', "&quot;")):
+        c = F.replace(c, F.lit(char), F.lit(ref))
+    return c
+
+
+def strip_markdown(c: Column) -> Column:
+    return F.regexp_replace(c, "[*_#]", "")
+
+
+def ascii_only(c: Column) -> Column:
+    """Without accents, ``ß`` as ``ss``, any other character beyond ASCII as ``?``."""
+    return F.regexp_replace(F.replace(F.translate(c, FOLD_FROM, FOLD_TO), F.lit("ß"), F.lit("ss")), r"[^\x00-\x7F]", "?")
+
+
+def find_phrase(text: Column, phrase: Column) -> Column:
+    """0-based place of a phrase in a text without Markdown signs, case aside; -1 if it is not there."""
+    return F.instr(F.lower(strip_markdown(text)), F.lower(phrase)) - 1
+
+
+def tagged_block(c: Column, tag: str) -> Column:
+    """The trimmed content of the first such element, or the trimmed text where there is none."""
+    found = F.regexp_extract(c, f"(?s)<{tag}>(.*?)</{tag}>", 1)
+    return F.when(F.contains(c, F.lit(f"<{tag}>")) & F.contains(c, F.lit(f"</{tag}>")), F.trim(found)).otherwise(F.trim(c))

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from corpusq.functions import text as X
 from corpusq.operators import entities as E
+from corpusq.operators import matcher
 from corpusq.operators.ordered import top_per_group
 from corpusq.plans.base import query
 from corpusq.sources.tables import table
@@ -50,20 +51,23 @@ def lexicon_derived_forms(spark: SparkSession, sf_dir: str) -> DataFrame:
     return E.derived_forms(table(spark, sf_dir, "part").select(F.col("p_partkey").alias("gid"), F.col("p_name").alias("label")))
 
 
-def _lexicon(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, list[tuple[str, str, str, int]]]:
-    """A curated list: a pair of neighbouring words of each benchmark passage, and the first of them."""
-    b = table(spark, sf_dir, "benchmark").select("item_id", F.split("text", " ").alias("w"))
-    e = b.select(F.concat(F.lit("g"), "item_id").alias("gid"), F.concat_ws(" ", F.element_at("w", 2), F.element_at("w", 3)).alias("label"), F.element_at("w", 2).alias("short"))
-    forms = [(r.label, r.gid, "exact", 1) for r in e.collect()] + [(r.short, r.gid, "bare-surname", 2) for r in e.collect()]
-    return e.select("gid"), forms
+def _lists(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """A curated list of passages as entities: each passage's first two words are its name, its words of nine letters and more its surnames."""
+    words = F.filter(F.split("text", r"[^\p{L}]+"), lambda w: w != "")
+    b = table(spark, sf_dir, "benchmark").select(F.concat(F.lit("g"), F.col("item_id").cast("string")).alias("gid"), words.alias("w"))
+    forms = b.where(F.size("w") > 1).select(F.concat_ws(" ", F.col("w")[0], F.col("w")[1]).alias("form"), "gid", F.lit("person").alias("category"), F.lit("full-name").alias("rule"))
+    long = b.select("gid", F.explode(F.array_distinct(F.filter("w", lambda w: F.length(w) >= 9))).alias("key"))
+    return b.select("gid"), forms, long.select("key", "gid", F.lit(False).alias("released"))
 
 
 def _mentions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return E.scan_mentions(table(spark, sf_dir, "documents"), _lexicon(spark, sf_dir)[1])
+    _, forms, surnames = _lists(spark, sf_dir)
+    return matcher.find(table(spark, sf_dir, "documents"), forms, surnames).withColumnRenamed("doc", "doc_id")
 
 
 @query()
 def mention_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every find of the list in every document (tests hold the rules against sentences worked out by hand and a plain scan)."""
     return _mentions(spark, sf_dir)
 
 
@@ -75,7 +79,7 @@ def mention_by_rule(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query()
 def mention_overview(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return E.overview(_lexicon(spark, sf_dir)[0], _mentions(spark, sf_dir))
+    return E.overview(_lists(spark, sf_dir)[0], _mentions(spark, sf_dir))
 
 
 _SURFACES = r"s AS (SELECT doc_id, unnest(regexp_extract_all(text, '[A-Z][a-z]+(?: [A-Z][a-z]+)+|[A-Z][a-z]{7,}')) AS surface FROM documents) "

@@ -393,3 +393,35 @@ def test_balanced():
     for s in ("</div>a<div>b", "<div><div>x</div>", "a", "", "<div n='1'></div></div></div>"):
         t = balanced(s)
         assert t.count("<div") == t.count("</div>") and balanced(t) == t
+
+
+def test_language_and_text_helpers(spark):
+    t = lambda f, s: value(spark, f(F.col("s")), s=s)
+    assert [t(X.first_language, s) for s in ("FR", "fra/deu", "en, fr", "?", None, "/x")] == ["fr", "fra", "en", "unknown", "unknown", "unknown"]
+    assert [t(X.language_idents, s) for s in ("fra", "fra/deu", "fr", "", "?", "fr;fr")] == ["fra", "fra,deu", "fra", "und", "und", "fra"]
+    assert [t(X.has_emphasis, s) for s in ("a *b* c", "a * b * c", "_x y_", "snake_case_name", "**bold**", "no")] == [True, False, True, False, True, False]
+    assert t(lambda c: X.tagged_block(c, "text"), "a <text> b\nc </text>") == "b\nc" and t(lambda c: X.tagged_block(c, "text"), " d ") == "d"
+    assert t(X.unbracketed, "[12]") == t(X.unbracketed, "12") == "12" and t(X.bracketed, "12") == "[12]"
+    assert t(X.xml_escape, '<a b="c">&') == "&lt;a b=&quot;c&quot;&gt;&amp;" and t(X.ascii_only, "Größe – x") == "Grosse ? x"
+    assert t(X.nfc, "e\u0301a") == "\xe9a" and t(lambda c: X.regime(c, "nfc_hyphen_case"), "A\u2010b\u00adC") == "a-bc"
+    assert [t(lambda c: F.array_join(X.rated_words(c, F.lit("fr")), " "), s) for s in ("le chat Paris ONU", "Paris Rome le")] == ["le chat onu", "paris rome le"]
+
+
+def test_cases_in_two_batches_are_an_error(spark):
+    from corpusq.operators import reviews
+
+    a, b = spark.createDataFrame([(1, "x"), (2, "y")], "case_id int, v string"), spark.createDataFrame([(3, "z")], "case_id int, v string")
+    assert reviews.merged(a, b, "case_id").count() == 3
+    with pytest.raises(Exception, match="case in two batches: 2"):
+        reviews.merged(a, b.unionByName(a.where("case_id = 2")), "case_id").collect()
+
+
+def test_stored_tables(spark):
+    from corpusq import storage
+
+    assert storage.work_path(spark, "x") != storage.work_path(spark, "x")
+    kept = storage.stored(spark.range(5), "kept")
+    assert kept.count() == 5
+    storage.discard(kept)
+    with pytest.raises(Exception, match="(?i)not exist|does not exist|FileNotFound|FAILED_READ"):
+        kept.count()
