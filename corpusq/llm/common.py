@@ -42,10 +42,13 @@ def salted_groups(rows: DataFrame, keys: list[str], id_col: str) -> DataFrame:
     return parts.select(*keys, "_salt").join(whole, keys)
 
 
-def spread(rows: DataFrame, other: DataFrame, on: list[str]) -> DataFrame:
+def spread(rows: DataFrame, other: DataFrame, on: list[str], wide: bool = False) -> DataFrame:
     """``rows`` (with ``_salt``) joined with ``other``, which has each key once.
 
-    A key that many rows share is dealt out: ``other`` meets its salts, one row each, then the rows meet those.
+    A key that many rows share is dealt out: ``other`` meets its salts, one row each, then the rows meet
+    those. ``wide``: the other side's rows are long, so that few of them are no broadcast.
     """
-    there = rows.select(*on, "_salt").distinct().join(other, on)
-    return rows.join(there, [*on, "_salt"])
+    keys = rows.select(*on, "_salt").distinct()
+    if wide:
+        return rows.join(keys.join(other.hint("merge"), on).hint("merge"), [*on, "_salt"])
+    return rows.join(keys.join(other, on), [*on, "_salt"])

@@ -27,17 +27,19 @@ from pyspark.sql import functions as F
 MIN_WORDS = 50
 MAX_LOST = 0.3
 MAX_MARKS = 0.1
-#: Phrases of notices and page furniture, in lower case, as patterns.
+#: Phrases of notices and page furniture, in lower case, as patterns, by a part that each
+#: of them holds. Lines are judged by the patterns only where a text holds one of the parts.
 BOILERPLATE_CHARS = 200
-BOILERPLATE = [
-    "all rights reserved", "licensed under", "released under the", "general public license", "creative commons", "terms of use", "terms of service",
-    "privacy policy", "cookie (?:policy|settings|notice)", "(?:uses|use|accept|accepting) (?:all )?cookies", "enable javascript", "subscribe to (?:our|the|this)",
-    "sign up for", "log in", "click here", "read more", "share this", "back to top", "skip to content", "powered by", "copyright (?:©|\\(c\\)|[0-9]{4})", "© ?[0-9]{4}",
-    "alle rechte vorbehalten", "datenschutzerklärung", "nutzungsbedingungen", "cookies akzeptieren", "hier klicken", "mehr lesen", "nach oben",
-    "tous droits réservés", "politique de confidentialité", "conditions d'utilisation", "accepter les cookies", "cliquez ici", "lire la suite", "haut de page",
-    "todos los derechos reservados", "política de privacidad", "condiciones de uso", "aceptar (?:las )?cookies", "haga clic", "leer más", "volver arriba",
-]
-TEASER = r"(?:\.\.\.|…)[\x20\x09-\x0D]*$"
+NOTICES = {
+    "rights reserved": ["all rights reserved"], "licen": ["licensed under", "general public license"], "released under": ["released under the"], "creative commons": ["creative commons"],
+    "terms of": ["terms of use", "terms of service"], "privac": ["privacy policy", "política de privacidad"], "cookie": ["cookie (?:policy|settings|notice)", "(?:uses|use|accept|accepting) (?:all )?cookies", "cookies akzeptieren", "accepter les cookies", "aceptar (?:las )?cookies"],
+    "javascript": ["enable javascript"], "subscribe to": ["subscribe to (?:our|the|this)"], "sign up": ["sign up for"], "log in": ["log in"], "click here": ["click here"], "read more": ["read more"], "share this": ["share this"],
+    "back to top": ["back to top"], "skip to": ["skip to content"], "powered by": ["powered by"], "copyright": ["copyright (?:©|\\(c\\)|[0-9]{4})"], "©": ["© ?[0-9]{4}"],
+    "vorbehalten": ["alle rechte vorbehalten"], "datenschutz": ["datenschutzerklärung"], "nutzungsbed": ["nutzungsbedingungen"], "hier klicken": ["hier klicken"], "mehr lesen": ["mehr lesen"], "nach oben": ["nach oben"],
+    "tous droits": ["tous droits réservés"], "confidentialit": ["politique de confidentialité"], "conditions d": ["conditions d'utilisation"], "cliquez": ["cliquez ici"], "lire la suite": ["lire la suite"], "haut de page": ["haut de page"],
+    "los derechos": ["todos los derechos reservados"], "condiciones de": ["condiciones de uso"], "haga clic": ["haga clic"], "leer más": ["leer más"], "volver arriba": ["volver arriba"],
+}
+BOILERPLATE = [p for patterns in NOTICES.values() for p in patterns]
 MARKS = "[#*$%&|<>~^=_]"
 NAVIGATION = "[|•»›]"
 SHOUT = r"!!(?:[\x20\x09-\x0D]|$)"
@@ -59,15 +61,15 @@ def _chars(text: str, pattern: str) -> str:
 
 
 def line_fails(line: str) -> str:
-    """SQL predicate: the line expression breaks one of the rules."""
+    """SQL predicate: the line expression breaks one of the rules; ``_notice`` tells whether its text may hold a notice."""
     dense = f"length(regexp_replace({line}, '[\\\\x20\\\\x09-\\\\x0D]+', ''))"
     shouts = f"(size(split({line}, {_sql(SHOUT)}, -1)) - 1)"
     return (
         f"({_chars(line, MARKS)} > {MAX_MARKS} * {dense}"
         f" OR size(split({line}, {_sql(NAVIGATION)}, -1)) >= 3"
         f" OR ({shouts} >= 4 AND 2 * {shouts} > size({_words(line)}))"
-        f" OR {line} rlike {_sql(TEASER)}"
-        f" OR ({line} <> '' AND {BOILERPLATE_CHARS} * regexp_count(lower({line}), {_sql('|'.join(BOILERPLATE))}) >= length({line})))"
+        f" OR endswith(trim(TRAILING ' \\t\\n\\u000b\\u000c\\r' FROM {line}), '...') OR endswith(trim(TRAILING ' \\t\\n\\u000b\\u000c\\r' FROM {line}), '…')"
+        f" OR (_notice AND {line} <> '' AND {BOILERPLATE_CHARS} * regexp_count(lower({line}), {_sql('|'.join(BOILERPLATE))}) >= length({line})))"
     )
 
 
@@ -92,8 +94,10 @@ def _analysed(rows: DataFrame) -> DataFrame:
     """``rows`` has _t (never null); adds the columns of :func:`quality` and _kept_lines."""
     lines = "split(_t, '\\n', -1)"
     worded = f"filter({lines}, l -> l rlike '[^\\\\x20\\\\x09-\\\\x0D]')"
+    low = rows.selectExpr("*", "lower(_t) as _low")
+    notice = " OR ".join(f"contains(_low, {_sql(part)})" for part in NOTICES)
     return (
-        rows.selectExpr("*", f"{_words('_t')} as _w", f"{lines} as _l", f"{worded} as _wl")
+        low.selectExpr("*", f"({notice}) as _notice", f"{_words('_t')} as _w", f"{lines} as _l", f"{worded} as _wl")
         .selectExpr("*", "size(_w) as n_words", f"filter(_l, l -> NOT {line_fails('l')}) as _kept_lines")
         .selectExpr(
             "*",

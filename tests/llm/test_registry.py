@@ -49,3 +49,16 @@ def test_quality_odd_rows(spark):
     clean = {r.doc_id: r.text for r in quality_rules.clean_documents(df).collect()}
     assert clean == {2: good, 3: good, 7: good} and quality_rules.clean_documents(df).columns == df.columns
     assert quality_rules.quality(df.limit(0)).collect() == []
+
+
+def test_notices(spark):
+    """Every pattern holds its part; notices go from lines of any length, ordinary sentences stay."""
+    assert all(part in p for part, patterns in quality_rules.NOTICES.items() for p in patterns)
+    good = " ".join(f"word{i}" for i in range(60)) + "."
+    lines = {
+        "This site uses cookies.": False, "She baked a cookie and read about copyright law.": True, "Alle Rechte vorbehalten.": False, "Copyright 2019 Somebody": False, "He was told to wait...": False, "An end … here": True,
+        ("All rights reserved. " + "x" * 60 + " ") * 6: False, "read more " + "y" * 400: True, "conditions d'utilisation": False, "": True,
+    }
+    df = spark.createDataFrame([(i, good + "\n" + line) for i, line in enumerate(lines)], "doc_id long, text string")
+    rows = {r.doc_id: r.n_removed_lines for r in quality_rules.quality(df).collect()}
+    assert {line: rows[i] == 0 for i, line in enumerate(lines)} == lines
