@@ -94,9 +94,12 @@ def _bits(at: int, n: int) -> Column:
 
 
 def _counted(rows: DataFrame, keys: list[str]) -> DataFrame:
-    """Rows of keys with two or more of them, and their number n."""
+    """Rows of keys with two or more of them, and their number n.
+
+    The rows were multiplied, which their size as guessed from files does not show: they are never broadcast.
+    """
     counts = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    return rows.join(counts, keys)
+    return rows.hint("merge").join(counts, keys)
 
 
 def _pairs(rows: DataFrame, keys: list[str]) -> DataFrame:
