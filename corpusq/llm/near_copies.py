@@ -16,8 +16,8 @@ start. In each bucket (a key with two nodes or more) all nodes meet its least on
 linked meets in rounds: each bucket lists its components by up to ``MEMBERS`` nodes each, and every
 one meets those of other components among the next ``REACH`` of the list, then among the ``REACH``
 behind these, until no bucket has any left. So a bucket of near copies costs as much as it has rows,
-and no bucket is cut off. A link is lost where two components of over ``MEMBERS`` nodes in a bucket
-touch in none of the members that stand for them there, in none of their common buckets.
+and no bucket is cut off. Where a bucket still has several components, and more nodes of one than stand
+for it, all its nodes are joined exactly (:func:`unmet`), so no link is lost to ``MEMBERS``.
 
 A component's smallest id stands for it. Null ids lose against others; rows that repeat both id and
 text stay or go as one id. Null text counts as empty. Very long texts are read whole, in steps. Extra
@@ -114,6 +114,28 @@ def _paired(a: str, b: str) -> list:
     return [F.least(a, b).alias("a"), F.greatest(a, b).alias("b")]
 
 
+def unmet(lists: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """All pairs (a, b) of nodes of different components that can be similar enough; lists: fp and its component, to.
+
+    Similar sets share one of their rarest shingles: of n, those that may be missing and one more. Of a shingle's
+    nodes all but its largest component's meet the others, so a component's own pairs are never made.
+    """
+    nodes = lists.select("fp", "to").distinct()
+    rows = sets.join(nodes, "fp").select("fp", "to", F.size("hashes").alias("n"), F.explode("hashes").alias("h")).withColumn("_salt", salt("fp"))
+    rows = stored(rows, "near-shingles")
+    counts = rows.groupBy("h").agg(F.count(F.lit(1)).alias("many"))
+    rarest = spread(rows, counts, ["h"], True).groupBy("fp", "to", "n").agg(F.array_sort(F.collect_list(F.struct("many", "h"))).alias("x"))
+    need = (F.col("n") - F.ceil(similarity * F.col("n") - 1e-6) + 1).cast("int")
+    rows = rarest.select("fp", "to", "n", F.explode(F.slice("x", F.lit(1), F.greatest(need, F.lit(1)))["h"]).alias("h"))
+    rows = stored(rows.withColumn("_salt", salt("fp")), "near-rarest")
+    most = rows.groupBy("h", "to").agg(F.count(F.lit(1)).alias("many")).groupBy("h").agg(F.max_by("to", F.struct("many", "to")).alias("most"), F.count(F.lit(1)).alias("several"))
+    rows = stored(spread(rows, most.where("several > 1").drop("several"), ["h"], True), "near-shared")
+    x = rows.where(F.col("to") != F.col("most")).select("h", F.col("fp").alias("x"), F.col("to").alias("xc"), F.col("n").alias("xn"))
+    y = rows.select("h", F.col("fp").alias("y"), F.col("to").alias("yc"), F.col("n").alias("yn"))
+    close = F.least("xn", "yn") >= similarity * F.greatest("xn", "yn") - 1e-6
+    return x.hint("merge").join(y, "h").where((F.col("xc") != F.col("yc")) & close).select(*_paired("x", "y")).distinct()
+
+
 def similar_links(docs: DataFrame, nodes: DataFrame, id_col: str, text_col: str, width: int, similarity: float) -> tuple[DataFrame, DataFrame | None]:
     """Verified links (a, b) between nodes (fp, rep, text, simhash, n, bands), and the labels of their components."""
     n_nodes = nodes.count()
@@ -138,10 +160,14 @@ def similar_links(docs: DataFrame, nodes: DataFrame, id_col: str, text_col: str,
         lists = rows.join(own, "fp", "left").select("band", "fp", F.coalesce("to", "fp").alias("to"))
         several = lists.groupBy("band").agg((F.min("to") != F.max("to")).alias("open")).where("open").select("band")
         lists = lists.join(several, "band", "left_semi")
-        lists = lists.withColumn("k", F.row_number().over(Window.partitionBy("band", "to").orderBy("fp"))).where(F.col("k") <= MEMBERS)
-        lists = stored(lists.select("band", "fp", "to", F.row_number().over(Window.partitionBy("band").orderBy("k", "fp")).alias("at")), "near-lists")
-        if (lists.agg(F.max("at")).first()[0] or 0) <= offset + 1:
-            return found, labels
+        lists = lists.withColumn("k", F.row_number().over(Window.partitionBy("band", "to").orderBy("fp"))).where(F.col("k") <= MEMBERS + 1)
+        # One node more tells a component that has others; it stands at the list's end and meets none here.
+        lists = stored(lists.select("band", "fp", "to", "k", F.row_number().over(Window.partitionBy("band").orderBy("k", "fp")).alias("at")), "near-lists")
+        cut = F.col("k") > MEMBERS
+        longest, is_cut = lists.agg(F.max(F.when(~cut, F.col("at"))), F.max(cut)).first()
+        if (longest or 0) <= offset + 1:
+            break
+        lists = lists.where(~cut)
         # A list's place and the REACH places behind it (past the offset) fall into two neighbouring stretches.
         stretch = lambda c: F.floor((c - 1) / REACH)
         here = lists.select("band", F.col("fp").alias("x"), F.col("to").alias("xc"), F.col("at").alias("i"), F.explode(F.array(stretch(F.col("at") + offset), stretch(F.col("at") + offset) + 1)).alias("s"))
@@ -155,6 +181,14 @@ def similar_links(docs: DataFrame, nodes: DataFrame, id_col: str, text_col: str,
         else:
             found, offset = found.unionByName(new), 0
             labels = simhash.components(nodes, found)
+    if is_cut:
+        whole = rows.join(lists.where(cut).select("band").distinct(), "band", "left_semi").join(own, "fp", "left")
+        more = unmet(whole.select("fp", F.coalesce("to", "fp").alias("to")), sets, similarity)
+        new = stored(verified(stored(more.join(pairs, ["a", "b"], "left_anti"), "near-pairs"), sets, similarity), "near-links")
+        if not new.isEmpty():
+            found = found.unionByName(new)
+            labels = simhash.components(nodes, found)
+    return found, labels
 
 
 def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH, similarity: float = SIMILARITY) -> DataFrame:

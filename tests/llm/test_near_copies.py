@@ -88,3 +88,28 @@ def test_a_very_long_text(spark):
     u = t[:100_000] + ["new"] + t[100_001:]
     rows = N.near_groups(spark.createDataFrame([(2, " ".join(t)), (5, " ".join(u))], "doc_id long, text string")).collect()
     assert {r.doc_id: r.component_id for r in rows} == {2: 2, 5: 2}
+
+
+def test_links_between_components_of_many_members(spark, monkeypatch):
+    """Two families hang together by one pair, whose nodes do not stand for their components in the buckets."""
+    monkeypatch.setattr(N, "MEMBERS", 2)
+    rng, families = random.Random(1), []
+    for g in range(8):
+        a = [f"{g}w{rng.randrange(10**6)}" for _ in range(300)]
+        places = rng.sample(range(5, 295, 6), 16)
+        changed = lambda n: [f"x{p}" if p in places[:n] else w for p, w in enumerate(a)]  # noqa: E731, B023
+        family = [changed(5), changed(11)]
+        for t in (a, changed(16)):
+            for _ in range(12):
+                u = list(t)
+                u[rng.randrange(300)] = f"y{rng.randrange(10**6)}"
+                family.append(u)
+        rng.shuffle(family)
+        families.append([" ".join(u) for u in family])
+    docs = list(enumerate(t for f in families for t in f))
+    rows = {r.doc_id: r.component_id for r in N.near_groups(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    at = 0
+    for f in families:
+        group = brute_components(f)
+        assert [rows[at + i] for i in range(len(f))] == [at + group.index(g) for g in group]
+        at += len(f)
