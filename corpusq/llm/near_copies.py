@@ -14,8 +14,8 @@ two indexes:
 Every candidate is then verified on the shingle sets themselves. Equal sets are one node from the
 start. In each bucket (a key with two nodes or more) all nodes meet its least one; what is not yet
 linked meets in rounds: each bucket lists its components by up to ``MEMBERS`` nodes each, and every
-one meets those of other components among the next ``REACH`` of the list, then among the ``REACH``
-behind these, until no bucket has any left. So a bucket of near copies costs as much as it has rows,
+one meets those of other components among the next ``REACH`` of the list, then among twice as many
+behind these and so on (``8 * REACH`` at most), until no bucket has any left. So a bucket of near copies costs as much as it has rows,
 and no bucket is cut off. Where a bucket still has several components, and more nodes of one than stand
 for it, all its nodes are joined exactly (:func:`unmet`), so no link is lost to ``MEMBERS``.
 
@@ -136,6 +136,34 @@ def unmet(lists: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
     return x.hint("merge").join(y, "h").where((F.col("xc") != F.col("yc")) & close).select(*_paired("x", "y")).distinct()
 
 
+def merged(nodes: DataFrame, labels: DataFrame, new: DataFrame) -> DataFrame:
+    """The labels after new links (a, b): only the components that these join are gone through."""
+    ends = new.select(F.col("a").alias("fp")).unionByName(new.select(F.col("b").alias("fp"))).distinct()
+    lone = F.struct(F.col("rep").isNull().alias("none"), F.col("rep").alias("rep"), F.col("fp").alias("fp"))
+    ends = stored(nodes.select("fp", "rep").join(ends, "fp").join(labels, "fp", "left").select("fp", F.coalesce("lab", lone).alias("lab")), "near-ends")
+    edges = new.join(ends.select(F.col("fp").alias("a"), F.col("lab.fp").alias("x")), "a").join(ends.select(F.col("fp").alias("b"), F.col("lab.fp").alias("y")), "b")
+    sunk = simhash.components(ends.select("lab.fp", "lab.rep").distinct(), edges.select(*_paired("x", "y")).distinct())
+    whole = labels.unionByName(ends.join(labels, "fp", "left_anti")).select("fp", "lab", F.col("lab.fp").alias("to")).withColumn("_salt", salt("fp"))
+    sunk = sunk.select(F.col("fp").alias("to"), F.col("lab").alias("new"))
+    # Most of a component's nodes may point to one label: such a key is dealt out by salt.
+    keys = whole.select("to", "_salt").distinct().join(sunk, "to", "left")
+    return stored(whole.join(keys, ["to", "_salt"]).select("fp", F.coalesce("new", "lab").alias("lab")), "near-labels")
+
+
+def _lists(rows: DataFrame, own: DataFrame) -> tuple[DataFrame, int | None, bool | None]:
+    """The open buckets' lists, the longest one's length, and whether a component has nodes that are not listed.
+
+    band, fp, to (its component), k (its number in it) and at (its place); one node more than are listed tells
+    a component that has others: it stands at the list's end.
+    """
+    lists = rows.join(own, "fp", "left").select("band", "fp", F.coalesce("to", "fp").alias("to"))
+    several = lists.groupBy("band").agg((F.min("to") != F.max("to")).alias("open")).where("open").select("band")
+    lists = lists.join(several, "band", "left_semi")
+    lists = lists.withColumn("k", F.row_number().over(Window.partitionBy("band", "to").orderBy("fp"))).where(F.col("k") <= MEMBERS + 1)
+    lists = stored(lists.select("band", "fp", "to", "k", F.row_number().over(Window.partitionBy("band").orderBy("k", "fp")).alias("at")), "near-lists")
+    return lists, *lists.agg(F.max(F.when(F.col("k") <= MEMBERS, F.col("at"))), F.max(F.col("k") > MEMBERS)).first()
+
+
 def similar_links(docs: DataFrame, nodes: DataFrame, id_col: str, text_col: str, width: int, similarity: float) -> tuple[DataFrame, DataFrame | None]:
     """Verified links (a, b) between nodes (fp, rep, text, simhash, n, bands), and the labels of their components."""
     n_nodes = nodes.count()
@@ -155,39 +183,33 @@ def similar_links(docs: DataFrame, nodes: DataFrame, id_col: str, text_col: str,
     sets = stored(shingle_sets(docs, wanted, id_col, text_col, width), "near-sets")
     found = stored(verified(pairs, sets, similarity), "near-links")
     labels, offset = simhash.components(nodes, found), 0
-    while True:
-        own = labels.select("fp", F.col("lab.fp").alias("to"))
-        lists = rows.join(own, "fp", "left").select("band", "fp", F.coalesce("to", "fp").alias("to"))
-        several = lists.groupBy("band").agg((F.min("to") != F.max("to")).alias("open")).where("open").select("band")
-        lists = lists.join(several, "band", "left_semi")
-        lists = lists.withColumn("k", F.row_number().over(Window.partitionBy("band", "to").orderBy("fp"))).where(F.col("k") <= MEMBERS + 1)
-        # One node more tells a component that has others; it stands at the list's end and meets none here.
-        lists = stored(lists.select("band", "fp", "to", "k", F.row_number().over(Window.partitionBy("band").orderBy("k", "fp")).alias("at")), "near-lists")
-        cut = F.col("k") > MEMBERS
-        longest, is_cut = lists.agg(F.max(F.when(~cut, F.col("at"))), F.max(cut)).first()
-        if (longest or 0) <= offset + 1:
-            break
-        lists = lists.where(~cut)
-        # A list's place and the REACH places behind it (past the offset) fall into two neighbouring stretches.
-        stretch = lambda c: F.floor((c - 1) / REACH)
-        here = lists.select("band", F.col("fp").alias("x"), F.col("to").alias("xc"), F.col("at").alias("i"), F.explode(F.array(stretch(F.col("at") + offset), stretch(F.col("at") + offset) + 1)).alias("s"))
-        there = lists.select("band", F.col("fp").alias("y"), F.col("to").alias("yc"), F.col("at").alias("j"), stretch(F.col("at")).alias("s"))
-        met = here.join(there, ["band", "s"]).where((F.col("j") - F.col("i")).between(offset + 1, offset + REACH) & (F.col("xc") != F.col("yc")))
+    own = labels.select("fp", F.col("lab.fp").alias("to"))
+    lists, longest, is_cut = _lists(rows, own)
+    reach = REACH
+    while (longest or 0) > offset + 1:
+        # A list's place and the reach places behind it (past the offset) fall into two neighbouring stretches.
+        stretch = lambda c, r=reach: F.floor((c - 1) / r)
+        listed = lists.where(F.col("k") <= MEMBERS)
+        here = listed.select("band", F.col("fp").alias("x"), F.col("to").alias("xc"), F.col("at").alias("i"), F.explode(F.array(stretch(F.col("at") + offset), stretch(F.col("at") + offset) + 1)).alias("s"))
+        there = listed.select("band", F.col("fp").alias("y"), F.col("to").alias("yc"), F.col("at").alias("j"), stretch(F.col("at")).alias("s"))
+        met = here.join(there, ["band", "s"]).where((F.col("j") - F.col("i")).between(offset + 1, offset + reach) & (F.col("xc") != F.col("yc")))
         more = stored(met.select(*_paired("x", "y")).distinct().join(pairs, ["a", "b"], "left_anti"), "near-pairs")
-        new = stored(verified(more, sets, similarity), "near-links")
-        pairs = pairs.unionByName(more)
-        if new.isEmpty():
-            offset += REACH
+        new = None if more.isEmpty() else stored(verified(more, sets, similarity), "near-links")
+        pairs = pairs if new is None else pairs.unionByName(more)
+        if new is None or new.isEmpty():
+            offset, reach = offset + reach, min(2 * reach, 8 * REACH)
         else:
-            found, offset = found.unionByName(new), 0
-            labels = simhash.components(nodes, found)
+            found, offset, reach = found.unionByName(new), 0, REACH
+            labels = merged(nodes, labels, new)
+            own = labels.select("fp", F.col("lab.fp").alias("to"))
+            lists, longest, is_cut = _lists(rows, own)
     if is_cut:
-        whole = rows.join(lists.where(cut).select("band").distinct(), "band", "left_semi").join(own, "fp", "left")
+        whole = rows.join(lists.where(F.col("k") > MEMBERS).select("band").distinct(), "band", "left_semi").join(own, "fp", "left")
         more = unmet(whole.select("fp", F.coalesce("to", "fp").alias("to")), sets, similarity)
         new = stored(verified(stored(more.join(pairs, ["a", "b"], "left_anti"), "near-pairs"), sets, similarity), "near-links")
         if not new.isEmpty():
             found = found.unionByName(new)
-            labels = simhash.components(nodes, found)
+            labels = merged(nodes, labels, new)
     return found, labels
 
 

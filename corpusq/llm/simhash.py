@@ -177,7 +177,8 @@ def components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     own = F.struct(F.col("rep").isNull().alias("none"), F.col("rep").alias("rep"), F.col("fp").alias("fp"))
     labels = nodes.join(both.select(F.col("a").alias("fp")).distinct(), "fp").select("fp", own.alias("lab"))
     labels = stored(sized(labels, n), "simhash-labels")
-    while not labels.isEmpty():
+    done = labels.isEmpty()
+    while not done:
         heard = spread(both, labels.withColumnRenamed("fp", "a"), ["a"]).groupBy(F.col("b").alias("fp")).agg(F.min("lab").alias("heard"))
         sunk = labels.join(heard, "fp").select("fp", F.col("lab").alias("old"), F.least("lab", "heard").alias("lab"))
         sunk = stored(sized(sunk, n), "simhash-sunk")
@@ -188,8 +189,6 @@ def components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
         new = stored(sized(new, n), "simhash-labels")
         done = new.where(~F.col("old").eqNullSafe(F.col("lab"))).isEmpty()
         labels = new.select("fp", "lab")
-        if done:
-            break
     return labels
 
 
