@@ -12,12 +12,13 @@ two indexes:
   probability of 0.99, a pair of 0.5 with 0.22.
 
 Every candidate is then verified on the shingle sets themselves. Equal sets are one node from the
-start. In each bucket (a key with two nodes or more) all nodes meet its least one; what is not yet
-linked meets in rounds: each bucket lists its components by up to ``MEMBERS`` nodes each, and every
-one meets those of other components among the next ``REACH`` of the list, then among twice as many
-behind these and so on (``8 * REACH`` at most), until no bucket has any left. So a bucket of near copies costs as much as it has rows,
-and no bucket is cut off. Where a bucket still has several components, and more nodes of one than stand
-for it, all its nodes are joined exactly (:func:`unmet`), so no link is lost to ``MEMBERS``.
+start. A bucket is a key with two nodes or more. Each node meets one node first: of its buckets' least
+nodes the one it shares most of them with. So families around one text become one component for one
+pair a node. What is not yet linked meets within the buckets that have several components: short ones
+(``REACH`` nodes, at most ``MEMBERS`` of one component) compare all nodes of different components; the
+nodes of all others are joined exactly by their rarest shingles (:func:`unmet`), which loses no pair.
+Before a pair is verified its two nodes' ``PARITY`` longs of parity bits (each shingle flips one bit) tell
+most pairs that cannot be similar: sets differ in at least as many shingles as their bits.
 
 A component's smallest id stands for it. Null ids lose against others; rows that repeat both id and
 text stay or go as one id. Null text counts as empty. Very long texts are read whole, in steps. Extra
@@ -27,17 +28,19 @@ columns are carried along, whatever their names. An empty table gives no rows.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
+from operator import add
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusq.llm import simhash
 from corpusq.llm.common import salt, sized, spread, stored
 
-WIDTH, SIMILARITY, BANDS, ROWS, REACH, MEMBERS = 5, 0.8, 16, 6, 32, 8
+WIDTH, SIMILARITY, BANDS, ROWS, REACH, MEMBERS, PARITY = 5, 0.8, 16, 6, 32, 8, 8
 #: At most so many nodes (40 bytes each) are broadcast to the texts; more are merged with them.
 FEW = 200_000
 _STEP = 1 << 12
@@ -57,12 +60,18 @@ def bands(hashes: np.ndarray) -> list[int]:
     return [xxhash.xxh64_intdigest(raw[k * size : (k + 1) * size], k) for k in range(BANDS)]
 
 
+def parity(hashes: np.ndarray) -> list[int]:
+    """``PARITY`` signed longs of bits, one for each remainder of the hashes: set if an odd number of them has it."""
+    odd = np.bincount((hashes % np.uint64(64 * PARITY)).astype(np.int64), minlength=64 * PARITY) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64).tolist()
+
+
 def sketches(docs: DataFrame, id_col: str, text_col: str, width: int = WIDTH) -> DataFrame:
-    """_id, _text (a hash of the text), _key (of the shingle set), _fp (SimHash), _n (different shingles), _bands, _salt per row."""
+    """_id, _text (a hash of the text), _key (of the shingle set), _fp (SimHash), _n (different shingles), _bands, _odd (parity bits), _salt per row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            keys, fps, sizes, found = [], [], [], []
+            keys, fps, sizes, found, odd = [], [], [], [], []
             for t in b.column(2):
                 hashes = simhash.shingles(t.as_py(), width)
                 own = np.unique(hashes)
@@ -70,10 +79,11 @@ def sketches(docs: DataFrame, id_col: str, text_col: str, width: int = WIDTH) ->
                 fps.append(simhash.majority(hashes))
                 sizes.append(len(own))
                 found.append(np.array(bands(own), np.uint64).view(np.int64).tolist())
+                odd.append(parity(own))
             fps = np.array(fps, np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(keys, pa.binary()), pa.array(fps, pa.int64()), pa.array(sizes, pa.int64()), pa.array(found, pa.list_(pa.int64()))], ["_id", "_text", "_key", "_fp", "_n", "_bands"])
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(keys, pa.binary()), pa.array(fps, pa.int64()), pa.array(sizes, pa.int64()), *[pa.array(x, pa.list_(pa.int64())) for x in (found, odd)]], ["_id", "_text", "_key", "_fp", "_n", "_bands", "_odd"])
 
-    return _rows(docs, id_col, text_col).mapInArrow(run, "_id long, _text long, _key binary, _fp long, _n long, _bands array<long>").withColumn("_salt", salt("_id"))
+    return _rows(docs, id_col, text_col).mapInArrow(run, "_id long, _text long, _key binary, _fp long, _n long, _bands array<long>, _odd array<long>").withColumn("_salt", salt("_id"))
 
 
 def _rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -114,26 +124,38 @@ def _paired(a: str, b: str) -> list:
     return [F.least(a, b).alias("a"), F.greatest(a, b).alias("b")]
 
 
-def unmet(lists: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
-    """All pairs (a, b) of nodes of different components that can be similar enough; lists: fp and its component, to.
+def _close(similarity: float) -> Column:
+    """Whether two sets (xn, xo and yn, yo: size and parity bits) can be similar enough. True for all that are."""
+    apart = reduce(add, [F.bit_count(F.col("xo")[k].bitwiseXOR(F.col("yo")[k])) for k in range(PARITY)])
+    return (F.least("xn", "yn") >= similarity * F.greatest("xn", "yn") - 1e-6) & (apart <= (1 - similarity) / (1 + similarity) * (F.col("xn") + F.col("yn")) + 1e-6)
+
+
+def _side(rows: DataFrame, name: str, *more: str) -> DataFrame:
+    """The nodes of one side of a pair: its name, and component, size and parity bits behind it."""
+    return rows.select(*more, F.col("fp").alias(name), F.col("to").alias(f"{name}c"), F.col("n").alias(f"{name}n"), F.col("odd").alias(f"{name}o"))
+
 
-    Similar sets share one of their rarest shingles: of n, those that may be missing and one more. Of a shingle's
-    nodes all but its largest component's meet the others, so a component's own pairs are never made.
+def unmet(nodes: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """All pairs (a, b) of nodes of different components that can be similar enough; nodes: fp, its component to, n and odd.
+
+    Similar sets share one of their rarest shingles: of n, those that may be missing and one more. The first
+    that they share tells, by its place in both, how many they can share at most. Of a shingle's nodes all
+    but its largest component's meet the others, so a component's own pairs are never made.
     """
-    nodes = lists.select("fp", "to").distinct()
-    rows = sets.join(nodes, "fp").select("fp", "to", F.size("hashes").alias("n"), F.explode("hashes").alias("h")).withColumn("_salt", salt("fp"))
+    rows = sets.join(nodes.select("fp"), "fp").select("fp", F.explode("hashes").alias("h")).withColumn("_salt", salt("fp"))
     rows = stored(rows, "near-shingles")
     counts = rows.groupBy("h").agg(F.count(F.lit(1)).alias("many"))
-    rarest = spread(rows, counts, ["h"], True).groupBy("fp", "to", "n").agg(F.array_sort(F.collect_list(F.struct("many", "h"))).alias("x"))
+    rarest = spread(rows, counts, ["h"], True).groupBy("fp").agg(F.array_sort(F.collect_list(F.struct("many", "h"))).alias("x")).join(nodes, "fp")
     need = (F.col("n") - F.ceil(similarity * F.col("n") - 1e-6) + 1).cast("int")
-    rows = rarest.select("fp", "to", "n", F.explode(F.slice("x", F.lit(1), F.greatest(need, F.lit(1)))["h"]).alias("h"))
+    rows = rarest.select("fp", "to", "n", "odd", F.posexplode(F.slice("x", F.lit(1), F.greatest(need, F.lit(1)))["h"]).alias("at", "h"))
     rows = stored(rows.withColumn("_salt", salt("fp")), "near-rarest")
     most = rows.groupBy("h", "to").agg(F.count(F.lit(1)).alias("many")).groupBy("h").agg(F.max_by("to", F.struct("many", "to")).alias("most"), F.count(F.lit(1)).alias("several"))
     rows = stored(spread(rows, most.where("several > 1").drop("several"), ["h"], True), "near-shared")
-    x = rows.where(F.col("to") != F.col("most")).select("h", F.col("fp").alias("x"), F.col("to").alias("xc"), F.col("n").alias("xn"))
-    y = rows.select("h", F.col("fp").alias("y"), F.col("to").alias("yc"), F.col("n").alias("yn"))
-    close = F.least("xn", "yn") >= similarity * F.greatest("xn", "yn") - 1e-6
-    return x.hint("merge").join(y, "h").where((F.col("xc") != F.col("yc")) & close).select(*_paired("x", "y")).distinct()
+    x = _side(rows.where(F.col("to") != F.col("most")).withColumn("xat", F.col("at")), "x", "h", "most", "xat")
+    y = _side(rows.withColumn("yat", F.col("at")), "y", "h", "yat")
+    once = (F.col("xc") != F.col("yc")) & ((F.col("yc") == F.col("most")) | (F.col("x") < F.col("y")))
+    shared = F.least(F.col("xn") - F.col("xat"), F.col("yn") - F.col("yat")) >= similarity / (1 + similarity) * (F.col("xn") + F.col("yn")) - 1e-6
+    return x.hint("merge").join(y, "h").where(once & shared & _close(similarity)).select(*_paired("x", "y")).distinct()
 
 
 def merged(nodes: DataFrame, labels: DataFrame, new: DataFrame) -> DataFrame:
@@ -150,78 +172,66 @@ def merged(nodes: DataFrame, labels: DataFrame, new: DataFrame) -> DataFrame:
     return stored(whole.join(keys, ["to", "_salt"]).select("fp", F.coalesce("new", "lab").alias("lab")), "near-labels")
 
 
-def _lists(rows: DataFrame, own: DataFrame) -> tuple[DataFrame, int | None, bool | None]:
-    """The open buckets' lists, the longest one's length, and whether a component has nodes that are not listed.
-
-    band, fp, to (its component), k (its number in it) and at (its place); one node more than are listed tells
-    a component that has others: it stands at the list's end.
-    """
-    lists = rows.join(own, "fp", "left").select("band", "fp", F.coalesce("to", "fp").alias("to"))
-    several = lists.groupBy("band").agg((F.min("to") != F.max("to")).alias("open")).where("open").select("band")
-    lists = lists.join(several, "band", "left_semi")
-    lists = lists.withColumn("k", F.row_number().over(Window.partitionBy("band", "to").orderBy("fp"))).where(F.col("k") <= MEMBERS + 1)
-    lists = stored(lists.select("band", "fp", "to", "k", F.row_number().over(Window.partitionBy("band").orderBy("k", "fp")).alias("at")), "near-lists")
-    return lists, *lists.agg(F.max(F.when(F.col("k") <= MEMBERS, F.col("at"))), F.max(F.col("k") > MEMBERS)).first()
-
-
-def similar_links(docs: DataFrame, nodes: DataFrame, id_col: str, text_col: str, width: int, similarity: float) -> tuple[DataFrame, DataFrame | None]:
-    """Verified links (a, b) between nodes (fp, rep, text, simhash, n, bands), and the labels of their components."""
+def similar_links(docs: DataFrame, nodes: DataFrame, id_col: str, text_col: str, width: int, similarity: float) -> DataFrame:
+    """The labels (:func:`simhash.components`) of the nodes' (fp, rep, text, simhash, n, bands, odd) verified links."""
     n_nodes = nodes.count()
-    rows = nodes.select("fp", "n", F.explode("bands").alias("band")).withColumn("_salt", salt("fp"))
+    rows = nodes.select("fp", F.explode("bands").alias("band")).withColumn("_salt", salt("fp"))
     full = rows.groupBy("band").agg(F.min("fp").alias("least"), F.count(F.lit(1)).alias("size")).where("size > 1")
-    rows = stored(spread(rows, full, ["band"], True).select("fp", "n", "band", "least"), "near-buckets")
+    rows = stored(spread(rows, full, ["band"], True).select("fp", "band", "least", "_salt"), "near-buckets")
     # SimHash: nodes of one fingerprint meet its least node, linked fingerprints by their least nodes.
     first = stored(sized(nodes.groupBy("simhash").agg(F.min("fp").alias("least")), n_nodes, 10_000), "near-first")
     same = spread(nodes.select("simhash", "fp").withColumn("_salt", salt("fp")), first, ["simhash"]).where("fp <> least").select("least", "fp")
     linked = simhash.links(first.select(F.col("simhash").alias("fp")))
     far = linked.join(first.select(F.col("simhash").alias("a"), F.col("least").alias("x")), "a").join(first.select(F.col("simhash").alias("b"), F.col("least").alias("y")), "b")
-    pairs = rows.where("fp <> least").select(*_paired("least", "fp")).unionByName(same.select(*_paired("least", "fp"))).unionByName(far.select(*_paired("x", "y"))).distinct()
-    pairs = stored(pairs, "near-pairs")
+    far = stored(far.select("x", "y"), "near-far")
+    shares = rows.where("fp <> least").groupBy("fp", "least").agg(F.count(F.lit(1)).alias("many"))
+    nearest = shares.groupBy("fp").agg(F.max_by("least", F.struct("many", "least")).alias("least"))
+    pairs = stored(nearest.select(*_paired("least", "fp")).unionByName(same.select(*_paired("least", "fp"))).distinct(), "near-pairs")
     # Only rows in a bucket or a pair are read again.
-    wanted = rows.select("fp").unionByName(pairs.select(F.col("a").alias("fp"))).unionByName(pairs.select(F.col("b").alias("fp"))).distinct()
-    wanted = stored(sized(nodes.select("fp", "rep", "text").join(wanted, "fp"), n_nodes), "near-wanted")
-    sets = stored(shingle_sets(docs, wanted, id_col, text_col, width), "near-sets")
-    found = stored(verified(pairs, sets, similarity), "near-links")
-    labels, offset = simhash.components(nodes, found), 0
-    own = labels.select("fp", F.col("lab.fp").alias("to"))
-    lists, longest, is_cut = _lists(rows, own)
-    reach = REACH
-    while (longest or 0) > offset + 1:
-        # A list's place and the reach places behind it (past the offset) fall into two neighbouring stretches.
-        stretch = lambda c, r=reach: F.floor((c - 1) / r)
-        listed = lists.where(F.col("k") <= MEMBERS)
-        here = listed.select("band", F.col("fp").alias("x"), F.col("to").alias("xc"), F.col("at").alias("i"), F.explode(F.array(stretch(F.col("at") + offset), stretch(F.col("at") + offset) + 1)).alias("s"))
-        there = listed.select("band", F.col("fp").alias("y"), F.col("to").alias("yc"), F.col("at").alias("j"), stretch(F.col("at")).alias("s"))
-        met = here.join(there, ["band", "s"]).where((F.col("j") - F.col("i")).between(offset + 1, offset + reach) & (F.col("xc") != F.col("yc")))
-        more = stored(met.select(*_paired("x", "y")).distinct().join(pairs, ["a", "b"], "left_anti"), "near-pairs")
-        new = None if more.isEmpty() else stored(verified(more, sets, similarity), "near-links")
-        pairs = pairs if new is None else pairs.unionByName(more)
-        if new is None or new.isEmpty():
-            offset, reach = offset + reach, min(2 * reach, 8 * REACH)
-        else:
-            found, offset, reach = found.unionByName(new), 0, REACH
-            labels = merged(nodes, labels, new)
-            own = labels.select("fp", F.col("lab.fp").alias("to"))
-            lists, longest, is_cut = _lists(rows, own)
-    if is_cut:
-        whole = rows.join(lists.where(F.col("k") > MEMBERS).select("band").distinct(), "band", "left_semi").join(own, "fp", "left")
-        more = unmet(whole.select("fp", F.coalesce("to", "fp").alias("to")), sets, similarity)
-        new = stored(verified(stored(more.join(pairs, ["a", "b"], "left_anti"), "near-pairs"), sets, similarity), "near-links")
-        if not new.isEmpty():
-            found = found.unionByName(new)
-            labels = merged(nodes, labels, new)
-    return found, labels
+    wanted = rows.select("fp").unionByName(same.select("fp")).unionByName(same.select(F.col("least").alias("fp")))
+    wanted = wanted.unionByName(far.select(F.col("x").alias("fp"))).unionByName(far.select(F.col("y").alias("fp"))).distinct()
+    wanted = stored(sized(nodes.join(wanted, "fp").select("fp", "rep", "text", "n", "odd"), n_nodes), "near-wanted")
+    sets = stored(shingle_sets(docs, wanted.select("fp", "rep", "text"), id_col, text_col, width), "near-sets")
+    labels = simhash.components(nodes, stored(verified(pairs, sets, similarity), "near-links"))
+
+    def known() -> DataFrame:
+        """fp, to (its component), n and odd of the nodes that are still of interest."""
+        own = labels.select("fp", F.col("lab.fp").alias("to"))
+        return stored(sized(wanted.select("fp", "n", "odd").join(own, "fp", "left").withColumn("to", F.coalesce("to", "fp")), n_nodes), "near-known")
+
+    def linked_by(more: DataFrame) -> DataFrame:
+        new = stored(verified(stored(more, "near-pairs"), sets, similarity), "near-links")
+        return labels if new.isEmpty() else merged(nodes, labels, new)
+
+    nodes_now = known()
+    listed = rows.select("band", "fp", "_salt").join(nodes_now, "fp")
+    sizes = listed.groupBy("band", "to").agg(F.count(F.lit(1)).alias("many")).groupBy("band")
+    sizes = sizes.agg((F.count(F.lit(1)) > 1).alias("open"), ((F.sum("many") <= REACH) & (F.max("many") <= MEMBERS)).alias("short"))
+    listed = stored(spread(listed, sizes.where("open").drop("open"), ["band"], True), "near-lists")
+    short = listed.where("short")
+    apart = (F.col("x") < F.col("y")) & (F.col("xc") != F.col("yc")) & _close(similarity)
+    met = _side(short, "x", "band").hint("merge").join(_side(short, "y", "band"), "band").where(apart).select(*_paired("x", "y"))
+    met_far = far.join(_side(nodes_now, "x"), "x").join(_side(nodes_now, "y"), "y").where((F.col("xc") != F.col("yc")) & _close(similarity)).select(*_paired("x", "y"))
+    labels = linked_by(met.unionByName(met_far).distinct())
+    long = listed.where("not short").select("band", "fp", "_salt")
+    if not long.isEmpty():
+        nodes_now = known()
+        long = stored(long.join(nodes_now.select("fp", "to"), "fp"), "near-long")
+        still = long.groupBy("band").agg((F.min("to") != F.max("to")).alias("open")).where("open").select("band")
+        still = spread(long, still, ["band"]).select("fp").distinct()
+        labels = linked_by(unmet(stored(nodes_now.join(still, "fp"), "near-open"), sets, similarity))
+    return labels
 
 
 def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH, similarity: float = SIMILARITY) -> DataFrame:
     """One row per document: id, component_id."""
     rows = stored(sketches(docs, id_col, text_col, width), "near-sketches")
     first = F.struct(F.col("_id").isNull().alias("none"), F.col("_id").alias("rep"), F.col("_text").alias("text"))
-    parts = rows.groupBy("_key", "_salt").agg(F.min(first).alias("row"), F.min("_fp").alias("simhash"), F.min("_n").alias("n"), F.min("_bands").alias("bands"))
-    nodes = parts.groupBy(F.col("_key").alias("fp")).agg(*[F.min(c).alias(c) for c in ("row", "simhash", "n", "bands")])
-    nodes = nodes.select("fp", "row.rep", "row.text", "simhash", "n", "bands")
+    parts = rows.groupBy("_key", "_salt").agg(F.min(first).alias("row"), F.min("_fp").alias("simhash"), F.min("_n").alias("n"), F.min("_bands").alias("bands"), F.min("_odd").alias("odd"))
+    nodes = parts.groupBy(F.col("_key").alias("fp")).agg(*[F.min(c).alias(c) for c in ("row", "simhash", "n", "bands", "odd")])
+    nodes = nodes.select("fp", "row.rep", "row.text", "simhash", "n", "bands", "odd")
     nodes = stored(sized(nodes, rows.count(), 10_000), "near-nodes")
-    _, labels = similar_links(docs, nodes, id_col, text_col, width, similarity)
+    labels = similar_links(docs, nodes, id_col, text_col, width, similarity)
     least = nodes.join(labels, "fp", "left").select(F.col("fp").alias("_key"), F.when(F.col("lab").isNull(), F.col("rep")).otherwise(F.col("lab.rep")).alias("component_id"))
     return spread(rows.select("_id", "_key", "_salt"), least, ["_key"]).select(F.col("_id").alias(id_col), "component_id")
 

@@ -113,3 +113,32 @@ def test_links_between_components_of_many_members(spark, monkeypatch):
         group = brute_components(f)
         assert [rows[at + i] for i in range(len(f))] == [at + group.index(g) for g in group]
         at += len(f)
+
+
+@pytest.mark.parametrize("changes", [3, 13])
+def test_verified_pairs_grow_with_the_rows(spark, monkeypatch, changes):
+    """A large group of copies of one text, all near it or all too far from it and from each other: few pairs a row."""
+    rng, seen = random.Random(changes), []
+    a = [f"w{rng.randrange(10**6)}" for _ in range(300)]
+    docs = [(0, " ".join(a))]
+    for k in range(1, 201):
+        u = list(a)
+        for at in rng.sample(range(5, 295, 5), changes):
+            u[at] = f"y{rng.randrange(10**6)}"
+        docs.append((k, " ".join(u)))
+    whole = N.verified
+    monkeypatch.setattr(N, "verified", lambda pairs, *more: (seen.append(pairs.count()), whole(pairs, *more))[1])
+    rows = {r.doc_id: r.component_id for r in N.near_groups(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    assert [rows[k] for k in range(len(docs))] == brute_components([t for _, t in docs])
+    assert len(set(rows.values())) == (1 if changes == 3 else len(docs))
+    assert sum(seen) <= 3 * len(docs)
+
+
+def test_parity_bits_differ_at_most_as_sets_do():
+    rng = np.random.default_rng(2)
+    for n in (1, 40, 3000):
+        hashes = np.unique(rng.integers(0, 2**64, 2 * n, np.uint64, endpoint=False))
+        x, y = hashes[: n + n // 9], hashes[n // 9 :]
+        bits = [np.array(N.parity(s), np.int64).view(np.uint64) for s in (x, y)]
+        assert np.bitwise_count(bits[0] ^ bits[1]).sum() <= len(np.setxor1d(x, y)) and len(bits[0]) == N.PARITY
+    assert N.parity(np.zeros(0, np.uint64)) == [0] * N.PARITY
