@@ -13,10 +13,11 @@ two indexes:
 
 Every candidate is then verified on the shingle sets themselves. Equal sets are one node from the
 start. A bucket is a key with two nodes or more. Each node meets one node first: of its buckets' least
-nodes the one it shares most of them with. So families around one text become one component for one
-pair a node. What is not yet linked meets within the buckets that have several components: short ones
+nodes the one it shares most of them with, of equals that of the largest bucket. So families around one
+text become one component for one pair a node. What is not yet linked meets within the buckets that have several components: short ones
 (``REACH`` nodes, at most ``MEMBERS`` of one component) compare all nodes of different components; the
-nodes of all others are joined exactly by their rarest shingles (:func:`unmet`), which loses no pair.
+nodes of all others are joined exactly by their rarest shingles (:func:`unmet`), which loses no pair,
+after the largest component of each shingle has met the others by ``MEMBERS`` of its nodes.
 Before a pair is verified its two nodes' ``PARITY`` longs of parity bits (each shingle flips one bit) tell
 most pairs that cannot be similar: sets differ in at least as many shingles as their bits.
 
@@ -34,7 +35,7 @@ from operator import add
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpusq.llm import simhash
@@ -135,27 +136,35 @@ def _side(rows: DataFrame, name: str, *more: str) -> DataFrame:
     return rows.select(*more, F.col("fp").alias(name), F.col("to").alias(f"{name}c"), F.col("n").alias(f"{name}n"), F.col("odd").alias(f"{name}o"))
 
 
-def unmet(nodes: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
-    """All pairs (a, b) of nodes of different components that can be similar enough; nodes: fp, its component to, n and odd.
-
-    Similar sets share one of their rarest shingles: of n, those that may be missing and one more. The first
-    that they share tells, by its place in both, how many they can share at most. Of a shingle's nodes all
-    but its largest component's meet the others, so a component's own pairs are never made.
-    """
+def rarest(nodes: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """The nodes (fp, n, odd) with their rarest shingles h and the place of each (at): of n, those that may be missing and one more."""
     rows = sets.join(nodes.select("fp"), "fp").select("fp", F.explode("hashes").alias("h")).withColumn("_salt", salt("fp"))
     rows = stored(rows, "near-shingles")
     counts = rows.groupBy("h").agg(F.count(F.lit(1)).alias("many"))
-    rarest = spread(rows, counts, ["h"], True).groupBy("fp").agg(F.array_sort(F.collect_list(F.struct("many", "h"))).alias("x")).join(nodes, "fp")
+    found = spread(rows, counts, ["h"], True).groupBy("fp").agg(F.array_sort(F.collect_list(F.struct("many", "h"))).alias("x")).join(nodes, "fp")
     need = (F.col("n") - F.ceil(similarity * F.col("n") - 1e-6) + 1).cast("int")
-    rows = rarest.select("fp", "to", "n", "odd", F.posexplode(F.slice("x", F.lit(1), F.greatest(need, F.lit(1)))["h"]).alias("at", "h"))
-    rows = stored(rows.withColumn("_salt", salt("fp")), "near-rarest")
-    most = rows.groupBy("h", "to").agg(F.count(F.lit(1)).alias("many")).groupBy("h").agg(F.max_by("to", F.struct("many", "to")).alias("most"), F.count(F.lit(1)).alias("several"))
-    rows = stored(spread(rows, most.where("several > 1").drop("several"), ["h"], True), "near-shared")
+    found = found.select("fp", "n", "odd", F.posexplode(F.slice("x", F.lit(1), F.greatest(need, F.lit(1)))["h"]).alias("at", "h"))
+    return stored(found.withColumn("_salt", salt("fp")), "near-rarest")
+
+
+def unmet(rows: DataFrame, own: DataFrame, similarity: float, members: int | None = None) -> DataFrame:
+    """All pairs (a, b) of nodes of different components that can be similar enough; rows: :func:`rarest`, own: fp and its component, to.
+
+    Similar sets share one of their rarest shingles. The first that they share tells, by its place in both,
+    how many they can share at most. Of a shingle's nodes all but its largest component's meet the others, so
+    a component's own pairs are never made. With ``members`` they meet so many of the largest component's only.
+    """
+    rows = rows.join(own, "fp")
+    most = rows.groupBy("h", "to").agg(F.count(F.lit(1)).alias("many")).groupBy("h")
+    most = most.agg(F.max_by("to", F.struct("many", "to")).alias("most"), F.count(F.lit(1)).alias("several")).where("several > 1")
+    rows = stored(spread(rows, most.drop("several"), ["h"], True), "near-shared")
     x = _side(rows.where(F.col("to") != F.col("most")).withColumn("xat", F.col("at")), "x", "h", "most", "xat")
-    y = _side(rows.withColumn("yat", F.col("at")), "y", "h", "yat")
+    y = rows.withColumn("yat", F.col("at"))
+    if members:
+        y = y.where(F.col("to") == F.col("most")).withColumn("k", F.row_number().over(Window.partitionBy("h").orderBy("fp"))).where(F.col("k") <= members)
     once = (F.col("xc") != F.col("yc")) & ((F.col("yc") == F.col("most")) | (F.col("x") < F.col("y")))
     shared = F.least(F.col("xn") - F.col("xat"), F.col("yn") - F.col("yat")) >= similarity / (1 + similarity) * (F.col("xn") + F.col("yn")) - 1e-6
-    return x.hint("merge").join(y, "h").where(once & shared & _close(similarity)).select(*_paired("x", "y")).distinct()
+    return x.hint("merge").join(_side(y, "y", "h", "yat"), "h").where(once & shared & _close(similarity)).select(*_paired("x", "y")).distinct()
 
 
 def merged(nodes: DataFrame, labels: DataFrame, new: DataFrame) -> DataFrame:
@@ -177,15 +186,15 @@ def similar_links(docs: DataFrame, nodes: DataFrame, id_col: str, text_col: str,
     n_nodes = nodes.count()
     rows = nodes.select("fp", F.explode("bands").alias("band")).withColumn("_salt", salt("fp"))
     full = rows.groupBy("band").agg(F.min("fp").alias("least"), F.count(F.lit(1)).alias("size")).where("size > 1")
-    rows = stored(spread(rows, full, ["band"], True).select("fp", "band", "least", "_salt"), "near-buckets")
+    rows = stored(spread(rows, full, ["band"], True).select("fp", "band", "least", "size", "_salt"), "near-buckets")
     # SimHash: nodes of one fingerprint meet its least node, linked fingerprints by their least nodes.
     first = stored(sized(nodes.groupBy("simhash").agg(F.min("fp").alias("least")), n_nodes, 10_000), "near-first")
     same = spread(nodes.select("simhash", "fp").withColumn("_salt", salt("fp")), first, ["simhash"]).where("fp <> least").select("least", "fp")
     linked = simhash.links(first.select(F.col("simhash").alias("fp")))
     far = linked.join(first.select(F.col("simhash").alias("a"), F.col("least").alias("x")), "a").join(first.select(F.col("simhash").alias("b"), F.col("least").alias("y")), "b")
     far = stored(far.select("x", "y"), "near-far")
-    shares = rows.where("fp <> least").groupBy("fp", "least").agg(F.count(F.lit(1)).alias("many"))
-    nearest = shares.groupBy("fp").agg(F.max_by("least", F.struct("many", "least")).alias("least"))
+    shares = rows.where("fp <> least").groupBy("fp", "least").agg(F.count(F.lit(1)).alias("many"), F.max("size").alias("size"))
+    nearest = shares.groupBy("fp").agg(F.max_by("least", F.struct("many", "size", "least")).alias("least"))
     pairs = stored(nearest.select(*_paired("least", "fp")).unionByName(same.select(*_paired("least", "fp"))).distinct(), "near-pairs")
     # Only rows in a bucket or a pair are read again.
     wanted = rows.select("fp").unionByName(same.select("fp")).unionByName(same.select(F.col("least").alias("fp")))
@@ -219,7 +228,10 @@ def similar_links(docs: DataFrame, nodes: DataFrame, id_col: str, text_col: str,
         long = stored(long.join(nodes_now.select("fp", "to"), "fp"), "near-long")
         still = long.groupBy("band").agg((F.min("to") != F.max("to")).alias("open")).where("open").select("band")
         still = spread(long, still, ["band"]).select("fp").distinct()
-        labels = linked_by(unmet(stored(nodes_now.join(still, "fp"), "near-open"), sets, similarity))
+        several = rarest(stored(nodes_now.drop("to").join(still, "fp"), "near-open"), sets, similarity)
+        # Large components first meet by a few nodes: where they hang together, their other pairs need not be made.
+        labels = linked_by(unmet(several, nodes_now.select("fp", "to"), similarity, MEMBERS))
+        labels = linked_by(unmet(several, known().select("fp", "to"), similarity))
     return labels
 
 
