@@ -40,21 +40,25 @@ def steps(texts: list[str | None]) -> Iterator[list[str | None]]:
         yield held
 
 
-def by_words(texts: list[str], words: Callable[[list[str]], list[bytes]], first: Callable[[list[str]], list[bytes]]) -> list[bytes]:
+def by_words(texts: list[str] | pa.Array, words: Callable[[list[str]], list[bytes]], first: Callable[[list[str]], list[bytes]] | None = None) -> list[bytes]:
     """Each text's 32-bit ids: those of its space-separated words end to end.
 
-    ``words`` gives the ids of each distinct word, ``first`` those of the words that start a text.
+    ``words`` gives the ids of each distinct word, ``first`` those of the words that start a text. Without
+    ``first`` all words are alike, and cut at any ASCII white space.
     """
-    if not texts:
+    if not len(texts):
         return []
-    split = pc.split_pattern(pa.array(texts, pa.large_string()), " ")
+    whole = pa.array(texts, pa.large_string()) if isinstance(texts, list) else texts
+    split = pc.split_pattern(whole, " ") if first else pc.ascii_split_whitespace(whole)
     bounds = split.offsets.to_numpy()
     coded = split.values.dictionary_encode()
     codes = coded.indices.to_numpy().astype(np.int64)
     distinct = coded.dictionary.to_pylist()
-    heads = [t.partition(" ")[0] for t in texts]
-    table, starts, sizes = runs(words(distinct) + first(heads), "<u4")
-    codes[bounds[:-1]] = len(distinct) + np.arange(len(texts))
+    known = words(distinct)
+    if first:
+        known += first([t.partition(" ")[0] for t in texts])
+        codes[bounds[:-1]] = len(distinct) + np.arange(len(texts))
+    table, starts, sizes = runs(known, "<u4")
     ids, ends = take(table, starts, sizes, codes)
-    buf, cut = ids.tobytes(), [0, *(4 * ends[bounds[1:] - 1]).tolist()]
+    buf, cut = ids.tobytes(), (4 * np.r_[0, ends][bounds]).tolist()
     return [buf[a:b] for a, b in zip(cut, cut[1:])]

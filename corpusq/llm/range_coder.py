@@ -19,7 +19,8 @@ the highest order that predicts it. No bits are stored beside the range coder's.
 
 The counts of orders 0 and 1 are those of the group (at most ``BLOCK * LANES`` ids); its header holds them,
 compressed, and every block starts from them. A follower is listed where it saves more bits than
-its entry takes, which every group decides from its own counts.
+its entry takes, which every group decides from its own counts. Shares of a list are counted in few bits
+more than its length has, so that a table tells at once which follower a code falls on.
 
 File: groups one after another. Group: magic, sizes, header, document table (id, has id, tokens), block
 table (tokens, coded bytes, CRC-32), coded streams.
@@ -47,16 +48,19 @@ from corpusq.llm.common import work_path
 from corpusq.llm.tokens import encoder
 
 BLOCK, LANES, _SLICE = 4096, 2048, 256
-MAGIC = b"CXM2"
+MAGIC = b"CXM3"
 #: Slots of a lane's order-2 table, and the classes of what order 1 knows of an id.
 SLOTS, KNOWN = 4096, 16
 #: Bits, at least, that counts are scaled to; the bits a listed follower has to save.
 BITS, ENTRY = 14, 22
-_ALL, _TOP, _BOTTOM = (1 << 60) - 1, 1 << 44, 1 << 36
+#: Bits a list's shares are counted in: those of its length and FINE more, LEAST_BITS to BITS.
+FINE, LEAST_BITS = 4, 8
+#: The range a block starts with, the least one after an id, and the bits of its codes.
+_START, _TOP, _CODE = 1 << 48, 1 << 44, (1 << 60) - 1
 
 
-def _scaled(n: np.ndarray, group: np.ndarray, groups: int, bits: int) -> np.ndarray:
-    """Counts scaled so that each group's sum is 2**bits, every count at least 1."""
+def _scaled(n: np.ndarray, group: np.ndarray, groups: int, bits: int | np.ndarray) -> np.ndarray:
+    """Counts scaled so that each group's sum is 2**bits (one for all groups or one each), every count at least 1."""
     total = np.bincount(group, n, groups)
     size = np.bincount(group, minlength=groups)
     room = (1 << bits) - size  # one for each entry, the rest by count
@@ -93,20 +97,29 @@ class Counts:
 
     def __init__(self, ids: np.ndarray, n0: np.ndarray, pairs: np.ndarray, n1: np.ndarray, known: np.ndarray):
         self.ids, self.pairs, self.known = ids, pairs, known
-        self.bits = max(BITS, len(ids).bit_length() + 2)
+        bits = max(BITS, len(ids).bit_length() + 2)
         self.kept = (n0, n1)
-        freq0 = np.r_[0, _scaled(n0, np.zeros(len(ids), np.int64), 1, self.bits)]
+        freq0 = np.r_[0, _scaled(n0, np.zeros(len(ids), np.int64), 1, bits)]
         last = pairs >> 17
-        freq1 = _scaled(n1, last, len(ids) + 1, self.bits)
+        size = np.bincount(last, minlength=len(ids) + 1)
+        scale = np.minimum(np.maximum(np.ceil(np.log2(np.maximum(size, 1))).astype(np.int64) + FINE, LEAST_BITS), BITS)
+        freq1 = _scaled(n1, last, len(ids) + 1, scale)
         run = np.cumsum(freq1) - freq1
         cum1 = run - run[np.searchsorted(last, last)] if len(run) else run
-        self.places = (last << self.bits) + cum1
-        self.slots = np.repeat(np.arange(len(freq0), dtype=np.int32), freq0)
-        # One table of parts: the listed followers, then the symbols of order 0, then the whole share.
-        self.freq = np.r_[freq1, freq0, 1 << self.bits]
-        self.cum = np.r_[cum1, np.cumsum(freq0) - freq0, 0]
-        self.followers = pairs & 0x1FFFF
-        self.order0, self.order2 = len(pairs), len(self.freq) - 1
+        # One table of parts: the listed followers, then the symbols of order 0, then the whole share of order 2;
+        # each has its symbol, where its share begins, the share and the bits that shares are counted in.
+        sym = np.r_[pairs & 0x1FFFF, np.arange(len(freq0)), 0]
+        cum, freq = np.r_[cum1, np.cumsum(freq0) - freq0, 0], np.r_[freq1, freq0, 1]
+        self.parts = sym << 46 | cum << 26 | freq << 5 | np.r_[scale[last], np.full(len(freq0), bits), 0]
+        self.order0, self.order2 = len(pairs), len(freq) - 1
+        # The part that each unit of a share belongs to: order 0, then the lists, then one that only damaged blocks ask
+        # for, where a list is empty. Where a symbol's list begins, its bits, what is known.
+        units = np.r_[freq0, freq1, 1 << LEAST_BITS]
+        self.slots = np.repeat(np.r_[self.order0 : self.order2, : self.order0, self.order2].astype(np.int32), units)
+        whole = np.where(size > 0, 1 << scale, 0)
+        begin = np.where(size > 0, (1 << bits) + np.cumsum(whole) - whole, len(self.slots) - units[-1])
+        self.lists = begin << 10 | scale << 5 | known
+        self.bits = bits
 
     @classmethod
     def of(cls, ids: np.ndarray, n0: np.ndarray, grid: np.ndarray) -> tuple[Counts, np.ndarray]:
@@ -172,102 +185,110 @@ class Counts:
 
 
 class _Coder:
-    """Carryless range coder over lanes: 60-bit interval, output in 16-bit words."""
+    """Range coder over lanes: ranges of 2**44 to 2**60, output in 16-bit words, carries settled at the end."""
 
     def __init__(self, lanes: int, coded: list[bytes] | None = None):
-        self.low, self.range = np.zeros(lanes, np.int64), np.full(lanes, _ALL, np.int64)
-        self.at = np.zeros(lanes, np.int64)
+        self.low, self.range = np.zeros(lanes, np.int64), np.full(lanes, _START, np.int64)
         self.decoding = coded is not None
         if coded is None:
-            self.buf = np.zeros((lanes, 1 << 9), np.uint16)
+            self.lanes: list[np.ndarray] = []
+            self.digits: list[np.ndarray] = []
         else:
-            self.buf = np.zeros((lanes, max((len(c) // 2 for c in coded), default=0) + 8), np.uint16)
-            for i, c in enumerate(coded):
-                self.buf[i, : len(c) // 2] = np.frombuffer(c, "<u2")
-            self.code = np.zeros(lanes, np.int64)
-            self.code = (self.buf[:, 0].astype(np.int64) << 44) | (self.buf[:, 1].astype(np.int64) << 28) | (self.buf[:, 2].astype(np.int64) << 12) | (self.buf[:, 3] >> 4)
-            self.at += 3
-        self.limit = self.buf.shape[1]
+            # Behind its words a block is read as zeros. ``low`` is the code less the low end of the range.
+            sizes = np.array([len(c) // 2 + 4 for c in coded], np.int64)
+            self.words = np.frombuffer(b"".join(c[: len(c) // 2 * 2] + bytes(8) for c in coded), "<u2").astype(np.int64)
+            self.at = np.cumsum(sizes) - sizes
+            for _ in range(3):
+                self.low = self.low << 16 | self.words[self.at]
+                self.at += 1
+            # Damaged blocks may ask for more words than there are.
+            self.last = len(self.words) - 1
 
     def settle(self, live: int) -> None:
-        """Moves out the words that no longer change in the first ``live`` lanes; ranges are 2**36 at least after it."""
-        low, rng = self.low[:live], self.range[:live]
-        lane = np.flatnonzero(((low ^ (low + rng)) < _TOP) | (rng < _BOTTOM))
+        """Moves words out of or into the first ``live`` lanes; ranges are 2**44 at least after it."""
+        lane = (self.range[:live] < _TOP).nonzero()[0]
         while len(lane):
-            lo, r, at = self.low.take(lane), self.range.take(lane), self.at.take(lane)
-            apart = (lo ^ (lo + r)) >= _TOP
-            if apart.any():
-                r[apart] = -lo[apart] & (_BOTTOM - 1)
+            low, width = self.low.take(lane), self.range.take(lane)
+            width <<= 16
             if self.decoding:
-                # The code holds 60 bits: the low 4 of a word come in now, its high 12 with the next.
-                word = self.buf[lane, np.minimum(at, self.limit - 2)].astype(np.int64) & 15
-                more = self.buf[lane, np.minimum(at + 1, self.limit - 1)].astype(np.int64) >> 4
-                self.code[lane] = ((self.code.take(lane) << 16) & _ALL) | word << 12 | more
+                at = self.at.take(lane)
+                low <<= 16
+                low |= self.words.take(np.minimum(at, self.last))
+                low &= _CODE
+                at += 1
+                self.at[lane] = at
             else:
-                if at.max() + 8 > self.limit:
-                    self.buf = np.concatenate([self.buf, np.zeros_like(self.buf)], axis=1)
-                    self.limit = self.buf.shape[1]
-                self.buf[lane, at] = lo >> 44
-            self.at[lane] = at + 1
-            lo, r = (lo << 16) & _ALL, np.minimum(r << 16, _ALL)
-            self.low[lane], self.range[lane] = lo, r
-            more = ((lo ^ (lo + r)) < _TOP) | (r < _BOTTOM)
-            lane = lane[more]
+                self.lanes.append(lane)
+                self.digits.append((low >> 32).astype(np.int32))
+                low &= 0xFFFFFFFF
+                low <<= 16
+            self.low[lane], self.range[lane] = low, width
+            lane = lane[width < _TOP]
 
     def finish(self) -> list[bytes]:
-        if len(self.at) and self.at.max() + 8 > self.limit:
-            self.buf = np.concatenate([self.buf, np.zeros((len(self.at), 8), np.uint16)], axis=1)
-        lanes = np.arange(len(self.at))
-        for shift in (44, 28, 12):
-            self.buf[lanes, self.at] = self.low >> shift & 0xFFFF
-            self.at += 1
-        self.buf[lanes, self.at] = (self.low & 0xFFF) << 4
-        return [self.buf[i, : n + 1].astype("<u2").tobytes() for i, n in enumerate(self.at)]
+        """The words of each lane: the last is the shortest number within the range, zeros behind it left out."""
+        lanes = len(self.low)
+        lane = np.concatenate([*self.lanes, np.arange(lanes)]).astype(np.uint16 if lanes < 1 << 16 else np.int64)
+        digits = np.concatenate([*self.digits, ((self.low + _TOP - 1) >> 44 << 12).astype(np.int32)])[np.argsort(lane, kind="stable")]
+        while len(over := np.flatnonzero(digits > 0xFFFF)):
+            carry = digits[over] >> 16
+            digits[over] &= 0xFFFF
+            digits[over - 1] += carry
+        cut = [0, *(2 * np.cumsum(np.bincount(lane, minlength=lanes))).tolist()]
+        buf = digits.astype("<u2").tobytes()
+        return [buf[a:b] for a, b in zip(cut, cut[1:])]
 
 
 #: What an order-2 entry's confidence becomes after a miss and after a hit, as differences, and whether the entry stays.
-_STEP = np.array([*((k >> 1) - k for k in range(8)), 1, 1, 1, 1, 1, 1, 1, 0], np.int64)
+_STEP = np.array([*((k >> 1) - k for k in range(8)), 1, 1, 1, 1, 1, 1, 1, 0], np.int32)
 _STAYS = np.array([*(k > 1 for k in range(8)), *[True] * 8])
 #: The bounds of an estimate, and the estimates every block starts with: order 2 by confidence, order 1 by the share it knows.
 _LEAST, _MOST, _HISTORY = 64, 64512, 9
-_START2 = np.array([512, 12000, 28000, 40000, 48000, 52000, 56000, 60000], np.int64)
-_START1 = np.array([(2 * k + 1) * 65536 // (2 * KNOWN) for k in range(KNOWN)], np.int64)
-
-
-class _Mix:
-    """Two adaptive 16-bit estimates per lane, mixed by a weight that learns which of them is nearer."""
-
-    def __init__(self, small: np.ndarray, large: np.ndarray, lanes: int):
-        self.tables = np.tile(small, lanes), np.tile(large, lanes)
-        self.weight = np.full(lanes, 1 << 14, np.int64)
-
-    def estimate(self, i: np.ndarray, j: np.ndarray) -> np.ndarray:
-        self.at = i, j
-        self.a, self.b = self.tables[0].take(i), self.tables[1].take(j)
-        self.apart = self.b - self.a
-        p = self.apart * self.weight[: len(i)]
+#: So far apart are the contexts of what order 1 knows, in the second estimate of either mix.
+_WIDE = np.array([[8], [_HISTORY]])
+_START2 = np.array([512, 12000, 28000, 40000, 48000, 52000, 56000, 60000], np.int32)
+_START1 = np.array([(2 * k + 1) * 65536 // (2 * KNOWN) for k in range(KNOWN)], np.int32)
+
+
+class _Mixes:
+    """For each lane two mixes (order 2; order 1), each of two adaptive 16-bit estimates and a weight that learns which is nearer."""
+
+    def __init__(self, lanes: int):
+        starts = [_START2, np.tile(_START2, KNOWN), _START1, np.repeat(_START1, _HISTORY)]
+        self.table = np.concatenate([np.tile(x, lanes) for x in starts])
+        each = np.arange(lanes, dtype=np.int64)
+        #: Where the estimates of a lane begin, by their contexts.
+        self.bases = np.stack([lanes * sum(map(len, starts[:k])) + each * len(x) for k, x in enumerate(starts)])
+        self.weight = np.full((2, lanes), 1 << 14, np.int32)
+
+    def only(self, live: int) -> None:
+        self.bases, self.weight = (np.ascontiguousarray(x[:, :live]) for x in (self.bases, self.weight))
+
+    def estimate(self, at: np.ndarray) -> np.ndarray:
+        """The two mixed estimates, from the four that stand at ``at``."""
+        self.at = at.reshape(-1)
+        self.old = self.table.take(self.at).reshape(2, 2, -1)
+        self.apart = self.old[:, 1] - self.old[:, 0]
+        p = self.apart * self.weight
         p >>= 15
-        p += self.a
+        p += self.old[:, 0]
         return p
 
-    def learn(self, one: np.ndarray, held: np.ndarray | None = None) -> None:
-        """``one``: the outcome; where ``held`` is 0 rather than -1 nothing is learned."""
-        goal = one * (_MOST - _LEAST)
+    def learn(self, one: np.ndarray, held: np.ndarray) -> None:
+        """``one``: the two outcomes; where ``held`` is 0 rather than -1 the mix of order 1 learns nothing."""
+        goal = one * np.int32(_MOST - _LEAST)
         goal += _LEAST
-        nearer = (self.apart > 0) == one
-        weight = self.weight[: len(one)]
-        step = (nearer.astype(np.int64) << 15) - weight
+        step = ((self.apart > 0) == one).astype(np.int32)
+        step <<= 15
+        step -= self.weight
         step >>= 7
-        for table, at, old in zip(self.tables, self.at, (self.a, self.b)):
-            new = goal - old
-            new >>= 5
-            if held is not None:
-                new &= held
-            new += old
-            table[at] = new
-        if held is not None:
-            step &= held
-        weight += step
+        new = goal[:, None] - self.old
+        new >>= 5
+        new[1] &= held
+        new += self.old
+        self.table[self.at] = new.reshape(-1)
+        step[1] &= held
+        self.weight += step
 
 
 class _Lanes:
@@ -277,105 +298,105 @@ class _Lanes:
         n = len(sizes)
         self.sizes, self.counts, self.coder = np.array(sizes, np.int64), counts, _Coder(n, coded)
         self.table = np.zeros(n * SLOTS, np.int32)
-        self.second = _Mix(_START2, np.tile(_START2, KNOWN), n)
-        self.first = _Mix(_START1, np.repeat(_START1, _HISTORY), n)
+        self.mixes = _Mixes(n)
 
     def run(self, grid: np.ndarray | None, parts: np.ndarray | None) -> np.ndarray:
         """Codes the symbols (steps by lanes) with their parts of orders 0 and 1, or decodes them."""
         c, coder, table = self.counts, self.coder, self.table
         n, steps, bits = len(self.sizes), int(self.sizes.max(initial=0)), c.bits
-        out = np.zeros((steps, n), np.int32)
-        known8, known9, freq, cum, top = c.known * 8, c.known * _HISTORY, c.freq, c.cum, (1 << bits) - 1
-        bounds = np.zeros((4, n), np.int64)  # order 1, order 0, order 2
-        bounds[3] = 65536
-        flat = bounds.reshape(-1)
-        lanes = np.arange(n, dtype=np.int64)
-        bases = [lanes * k for k in (SLOTS, 8, 8 * KNOWN, KNOWN, KNOWN * _HISTORY)]
-        a, past, kind, mark = (np.zeros(n, np.int64) for _ in range(4))
+        out = np.zeros((steps, n), np.int32) if grid is None else grid
+        lists, slots = c.lists, c.slots
+        base, mixes = np.arange(n, dtype=np.int64) * SLOTS, self.mixes
+        a, past, mark = (np.zeros(n, np.int64) for _ in range(3))
+        kind = np.zeros(n, np.int8)
         live = n
         for t in range(steps):
             if self.sizes[live - 1] <= t:
                 live = int(np.searchsorted(-self.sizes, -t, side="left"))
-                lanes, a, past, kind, mark, *bases = (x[:live] for x in (lanes, a, past, kind, mark, *bases))
+                a, past, kind, mark, base = (x[:live] for x in (a, past, kind, mark, base))
+                mixes.only(live)
             at = a * 5003
             at += mark
             at &= SLOTS - 1
-            at += bases[0]
-            entry = table.take(at).astype(np.int64)
+            at += base
+            entry = table.take(at)
             guess, sure = entry >> 3, entry & 7
             # The share of order 2, then what is left between orders 1 and 0.
-            know = known9.take(a)
-            wide = bases[2] + known8.take(a)
-            wide += sure
-            p = self.second.estimate(bases[1] + sure, wide)
-            wide = bases[4] + know
-            wide += past
-            know //= _HISTORY
-            know += bases[3]
-            q = self.first.estimate(know, wide)
-            rest = 65536 - p
-            q *= rest
+            list_of = lists.take(a)
+            know = list_of & 31
+            contexts = mixes.bases.copy()
+            contexts[:2] += sure
+            contexts[2] += know
+            contexts[3] += past
+            contexts[1::2] += know * _WIDE
+            p, q = mixes.estimate(contexts)
+            rest = (65536 - p).astype(np.int64)
+            q = q * rest
             q >>= 16
-            bounds[1, :live], bounds[2, :live] = q, rest
-            r = coder.range[:live] >> 16
-            low = coder.low[:live]
-            past = kind * 3
+            low, r = coder.low[:live], coder.range[:live]
+            r >>= 16
+            one, two = q * r, rest * r
             if grid is None:
-                code = coder.code[:live]
-                v = code - low
-                v //= r
-                hit = v >= rest
-                kind = (v >= q).astype(np.int64)
-                kind += hit
+                hit, more = low >= two, low >= one
             else:
-                sym, part = grid[t, :live].astype(np.int64), parts[t, :live]
+                sym, part = grid[t, :live], parts[t, :live]
                 hit = guess == sym
-                kind = np.where(hit, 2, part >= c.order0)
-            past += kind
-            place = kind * n
-            place += lanes
-            start = flat.take(place)
-            place += n
-            width = flat.take(place)
+                more = part >= c.order0
+                more |= hit
+            before, kind = kind, more.view(np.int8) + hit.view(np.int8)
+            # Where the id's order begins and ends.
+            start = np.where(hit, two, one)
+            start *= more
+            r <<= 16
+            width = np.where(hit, r, np.where(more, two, one))
             width -= start
-            start *= r
-            low += start
-            r *= width
-            r >>= bits
             if grid is None:
-                v = code - low
-                v //= r
-                np.minimum(v, top, out=v)
-                np.maximum(v, 0, out=v)
-                sym = c.slots.take(v).astype(np.int64)
-                part = sym + c.order0
-                which = np.flatnonzero(kind == 0)
-                if len(which) and c.order0:
-                    key = a.take(which) << bits
-                    key += v.take(which)
-                    row = np.searchsorted(c.places, key, side="right") - 1
-                    np.maximum(row, 0, out=row)
-                    part[which], sym[which] = row, c.followers.take(row)
+                low -= start
+                list_of >>= 5
+                shift = np.where(more, bits, list_of & 31)
+                shift[hit] = 0
+                width >>= shift
+                v = (low.view(np.uint64) // width.view(np.uint64)).view(np.int64)
+                np.minimum(v, (1 << shift) - 1, out=v)
+                list_of >>= 5
+                list_of[more] = 0
+                v += list_of
+                part = slots.take(v)
+                part[hit] = c.order2
+                each = c.parts.take(part)
+                sym = (each >> 46).astype(np.int32)
                 sym = np.where(hit, guess, sym)
-            part = np.where(hit, c.order2, part)
-            off = cum.take(part)
-            off *= r
-            low += off
-            r *= freq.take(part)
-            coder.range[:live] = r
+            else:
+                low += start
+                each = c.parts.take(np.where(hit, c.order2, part))
+                width >>= each & 31
+            off = each >> 26
+            off &= (1 << 20) - 1
+            off *= width
+            each >>= 5
+            each &= (1 << 21) - 1
+            if grid is None:
+                low -= off
+                out[t, :live] = sym
+            else:
+                low += off
+            np.multiply(width, each, out=r)
             coder.settle(live)
-            out[t, :live] = sym
             # Learning; order 1 learns where order 2 missed.
-            self.second.learn(hit)
-            self.first.learn(kind == 0, hit.astype(np.int64) - 1)
-            state = hit.astype(np.int64)
+            one = np.empty((2, live), np.int32)
+            state = one[0]
+            state[:] = hit
+            np.equal(kind, 0, out=one[1], casting="unsafe")
+            mixes.learn(one, state - 1)
             state <<= 3
             state += sure
             entry += _STEP.take(state)
             fresh = sym << 3
             fresh += 1
             table[at] = np.where(_STAYS.take(state), entry, fresh)
-            a, mark = sym, a * 1031
+            mark = a * 1031
+            a, past = sym.astype(np.int64), before * np.int64(3)
+            past += kind
         return out
 
 

@@ -11,6 +11,7 @@ from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
 from corpusq.llm import range_coder as R
+from corpusq.llm.tokens import Encoder
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
 
@@ -106,3 +107,37 @@ def test_files(spark):
 
 def test_empty(spark):
     assert R.round_trip(spark.createDataFrame([], "doc_id long, text string"), PATH).collect() == []
+
+
+def test_word_encoder_takes_words_apart(monkeypatch):
+    """No call of the whole library for each new word; signs, case, Latin-1 and what lower case makes of a letter as the library has them."""
+    lib, enc, rng = Tokenizer.from_file(PATH), Encoder(PATH, False), random.Random(7)
+    made = ["".join(rng.choices("abcdefghijklméß", k=9)) for _ in range(3000)]
+    texts = [" ".join(w.capitalize() + rng.choice(["", ".", ",", "!!", " (x)", "\n"]) for w in made)]
+    calls, whole = [], enc.whole
+    monkeypatch.setattr(enc, "whole", lambda t: calls.append(t) or whole(t))
+    odd = ["aİ. xİ!", "क़, שּׁ.", "Å= ≠ ẖ H̱.", "l'Été's DON'T 'S", "<|ENDOFTEXT|> a<|endoftext|>B.", "tab\tÀ\x0b\x0cÇ\r\nẞ ª.º µ", "no\xa0break 12a3\x7f4 ×÷x²", "ﬁN. ΑΣ, ΑΣ"]
+    for t, got in zip(texts + odd, enc.encode_many(texts + odd), strict=True):
+        assert np.frombuffer(got, "<u4").tolist() == lib.encode(t, add_special_tokens=False).ids, repr(t)
+    assert len(calls) < 100
+
+
+def test_damage_ends_in_an_error():
+    """Also where damaged codes ask for followers of an id that has none, or for words behind the end."""
+    ids = np.r_[np.tile([5, 6, 7], 800), np.arange(100, 2500), np.tile([5, 6, 7], 800)]
+    header, blocks = R.encode_blocks(ids)
+    rng = np.random.default_rng(4)
+    for _ in range(20):
+        n, coded, crc = blocks[0]
+        other = bytearray(coded)
+        other[int(rng.integers(len(coded)))] ^= int(rng.integers(1, 256))
+        with pytest.raises(ValueError):
+            R.decode_blocks(header, [(n, bytes(other[: int(rng.integers(2, len(other)))]), crc)])
+
+
+def test_carries():
+    """Long runs of likely ids, whose ranges end in many set bits, between rare ones."""
+    rng = np.random.default_rng(5)
+    for share in (0.9, 0.999, 0.99999):
+        ids = np.where(rng.random(60_000) < share, 3, rng.integers(0, 40_000, 60_000))
+        assert (decoded(ids, 256) == ids).all()
