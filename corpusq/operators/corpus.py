@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpusq.operators.ordered import medians
+from corpusq.storage import stored
 
 
 def describe(value: str | Column, digits: int = 6) -> list[Column]:
@@ -24,7 +25,11 @@ def describe(value: str | Column, digits: int = 6) -> list[Column]:
 
 
 def summary(df: DataFrame, keys: list[str], value: str, *more: Column, digits: int = 6) -> DataFrame:
-    """:func:`describe` for values without a grid: the median comes from ranks along a range sort."""
+    """:func:`describe` for values without a grid: the median comes from ranks along a range sort.
+
+    The rows are stored once, as they are read four times and a value may be dear.
+    """
+    df = stored(df, "values")
     plain = [c for c, name in zip(describe(value, digits), ("n", "mean", "median", "std", "lo", "hi")) if name != "median"]
     return df.groupBy(*keys).agg(*plain, *more).join(medians(df, keys, value).withColumn("median", F.round("median", digits)), keys, "left")
 

@@ -20,7 +20,8 @@ from corpusq.operators.ordered import top_per_group
 from corpusq.operators.pages import pair_pages
 from corpusq.plans.base import query
 from corpusq.plans.expected import folded
-from corpusq.sources.tables import table
+from corpusq.sources.tables import spread, table
+from corpusq.storage import stored
 
 #: SQL that both engines run: the damage of a transcription.
 _DAMAGE = "concat(CASE WHEN (conv_id + turn) % 3 = 0 THEN replace(replace(replace(replace({0}, 'the', 'tbe'), 'ou', '0u'), ' of ', ' '), 'an', 'a-n') ELSE {0} END, CASE WHEN turn % 4 = 1 THEN repeat('x', 60) ELSE '' END)"
@@ -38,7 +39,7 @@ def _pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", plain)
     ref = c.selectExpr("conv_id AS doc", "role", "turn + 1 AS page", "t AS ref")
     hyp = c.where("NOT (conv_id % 5 = 3 AND turn = 1)").selectExpr("conv_id AS doc", f"{_PAGE} AS page", f"{_DAMAGE.format('t')} AS hyp")
-    return pair_pages(ref, hyp, "doc", "page")
+    return spread(pair_pages(ref, hyp, "doc", "page"), "doc", "page")
 
 
 def _sql_cer(ref: str = "ref", hyp: str = "hyp") -> str:
@@ -51,7 +52,7 @@ _CER = _sql_cer()
 @query("WITH " + _PAIRS + f"SELECT doc, page, levenshtein(hyp, ref) AS distance, round({_CER}, 9) AS cer FROM p")
 def cer_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     ref, hyp = F.col("ref"), F.col("hyp")
-    return _pairs(spark, sf_dir).select("doc", "page", F.levenshtein(hyp, ref).alias("distance"), F.round(X.cer(ref, hyp), 9).alias("cer"))
+    return _pairs(spark, sf_dir).select("doc", "page", X.distance(hyp, ref).alias("distance"), F.round(X.cer(ref, hyp), 9).alias("cer"))
 
 
 @query("WITH " + _PAIRS + f"SELECT role, count(*) AS pairs, round(sum(({_CER}) * length(ref)) / sum(length(ref)), 9) AS weighted, round(avg({_CER}), 9) AS mean FROM p GROUP BY role")
@@ -62,8 +63,9 @@ def weighted_cer(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("WITH " + _PAIRS + f"SELECT doc, page, round({_CER}, 9) AS cer FROM p WHERE {_CER} > 0.1 ORDER BY cer DESC, doc, page")
 def outlier_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    c = X.cer(F.col("ref"), F.col("hyp"))
-    return _pairs(spark, sf_dir).where(c > 0.1).select("doc", "page", F.round(c, 9).alias("cer")).orderBy(F.col("cer").desc(), "doc", "page")
+    # A sort reads its rows twice, first for the bounds of its ranges; a filter would move before the dealing.
+    rates = stored(_pairs(spark, sf_dir).select("doc", "page", X.cer(F.col("ref"), F.col("hyp")).alias("cer")), "rates")
+    return rates.where("cer > 0.1").select("doc", "page", F.round("cer", 9).alias("cer")).orderBy(F.col("cer").desc(), "doc", "page")
 
 
 _REGIMES = ["raw", "nfc", "nfc_hyphen", "nfc_hyphen_case"]
@@ -81,9 +83,9 @@ def multi_norm_block(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Error rate under the four regimes; the copy has decomposed accents, typographic and soft hyphens and small capitals."""
     varied = F.expr(_VARIED.format(acute="'\u0301'", hyphen="'\u2010'", soft="'\u00ad'"))
     plain = lambda c: F.replace(F.translate(F.translate(c, "\u0301\u2010\u00ad", "~=_"), FOLD_FROM, FOLD_TO), F.lit("ß"), F.lit("ss"))
-    c = table(spark, sf_dir, "conversations").select(F.col("text").alias("r"), varied.alias("h"))
-    each = [c.select(F.lit(k).alias("regime"), plain(X.regime(F.col("r"), k)).alias("r"), plain(X.regime(F.col("h"), k)).alias("h")) for k in _REGIMES]
-    rates = each[0].unionByName(each[1]).unionByName(each[2]).unionByName(each[3]).select("regime", X.cer(F.col("r"), F.col("h")).alias("c"))
+    c = spread(table(spark, sf_dir, "conversations"), "conv_id", "turn").select(F.col("text").alias("r"), varied.alias("h"))
+    each = F.array(*[F.struct(F.lit(k).alias("regime"), plain(X.regime(F.col("r"), k)).alias("r"), plain(X.regime(F.col("h"), k)).alias("h")) for k in _REGIMES])
+    rates = c.select(F.inline(each)).select("regime", X.cer(F.col("r"), F.col("h")).alias("c"))
     return summary(rates, ["regime"], "c", digits=9).select("regime", "n", "mean", "median", "hi")
 
 
@@ -126,7 +128,8 @@ def edit_decomposition(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def error_categories(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Count, characters and up to three examples per category."""
-    d = _diff_rows(spark, sf_dir).withColumn("chars", F.greatest(F.length("ref"), F.length("hyp")))
+    chars = F.greatest(F.length("ref"), F.length("hyp")).alias("chars")
+    d = stored(_diff_rows(spark, sf_dir).select("doc", "page", "start", "ref", "hyp", "category", chars), "differences")  # read twice
     counts = d.groupBy("category").agg(F.count(F.lit(1)).alias("n"), F.sum("chars").alias("chars"))
     first = top_per_group(d, ["category"], [F.col("doc"), F.col("page"), F.col("start")], 3)
     shown = first.groupBy("category").agg(F.transform(F.array_sort(F.collect_list(F.struct("place", F.concat_ws("→", "ref", "hyp").alias("x")))), lambda x: x["x"]).alias("examples"))
@@ -170,7 +173,8 @@ def doc_cer_fallback(spark: SparkSession, sf_dir: str) -> DataFrame:
 def overall_and_strata_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Mean, median, sample deviation and range of the pages' rates, overall and by stratum."""
     k = _pairs(spark, sf_dir).select(F.col("role").alias("stratum"), X.cer(F.col("ref"), F.col("hyp")).alias("c"))
-    return summary(k.unionByName(k.withColumn("stratum", F.lit("all"))), ["stratum"], "c", digits=9)
+    both = k.select(F.explode(F.array("stratum", F.lit("all"))).alias("stratum"), "c")
+    return summary(both, ["stratum"], "c", digits=9)
 
 
 @query("WITH " + _PAIRS + """, d AS (SELECT doc, sum(length(ref) - length(replace(ref, 'ou', ''))) / 2 AS ou, sum(length(ref) - length(replace(ref, 'an', ''))) / 2 AS an, sum(length(ref) - length(replace(ref, 'the', ''))) / 3 AS the FROM p WHERE (doc + page - 1) % 3 = 0 GROUP BY doc),
