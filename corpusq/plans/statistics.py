@@ -13,7 +13,7 @@ from corpusq.functions import statistics as S
 from corpusq.functions import text as X
 from corpusq.plans.base import query
 from corpusq.plans.expected import folded
-from corpusq.sources.tables import table
+from corpusq.sources.tables import spread, table
 
 SEED, B, GRID = 42, 10_000, 4
 
@@ -71,7 +71,8 @@ def within_document_bootstrap(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Interval of each document's rate from its pages; a document's pages are one group."""
     from corpusq.plans.distance import pagewise_evaluation
 
-    return pagewise_evaluation(spark, sf_dir).select("doc", "page", "cer", "chars").groupBy("doc").applyInPandas(_page_interval, "doc long, pages long, low double, high double")
+    rates = spread(pagewise_evaluation(spark, sf_dir).select("doc", "page", "cer", "chars"), "doc")
+    return rates.groupBy("doc").applyInPandas(_page_interval, "doc long, pages long, low double, high double")
 
 
 def _share_interval(g: pd.DataFrame) -> pd.DataFrame:
