@@ -35,3 +35,9 @@ def test_distance():
 def test_rates_are_stored_once(spark, name):
     plan = plan_of(spark, name)
     assert "levenshtein" not in plan and "EvalPython" not in plan
+
+
+@pytest.mark.parametrize("name", ["cer_pairs"])
+def test_pairs_are_dealt_by_number(spark, name):
+    plan = plan_of(spark, name)
+    assert "REPARTITION_BY_NUM" in plan and "levenshtein" not in plan
