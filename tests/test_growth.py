@@ -31,10 +31,10 @@ def test_distance():
         assert edits.distance(a, b) == plain_distance(a, b)
 
 
-@pytest.mark.parametrize("name", ["multi_norm_block", "overall_and_strata_blocks", "outlier_pages"])
+@pytest.mark.parametrize("name", ["multi_norm_block", "overall_and_strata_blocks", "outlier_pages", "error_categories"])
 def test_rates_are_stored_once(spark, name):
     plan = plan_of(spark, name)
-    assert "levenshtein" not in plan and "EvalPython" not in plan
+    assert "levenshtein" not in plan and "EvalPython" not in plan and "MapInArrow" not in plan
 
 
 @pytest.mark.parametrize("name", ["cer_pairs", "paired_test"])
