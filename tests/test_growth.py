@@ -37,7 +37,7 @@ def test_rates_are_stored_once(spark, name):
     assert "levenshtein" not in plan and "EvalPython" not in plan and "MapInArrow" not in plan
 
 
-@pytest.mark.parametrize("name", ["cer_pairs", "paired_test"])
+@pytest.mark.parametrize("name", ["cer_pairs", "paired_test", "confusion_matrix"])
 def test_pairs_are_dealt_by_number(spark, name):
     plan = plan_of(spark, name)
     assert "REPARTITION_BY_NUM" in plan and "levenshtein" not in plan
