@@ -41,3 +41,8 @@ def test_rates_are_stored_once(spark, name):
 def test_pairs_are_dealt_by_number(spark, name):
     plan = plan_of(spark, name)
     assert "REPARTITION_BY_NUM" in plan and "levenshtein" not in plan
+
+
+def test_documents_are_dealt_before_resampling(spark):
+    plan = plan_of(spark, "within_document_bootstrap")
+    assert "REPARTITION_BY_NUM" in plan[plan.index("FlatMapGroups") : plan.index("Window")]
