@@ -46,3 +46,12 @@ def test_pairs_are_dealt_by_number(spark, name):
 def test_documents_are_dealt_before_resampling(spark):
     plan = plan_of(spark, "within_document_bootstrap")
     assert "REPARTITION_BY_NUM" in plan[plan.index("FlatMapGroups") : plan.index("Window")]
+
+
+def test_paragraphs_keep_their_digits(spark):
+    from pyspark.sql import functions as F
+
+    from corpusq.functions import text as X
+
+    d = spark.createDataFrame([(" no. 10 \n 21 of 1\n32",)], "t string")
+    assert d.select(X.paragraphs(F.col("t"), "\n")).first()[0] == ["no. 10", "21 of 1", "32"]
