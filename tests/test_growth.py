@@ -55,3 +55,10 @@ def test_paragraphs_keep_their_digits(spark):
 
     d = spark.createDataFrame([(" no. 10 \n 21 of 1\n32",)], "t string")
     assert d.select(X.paragraphs(F.col("t"), "\n")).first()[0] == ["no. 10", "21 of 1", "32"]
+
+
+def test_coverage_is_exact(spark):
+    from corpusq.operators import pages as P
+
+    r = spark.range(1).selectExpr("array_repeat(struct(1D as w, 10D as h), 150) AS r")
+    assert tuple(r.select(P.coverage(r["r"]), P.layout_quality(r["r"])).first()) == (15.0, "warning")
