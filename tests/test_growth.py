@@ -62,3 +62,23 @@ def test_coverage_is_exact(spark):
 
     r = spark.range(1).selectExpr("array_repeat(struct(1D as w, 10D as h), 150) AS r")
     assert tuple(r.select(P.coverage(r["r"]), P.layout_quality(r["r"])).first()) == (15.0, "warning")
+
+
+def test_mentions_are_matched_in_groups_that_pass_by(spark):
+    from corpusq.operators.pages import _greedy
+
+    def plain(cands, refs, most):
+        cands, rows = list(cands), []
+        for at in refs:
+            free = [(t, abs(c - at), k) for k, (c, t) in enumerate(cands) if abs(c - at) <= most]
+            if free:
+                t, _, k = min(free)
+                rows.append((at, cands.pop(k)[0], t))
+        return rows
+
+    r = random.Random(2)
+    for _ in range(300):
+        cands = sorted((r.randrange(60), r.randrange(3)) for _ in range(r.randrange(30)))
+        refs = sorted(r.randrange(60) for _ in range(r.randrange(30)))
+        assert list(_greedy(cands, refs, 9)) == plain(cands, refs, 9)
+    assert "FlatMapGroups" not in plan_of(spark, "gold_matching")
