@@ -55,24 +55,51 @@ def encode_pages(df: DataFrame, keys: list[str], page: str, total: Column) -> Da
     return found.select(*keys, F.when(F.col("n") == F.col("_total"), "*").otherwise(F.array_join(F.col("p.t"), ",")).alias("pages"))
 
 
+def _banded(df: DataFrame, keys: list[str], index: str, wides: list[float]) -> DataFrame:
+    """Adds ``_mid``, and ``_wide{k}`` and ``_band{k}`` for each threshold, all along one sort of a page's regions by y."""
+    by_y = Window.partitionBy(*keys).orderBy("y").rangeBetween(Window.unboundedPreceding, 0)
+    along = Window.partitionBy(*keys).orderBy("y", index).rowsBetween(Window.unboundedPreceding, 0)
+    df = df.withColumns({"_mid": F.col("x") + F.col("w") / 2} | {f"_wide{k}": F.col("w") >= v for k, v in enumerate(wides)})
+    count = lambda k, w: F.sum(F.col(f"_wide{k}").cast("int")).over(w)
+    df = df.withColumns({f"_nth{k}": count(k, along) for k in range(len(wides))})
+    # A narrow region belongs behind every wide one that starts at or above it.
+    df = df.withColumns({f"_above{k}": count(k, by_y) for k in range(len(wides))})
+    bands = {f"_band{k}": F.when(F.col(f"_wide{k}"), F.col(f"_nth{k}") - 1).otherwise(F.col(f"_above{k}")) for k in range(len(wides))}
+    return df.withColumns(bands).drop(*[f"{c}{k}" for c in ("_nth", "_above") for k in range(len(wides))])
+
+
+def _columned(df: DataFrame, keys: list[str], index: str, k: int, gaps: list[float]) -> DataFrame:
+    """Adds ``_col{k}_{g}`` for each gap: the column of a region in its band under the k-th threshold, along one sort."""
+    cols = Window.partitionBy(*keys, f"_band{k}", f"_wide{k}").orderBy("_mid", index)
+    df = df.withColumn("_step", F.col("_mid") - F.lag("_mid").over(cols))
+    return df.withColumns({f"_col{k}_{g}": F.sum(F.coalesce((F.col("_step") > v).cast("int"), F.lit(0))).over(cols) for g, v in enumerate(gaps)}).drop("_step")
+
+
 def reading_order(df: DataFrame, keys: list[str], index: str = "idx", wide: float = 60.0, gap: float = 12.0, place: str = "place") -> DataFrame:
     """Canonical order of page regions (x, y, w in percent of the page).
 
     Regions of at least ``wide`` cut the page into bands at their top; within a band, columns start
     where the centre jumps by more than ``gap``; a column reads downwards. Ties keep the input order.
     """
-    by_y = Window.partitionBy(*keys).orderBy("y").rangeBetween(Window.unboundedPreceding, 0)
-    is_wide = F.col("w") >= wide
-    df = df.withColumn("_wide", is_wide).withColumn("_mid", F.col("x") + F.col("w") / 2)
-    # A narrow region belongs behind every wide one that starts at or above it.
-    df = df.withColumn("_above", F.sum(F.col("_wide").cast("int")).over(by_y))
-    nth = F.row_number().over(Window.partitionBy(*keys, "_wide").orderBy("y", index))
-    df = df.withColumn("_band", F.when(F.col("_wide"), nth - 1).otherwise(F.col("_above")))
-    cols = Window.partitionBy(*keys, "_band", "_wide").orderBy("_mid", index)
-    jump = F.coalesce((F.col("_mid") - F.lag("_mid").over(cols) > gap).cast("int"), F.lit(0))
-    df = df.withColumn("_jump", jump).withColumn("_col", F.sum("_jump").over(cols))
-    order = Window.partitionBy(*keys).orderBy("_band", "_wide", "_col", "y", index)
-    return df.withColumn(place, F.row_number().over(order)).drop("_wide", "_mid", "_above", "_band", "_jump", "_col")
+    df = _columned(_banded(df, keys, index, [wide]), keys, index, 0, [gap])
+    order = Window.partitionBy(*keys).orderBy("_band0", "_wide0", "_col0_0", "y", index)
+    return df.withColumn(place, F.row_number().over(order)).drop("_wide0", "_mid", "_band0", "_col0_0")
+
+
+def order_stability(df: DataFrame, keys: list[str], wides: list[float], gaps: list[float], index: str = "idx") -> DataFrame:
+    """Whether :func:`reading_order` changes the input's order of a page's regions: none, robust (all thresholds agree) or fragile.
+
+    One pass for all thresholds: a sort for the bands, one for the columns of each ``wide``, one list a page.
+    """
+    df = _banded(df, keys, index, wides)
+    for k in range(len(wides)):
+        df = _columned(df, keys, index, k, gaps)
+    kept = [c for c in df.columns if c.startswith(("_band", "_wide", "_col"))]
+    g = df.groupBy(*keys).agg(F.collect_list(F.struct(*kept, "y", index)).alias("_r"))
+    order = lambda k, j: F.transform(F.array_sort(F.transform("_r", lambda r: F.struct(r[f"_band{k}"], r[f"_wide{k}"], r[f"_col{k}_{j}"], r["y"], r[index].alias("i")))), lambda x: x["i"])
+    g = g.select(*keys, F.array(*[order(k, j) for k in range(len(wides)) for j in range(len(gaps))]).alias("_o"))
+    moved = F.exists("_o", lambda o: o != F.array_sort(o))
+    return g.select(*keys, F.when(~moved, "none").when(F.size(F.array_distinct("_o")) == 1, "robust").otherwise("fragile").alias("class"))
 
 
 def mode_offset(df: DataFrame, keys: list[str], page: str, number: str) -> DataFrame:

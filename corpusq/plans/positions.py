@@ -9,7 +9,7 @@ from corpusq.functions import text as X
 from corpusq.operators import heads, ordered, spans
 from corpusq.plans.base import query
 from corpusq.plans.expected import folded
-from corpusq.sources.tables import table
+from corpusq.sources.tables import sized, table
 
 _LINES = """l AS (SELECT doc_id, generate_subscripts(string_split(text, chr(10)), 1) AS page, unnest(string_split(text, chr(10))) AS line FROM documents),
 s AS (SELECT doc_id, page, line, (sum(length(line) + 1) OVER (PARTITION BY doc_id ORDER BY page) - length(line) - 1)::BIGINT AS start FROM l) """
@@ -83,7 +83,7 @@ def verdict_guard(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("WITH " + _MARKS + """, r AS (SELECT doc, start, "end", max("end") OVER (PARTITION BY doc ORDER BY start, "end" ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS b FROM c),
 g AS (SELECT *, sum(CASE WHEN b IS NULL OR start > b THEN 1 ELSE 0 END) OVER (PARTITION BY doc ORDER BY start, "end") AS run FROM r) SELECT doc, min(start) AS start, max("end") AS "end" FROM g GROUP BY doc, run""")
 def span_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spans.merge_spans(_marks(spark, sf_dir)[1].select("doc", "start", "end"), ["doc"])
+    return spans.merge_spans(sized(_marks(spark, sf_dir)[1].select("doc", "start", "end"), "doc"), ["doc"])
 
 
 @query("WITH " + _LINES + """, t AS (SELECT doc_id, n_chars FROM documents) SELECT s.doc_id, page, start, coalesce(lead(start) OVER (PARTITION BY s.doc_id ORDER BY start), n_chars) AS "end" FROM s JOIN t USING (doc_id)""")
@@ -137,10 +137,10 @@ _BOXES = "b AS (SELECT l_orderkey AS page, row_number() OVER (PARTITION BY l_ord
 
 
 def _boxes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    li = table(spark, sf_dir, "lineitem")
-    idx = F.row_number().over(Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice")) - 1
-    return li.select(
-        F.col("l_orderkey").alias("page"), idx.alias("idx"), (F.col("l_partkey") % 60).cast("double").alias("x"), (F.col("l_suppkey") % 95).cast("double").alias("y"),
+    li = table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("page"), "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_quantity")
+    idx = F.row_number().over(Window.partitionBy("page").orderBy("l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice")) - 1
+    return sized(li, "page").select(
+        "page", idx.alias("idx"), (F.col("l_partkey") % 60).cast("double").alias("x"), (F.col("l_suppkey") % 95).cast("double").alias("y"),
         F.when(F.col("l_quantity") > 40, 80).otherwise(10 + F.col("l_quantity")).cast("double").alias("w"),
     )
 
@@ -163,12 +163,7 @@ e AS (SELECT page, wide_at, gap_at, idx, row_number() OVER (PARTITION BY page, w
 SELECT page, CASE WHEN NOT bool_or(o <> list_sort(o)) THEN 'none' WHEN count(DISTINCT o) = 1 THEN 'robust' ELSE 'fragile' END AS class FROM o GROUP BY page""")
 def reading_order_stability(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pages whose order is not the input's: robust if nine threshold variants agree, else fragile."""
-    boxes, found = _boxes(spark, sf_dir), None
-    for wide, gap in [(a, b) for a in (55.0, 60.0, 65.0) for b in (10.0, 12.0, 14.0)]:
-        order = ordered.reading_order(boxes, ["page"], wide=wide, gap=gap).groupBy("page").agg(F.transform(F.array_sort(F.collect_list(F.struct("place", "idx"))), lambda x: x["idx"]).alias("o"))
-        found = order if found is None else found.unionByName(order)
-    same = found.groupBy("page").agg(F.count_distinct("o").alias("n"), F.max(F.col("o") != F.array_sort("o")).alias("moved"))
-    return same.select("page", F.when(~F.col("moved"), "none").when(F.col("n") == 1, "robust").otherwise("fragile").alias("class"))
+    return ordered.order_stability(_boxes(spark, sf_dir), ["page"], [55.0, 60.0, 65.0], [10.0, 12.0, 14.0])
 
 
 def _segments(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -82,3 +82,8 @@ def test_mentions_are_matched_in_groups_that_pass_by(spark):
         refs = sorted(r.randrange(60) for _ in range(r.randrange(30)))
         assert list(_greedy(cands, refs, 9)) == plain(cands, refs, 9)
     assert "FlatMapGroups" not in plan_of(spark, "gold_matching")
+
+
+def test_stability_reads_the_boxes_once(spark):
+    plan = plan_of(spark, "reading_order_stability")
+    assert "Union" not in plan and plan.count("FileScan") <= 2
