@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from corpusq.operators import reviews as R
 from corpusq.plans.base import query
-from corpusq.sources.tables import table
+from corpusq.sources.tables import sized, table
+from corpusq.storage import stored
 
 
 def _marks(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -189,7 +190,7 @@ _ROWS = "o AS (SELECT c_custkey AS gid, c_mktsegment AS category, count(o_orderk
 
 def _rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("gid"), F.col("c_mktsegment").alias("category"))
-    o = table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("gid"), "o_orderkey", "o_orderstatus", "o_orderdate")
+    o = sized(table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("gid"), "o_orderkey", "o_orderstatus", "o_orderdate"), "gid")
     return c.join(o, "gid", "left").groupBy("gid", "category").agg(F.count("o_orderkey").alias("mentions"), F.count_if(F.col("o_orderstatus") == "F").alias("auto"), F.countDistinct("o_orderdate").alias("docs"))
 
 
@@ -205,7 +206,7 @@ def entity_row_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
 UNION ALL SELECT 'docs', gid, row_number() OVER (ORDER BY docs DESC, mentions DESC, gid) AS place FROM o QUALIFY place <= 25 UNION ALL SELECT 'reviewshare', gid, row_number() OVER (ORDER BY round(CASE WHEN mentions > 0 THEN (mentions - auto) / mentions ELSE -1 END, 9) DESC, gid) AS place FROM o QUALIFY place <= 25""")
 def entity_sorters(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The first 25 rows (a page of the table) under each sorter."""
-    o = _rows(spark, sf_dir)
+    o = stored(_rows(spark, sf_dir), "entity-rows")  # read once for each sorter
     share = F.round(F.when(F.col("mentions") > 0, (F.col("mentions") - F.col("auto")) / F.nullif("mentions", F.lit(0))).otherwise(-1), 9)
     sorters = {"zero": [F.col("mentions") > 0, F.col("gid")], "mentions": [F.col("mentions").desc(), F.col("gid")], "docs": [F.col("docs").desc(), F.col("mentions").desc(), F.col("gid")], "reviewshare": [share.desc(), F.col("gid")]}
     found = None

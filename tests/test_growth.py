@@ -87,3 +87,15 @@ def test_mentions_are_matched_in_groups_that_pass_by(spark):
 def test_stability_reads_the_boxes_once(spark):
     plan = plan_of(spark, "reading_order_stability")
     assert "Union" not in plan and plan.count("FileScan") <= 2
+
+
+@pytest.mark.parametrize("name", ["reading_order"])
+def test_rows_are_dealt_by_number(spark, name):
+    assert "REPARTITION_BY_NUM" in plan_of(spark, name)
+
+
+def test_tasks_grow_in_number_with_the_rows(spark):
+    from corpusq.sources.tables import sized
+
+    d = spark.range(100_000).selectExpr("id % 997 AS k")
+    assert sized(d, "k", most=1_000).rdd.getNumPartitions() == 100
