@@ -89,7 +89,7 @@ def test_stability_reads_the_boxes_once(spark):
     assert "Union" not in plan and plan.count("FileScan") <= 2
 
 
-@pytest.mark.parametrize("name", ["reading_order"])
+@pytest.mark.parametrize("name", ["reading_order", "span_merge"])
 def test_rows_are_dealt_by_number(spark, name):
     assert "REPARTITION_BY_NUM" in plan_of(spark, name)
 
