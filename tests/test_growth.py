@@ -99,3 +99,7 @@ def test_tasks_grow_in_number_with_the_rows(spark):
 
     d = spark.range(100_000).selectExpr("id % 997 AS k")
     assert sized(d, "k", most=1_000).rdd.getNumPartitions() == 100
+
+
+def test_entity_rows_are_made_once(spark):
+    assert "Join" not in plan_of(spark, "entity_sorters")
