@@ -46,28 +46,44 @@ W = r"[\p{L}\p{N}_]"
 BEFORE, BEHIND = 40, 90
 
 
-#: A list with at most so many first words is broadcast whole, so that other words are left out at once.
-CURATED = 100_000
+#: A list with at most so many forms and surnames is broadcast whole, so that other words are left out at once.
+CURATED = 200_000
 
 
-def words(docs: DataFrame, reach: int, doc: str = "doc_id", text: str = "text", keys: set[str] | None = None) -> DataFrame:
+def words(docs: DataFrame, reach: int, doc: str = "doc_id", text: str = "text", names: set[str] | None = None, forms: set[str] | None = None) -> DataFrame:
     """doc, at, word, before (``BEFORE`` characters), after (``reach`` characters from the word on) of every word.
 
-    ``keys``: lower-case words; others are left out unless they are one of these with a genitive s or an adjective suffix.
+    With a list, only words where it may stand: ``names``, lower-case first words of surnames, as they are, with a genitive s or an
+    adjective suffix; ``forms``, where the text has the whole form, case aside.
     """
-    known = docs.sparkSession.sparkContext.broadcast(keys)
+    known = docs.sparkSession.sparkContext.broadcast((names, forms))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        word, keys = re.compile(r"\w+"), known.value
+        word, (names, forms) = re.compile(r"\w+"), known.value
         endings = ("s", *ADJECTIVE_SUFFIXES)
-
-        def wanted(w: str) -> bool:
+        # By the first word and the two characters behind it; "" where these do not tell.
+        index: dict[str, dict[str, list[tuple[int, str, str]]]] = {}
+        for form in {v for f in forms or () for v in (f, f.upper())}:
+            if first := word.search(form):
+                behind = form[first.end() : first.end() + 2].lower()
+                index.setdefault(first[0].lower(), {}).setdefault(behind if form.isascii() and len(behind) == 2 else "", []).append((first.start(), form, form.lower()))
+
+        def wanted(t: str, at: int, w: str) -> bool:
             low = w.lower()
-            return low in keys or any(low.endswith(e) and low[: -len(e)] in keys for e in endings)
+            if low in names or low.endswith(endings) and any(low.endswith(e) and low[: -len(e)] in names for e in endings):
+                return True
+            listed = index.get(low)
+            if listed is None:
+                return False
+            behind = t[at + len(w) : at + len(w) + 2].lower()
+            for lead, form, same in (*(listed.get(behind, ()) if behind else ()), *listed.get("", ())):
+                if at >= lead and ((piece := t[at - lead : at - lead + len(form)]) == form or piece.lower() == same):
+                    return True
+            return False
 
         for b in batches:
             for d, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                found = [(d, m.start(), m[0], t[max(0, m.start() - BEFORE) : m.start()], t[m.start() : m.start() + reach]) for m in word.finditer(t or "") if keys is None or wanted(m[0])]
+                found = [(d, m.start(), m[0], t[max(0, m.start() - BEFORE) : m.start()], t[m.start() : m.start() + reach]) for m in word.finditer(t or "") if names is None or wanted(t, m.start(), m[0])]
                 for k in range(0, len(found), 10_000):
                     cols = list(zip(*found[k : k + 10_000]))
                     kinds = (pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string())
@@ -159,10 +175,10 @@ def find(docs: DataFrame, forms: DataFrame, surnames: DataFrame, zones: DataFram
     ``zones``: doc, kind (of ``ZONES``), start, stop; a find that starts in one carries its suffix.
     """
     reach = (forms.agg(F.max(F.length("form"))).first()[0] or 0) + BEHIND
-    firsts = [x.select(F.lower(F.regexp_extract(c, f"{W}+", 0)).alias("w")) for x, c in ((forms, "form"), (surnames, "key"))]
-    firsts = firsts[0].unionByName(firsts[1]).distinct().limit(CURATED + 1).collect()
-    tokens = words(docs, reach, doc, text, {r.w for r in firsts} if len(firsts) <= CURATED else None)
-    tokens = stored(tokens, "matcher-words") if len(firsts) <= CURATED else tokens
+    listed = [x.distinct().limit(CURATED + 1).collect() for x in (surnames.select(F.lower(F.regexp_extract("key", f"{W}+", 0)).alias("w")), forms.select(F.col("form").alias("w")))]
+    curated = sum(map(len, listed)) <= CURATED
+    tokens = words(docs, reach, doc, text, *[{r.w for r in x} if curated else None for x in listed])
+    tokens = stored(tokens, "matcher-words") if curated else tokens
     exact, upper = _owned(forms, surnames, F.col("form")), F.upper("form")
     person = forms.where((F.col("category") == "person") & F.contains("form", F.lit(" ")) & (F.length(upper) == F.length("form")) & (upper != F.col("form")))
     caps = _owned(person.withColumn("rule", F.lit("caps-full-name")), surnames.limit(0), upper)
@@ -188,6 +204,8 @@ def find(docs: DataFrame, forms: DataFrame, surnames: DataFrame, zones: DataFram
     bare = F.regexp_replace("rule", ":suspect$", "")
     rule = F.when(many, F.concat(bare, F.lit(":ambiguous"), F.when(suspect, ":suspect").otherwise(""))).otherwise(F.col("rule"))
     finds = finds.withColumns({"rule": rule, "tier": F.when(many, 2).otherwise(F.col("tier"))})
+    # What follows asks the finds several times; each would look up all words again.
+    finds = stored(finds, "matcher-finds")
     # A full name goes on over a particle to its own surname.
     base = F.substring_index("rule", ":", 1)
     full = (F.col("category") == "person") & base.isin(FULL_NAMES) & (F.col("tier") == 1)
@@ -200,7 +218,7 @@ def find(docs: DataFrame, forms: DataFrame, surnames: DataFrame, zones: DataFram
     longer = F.length(F.regexp_extract("rest", f"^ (?:{'|'.join(PARTICLES)}) {W}+", 0))
     finds = finds.withColumns({"stop": F.when(F.col("_own"), F.col("stop") + longer).otherwise(F.col("stop")), "rest": F.when(F.col("_own"), F.expr("substr(rest, length(regexp_extract(rest, '^ (?:" + "|".join(PARTICLES) + ") [\\\\p{L}\\\\p{N}_]+', 0)) + 1)")).otherwise(F.col("rest"))})
     finds = _leftmost(finds.drop("_b", "_own"))
-    finds = _guarded(finds)
+    finds = stored(_guarded(finds), "matcher-kept")
     anchors = finds.where((F.col("tier") == 1) & (F.col("category") == "person") & (F.col("channel") < 3)).select("doc", F.col("gid").alias("_a")).distinct()
     finds = _resolved(finds, anchors)
     finds = _weighed(finds, tokens, forms, surnames)

@@ -103,3 +103,16 @@ def test_tasks_grow_in_number_with_the_rows(spark):
 
 def test_entity_rows_are_made_once(spark):
     assert "Join" not in plan_of(spark, "entity_sorters")
+
+
+def test_only_words_where_the_list_may_stand(spark):
+    from corpusq.operators import matcher
+
+    d = spark.createDataFrame([(1, "the House of THE HOUSES, the hut; Meiers meier Meierling, (A) b (a) c")], "doc_id long, text string")
+    got = matcher.words(d, 5, names={"meier"}, forms={"The House", "(A)"}).orderBy("at").collect()
+    assert [(r.at, r.word) for r in got] == [(0, "the"), (13, "THE"), (34, "Meiers"), (41, "meier"), (59, "A"), (65, "a")]
+
+
+@pytest.mark.parametrize("name", ["mention_scan"])
+def test_finds_are_made_once(spark, name):
+    assert "WindowGroupLimit" not in plan_of(spark, name)
