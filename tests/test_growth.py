@@ -113,6 +113,6 @@ def test_only_words_where_the_list_may_stand(spark):
     assert [(r.at, r.word) for r in got] == [(0, "the"), (13, "THE"), (34, "Meiers"), (41, "meier"), (59, "A"), (65, "a")]
 
 
-@pytest.mark.parametrize("name", ["mention_scan", "mention_by_rule"])
+@pytest.mark.parametrize("name", ["mention_scan", "mention_by_rule", "mention_overview"])
 def test_finds_are_made_once(spark, name):
     assert "WindowGroupLimit" not in plan_of(spark, name)
