@@ -10,6 +10,7 @@ from corpusq.operators import heads, ordered, spans
 from corpusq.plans.base import query
 from corpusq.plans.expected import folded
 from corpusq.sources.tables import sized, table
+from corpusq.storage import stored
 
 _LINES = """l AS (SELECT doc_id, generate_subscripts(string_split(text, chr(10)), 1) AS page, unnest(string_split(text, chr(10))) AS line FROM documents),
 s AS (SELECT doc_id, page, line, (sum(length(line) + 1) OVER (PARTITION BY doc_id ORDER BY page) - length(line) - 1)::BIGINT AS start FROM l) """
@@ -173,7 +174,8 @@ def _segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = d.select("doc_id", F.posexplode(F.split("text", "\n", -1)).alias("k", "line"))
     lines = lines.select("doc_id", "k", heads.head_form(X.fold(F.col("line"))).alias("form"), ((F.col("k") == 0) & ~F.endswith("line", F.lit("."))).alias("in_head")).where("form <> ''")
     idx = F.row_number().over(Window.partitionBy("doc_id").orderBy("k")) - 1
-    return lines.withColumn("idx", idx).join(page, "doc_id").select("doc", "page", "idx", "form", "in_head")
+    # The operators read the segments six times.
+    return stored(lines.withColumn("idx", idx).join(page, "doc_id").select("doc", "page", "idx", "form", "in_head"), "segments")
 
 
 _SEGMENTS = f"""g AS (SELECT source AS doc, doc_id, row_number() OVER (PARTITION BY source ORDER BY doc_id) AS page, string_split(text, chr(10)) AS ls FROM documents),

@@ -116,3 +116,7 @@ def test_only_words_where_the_list_may_stand(spark):
 @pytest.mark.parametrize("name", ["mention_scan", "mention_by_rule", "mention_overview"])
 def test_finds_are_made_once(spark, name):
     assert "WindowGroupLimit" not in plan_of(spark, name)
+
+
+def test_segments_are_made_once(spark):
+    assert "posexplode" not in plan_of(spark, "running_heads")
